@@ -175,11 +175,14 @@ def throughput(df: DataFrame, ts: str = "timestamp") -> DataFrame:
                   F.try_divide(F.count(F.lit(1)), span).alias("docs_per_s"))
 
 
-def batch_outcome(df: DataFrame, status: str = "status") -> DataFrame:
-    """0 when every row succeeded, 1 otherwise; 1 also for an empty batch."""
-    return df.agg(
-        F.when((F.count(F.lit(1)) > 0) & (F.count_if(~_success(status) | F.col(status).isNull()) == 0),
-               F.lit(0)).otherwise(F.lit(1)).alias("exit_code"))
+def batch_outcome(df: DataFrame, status: str = "status", by: list[str] | None = None) -> DataFrame:
+    """0 when every row succeeded, 1 otherwise; 1 also for an empty batch.
+
+    ``by`` gives one outcome per group (e.g. per source or per run).
+    """
+    code = F.when((F.count(F.lit(1)) > 0) & (F.count_if(~_success(status) | F.col(status).isNull()) == 0),
+                  F.lit(0)).otherwise(F.lit(1)).alias("exit_code")
+    return df.groupBy(*by).agg(code) if by else df.agg(code)
 
 
 def model_availability(df: DataFrame, status: str = "status", model: str = "model") -> DataFrame:
