@@ -184,7 +184,7 @@ def lexicon_score(docs: DataFrame, lexicon: DataFrame, id_col: str = "doc_id", t
     hits = F.filter(tokens, lambda x: F.map_contains_key(lex, x))
     entries = F.flatten(F.transform(hits, lambda x: F.element_at(lex, x)))
     per_type = F.array(*[
-        F.struct(F.aggregate(F.filter(F.col("__entries"), lambda e, t=t: e["t"] == F.lit(t)),
+        F.struct(F.aggregate(F.filter(F.col("__entries"), _type_is(t)),
                              F.lit(0.0), lambda acc, e: acc + e["w"]).alias("w"),
                  F.lit(t).alias("t"))
         for t in types]) if types else F.array().cast("array<struct<w:double,t:string>>")
@@ -202,6 +202,13 @@ def lexicon_score(docs: DataFrame, lexicon: DataFrame, id_col: str = "doc_id", t
     }).drop("__hits", "__entries", "__per_type", "__total", "__best"))
 
 
+def _type_is(t: str):
+    """One-argument predicate (a lambda with a default would be read as ``(x, index)``)."""
+    def pred(e):
+        return e["t"] == F.lit(t)
+    return pred
+
+
 def lexicon_score_join(docs: DataFrame, lexicon: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                        type_col: str = "document_type", term_col: str = "term",
                        weight_col: str = "weight") -> DataFrame:

@@ -10,7 +10,10 @@ construction rule.
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..schemas import OFFERED_TYPES
 
@@ -168,3 +171,45 @@ def expected_sql():
 def results_sql():
     return (f"SELECT * EXCLUDE (ts), ts AS timestamp FROM "
             f"({sql_select('events', RESULTS_LAYERS, RESULTS_COLUMNS)})")
+
+
+# --- lexicon_fx: language stop words as evidence (for the offline scorer) --------
+LANGUAGE_LEXICON = {
+    "en": ["the", "of", "and", "to", "that", "with"],
+    "fr": ["le", "et", "les", "des", "ou", "qui"],
+    "de": ["der", "die", "und", "den", "zu", "von"],
+    "es": ["el", "los", "del", "se", "ci", "por"],
+}
+LEXICON_ROWS = [(lang, term, 1.0) for lang, terms in LANGUAGE_LEXICON.items() for term in terms]
+
+
+def lexicon_fx(spark):
+    return spark.createDataFrame(LEXICON_ROWS, "document_type string, term string, weight double")
+
+
+def docx_bytes(text: str) -> bytes:
+    """A minimal DOCX whose body paragraphs are the lines of ``text`` (fixture builder)."""
+    import io
+    import zipfile
+    from xml.sax.saxutils import escape
+
+    def clean(s):  # characters XML 1.0 cannot carry
+        return "".join(ch for ch in s if ch in "\t\n\r" or ord(ch) >= 0x20)
+
+    paras = "".join(f'<w:p><w:r><w:t xml:space="preserve">{escape(clean(line))}</w:t></w:r></w:p>'
+                    for line in text.split("\n"))
+    doc = ('<?xml version="1.0" encoding="UTF-8" standalone="yes"?>'
+           '<w:document xmlns:w="http://schemas.openxmlformats.org/wordprocessingml/2006/main">'
+           f"<w:body>{paras}</w:body></w:document>")
+    buf = io.BytesIO()
+    with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as z:
+        z.writestr("[Content_Types].xml", '<?xml version="1.0" encoding="UTF-8"?><Types '
+                   'xmlns="http://schemas.openxmlformats.org/package/2006/content-types"/>')
+        z.writestr("word/document.xml", doc)
+    return buf.getvalue()
+
+
+@F.pandas_udf(T.BinaryType())
+def make_docx(texts: pd.Series) -> pd.Series:
+    """DOCX bytes for each text (Arrow-batched fixture builder)."""
+    return texts.map(lambda t: docx_bytes(t or ""))

@@ -786,3 +786,247 @@ def q_metadata_rows(spark, d):
         "year string, month string, day string").json(path)
     return back.select("document_id", "source_uri", "processing_start", "processing_duration_ms", "bedrock_model",
                        "confidence_threshold", "status", "day")
+
+
+# ===========================================================================
+# Scorers: offline evidence (K3) and a callable run by mapInPandas (K1, K6, K7)
+# ===========================================================================
+
+LEXICON = _values(fx.LEXICON_ROWS, ["document_type", "term", "weight"])
+LEXICON_SQL = f"""
+WITH tok AS (SELECT doc_id, unnest(regexp_extract_all(lower(text), '[a-z]+')) AS term FROM documents),
+ev AS (SELECT doc_id, document_type, sum(weight) AS w FROM tok JOIN {LEXICON} l USING (term) GROUP BY 1, 2),
+tot AS (SELECT doc_id, sum(w) AS total FROM ev GROUP BY 1),
+best AS (SELECT doc_id, document_type, w FROM (SELECT *, row_number() OVER (PARTITION BY doc_id
+         ORDER BY w DESC, document_type DESC) AS rn FROM ev) WHERE rn = 1),
+kt AS (SELECT doc_id, count(DISTINCT term) AS k FROM tok WHERE term IN (SELECT term FROM {LEXICON}) GROUP BY 1),
+scored AS (
+  SELECT d.doc_id, d.lang, coalesce(b.document_type, 'unknown') AS predicted_type,
+    round(coalesce(b.w / t.total, 0.0), 6) AS primary_score, coalesce(t.total, 0.0) AS evidence,
+    CAST(coalesce(kt.k, 0) AS BIGINT) AS n_key_terms
+  FROM documents d LEFT JOIN best b USING (doc_id) LEFT JOIN tot t USING (doc_id) LEFT JOIN kt USING (doc_id))
+"""
+
+
+def _lexicon_scored(spark, d):
+    docs = spark.read.parquet(f"{d}/documents.parquet").select("doc_id", "lang", "text")
+    return lexicon_score(docs, fx.lexicon_fx(spark))
+
+
+@register("lexicon_score", LEXICON_SQL + """
+SELECT doc_id, predicted_type, primary_score, evidence, n_key_terms FROM scored""")
+def q_lexicon_score(spark, d):
+    s = _lexicon_scored(spark, d)
+    return s.select("doc_id", "predicted_type", r6("primary_score"), "evidence",
+                    F.size("key_terms").cast("bigint").alias("n_key_terms"))
+
+
+@register("lexicon_accuracy", LEXICON_SQL + """
+SELECT CAST(count(*) AS BIGINT) AS documents, CAST(count_if(predicted_type = lang) AS BIGINT) AS correct,
+  CAST(count_if(predicted_type = 'unknown') AS BIGINT) AS no_evidence,
+  CAST(count_if(predicted_type <> lang AND predicted_type <> 'unknown') AS BIGINT) AS wrong,
+  round(count_if(predicted_type = lang) / count(*), 6) AS accuracy FROM scored""")
+def q_lexicon_accuracy(spark, d):
+    s = _lexicon_scored(spark, d)
+    p = F.col("predicted_type")
+    return s.agg(F.count(F.lit(1)).alias("documents"), F.count_if(p == F.col("lang")).alias("correct"),
+                 F.count_if(p == "unknown").alias("no_evidence"),
+                 F.count_if((p != F.col("lang")) & (p != "unknown")).alias("wrong"),
+                 F.round(F.count_if(p == F.col("lang")) / F.count(F.lit(1)), 6).alias("accuracy"))
+
+
+def rule_scorer(prompt: str) -> str:
+    """A deterministic stand-in for a remote model, keyed on the prompt length."""
+    import json
+
+    from ..operators.score import ScorerApiError
+    n = len(prompt)
+    if n % 23 == 0:
+        raise ScorerApiError("ThrottlingException: rate exceeded")
+    if n % 29 == 0:
+        raise ValueError("connection reset")
+    return json.dumps({"predicted_type": S.OFFERED_TYPES[n % 10], "confidence_score": (n % 101) / 100,
+                       "reasoning": f"length {n}"})
+
+
+PROMPT_FIXED_CHARS = len(S.PROMPT_HEAD + ", ".join(S.OFFERED_TYPES) + S.PROMPT_MIDDLE + S.PROMPT_TAIL)
+TYPE_BY_N = fx._case_list("n % 10", S.OFFERED_TYPES)
+
+
+@register("classify_callable", f"""
+SELECT request_key,
+  CASE WHEN n % 23 = 0 THEN 'api' WHEN n % 29 = 0 THEN 'batch' ELSE 'ok' END AS stage,
+  CASE WHEN n % 23 <> 0 AND n % 29 = 0 THEN 'error' ELSE 'success' END AS status,
+  CASE WHEN n % 23 = 0 OR n % 29 = 0 THEN 'unknown' ELSE {TYPE_BY_N} END AS predicted_type,
+  CASE WHEN n % 23 = 0 OR n % 29 = 0 THEN CAST(0.0 AS DOUBLE) ELSE CAST(n % 101 AS DOUBLE) / 100 END
+    AS primary_score,
+  CASE WHEN n % 23 = 0 THEN 'Classification failed due to API error: ThrottlingException: rate exceeded'
+       WHEN n % 29 = 0 THEN 'Batch processing failed: connection reset'
+       ELSE 'length ' || CAST(n AS VARCHAR) END AS reasoning
+FROM (SELECT request_key, {PROMPT_FIXED_CHARS} + length(substring(document_content, 1, 3000)) AS n FROM {REQ})""")
+def q_classify_callable(spark, d):
+    from ..operators.score import function_scorer
+    res = classify(fx.requests_fx(spark, d), function_scorer(rule_scorer, partitions=8), model=MODEL_ID)
+    return res.select("request_key", "stage", "status", "predicted_type", "primary_score", "reasoning")
+
+
+# ===========================================================================
+# Sources and sinks through files
+# ===========================================================================
+
+@register("file_list_csv", f"""
+SELECT document_id, source_type, source,
+  CASE WHEN source_type = 's3' THEN split_part(substring(source, 6), '/', 1) END AS bucket,
+  CASE WHEN source_type = 's3' THEN lang || '/doc_' || CAST(doc_id AS VARCHAR) || '.' || ext END AS key,
+  CASE WHEN source_type = 'local' THEN source END AS file_path FROM {REQ}""")
+def q_file_list_csv(spark, d):
+    path = scratch_dir(spark, "file-list-csv")
+    u = P.parse_s3_uri("source")
+    s3 = F.col("source_type") == "s3"
+    (fx.requests_fx(spark, d).select(
+        "document_id", "source_type", "source", F.when(s3, u.bucket).alias("bucket"),
+        F.when(s3, u.key).alias("key"),
+        F.when(F.col("source_type") == "local", F.col("source")).alias("file_path"))
+     .write.option("header", "true").csv(path))
+    return D.read_file_list_csv(spark, path).select("document_id", "source_type", "source", "bucket", "key",
+                                                    "file_path")
+
+
+@register("file_list_json", f"""
+SELECT document_id, source_type, source, CAST(n_chars AS BIGINT) AS size FROM {REQ}""")
+def q_file_list_json(spark, d):
+    path = scratch_dir(spark, "file-list-json")
+    rec = F.to_json(F.struct("document_id", "source_type", "source", F.col("n_chars").alias("size")))
+    grp = (F.col("doc_id") / 500).cast("bigint")
+    arrays = (fx.requests_fx(spark, d).select(grp.alias("grp"), F.col("doc_id"), rec.alias("j"))
+              .groupBy("grp").agg(F.concat(F.lit("["), F.array_join(
+                  F.transform(F.array_sort(F.collect_list(F.struct("doc_id", "j"))), lambda x: x["j"]), ","),
+                  F.lit("]")).alias("value")))
+    arrays.repartition("grp").write.partitionBy("grp").text(path)
+    return D.read_file_list_json(spark, path).select("document_id", "source_type", "source", "size")
+
+
+@register("file_list_text", f"""
+SELECT document_id, source, source_type,
+  CASE WHEN source_type = 's3' THEN split_part(substring(source, 6), '/', 1) END AS bucket,
+  CASE WHEN source_type = 's3' THEN lang || '/doc_' || CAST(doc_id AS VARCHAR) || '.' || ext END AS key,
+  CASE WHEN source_type = 'local' THEN source END AS file_path
+FROM {REQ} WHERE source_type IN ('s3', 'local') AND NOT (source_type = 's3' AND doc_id % 17 = 0)""")
+def q_file_list_text(spark, d):
+    path = scratch_dir(spark, "file-list-text")
+    t = F.col("source_type")
+    line = (F.when((t == "s3") & (F.col("doc_id") % 17 == 0), F.lit("s3://onlybucket"))
+            .when(t == "s3", F.col("source"))
+            .when(t == "local", F.concat(F.lit("  "), F.col("source"), F.lit(" \t")))
+            .when(F.col("doc_id") % 2 == 0, F.concat(F.lit("# skipped "), F.col("document_id")))
+            .otherwise(F.lit("   ")))
+    fx.requests_fx(spark, d).select(line.alias("value")).write.text(path)
+    return D.read_file_list_text(spark, path).select("document_id", "source", "source_type", "bucket", "key",
+                                                     "file_path")
+
+
+@register("results_roundtrip", f"""
+SELECT document_id, source, status, document_type, confidence,
+  CASE WHEN status = 'success' AND confidence >= 0.7 THEN 0 WHEN status = 'success' THEN 1
+       WHEN status = 'error' THEN 2 END AS cli_exit_code,
+  CASE WHEN status <> 'success' THEN error END AS error FROM {RES}""")
+def q_results_roundtrip(spark, d):
+    path = scratch_dir(spark, "results-json")
+    W.write_results_json(W.batch_records(fx.results_fx(spark, d)), path)
+    back = D.read_results(spark, path)
+    return back.select("document_id", "source", "status", F.col("classification.document_type").alias("document_type"),
+                       F.col("classification.confidence").alias("confidence"), "cli_exit_code", "error")
+
+
+@register("records_by_hour", f"""
+SELECT strftime(timestamp, '%Y') AS year, strftime(timestamp, '%m') AS month, strftime(timestamp, '%d') AS day,
+  strftime(timestamp, '%H') AS hour, CAST(count(*) AS BIGINT) AS n FROM {RES} GROUP BY 1, 2, 3, 4""")
+def q_records_by_hour(spark, d):
+    path = scratch_dir(spark, "records-by-hour")
+    W.write_by_hour(W.batch_records(fx.results_fx(spark, d)).withColumn(
+        "ts", F.to_timestamp("timestamp")), path, ts="ts")
+    back = spark.read.schema("document_id string, year string, month string, day string, hour string").json(path)
+    return back.groupBy("year", "month", "day", "hour").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("retry_list_file", f"""
+SELECT source AS value FROM {RES} WHERE status <> 'success'""")
+def q_retry_list_file(spark, d):
+    path = scratch_dir(spark, "retry-list")
+    W.write_retry_list(R.retry_list(fx.results_fx(spark, d)), path)
+    return spark.read.text(path)
+
+
+def _documents_as_files(spark, d) -> str:
+    """Write every document as text files grouped by language (derived input for listings)."""
+    path = scratch_dir(spark, "documents-files")
+    (spark.read.parquet(f"{d}/documents.parquet").select("lang", "text")
+     .repartition(4, "lang").write.partitionBy("lang").text(path))
+    return path
+
+
+@register("scan_directory")
+def q_scan_directory(spark, d):
+    path = _documents_as_files(spark, d)
+    return D.list_directory(spark, path, pattern="*.txt").select("document_id", "source_type", "size")
+
+
+@register("scan_store")
+def q_scan_store(spark, d):
+    path = _documents_as_files(spark, d)
+    return D.list_store(spark, path, prefix="lang=en/", pattern="*.txt", bucket="docs").select(
+        "document_id", "source", "key", "size")
+
+
+@register("decode_text")
+def q_decode_text(spark, d):
+    path = _documents_as_files(spark, d)
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    out = X.decode_text(files.select("path", "content"))
+    return out.select("path", F.length("text").alias("chars"), "extraction_error")
+
+
+@register("extract_docx")
+def q_extract_docx(spark, d):
+    docs = spark.read.parquet(f"{d}/documents.parquet").select("doc_id", fx.make_docx("text").alias("content"))
+    x = docs.withColumn("__x", X.extract_docx("content"))
+    return x.select("doc_id", F.length("__x.text").alias("chars"), F.col("__x.error").alias("error"))
+
+
+# ===========================================================================
+# Streaming
+# ===========================================================================
+
+def _write_messages(spark, d) -> str:
+    path = scratch_dir(spark, "messages")
+    body = F.to_json(F.struct(F.col("source").alias("document_uri"), "document_id", "document_content"))
+    fx.requests_fx(spark, d).select(body.alias("body")).repartition(4).write.json(path)
+    return path
+
+
+@register("stream_classify", f"""
+SELECT request_key, document_id, exp_status AS status, exp_stage AS stage, exp_type AS predicted_type,
+       exp_score AS primary_score FROM {EXPECTED}""")
+def q_stream_classify(spark, d):
+    from ..streaming.queue import classify_stream, read_messages, write_stream
+    src = _write_messages(spark, d)
+    out, ckpt = scratch_dir(spark, "stream-out"), scratch_dir(spark, "stream-ckpt")
+    msgs = read_messages(spark, src, max_files_per_trigger=2)
+    q = write_stream(classify_stream(msgs, recorded_scorer(fx.answers_fx(spark, d)), model=MODEL_ID)
+                     .drop("timestamp"), out, ckpt)
+    q.awaitTermination()
+    return spark.read.parquet(out).select("request_key", "document_id", "status", "stage", "predicted_type",
+                                          "primary_score")
+
+
+@register("stream_batch_counts")
+def q_stream_batch_counts(spark, d):
+    from ..streaming.queue import batch_counts_writer, classify_stream, read_messages
+    src = _write_messages(spark, d)
+    out, ckpt = scratch_dir(spark, "stream-counts"), scratch_dir(spark, "stream-counts-ckpt")
+    msgs = read_messages(spark, src, max_files_per_trigger=1)
+    res = classify_stream(msgs, recorded_scorer(fx.answers_fx(spark, d)), model=MODEL_ID)
+    q = (res.writeStream.foreachBatch(batch_counts_writer(out)).option("checkpointLocation", ckpt)
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    return spark.read.parquet(out)

@@ -115,3 +115,33 @@ def metadata_rows(df: DataFrame, model: str, threshold: float = 0.7, keep: list[
         F.when(F.col("status") == "success", F.lit("completed")).otherwise(F.col("status")).alias("status"),
         *(keep or []),
     )
+
+
+def batch_records(df: DataFrame) -> DataFrame:
+    """Batch result records: the flat classification only on successes (B1 content).
+
+    ``cli_exit_code`` is the accept code (0/1) on success, 2 on error, NULL on timeout.
+    """
+    from ..functions.confidence import accept_code, is_high_confidence, needs_review
+    ok = F.col("status") == "success"
+    flat = F.struct(
+        F.col("document_id"),
+        F.col("document_type"),
+        F.col("confidence"),
+        confidence_level("confidence").alias("confidence_level"),
+        is_high_confidence("confidence").alias("high_confidence"),
+        needs_review("confidence").alias("needs_review"),
+        (F.col("reasoning") if "reasoning" in df.columns else F.lit(None).cast("string")).alias("reasoning"),
+        F.col("processing_time_ms").cast("bigint").alias("processing_time_ms"),
+        F.lit(False).alias("extraction_failed"),
+    )
+    code = (F.when(ok, accept_code("confidence")).when(F.col("status") == "error", F.lit(2))
+            .cast("bigint"))
+    return df.select(
+        "document_id", "source", "status",
+        F.when(ok, flat).alias("classification"),
+        F.when(~ok, F.col("error")).alias("error"),
+        F.col("processing_time_ms").cast("double").alias("processing_time_ms"),
+        code.alias("cli_exit_code"),
+        iso_timestamp("timestamp").alias("timestamp"),
+    )
