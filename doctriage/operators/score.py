@@ -147,90 +147,116 @@ def classify(requests: DataFrame, scorer: Callable[[DataFrame], DataFrame], mode
 # ---------------------------------------------------------------------------
 
 TOKEN_PATTERN = "[a-z]+"
-MAX_INLINE_TERMS = 100_000
+MAX_REGEX_TERMS = 256          # one JVM regex pass over the text
+MAX_BROADCAST_TERMS = 2_000_000  # lexicon rows that may be broadcast (checked by count)
 
 
-def lexicon_score(docs: DataFrame, lexicon: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+def _lexicon_rows(lexicon, type_col, term_col, weight_col):
+    """(type, term, weight) rows of a small lexicon: a list as given, or a counted DataFrame."""
+    if isinstance(lexicon, DataFrame):
+        return None
+    return [(str(t), str(term), float(w)) for t, term, w in lexicon]
+
+
+def lexicon_score(docs: DataFrame, lexicon, id_col: str = "doc_id", text_col: str = "text",
                   type_col: str = "document_type", term_col: str = "term", weight_col: str = "weight",
-                  max_inline_terms: int = MAX_INLINE_TERMS) -> DataFrame:
-    """Best type per document from weighted term evidence.
-
-    score = evidence of the best type / all evidence; ties go to the larger type
-    name; no evidence gives ``unknown`` and 0.0; ``key_terms`` are the matched
-    lexicon terms (distinct, in text order).
-
-    Plan: the lexicon is a dimension.  When its row count is within
-    ``max_inline_terms`` (checked with a count, not assumed) it is collected into a
-    literal map and each document is scored by higher-order functions over its own
-    token array: narrow, no shuffle, whole texts.  Larger lexicons go through
-    :func:`lexicon_score_join` (shuffle join on the term, map-side pre-aggregated).
+                  max_regex_terms: int = MAX_REGEX_TERMS) -> DataFrame:
+    """Best type per document from weighted term evidence (K3).
+
+    Tokens are maximal ``[a-z]+`` runs of the lower-cased text.  score = evidence
+    of the best type / all evidence; ties go to the larger type name; no evidence
+    gives ``unknown`` and 0.0; ``key_terms`` are the matched lexicon terms
+    (distinct, in text order).
+
+    ``lexicon`` is a list of (type, term, weight) or a DataFrame.  Plan choice by
+    the lexicon's checked size: up to ``max_regex_terms`` terms, one regular
+    expression finds every lexicon term that is a whole token (JVM, codegen, no
+    shuffle, whole texts) and per-type sums run over the matched terms only.
+    Larger lexicons use :func:`lexicon_score_join`.
     """
-    n_terms = lexicon.count()
-    if n_terms > max_inline_terms:
-        return lexicon_score_join(docs, lexicon, id_col, text_col, type_col, term_col, weight_col)
-    rows = (lexicon.groupBy(term_col)
-            .agg(F.collect_list(F.struct(F.col(type_col).alias("t"),
-                                         F.col(weight_col).cast("double").alias("w"))).alias("e"))
-            .collect())
-    types = sorted({r_e["t"] for r in rows for r_e in r["e"]})
-    if not rows:
-        lex = F.create_map().cast("map<string,array<struct<t:string,w:double>>>")
-    else:
-        lex = F.map_from_arrays(
-            F.array(*[F.lit(r[term_col]) for r in rows]),
-            F.array(*[F.array(*[F.struct(F.lit(e["t"]).alias("t"), F.lit(float(e["w"])).alias("w"))
-                                 for e in r["e"]]) for r in rows]))
-    tokens = F.regexp_extract_all(F.lower(F.col(text_col)), F.lit(TOKEN_PATTERN), 0)
-    hits = F.filter(tokens, lambda x: F.map_contains_key(lex, x))
-    entries = F.flatten(F.transform(hits, lambda x: F.element_at(lex, x)))
-    per_type = F.array(*[
-        F.struct(F.aggregate(F.filter(F.col("__entries"), _type_is(t)),
-                             F.lit(0.0), lambda acc, e: acc + e["w"]).alias("w"),
-                 F.lit(t).alias("t"))
-        for t in types]) if types else F.array().cast("array<struct<w:double,t:string>>")
+    rows = _lexicon_rows(lexicon, type_col, term_col, weight_col)
+    if rows is None:
+        n_terms = lexicon.count()
+        if n_terms > max_regex_terms:
+            return lexicon_score_join(docs, lexicon, id_col, text_col, type_col, term_col, weight_col, n_terms)
+        rows = [(r[0], r[1], float(r[2])) for r in
+                lexicon.select(type_col, term_col, weight_col).collect()]  # bounded by max_regex_terms
+    elif len(rows) > max_regex_terms:
+        lex_df = docs.sparkSession.createDataFrame(
+            rows, f"{type_col} string, {term_col} string, {weight_col} double")
+        return lexicon_score_join(docs, lex_df, id_col, text_col, type_col, term_col, weight_col, len(rows))
+    import re
+    weights: dict[str, list[tuple[str, float]]] = {}
+    for t, term, w in rows:
+        if re.fullmatch(TOKEN_PATTERN, term):  # other terms can never equal a token
+            weights.setdefault(term, []).append((t, w))
+    types = sorted({t for t, _, _ in rows})
+    if not weights:
+        return docs.withColumns({"predicted_type": F.lit("unknown"), "primary_score": F.lit(0.0),
+                                 "evidence": F.lit(0.0), "key_terms": F.array().cast("array<string>")})
+    alternation = "|".join(sorted(weights, key=lambda s: (-len(s), s)))
+    hits = F.regexp_extract_all(F.lower(F.col(text_col)), F.lit(f"(?<![a-z])({alternation})(?![a-z])"), 1)
+    by_type: dict[str, dict[float, list[str]]] = {}
+    for term, tw in weights.items():
+        for t, w in tw:
+            by_type.setdefault(t, {}).setdefault(w, []).append(term)
+
+    def evidence(t):
+        parts = [F.size(F.filter(F.col("__hits"), _term_in(terms))) * F.lit(w)
+                 for w, terms in by_type.get(t, {}).items()]
+        return sum(parts[1:], parts[0]) if parts else F.lit(0.0)
+
+    per_type = F.array(*[F.struct(evidence(t).cast("double").alias("w"), F.lit(t).alias("t")) for t in types])
     scored = (docs.withColumn("__hits", hits)
-              .withColumn("__entries", entries)
               .withColumn("__per_type", per_type)
-              .withColumn("__total", F.aggregate(F.col("__entries"), F.lit(0.0), lambda a, e: a + e["w"]))
-              .withColumn("__best", F.array_max(F.filter(F.col("__per_type"), lambda s: s["w"] > 0))))
+              .withColumn("__total", F.aggregate(F.col("__per_type"), F.lit(0.0), lambda a, e: a + e["w"]))
+              .withColumn("__best", F.array_max(F.filter(F.col("__per_type"), lambda e: e["w"] > 0))))
     has = F.col("__total") > 0
     return (scored.withColumns({
         "predicted_type": F.when(has, F.col("__best.t")).otherwise(F.lit("unknown")),
         "primary_score": F.when(has, F.col("__best.w") / F.col("__total")).otherwise(F.lit(0.0)),
         "evidence": F.col("__total"),
         "key_terms": F.array_distinct(F.col("__hits")),
-    }).drop("__hits", "__entries", "__per_type", "__total", "__best"))
+    }).drop("__hits", "__per_type", "__total", "__best"))
 
 
-def _type_is(t: str):
+def _term_in(terms: list[str]):
     """One-argument predicate (a lambda with a default would be read as ``(x, index)``)."""
-    def pred(e):
-        return e["t"] == F.lit(t)
+    def pred(x):
+        return x.isin(terms)
     return pred
 
 
 def lexicon_score_join(docs: DataFrame, lexicon: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                        type_col: str = "document_type", term_col: str = "term",
-                       weight_col: str = "weight") -> DataFrame:
-    """Same result as :func:`lexicon_score` for lexicons too large to inline.
-
-    Tokens are counted per (document, term) map-side first, so the shuffle carries
-    distinct terms per document, not every token; the join on term is a shuffle
-    join whose hot terms AQE's skew handling splits.  Documents keep all their
-    other columns by joining the per-document result back on ``id_col``.
+                       weight_col: str = "weight", n_terms: int | None = None) -> DataFrame:
+    """Same result as :func:`lexicon_score` for large lexicons.
+
+    Tokens are exploded and joined to the lexicon: a broadcast hash join when the
+    counted lexicon fits ``MAX_BROADCAST_TERMS`` (non-lexicon tokens are dropped in
+    the scan stage, nothing shuffled), else a shuffle join on the term with tokens
+    pre-counted per (document, term) so hot terms arrive as one row per document
+    (AQE splits any remaining skew).  Evidence is then aggregated per (document,
+    type) and per document with partial aggregation; the per-document result is
+    joined back to the documents *without* their text.  ``key_terms`` come out
+    sorted here (the regex path keeps text order).
     """
-    tok = (docs.select(id_col, F.explode(F.regexp_extract_all(F.lower(F.col(text_col)),
-                                                             F.lit(TOKEN_PATTERN), 0)).alias(term_col))
-           .groupBy(id_col, term_col).agg(F.count(F.lit(1)).alias("__n")))
+    n_terms = lexicon.count() if n_terms is None else n_terms
     lex = lexicon.select(F.col(term_col), F.col(type_col).alias("__t"), F.col(weight_col).cast("double").alias("__w"))
-    ev = (tok.join(lex, term_col)
-          .groupBy(id_col, "__t").agg(F.sum(F.col("__n") * F.col("__w")).alias("__s")))
-    per_doc = (ev.where(F.col("__s") > 0).groupBy(id_col).agg(
-        F.max(F.struct(F.col("__s").alias("w"), F.col("__t").alias("t"))).alias("__best"),
-        F.sum("__s").alias("__total")))
-    terms = (tok.join(lex.select(term_col).distinct(), term_col, "left_semi")
-             .groupBy(id_col).agg(F.collect_set(term_col).alias("key_terms")))
-    out = docs.join(per_doc, id_col, "left").join(terms, id_col, "left")
+    tokens = docs.select(id_col, F.explode(F.regexp_extract_all(F.lower(F.col(text_col)),
+                                                                F.lit(TOKEN_PATTERN), 0)).alias(term_col))
+    if n_terms <= MAX_BROADCAST_TERMS:
+        matched = tokens.join(F.broadcast(lex), term_col).withColumn("__n", F.lit(1))
+    else:
+        counted = tokens.groupBy(id_col, term_col).agg(F.count(F.lit(1)).alias("__n"))
+        matched = counted.join(lex, term_col)
+    ev = matched.groupBy(id_col, "__t").agg(F.sum(F.col("__n") * F.col("__w")).alias("__s"),
+                                             F.collect_set(term_col).alias("__terms"))
+    per_doc = ev.groupBy(id_col).agg(
+        F.max(F.when(F.col("__s") > 0, F.struct(F.col("__s").alias("w"), F.col("__t").alias("t")))).alias("__best"),
+        F.sum("__s").alias("__total"),
+        F.array_sort(F.array_distinct(F.flatten(F.collect_list("__terms")))).alias("key_terms"))
+    out = docs.drop(text_col).join(per_doc, id_col, "left")
     has = F.coalesce(F.col("__total"), F.lit(0.0)) > 0
     return (out.withColumns({
         "predicted_type": F.when(has, F.col("__best.t")).otherwise(F.lit("unknown")),

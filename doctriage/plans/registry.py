@@ -810,7 +810,7 @@ scored AS (
 
 def _lexicon_scored(spark, d):
     docs = spark.read.parquet(f"{d}/documents.parquet").select("doc_id", "lang", "text")
-    return lexicon_score(docs, fx.lexicon_fx(spark))
+    return lexicon_score(docs, fx.LEXICON_ROWS)
 
 
 @register("lexicon_score", LEXICON_SQL + """
