@@ -30,8 +30,8 @@ def parse_s3_uri(uri) -> Column:
 
 
 def file_name(path) -> Column:
-    """Last path component, trailing slashes ignored."""
-    return F.regexp_extract(_c(path), r"([^/]*)/*$", 1)
+    """Last path component; trailing slashes and ``.`` components are ignored (as pathlib does)."""
+    return F.regexp_extract(F.regexp_replace(_c(path), r"(/+\.?)+$", ""), r"([^/]*)$", 1)
 
 
 def path_stem(path) -> Column:

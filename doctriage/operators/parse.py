@@ -43,7 +43,9 @@ def parse_response(df: DataFrame, response_col: str = "response_text",
     ans = "__answer"
     out = df.withColumn(ans, extract_answer(F.col(response_col)))
     a = F.col(ans)
-    range_bad = (a.kind == "ok") & ~score_in_range(a.score)
+    # float() never yields None, so a NULL score on an ``ok`` answer is a NaN that
+    # Arrow turned into a null: out of range like any other NaN.
+    range_bad = (a.kind == "ok") & ~F.coalesce(score_in_range(a.score), F.lit(False))
     parsed_stage = F.when(range_bad, F.lit("parse")).otherwise(a.kind)
     parsed_error = F.when(range_bad, F.lit(SCORE_RANGE_MESSAGE)).otherwise(a.error)
     if stage_col is not None:

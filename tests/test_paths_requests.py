@@ -1,0 +1,82 @@
+"""Paths, URIs, patterns (D1, D2, D23) and requests."""
+
+import fnmatch
+import json
+from pathlib import PurePosixPath
+
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from doctriage.functions import paths as P
+from doctriage.operators import requests as RQ
+
+STEM_CASES = ["a/x.pdf", "x.tar.gz", ".bashrc", "a.", "a..b", "..b", "dir/sub/", "noext", "s3key/with.dots/f.TXT"]
+
+
+def test_stem_matches_pathlib(spark):
+    df = spark.createDataFrame([(p,) for p in STEM_CASES], "p string")
+    got = [r[0] for r in df.select(P.path_stem("p")).collect()]
+    assert got == [PurePosixPath(p).stem for p in STEM_CASES]
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.text(alphabet="ab.", min_size=1, max_size=5), min_size=1, max_size=3))
+def test_stem_property(spark, parts):
+    p = "/".join(parts)
+    if PurePosixPath(p).name in ("", ".", ".."):
+        return
+    got = spark.createDataFrame([(p,)], "p string").select(P.path_stem("p")).first()[0]
+    assert got == PurePosixPath(p).stem
+
+
+def test_parse_s3_uri(spark):
+    rows = [("s3://b/k/x.pdf",), ("s3://b/",), ("s3://onlybucket",), ("/local/x",)]
+    out = [tuple(r[0]) for r in spark.createDataFrame(rows, "u string").select(P.parse_s3_uri("u")).collect()]
+    assert out[0] == ("b", "k/x.pdf", None)
+    assert out[1] == ("b", "", None)
+    assert out[2] == (None, None, "Invalid S3 URI format: s3://onlybucket")
+    assert out[3] == (None, None, "Invalid S3 URI: /local/x")
+
+
+def test_glob_translation_agrees_with_fnmatch(spark):
+    names = ["a.pdf", "b.PDF", "doc_1.md", "doc_12.md", "x[1].txt", "ab", "a?c"]
+    pats = ["*.pdf", "doc_1*.md", "?b", "[ab]*", "[!a]*", "*"]
+    df = spark.createDataFrame([(n,) for n in names], "n string")
+    for pat in pats:
+        got = [r[0] for r in df.where(P.name_glob_match("n", pat)).collect()]
+        assert got == [n for n in names if fnmatch.fnmatchcase(n, pat)], pat
+
+
+def test_store_pattern_is_suffix(spark):
+    df = spark.createDataFrame([("k/a.pdf",), ("k/a.pdf.bak",), ("k/b.PDF",)], "k string")
+    assert [r[0] for r in df.where(P.key_pattern_match("k", "*.pdf")).collect()] == ["k/a.pdf"]
+
+
+def test_requests_from_text_and_validation(spark):
+    df = spark.createDataFrame([("hello", None), ("x", "id1")], "text string, id string")
+    out = RQ.requests_from_text(df, "text", "id").collect()
+    assert [(r.document_id, r.document_uri) for r in out] == [("text-input", "direct://text-input"),
+                                                             ("id1", "direct://text-input")]
+    bad = spark.createDataFrame([("", "s3://b/k"), ("a", ""), ("a", "u")], "document_id string, document_uri string")
+    errs = [r.request_error for r in RQ.validate_requests(bad).collect()]
+    assert errs == ["Document ID is required", "Document URI is required", None]
+
+
+def test_request_json_round_trip(spark):
+    rec = {"document_id": "test-doc-1", "document_uri": "s3://test-bucket/test-doc.pdf",
+           "document_content": "Test content", "document_metadata": {"size": 1024},
+           "classification_config": {"threshold": 0.8}, "requester_id": "user123"}
+    df = spark.createDataFrame([(json.dumps(rec),), ("{}",)], "value string")
+    parsed = RQ.request_from_json(df)
+    rows = parsed.collect()
+    assert rows[0].document_id == "test-doc-1" and json.loads(rows[0].document_metadata) == {"size": 1024}
+    assert (rows[1].document_id, rows[1].document_uri, rows[1].document_metadata) == ("", "", "{}")
+    back = json.loads(RQ.request_to_json(parsed).first().request_json)
+    assert back == rec
+
+
+def test_dispatch_unknown_kind_is_error_row(spark):
+    df = spark.createDataFrame([("s3",), ("ftp",), (None,)], "source_type string")
+    out = [(r.route, r.dispatch_error) for r in RQ.dispatch_sources(df).collect()]
+    assert out == [("s3", None), (None, "Unsupported source type: ftp"), (None, "Unsupported source type: None")]
