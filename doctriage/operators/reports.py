@@ -16,6 +16,14 @@ from pyspark.sql import functions as F
 from ..functions.confidence import _ge
 
 
+MAX_BROADCAST_ROWS = 100_000
+
+
+def broadcast_if_small(dim: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """Broadcast hint only for a dimension whose row count is checked to be small."""
+    return F.broadcast(dim) if dim.limit(max_rows + 1).count() <= max_rows else dim
+
+
 def _success(status: str = "status") -> Column:
     return F.col(status) == "success"
 
@@ -164,7 +172,7 @@ def cost_estimate(df: DataFrame, prices: DataFrame, status: str = "status", mode
     """
     per = df.groupBy(model).agg(F.count_if(_success(status)).alias("documents"))
     per = per.withColumn("estimated_tokens", F.col("documents") * F.lit(tokens_per_doc))
-    j = per.join(F.broadcast(prices), model, "left")
+    j = per.join(broadcast_if_small(prices), model, "left")
     return j.withColumn("estimated_cost", F.col("estimated_tokens") / 1000.0 * F.col("price_per_1k"))
 
 

@@ -77,17 +77,16 @@ def function_scorer(fn: Callable[[str], str], timeout_s: float = 300.0,
 
     With ``client_factory``, ``fn`` is called as ``fn(prompt, client)`` and the
     client is built once per partition.  ``partitions`` bounds concurrency the way
-    the reference's worker count did (``repartition`` by the request key, so one
-    hot source cannot pile into a single task).  Exceptions are isolated per row:
+    the reference's worker count did (round-robin ``repartition``).  Exceptions are isolated per row:
     :class:`ScorerApiError` -> ``api``, anything else -> ``batch``; a call longer
     than ``timeout_s`` -> ``timeout``.
     """
 
     def score(df: DataFrame) -> DataFrame:
-        src = df
-        if partitions:
-            by = "request_key" if "request_key" in df.columns else None
-            src = df.repartition(partitions, by) if by else df.repartition(partitions)
+        # Round-robin, not by key: duplicated keys (a source listed many times)
+        # must not pile into one task.  Spark sorts before a round-robin
+        # repartition, so a retried task sees the same rows.
+        src = df.repartition(partitions) if partitions else df
         schema = T.StructType(src.schema.fields + CALL_FIELDS)
 
         def per_partition(batches):
@@ -264,3 +263,29 @@ def lexicon_score_join(docs: DataFrame, lexicon: DataFrame, id_col: str = "doc_i
         "evidence": F.coalesce(F.col("__total"), F.lit(0.0)),
         "key_terms": F.coalesce(F.col("key_terms"), F.array().cast("array<string>")),
     }).drop("__best", "__total"))
+
+
+def classify_to_table(requests: DataFrame, scorer: Callable[[DataFrame], DataFrame], table_path: str,
+                      model: str | None = None, threshold: float = DEFAULT_THRESHOLD, chunks: int = 1,
+                      **kwargs) -> DataFrame:
+    """Classify only requests not yet in ``table_path`` and append them; return the table.
+
+    Billing-safe re-runs: requests whose ``request_key`` is already stored are
+    removed with a left anti join, so a re-run after a failure never calls the
+    scorer again for finished rows.  Each chunk (a hash bucket of the key) is its
+    own append job, so a failure loses at most one chunk of work; within a job,
+    Spark's commit protocol keeps retried or speculative task attempts from
+    writing twice.  Speculation should stay off for jobs with a paid scorer.
+    """
+    spark = requests.sparkSession
+    from pyspark.errors import AnalysisException
+    try:
+        done = spark.read.parquet(table_path).select("request_key")
+        todo = requests.join(done, "request_key", "left_anti")
+    except AnalysisException:  # no table yet
+        todo = requests
+    for i in range(chunks):
+        part = todo if chunks == 1 else todo.where(F.pmod(F.xxhash64("request_key"), F.lit(chunks)) == i)
+        res = classify(part, scorer, model=model, threshold=threshold, **kwargs)
+        res.write.mode("append").parquet(table_path)
+    return spark.read.parquet(table_path)

@@ -1030,3 +1030,17 @@ def q_stream_batch_counts(spark, d):
          .trigger(availableNow=True).start())
     q.awaitTermination()
     return spark.read.parquet(out)
+
+
+@register("classify_incremental", f"""
+SELECT request_key, document_id, exp_status AS status, exp_stage AS stage, exp_type AS predicted_type,
+       exp_score AS primary_score FROM {EXPECTED}""")
+def q_classify_incremental(spark, d):
+    """Two runs into one table: the second scores only what the first did not (K5 re-run safety)."""
+    from ..operators.score import classify_to_table
+    table = scratch_dir(spark, "scored-table")
+    req = fx.requests_fx(spark, d)
+    scorer = recorded_scorer(fx.answers_fx(spark, d))
+    classify_to_table(req.where(F.col("doc_id") % 3 == 0), scorer, table, model=MODEL_ID)
+    out = classify_to_table(req, scorer, table, model=MODEL_ID, chunks=2)
+    return out.select("request_key", "document_id", "status", "stage", "predicted_type", "primary_score")

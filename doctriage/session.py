@@ -55,3 +55,15 @@ def scratch_dir(spark: SparkSession, name: str | None = None) -> str:
         spark.sparkContext.setCheckpointDir(base)
     sub = f"{name or 'scratch'}-{uuid.uuid4().hex[:12]}"
     return base.rstrip("/") + "/" + sub
+
+
+def materialize(df, name: str = "stage", fmt: str = "parquet"):
+    """Write ``df`` under the shared checkpoint folder and read it back.
+
+    Cuts the lineage (a lost executor later recomputes from these files, not from
+    the scorer) and is how reports reuse scored rows without re-scoring.
+    """
+    spark = df.sparkSession
+    path = scratch_dir(spark, name)
+    df.write.mode("overwrite").format(fmt).save(path)
+    return spark.read.format(fmt).load(path)

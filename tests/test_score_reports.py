@@ -106,3 +106,21 @@ def test_distribution_and_cost(spark):
     cost = R.cost_estimate(df, model_prices(spark)).first()
     assert (cost.documents, cost.estimated_tokens) == (5, 5000) and abs(cost.estimated_cost - 0.0075) < 1e-12
     assert R.retry_list(df.withColumn("source", F.lit("s"))).count() == 2
+
+
+def test_classify_to_table_is_rerun_safe(spark, tmp_path):
+    from doctriage.operators.score import classify_to_table
+    calls = spark.sparkContext.accumulator(0)
+
+    def fn(prompt):
+        calls.add(1)
+        return '{"predicted_type": "memo", "confidence_score": 0.6}'
+
+    req = _requests(spark, 30)
+    table = str(tmp_path / "scored")
+    first = classify_to_table(req.where("document_id < 'doc_2'"), function_scorer(fn), table, chunks=3)
+    n_first = first.count()
+    out = classify_to_table(req, function_scorer(fn), table, chunks=3)
+    assert out.count() == 30 and out.select("request_key").distinct().count() == 30
+    assert calls.value == 30  # every request scored exactly once over both runs
+    assert n_first < 30
