@@ -965,29 +965,47 @@ def _documents_as_files(spark, d) -> str:
     return path
 
 
-@register("scan_directory")
+LANG_OF_PATH = r"lang=([^/]+)/"
+
+
+@register("scan_directory", """
+SELECT lang, CAST(sum(octet_length(encode(text)) + 1) AS BIGINT) AS bytes FROM documents GROUP BY lang""")
 def q_scan_directory(spark, d):
+    """Every document written as a line of a text file per language, listed back (A2)."""
     path = _documents_as_files(spark, d)
-    return D.list_directory(spark, path, pattern="*.txt").select("document_id", "source_type", "size")
+    files = D.list_directory(spark, path, pattern="*.txt")
+    return (files.groupBy(F.regexp_extract("file_path", LANG_OF_PATH, 1).alias("lang"))
+            .agg(F.sum("size").alias("bytes")))
 
 
-@register("scan_store")
+@register("scan_store", """
+SELECT 'docs' AS bucket, CAST(sum(octet_length(encode(text)) + 1) AS BIGINT) AS bytes FROM documents
+WHERE lang = 'en'""")
 def q_scan_store(spark, d):
+    """Object listing under a prefix with a suffix pattern (A1)."""
     path = _documents_as_files(spark, d)
-    return D.list_store(spark, path, prefix="lang=en/", pattern="*.txt", bucket="docs").select(
-        "document_id", "source", "key", "size")
+    objs = D.list_store(spark, path, prefix="lang=en/", pattern="*.txt", bucket="docs")
+    return objs.groupBy("bucket").agg(F.sum("size").alias("bytes"))
 
 
-@register("decode_text")
+@register("decode_text", """
+SELECT lang, CAST(sum(length(text) + 1) AS BIGINT) AS chars, CAST(0 AS BIGINT) AS errors FROM documents
+GROUP BY lang""")
 def q_decode_text(spark, d):
+    """Strict UTF-8 decoding of every file's bytes."""
     path = _documents_as_files(spark, d)
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
     out = X.decode_text(files.select("path", "content"))
-    return out.select("path", F.length("text").alias("chars"), "extraction_error")
+    return (out.groupBy(F.regexp_extract("path", LANG_OF_PATH, 1).alias("lang"))
+            .agg(F.sum(F.length("text")).alias("chars"),
+                 F.count_if(F.col("extraction_error").isNotNull()).alias("errors")))
 
 
-@register("extract_docx")
+@register("extract_docx", """
+SELECT doc_id, length(trim(text, chr(32) || chr(9) || chr(10) || chr(13) || chr(11) || chr(12))) AS chars,
+  CAST(NULL AS VARCHAR) AS error FROM documents""")
 def q_extract_docx(spark, d):
+    """DOCX built from each document's lines, then read back."""
     docs = spark.read.parquet(f"{d}/documents.parquet").select("doc_id", fx.make_docx("text").alias("content"))
     x = docs.withColumn("__x", X.extract_docx("content"))
     return x.select("doc_id", F.length("__x.text").alias("chars"), F.col("__x.error").alias("error"))
@@ -1019,7 +1037,9 @@ def q_stream_classify(spark, d):
                                           "primary_score")
 
 
-@register("stream_batch_counts")
+@register("stream_batch_counts", f"""
+SELECT CAST(count(*) AS BIGINT) AS processed, CAST(count_if(exp_status = 'success') AS BIGINT) AS succeeded,
+  TRUE AS several_batches FROM {EXPECTED}""")
 def q_stream_batch_counts(spark, d):
     from ..streaming.queue import batch_counts_writer, classify_stream, read_messages
     src = _write_messages(spark, d)
@@ -1029,7 +1049,9 @@ def q_stream_batch_counts(spark, d):
     q = (res.writeStream.foreachBatch(batch_counts_writer(out)).option("checkpointLocation", ckpt)
          .trigger(availableNow=True).start())
     q.awaitTermination()
-    return spark.read.parquet(out)
+    per_batch = spark.read.parquet(out)
+    return per_batch.agg(F.sum("processed").alias("processed"), F.sum("succeeded").alias("succeeded"),
+                         (F.countDistinct("batch_id") > 1).alias("several_batches"))
 
 
 @register("classify_incremental", f"""
