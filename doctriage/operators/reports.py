@@ -48,6 +48,37 @@ def batch_totals(df: DataFrame, status: str = "status") -> DataFrame:
     })
 
 
+def batch_summary(df: DataFrame, status: str = "status", type_col: str = "document_type",
+                  score: str = "confidence", ms: str = "processing_time_ms") -> DataFrame:
+    """F1-F4 in one scan: grouping sets ``()`` and ``(type)`` (type only on successes).
+
+    Rows with ``level = 'total'`` carry the batch totals, mean time and bands;
+    ``level = 'type'`` rows carry the per-type success counts (and their bands).
+    """
+    ok = _success(status)
+    c = F.coalesce(F.col(score), F.lit(0.0))
+    key = F.when(ok, F.coalesce(F.col(type_col), F.lit("unknown"))).alias("__type")
+    g = df.select(key, F.col(status).alias("__s"), c.alias("__c"), F.col(ms).alias("__ms")).groupingSets(
+        [[], ["__type"]], "__type")
+    s = F.col("__s")
+    out = g.agg(
+        F.grouping_id().alias("__gid"),
+        F.count(F.lit(1)).alias("n"),
+        F.count_if(s == "success").alias("successful"),
+        F.count_if(s == "error").alias("errors"),
+        F.count_if(s == "timeout").alias("timeouts"),
+        F.coalesce(F.avg("__ms"), F.lit(0.0)).alias("avg_time_ms"),
+        F.count_if((s == "success") & _ge(F.col("__c"), 0.8)).alias("high"),
+        F.count_if((s == "success") & ~_ge(F.col("__c"), 0.8) & _ge(F.col("__c"), 0.5)).alias("medium"),
+        F.count_if((s == "success") & ~_ge(F.col("__c"), 0.5)).alias("low"),
+    )
+    # the (type) set also forms a group for non-success rows (type NULL); drop it
+    out = out.where((F.col("__gid") == 1) | F.col("__type").isNotNull())
+    return out.select(F.when(F.col("__gid") == 1, F.lit("total")).otherwise(F.lit("type")).alias("level"),
+                      F.col("__type").alias("document_type"), "n", "successful", "errors", "timeouts",
+                      "avg_time_ms", "high", "medium", "low")
+
+
 def avg_time(df: DataFrame, ms: str = "processing_time_ms") -> DataFrame:
     """Mean time over rows that have one, all statuses; 0 when none (F2)."""
     return df.agg(F.coalesce(F.avg(ms), F.lit(0.0)).alias("avg_time_ms"))

@@ -925,12 +925,12 @@ def q_file_list_text(spark, d):
                                                      "file_path")
 
 
-@register("results_roundtrip", f"""
+@register("write_results_json", f"""
 SELECT document_id, source, status, document_type, confidence,
   CASE WHEN status = 'success' AND confidence >= 0.7 THEN 0 WHEN status = 'success' THEN 1
        WHEN status = 'error' THEN 2 END AS cli_exit_code,
   CASE WHEN status <> 'success' THEN error END AS error FROM {RES}""")
-def q_results_roundtrip(spark, d):
+def q_write_results_json(spark, d):
     path = scratch_dir(spark, "results-json")
     W.write_results_json(W.batch_records(fx.results_fx(spark, d)), path)
     back = D.read_results(spark, path)
@@ -1066,3 +1066,40 @@ def q_classify_incremental(spark, d):
     classify_to_table(req.where(F.col("doc_id") % 3 == 0), scorer, table, model=MODEL_ID)
     out = classify_to_table(req, scorer, table, model=MODEL_ID, chunks=2)
     return out.select("request_key", "document_id", "status", "stage", "predicted_type", "primary_score")
+
+
+@register("read_results", f"""
+SELECT document_id, status, cli_exit_code FROM (
+  SELECT document_id, status, CASE WHEN status = 'success' AND confidence >= 0.7 THEN 0
+    WHEN status = 'success' THEN 1 WHEN status = 'error' THEN 2 END AS cli_exit_code FROM {RES})""")
+def q_read_results(spark, d):
+    """Result files holding one JSON array each (the reference's saved form), read back."""
+    path = scratch_dir(spark, "results-arrays")
+    rec = W.batch_records(fx.results_fx(spark, d)).select(
+        (F.col("document_id").substr(5, 20).cast("bigint") / 1000).cast("bigint").alias("grp"),
+        F.col("document_id"), F.to_json(F.struct("*")).alias("j"))
+    arrays = rec.groupBy("grp").agg(F.concat(F.lit("["), F.array_join(F.transform(
+        F.array_sort(F.collect_list(F.struct("document_id", "j"))), lambda x: x["j"]), ","), F.lit("]"))
+        .alias("value"))
+    arrays.hint("rebalance", "grp").write.partitionBy("grp").text(path)
+    back = D.read_results(spark, path, multiline=True)
+    return back.select("document_id", "status", "cli_exit_code")
+
+
+@register("batch_summary", f"""
+SELECT 'total' AS level, CAST(NULL AS VARCHAR) AS document_type, CAST(count(*) AS BIGINT) AS n,
+  CAST(count_if(status = 'success') AS BIGINT) AS successful, CAST(count_if(status = 'error') AS BIGINT) AS errors,
+  CAST(count_if(status = 'timeout') AS BIGINT) AS timeouts, round(coalesce(avg(processing_time_ms), 0), 6) AS avg_time_ms,
+  CAST(count_if(status = 'success' AND coalesce(confidence, 0) >= 0.8) AS BIGINT) AS high,
+  CAST(count_if(status = 'success' AND coalesce(confidence, 0) >= 0.5 AND coalesce(confidence, 0) < 0.8) AS BIGINT)
+    AS medium,
+  CAST(count_if(status = 'success' AND coalesce(confidence, 0) < 0.5) AS BIGINT) AS low FROM {RES}
+UNION ALL
+SELECT 'type', coalesce(document_type, 'unknown'), CAST(count(*) AS BIGINT), CAST(count(*) AS BIGINT), 0, 0,
+  round(coalesce(avg(processing_time_ms), 0), 6),
+  CAST(count_if(coalesce(confidence, 0) >= 0.8) AS BIGINT),
+  CAST(count_if(coalesce(confidence, 0) >= 0.5 AND coalesce(confidence, 0) < 0.8) AS BIGINT),
+  CAST(count_if(coalesce(confidence, 0) < 0.5) AS BIGINT)
+FROM {RES} WHERE status = 'success' GROUP BY 2""")
+def q_batch_summary(spark, d):
+    return R.batch_summary(fx.results_fx(spark, d)).withColumn("avg_time_ms", F.round("avg_time_ms", 6))
