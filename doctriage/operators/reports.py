@@ -16,12 +16,17 @@ from pyspark.sql import functions as F
 from ..functions.confidence import _ge
 
 
-MAX_BROADCAST_ROWS = 100_000
+MAX_BROADCAST_BYTES = 64 * 1024 * 1024
 
 
-def broadcast_if_small(dim: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast hint only for a dimension whose row count is checked to be small."""
-    return F.broadcast(dim) if dim.limit(max_rows + 1).count() <= max_rows else dim
+def broadcast_if_small(dim: DataFrame, max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
+    """Broadcast hint only when the optimizer's size estimate of ``dim`` is within ``max_bytes``.
+
+    The estimate comes from plan statistics (exact for local tables, file sizes for
+    scans), so the check runs no job; above the bound Spark keeps its own choice.
+    """
+    size = int(str(dim._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return F.broadcast(dim) if size <= max_bytes else dim
 
 
 def _success(status: str = "status") -> Column:
