@@ -10,6 +10,7 @@ checkpoint folder first, then read it back through the operator.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,7 +27,7 @@ from ..operators import reports as R
 from ..operators import requests as RQ
 from ..operators.parse import parse_response
 from ..operators.score import classify, lexicon_score, recorded_scorer
-from ..session import scratch_dir
+from ..session import scratch_dir, ship_package
 from ..sinks import writers as W
 from ..sources import discover as D
 from . import fixtures as fx
@@ -38,8 +39,13 @@ ORACLES: dict[str, str] = {}
 
 
 def register(name: str, sql: str | None = None):
+    """Register a query; running it first ships the package to the executors."""
     def deco(fn):
-        QUERIES[name] = fn
+        @functools.wraps(fn)
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            ship_package(spark)
+            return fn(spark, sf_dir)
+        QUERIES[name] = run
         if sql is not None:
             ORACLES[name] = sql
         return fn

@@ -67,3 +67,34 @@ def materialize(df, name: str = "stage", fmt: str = "parquet"):
     path = scratch_dir(spark, name)
     df.write.mode("overwrite").format(fmt).save(path)
     return spark.read.format(fmt).load(path)
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``doctriage`` importable on executors (UDFs reference its functions).
+
+    Zips the package's sources once per application and registers the archive
+    with ``addPyFile``; Spark distributes it to every executor's Python path.
+    Harmless where the package is already installed.
+    """
+    sc = spark.sparkContext
+    app = sc.applicationId
+    if app in _SHIPPED:
+        return
+    import zipfile
+
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    parent = os.path.dirname(pkg)
+    fd, path = tempfile.mkstemp(prefix="doctriage-", suffix=".zip")
+    os.close(fd)
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+        for dirpath, dirnames, files in os.walk(pkg):
+            dirnames[:] = [d for d in dirnames if d != "__pycache__"]
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(dirpath, f)
+                    z.write(full, os.path.relpath(full, parent))
+    sc.addPyFile(path)
+    _SHIPPED.add(app)
