@@ -117,14 +117,8 @@ CHAINED = T.StructType([
 ])
 
 
-def extract_with_fallback(df: DataFrame, extractors: Sequence[Callable[[bytes], str]],
-                          content_col: str = "content", names: Sequence[str] | None = None) -> DataFrame:
-    """Try extractors in order per row; the first success wins, every error is kept.
-
-    One Arrow pass: an extractor is called at most once per row and a later one
-    only when the earlier ones failed for that row (no re-evaluation across
-    filter branches, so a paid service is never called twice).
-    """
+def chain_udf(extractors: Sequence[Callable[[bytes], str]], names: Sequence[str] | None = None):
+    """Arrow UDF trying ``extractors`` in order per row: (text, extractor, errors)."""
     names = list(names or [f"extractor_{i}" for i in range(len(extractors))])
     runners = [(_safe(fn), name) for fn, name in zip(extractors, names)]
 
@@ -132,6 +126,9 @@ def extract_with_fallback(df: DataFrame, extractors: Sequence[Callable[[bytes],
     def _chain(content: pd.Series) -> pd.DataFrame:
         rows = []
         for b in content:
+            if b is None:  # row routed elsewhere
+                rows.append((None, None, []))
+                continue
             errs = []
             got = (None, None)
             for run, name in runners:
@@ -143,13 +140,68 @@ def extract_with_fallback(df: DataFrame, extractors: Sequence[Callable[[bytes],
             rows.append((got[0], got[1], errs))
         return pd.DataFrame(rows, columns=["text", "extractor", "errors"])
 
-    x = _chain(F.col(content_col))
+    return _chain
+
+
+def extract_with_fallback(df: DataFrame, extractors: Sequence[Callable[[bytes], str]],
+                          content_col: str = "content", names: Sequence[str] | None = None) -> DataFrame:
+    """Try extractors in order per row; the first success wins, every error is kept.
+
+    One Arrow pass: an extractor is called at most once per row and a later one
+    only when the earlier ones failed for that row (no re-evaluation across
+    filter branches, so a paid service is never called twice).
+    """
+    x = chain_udf(extractors, names)(F.col(content_col))
     return (df.withColumn("__x", x)
             .withColumns({"text": F.col("__x.text"), "extractor": F.col("__x.extractor"),
                           "extraction_errors": F.col("__x.errors")})
             .drop("__x"))
 
 
+def extract_documents(files: DataFrame, extractors: dict[str, Sequence[Callable[[bytes], str]]] | None = None,
+                      path_col: str = "path", content_col: str = "content") -> DataFrame:
+    """Text of every file by its type, in one scan.
+
+    ``text``/``other`` files decode natively (strict UTF-8); DOCX goes through the
+    stdlib reader; ``pdf`` and ``image`` use the caller's extractor slots, e.g.
+    ``{"pdf": [pdf_fn], "image": [remote_ocr, local_ocr]}`` (tried in order).
+    Each Python stage receives bytes only for its own rows (other rows pass
+    NULL), so files are read once and nothing else crosses into Python.  Adds
+    ``extractor``, ``text`` and ``extraction_error``.
+    """
+    extractors = extractors or {}
+    route = route_by_suffix(F.col(path_col))
+    df = files.withColumn("extractor", route)
+    r = F.col("extractor")
+    content = F.col(content_col)
+    decoded = decode_utf8(content)
+    suffix = path_suffix(F.col(path_col))
+    cols = {"__docx": extract_docx(F.when(r == "docx", content))}
+    for kind in ("pdf", "image"):
+        if extractors.get(kind):
+            cols[f"__{kind}"] = chain_udf(extractors[kind], [f"{kind}_{i}" for i in
+                                                             range(len(extractors[kind]))])(F.when(r == kind, content))
+    df = df.withColumns(cols)
+
+    def slot(kind, field):
+        if f"__{kind}" not in cols:
+            return F.lit(None).cast("string") if field == "text" else F.lit(f"no extractor configured for {kind}")
+        x = F.col(f"__{kind}")
+        return x.text if field == "text" else F.when(x.text.isNull(), F.array_join(x.errors, "; "))
+
+    text = (F.when(r.isin("text", "other"), decoded)
+            .when(r == "docx", F.col("__docx.text"))
+            .when(r == "pdf", slot("pdf", "text"))
+            .when(r == "image", slot("image", "text")))
+    error = (F.when((r == "other") & decoded.isNull(),
+                    F.format_string(UNSUPPORTED_FORMAT.replace("{suffix}", "%s"), suffix))
+             .when((r == "text") & decoded.isNull(), F.lit("'utf-8' codec can't decode the file"))
+             .when(r == "docx", F.col("__docx.error"))
+             .when(r == "pdf", slot("pdf", "error"))
+             .when(r == "image", slot("image", "error")))
+    return df.withColumns({"text": text, "extraction_error": error}).drop(*cols.keys())
+
+
 def ocr_lines(blocks, trim: bool = False) -> Column:
     """LINE blocks' text joined by newlines, missing text as '' (C6)."""
     lines = F.filter(_c(blocks), lambda b: b["BlockType"] == "LINE")

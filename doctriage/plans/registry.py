@@ -1109,3 +1109,25 @@ SELECT 'type', coalesce(document_type, 'unknown'), CAST(count(*) AS BIGINT), CAS
 FROM {RES} WHERE status = 'success' GROUP BY 2""")
 def q_batch_summary(spark, d):
     return R.batch_summary(fx.results_fx(spark, d)).withColumn("avg_time_ms", F.round("avg_time_ms", 6))
+
+
+@register("run_batch", f"""
+SELECT document_id, source, exp_status AS status,
+  CASE WHEN exp_status = 'success' THEN exp_type END AS document_type,
+  CASE WHEN exp_status = 'success' THEN exp_score END AS confidence,
+  CASE WHEN exp_status = 'success' AND exp_score >= 0.7 THEN 0 WHEN exp_status = 'success' THEN 1 ELSE 2 END
+    AS cli_exit_code
+FROM ({fx.sql_select('documents', fx.EXPECTED_LAYERS, ['document_id', 'uri AS source', 'exp_status', 'exp_type',
+                                                        'exp_score'])})""")
+def q_run_batch(spark, d):
+    """The batch entry end to end over discovered documents (3.3)."""
+    from .batch import run_batch
+    req = fx.requests_fx(spark, d)
+    docs = D.conform(req.select(
+        "document_id", "source", "source_type",
+        F.when(F.col("source_type") == "text", F.col("document_content")).alias("text"),
+        F.col("document_content").alias("extracted")))
+    records, _, _ = run_batch(docs, recorded_scorer(fx.answers_fx(spark, d)), MODEL_ID, extracted_col="extracted",
+                              options={"model": "nova-lite"})
+    return records.select("document_id", "source", "status", F.col("classification.document_type").alias(
+        "document_type"), F.col("classification.confidence").alias("confidence"), "cli_exit_code")

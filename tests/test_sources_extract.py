@@ -109,3 +109,53 @@ def test_file_lists(spark, tmp_path):
     rows = D.read_file_list(spark, str(csv)).collect()
     assert [(r.document_id, r.bucket, r.file_path, r.extra) for r in rows] == [
         ("d1", "b", None, "e1"), ("d2", None, "/x/d2.txt", "e2")]
+
+
+def test_extract_documents_one_scan(spark, tree):
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(tree)
+
+    def pdf_fn(b):
+        return "pdf text"
+
+    def remote_ocr(b):
+        raise RuntimeError("denied")
+
+    def local_ocr(b):
+        return "ocr text"
+
+    out = X.extract_documents(files, {"pdf": [pdf_fn], "image": [remote_ocr, local_ocr]})
+    got = {os.path.relpath(r.path.replace("file:", ""), tree): (r.extractor, r.text, r.extraction_error)
+           for r in out.collect()}
+    assert got["a/sub/report.PDF"] == ("pdf", "pdf text", None)
+    assert got["b/scan.jpg"] == ("image", "ocr text", None)
+    assert got["b/memo.docx"] == ("docx", "Memo line one\nline two", None)
+    assert got["a/invoice.txt"][1] == "Invoice 😀\nAmount due\n"
+    assert got["b/data.bin"][2].startswith("Unsupported file format: .bin")
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan binaryFile") == 1  # one scan feeds every extractor
+    none = X.extract_documents(files).where("extractor = 'pdf'").first()
+    assert none.text is None and none.extraction_error == "no extractor configured for pdf"
+
+
+def test_run_batch_writes_and_reports(spark, tmp_path):
+    from doctriage.operators.score import function_scorer
+    from doctriage.plans.batch import run_batch
+
+    docs = D.conform(spark.createDataFrame(
+        [("a", "direct://text-input", "text", "Invoice 1"), (None, "s3://b/k/x.pdf", "s3", None),
+         ("c", "/local/c.txt", "local", None)],
+        "document_id string, source string, source_type string, text string"))
+
+    def fn(prompt):
+        if "Invoice" in prompt:
+            return '{"predicted_type": "invoice", "confidence_score": 0.95}'
+        return "no idea"
+
+    recs, summary, outcome = run_batch(docs, function_scorer(fn), "m", output_dir=str(tmp_path / "out"), fmt="both")
+    rows = {r.document_id: r for r in recs.collect()}
+    assert rows["a"].classification.document_type == "invoice" and rows["a"].cli_exit_code == 0
+    assert rows["x"].classification.document_type == "unknown" and rows["x"].cli_exit_code == 1
+    assert outcome.first().exit_code == 0
+    assert os.path.isdir(tmp_path / "out" / "detailed") and os.path.isdir(tmp_path / "out" / "summary")
+    total = summary.where("level = 'total'").first()
+    assert (total.n, total.successful) == (3, 3)
