@@ -13,11 +13,17 @@ def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
+def utc_wall(ts) -> Column:
+    """The UTC wall-clock time of an instant, whatever the session time zone (UTC everywhere)."""
+    return F.convert_timezone(F.current_timezone(), F.lit("UTC"), _c(ts).cast("timestamp").cast("timestamp_ntz"))
+
+
 def iso_timestamp(ts) -> Column:
-    """ISO-8601 text with ``+00:00``; the fraction only when it is non-zero (session zone UTC)."""
+    """ISO-8601 text in UTC with ``+00:00``; the fraction only when it is non-zero."""
     t = _c(ts)
-    frac = F.date_format(t, "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx")
-    whole = F.date_format(t, "yyyy-MM-dd'T'HH:mm:ssxxx")
+    w = utc_wall(t)
+    frac = F.date_format(w, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+00:00'")
+    whole = F.date_format(w, "yyyy-MM-dd'T'HH:mm:ss'+00:00'")
     return F.when(F.unix_micros(t.cast("timestamp")) % 1000000 != 0, frac).otherwise(whole)
 
 

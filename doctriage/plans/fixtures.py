@@ -157,7 +157,9 @@ def answers_fx(spark, sf_dir):
 
 def results_fx(spark, sf_dir):
     df = build(spark, sf_dir, "events", RESULTS_LAYERS, RESULTS_COLUMNS)
-    return df.withColumn("timestamp", df["ts"].cast("timestamp")).drop("ts")
+    # the naive event time is a UTC wall clock, whatever the session time zone
+    as_utc = F.convert_timezone(F.lit("UTC"), F.current_timezone(), df["ts"].cast("timestamp_ntz"))
+    return df.withColumn("timestamp", as_utc.cast("timestamp")).drop("ts")
 
 
 def requests_sql():

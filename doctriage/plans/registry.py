@@ -745,12 +745,12 @@ SELECT event_id, CASE WHEN event_id % 50 = 0 THEN '' ELSE 'doc_' || CAST(event_i
        WHEN event_id % 50 = 0 THEN 'Document ID is required' END AS record_error
 FROM events""")
 def q_result_from_json(spark, d):
-    from ..functions.results import result_from_json
+    from ..functions.results import result_from_json, utc_wall
     ev = fx.build(spark, d, "events", RECORD_INPUT)
     r = result_from_json(ev, "rec")
     return r.select("event_id", "document_id", "predicted_type", F.col("confidence.primary_score").alias("primary_score"),
                     F.col("confidence.threshold").alias("threshold"),
-                    F.date_format("timestamp", "yyyy-MM-dd HH:mm:ss").alias("ts_text"), "record_error")
+                    F.date_format(utc_wall("timestamp"), "yyyy-MM-dd HH:mm:ss").alias("ts_text"), "record_error")
 
 
 @register("validate_results", """

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.confidence import confidence_level
-from ..functions.results import iso_timestamp
+from ..functions.results import iso_timestamp, utc_wall
 
 SUMMARY_COLUMNS = ["document_id", "source", "status", "document_type", "confidence",
                    "confidence_level", "processing_time_ms", "timestamp"]
@@ -60,7 +60,7 @@ def write_results(df: DataFrame, path: str, format: str = "json", mode: str = "o
 def with_result_location(df: DataFrame, results_prefix: str, output_bucket: str,
                          ts: str = "timestamp", id_col: str = "document_id") -> DataFrame:
     """Output URIs of the per-document result and metadata records, plus time parts."""
-    t = F.col(ts)
+    t = utc_wall(F.col(ts))
     hour_path = F.date_format(t, "yyyy/MM/dd/HH")
     day_path = F.date_format(t, "yyyy/MM/dd")
     base = f"s3://{output_bucket}/{results_prefix}"
@@ -85,16 +85,18 @@ def write_by_hour(df: DataFrame, path: str, ts: str = "timestamp", mode: str = "
     splits a hot hour (one hour may hold a third of all rows) over many tasks.
     """
     parts = ["year", "month", "day", "hour"]
-    d = df.withColumns({"year": F.date_format(ts, "yyyy"), "month": F.date_format(ts, "MM"),
-                        "day": F.date_format(ts, "dd"), "hour": F.date_format(ts, "HH")})
+    t = utc_wall(F.col(ts))
+    d = df.withColumns({"year": F.date_format(t, "yyyy"), "month": F.date_format(t, "MM"),
+                        "day": F.date_format(t, "dd"), "hour": F.date_format(t, "HH")})
     d.hint("rebalance", *parts).write.mode(mode).partitionBy(*parts).json(path)
 
 
 def write_by_day(df: DataFrame, path: str, ts: str = "timestamp", mode: str = "overwrite") -> None:
     """Processing metadata partitioned year/month/day."""
     parts = ["year", "month", "day"]
-    d = df.withColumns({"year": F.date_format(ts, "yyyy"), "month": F.date_format(ts, "MM"),
-                        "day": F.date_format(ts, "dd")})
+    t = utc_wall(F.col(ts))
+    d = df.withColumns({"year": F.date_format(t, "yyyy"), "month": F.date_format(t, "MM"),
+                        "day": F.date_format(t, "dd")})
     d.hint("rebalance", *parts).write.mode(mode).partitionBy(*parts).json(path)
 
 
