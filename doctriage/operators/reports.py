@@ -302,3 +302,23 @@ def case_model_matrix(cases: DataFrame, models: list[str], model_col: str = "mod
     ``explode`` of a literal array: linear in the cases, no join.
     """
     return cases.withColumn(model_col, F.explode(F.array(*[F.lit(m) for m in models])))
+
+
+def observe_batch(df: DataFrame, status: str = "status", ts: str = "timestamp"):
+    """Attach batch metrics to ``df`` that are filled by whatever action runs it.
+
+    Returns ``(observed_df, observation)``; after e.g. writing the results,
+    ``observation.get`` holds totals and the time span without a second pass.
+    """
+    from pyspark.sql import Observation
+    obs = Observation("doctriage_batch")
+    observed = df.observe(
+        obs,
+        F.count(F.lit(1)).alias("total"),
+        F.count_if(_success(status)).alias("successful"),
+        F.count_if(F.col(status) == "error").alias("errors"),
+        F.count_if(F.col(status) == "timeout").alias("timeouts"),
+        F.min(ts).alias("first_ts"),
+        F.max(ts).alias("last_ts"),
+    )
+    return observed, obs

@@ -124,3 +124,14 @@ def test_classify_to_table_is_rerun_safe(spark, tmp_path):
     assert out.count() == 30 and out.select("request_key").distinct().count() == 30
     assert calls.value == 30  # every request scored exactly once over both runs
     assert n_first < 30
+
+
+def test_observe_batch_metrics_come_from_the_write(spark, tmp_path):
+    from doctriage.plans import fixtures as fx
+    res = fx.results_fx(spark, SF001)
+    observed, obs = R.observe_batch(res)
+    observed.write.parquet(str(tmp_path / "res"))
+    m = obs.get
+    t = R.batch_totals(res).first()
+    assert (m["total"], m["successful"], m["errors"], m["timeouts"]) == (t.total, t.successful, t.errors, t.timeouts)
+    assert m["first_ts"] <= m["last_ts"]
