@@ -253,7 +253,7 @@ def q_validate_scores(spark, d):
 # ===========================================================================
 
 @register("truncate_text", """
-SELECT doc_id, md5(substring(text, 1, 3000)) AS head_md5, length(substring(text, 1, 3000)) AS head_chars
+SELECT doc_id, md5(substring(text, 1, 3000)) AS head_md5, CAST(length(substring(text, 1, 3000)) AS INTEGER) AS head_chars
 FROM documents""")
 def q_truncate_text(spark, d):
     t = TX.truncate_text("text")
@@ -266,7 +266,7 @@ PROMPT_TAIL_SQL = S.PROMPT_TAIL.replace("'", "''")
 
 
 @register("build_prompt", f"""
-SELECT request_key, md5(p) AS prompt_md5, length(p) AS prompt_chars FROM (
+SELECT request_key, md5(p) AS prompt_md5, CAST(length(p) AS INTEGER) AS prompt_chars FROM (
   SELECT request_key, '{PROMPT_FRAME_SQL}' || substring(document_content, 1, 3000) || '{PROMPT_TAIL_SQL}' AS p
   FROM {REQ})""")
 def q_build_prompt(spark, d):
@@ -396,7 +396,7 @@ def q_route_by_suffix(spark, d):
 
 
 @register("resolve_text", f"""
-SELECT request_key, md5(document_content) AS text_md5, length(document_content) AS text_chars,
+SELECT request_key, md5(document_content) AS text_md5, CAST(length(document_content) AS INTEGER) AS text_chars,
   doc_id % 11 = 0 AS was_empty FROM {REQ}""")
 def q_resolve_text(spark, d):
     r = fx.requests_fx(spark, d)
@@ -933,8 +933,8 @@ def q_file_list_text(spark, d):
 
 @register("write_results_json", f"""
 SELECT document_id, source, status, document_type, confidence,
-  CASE WHEN status = 'success' AND confidence >= 0.7 THEN 0 WHEN status = 'success' THEN 1
-       WHEN status = 'error' THEN 2 END AS cli_exit_code,
+  CAST(CASE WHEN status = 'success' AND confidence >= 0.7 THEN 0 WHEN status = 'success' THEN 1
+       WHEN status = 'error' THEN 2 END AS BIGINT) AS cli_exit_code,
   CASE WHEN status <> 'success' THEN error END AS error FROM {RES}""")
 def q_write_results_json(spark, d):
     path = scratch_dir(spark, "results-json")
@@ -1008,7 +1008,8 @@ def q_decode_text(spark, d):
 
 
 @register("extract_docx", """
-SELECT doc_id, length(trim(text, chr(32) || chr(9) || chr(10) || chr(13) || chr(11) || chr(12))) AS chars,
+SELECT doc_id, CAST(length(trim(text, chr(32) || chr(9) || chr(10) || chr(13) || chr(11) || chr(12))) AS INTEGER)
+  AS chars,
   CAST(NULL AS VARCHAR) AS error FROM documents""")
 def q_extract_docx(spark, d):
     """DOCX built from each document's lines, then read back."""
@@ -1076,8 +1077,8 @@ def q_classify_incremental(spark, d):
 
 @register("read_results", f"""
 SELECT document_id, status, cli_exit_code FROM (
-  SELECT document_id, status, CASE WHEN status = 'success' AND confidence >= 0.7 THEN 0
-    WHEN status = 'success' THEN 1 WHEN status = 'error' THEN 2 END AS cli_exit_code FROM {RES})""")
+  SELECT document_id, status, CAST(CASE WHEN status = 'success' AND confidence >= 0.7 THEN 0
+    WHEN status = 'success' THEN 1 WHEN status = 'error' THEN 2 END AS BIGINT) AS cli_exit_code FROM {RES})""")
 def q_read_results(spark, d):
     """Result files holding one JSON array each (the reference's saved form), read back."""
     path = scratch_dir(spark, "results-arrays")
@@ -1115,8 +1116,8 @@ def q_batch_summary(spark, d):
 SELECT document_id, source, exp_status AS status,
   CASE WHEN exp_status = 'success' THEN exp_type END AS document_type,
   CASE WHEN exp_status = 'success' THEN exp_score END AS confidence,
-  CASE WHEN exp_status = 'success' AND exp_score >= 0.7 THEN 0 WHEN exp_status = 'success' THEN 1 ELSE 2 END
-    AS cli_exit_code
+  CAST(CASE WHEN exp_status = 'success' AND exp_score >= 0.7 THEN 0 WHEN exp_status = 'success' THEN 1 ELSE 2 END
+    AS BIGINT) AS cli_exit_code
 FROM ({fx.sql_select('documents', fx.EXPECTED_LAYERS, ['document_id', 'uri AS source', 'exp_status', 'exp_type',
                                                         'exp_score'])})""")
 def q_run_batch(spark, d):
