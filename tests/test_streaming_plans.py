@@ -38,3 +38,39 @@ def test_entry_and_contract(spark):
     out = se.entry(spark).collect()
     assert out and set(out[0].asDict()) == {"document_type", "n", "share_pct"}
     assert set(se.oracle_sql()) <= set(se.queries())
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_lexicon_regex_path_is_narrow(spark):
+    from pyspark.sql import functions as F
+
+    from doctriage.operators.score import lexicon_score
+    docs = spark.read.parquet(f"{SF001}/documents.parquet").select("doc_id", "text")
+    plan = _plan(lexicon_score(docs, fx.LEXICON_ROWS).select("doc_id", "predicted_type", F.size("key_terms")))
+    assert "Exchange" not in plan and "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
+
+
+def test_classification_shuffles_only_on_request_key(spark):
+    from doctriage.operators.score import classify, recorded_scorer
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        res = classify(fx.requests_fx(spark, SF001), recorded_scorer(fx.answers_fx(spark, SF001)))
+        plan = _plan(res.select("request_key", "predicted_type", "status"))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(10 * 1024 * 1024))
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    exchanges = [ln for ln in plan.splitlines() if "Exchange hashpartitioning" in ln]
+    assert len(exchanges) == 2 and all("request_key" in ln for ln in exchanges)
+    assert "SortMergeJoin" in plan and "ArrowEvalPython" in plan
+    # the document text is never read when the answers are recorded
+    assert "text:string" not in plan
+
+
+def test_reports_aggregate_partially(spark):
+    from doctriage.operators import reports as R
+    plan = _plan(R.model_benchmark(fx.results_fx(spark, SF001)))
+    assert plan.count("HashAggregate") >= 2  # partial (map side) + final
