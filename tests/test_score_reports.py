@@ -135,3 +135,15 @@ def test_observe_batch_metrics_come_from_the_write(spark, tmp_path):
     t = R.batch_totals(res).first()
     assert (m["total"], m["successful"], m["errors"], m["timeouts"]) == (t.total, t.successful, t.errors, t.timeouts)
     assert m["first_ts"] <= m["last_ts"]
+
+
+def test_lexicon_many_groups_routes_to_join_and_agrees(spark):
+    docs = spark.read.parquet(f"{SF001}/documents.parquet").select("doc_id", "text")
+    terms = ["the", "of", "and", "to", "le", "et", "les", "der", "die", "und", "el", "los", "with", "that",
+             "des", "qui", "den", "von", "del", "por", "a", "in", "is", "it", "on"]
+    rows = [(f"t{i % 12}", term, 1.0 + i % 3) for i, term in enumerate(terms)]
+    auto = lexicon_score(docs, rows)  # 12+ (type, weight) groups: join path
+    assert "Exchange" in auto._jdf.queryExecution().executedPlan().toString()
+    narrow = lexicon_score(docs, rows, max_inline_groups=1000)
+    cols = ["doc_id", "predicted_type", F.round("primary_score", 9), "evidence", F.array_sort("key_terms")]
+    assert sorted(map(tuple, auto.select(*cols).collect())) == sorted(map(tuple, narrow.select(*cols).collect()))
