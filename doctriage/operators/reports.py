@@ -25,7 +25,10 @@ def broadcast_if_small(dim: DataFrame, max_bytes: int = MAX_BROADCAST_BYTES) ->
     The estimate comes from plan statistics (exact for local tables, file sizes for
     scans), so the check runs no job; above the bound Spark keeps its own choice.
     """
-    size = int(str(dim._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    try:
+        size = int(str(dim._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except Exception:  # no plan statistics (e.g. Spark Connect): leave the choice to Spark
+        return dim
     return F.broadcast(dim) if size <= max_bytes else dim
 
 

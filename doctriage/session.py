@@ -40,6 +40,14 @@ def local_session(cores: int | str = "*", shuffle_partitions: int | None = None,
     return spark
 
 
+def _classic_context(spark: SparkSession):
+    """The SparkContext of a classic session; None under Spark Connect."""
+    try:
+        return spark.sparkContext
+    except Exception:
+        return None
+
+
 def scratch_dir(spark: SparkSession, name: str | None = None) -> str:
     """A fresh folder under the shared checkpoint directory.
 
@@ -47,12 +55,16 @@ def scratch_dir(spark: SparkSession, name: str | None = None) -> str:
     neither is set (local tests) a temporary folder is created and registered.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        jdir = spark.sparkContext._jsc.sc().getCheckpointDir()
+    sc = _classic_context(spark)
+    if not base and sc is not None:
+        jdir = sc._jsc.sc().getCheckpointDir()
         base = jdir.get() if jdir.isDefined() else None
     if not base:
         base = tempfile.mkdtemp(prefix="doctriage-ckpt-")
-        spark.sparkContext.setCheckpointDir(base)
+        if sc is not None:
+            sc.setCheckpointDir(base)
+        else:
+            spark.conf.set("spark.checkpoint.dir", base)
     sub = f"{name or 'scratch'}-{uuid.uuid4().hex[:12]}"
     return base.rstrip("/") + "/" + sub
 
@@ -79,8 +91,8 @@ def ship_package(spark: SparkSession) -> None:
     with ``addPyFile``; Spark distributes it to every executor's Python path.
     Harmless where the package is already installed.
     """
-    sc = spark.sparkContext
-    app = sc.applicationId
+    sc = _classic_context(spark)
+    app = sc.applicationId if sc is not None else f"connect-{spark.session_id}"
     if app in _SHIPPED:
         return
     import zipfile
@@ -96,5 +108,8 @@ def ship_package(spark: SparkSession) -> None:
                 if f.endswith(".py"):
                     full = os.path.join(dirpath, f)
                     z.write(full, os.path.relpath(full, parent))
-    sc.addPyFile(path)
+    if sc is not None:
+        sc.addPyFile(path)
+    else:  # Spark Connect: artifacts instead of the SparkContext
+        spark.addArtifacts(path, pyfile=True)
     _SHIPPED.add(app)
