@@ -27,7 +27,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.text import build_prompt
-from ..schemas import DEFAULT_THRESHOLD, OFFERED_TYPES
+from ..schemas import (DEFAULT_THRESHOLD, OFFERED_TYPES, SCORER_MAX_TOKENS, SCORER_TEMPERATURE,
+                       SCORER_TOP_P)
 from .extract import resolve_text
 from .parse import answer_status, parse_response
 
@@ -94,6 +95,9 @@ def function_scorer(fn: Callable[[str], str], timeout_s: float = 300.0,
             for pdf in batches:
                 out = []
                 for prompt in pdf["prompt"]:
+                    if prompt is None:  # row failed before scoring: never sent
+                        out.append((None, "skipped", None, None))
+                        continue
                     t0 = time.monotonic()
                     try:
                         text = fn(prompt, client) if client_factory else fn(prompt)
@@ -118,19 +122,47 @@ def function_scorer(fn: Callable[[str], str], timeout_s: float = 300.0,
     return score
 
 
+def scorer_request(prompt, model_id: str, max_tokens: int = SCORER_MAX_TOKENS,
+                   temperature: float = SCORER_TEMPERATURE, top_p: float = SCORER_TOP_P):
+    """The model call as data: one user message with the prompt, and the inference settings (K1).
+
+    A struct column (``to_json`` it for an HTTP body); a scorer client sends it as is.
+    """
+    p = F.col(prompt) if isinstance(prompt, str) else prompt
+    return F.struct(
+        F.lit(model_id).alias("modelId"),
+        F.array(F.struct(F.lit("user").alias("role"),
+                         F.array(F.struct(p.alias("text"))).alias("content"))).alias("messages"),
+        F.struct(F.lit(max_tokens).alias("maxTokens"), F.lit(float(temperature)).alias("temperature"),
+                 F.lit(float(top_p)).alias("topP")).alias("inferenceConfig"),
+    )
+
+
 def classify(requests: DataFrame, scorer: Callable[[DataFrame], DataFrame], model: str | None = None,
              threshold: float = DEFAULT_THRESHOLD, offered_types: list[str] | None = None,
-             content_col: str = "document_content", extracted_col: str | None = None) -> DataFrame:
+             content_col: str = "document_content", extracted_col: str | None = None,
+             error_col: str | None = None) -> DataFrame:
     """Classify every request; exactly one result row per request (K4, K5, K6).
 
     The document text is cut to 3000 characters inside the prompt expression, so
-    only the prompt (never a whole document) crosses into Python.  Columns added:
+    only the prompt (never a whole document) crosses into Python.  Rows with a
+    non-NULL ``error_col`` are not sent to the scorer and become error rows
+    carrying that message.  Columns added:
     ``predicted_type, primary_score, threshold, reasoning, extracted_features,
     stage, error, status, model_used, processing_time_ms, timestamp``.
     """
     text = resolve_text(F.col(content_col), F.col(extracted_col) if extracted_col else None)
-    prompted = requests.withColumn("prompt", build_prompt(text, offered_types or OFFERED_TYPES))
+    prompt = build_prompt(text, offered_types or OFFERED_TYPES)
+    if error_col:  # rows that already failed (e.g. a local file that could not be read) are not sent
+        prompt = F.when(F.col(error_col).isNull(), prompt)
+    prompted = requests.withColumn("prompt", prompt)
     answered = scorer(prompted)
+    if error_col:
+        failed = F.col(error_col).isNotNull()
+        answered = answered.withColumns({
+            "call_stage": F.when(failed, F.lit("batch")).otherwise(F.col("call_stage")),
+            "call_error": F.when(failed, F.col(error_col)).otherwise(F.col("call_error")),
+        })
     parsed = parse_response(answered, "response_text", threshold=threshold,
                             stage_col="call_stage", error_col="call_error")
     return (parsed.withColumns({

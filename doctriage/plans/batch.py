@@ -20,7 +20,8 @@ from ..session import materialize
 from ..sinks import writers as W
 
 
-def documents_to_requests(docs: DataFrame, extracted_col: str | None = None) -> DataFrame:
+def documents_to_requests(docs: DataFrame, extracted_col: str | None = None,
+                          extraction_error_col: str | None = None) -> DataFrame:
     """Discovered documents (common document schema) as classification requests.
 
     ``text`` rows carry their text; other rows take ``extracted_col`` when the
@@ -34,28 +35,34 @@ def documents_to_requests(docs: DataFrame, extracted_col: str | None = None) ->
     content = F.when(kind == "text", F.col("text"))
     if extracted_col:
         content = content.otherwise(F.col(extracted_col))
+    # a local file that cannot be read fails its row (object-store text failures
+    # fall back to empty text instead, as the reference does)
+    pre_error = (F.when(kind == "local", F.col(extraction_error_col)) if extraction_error_col
+                 else F.lit(None).cast("string"))
     return docs.withColumns({
         "document_id": doc_id,
         "document_content": content,
         "request_key": F.when(kind == "text", F.concat(F.col("source"), F.lit("#"), doc_id))
                         .otherwise(F.col("source")),
+        "pre_error": pre_error,
     })
 
 
 def run_batch(docs: DataFrame, scorer: Callable[[DataFrame], DataFrame], model: str,
               max_docs: int | None = None, options: dict | None = None, output_dir: str | None = None,
-              fmt: str = "json", extracted_col: str | None = None, threshold: float = 0.7):
+              fmt: str = "json", extracted_col: str | None = None, threshold: float = 0.7,
+              extraction_error_col: str | None = None):
     """Classify a discovered batch; return ``(records, summary, exit_code_df)``.
 
     With ``output_dir`` the batch records are written once (JSON lines and/or
     the CSV summary) and the reports read those files back, so reports never
     re-run the scorer and the lineage is cut.
     """
-    req = documents_to_requests(docs, extracted_col)
+    req = documents_to_requests(docs, extracted_col, extraction_error_col)
     if max_docs:
         req = R.max_docs(req, max_docs, order=["source", "request_key"])
     req = with_run_options(req, **(options or {}))
-    res = classify(req, scorer, model=model, threshold=threshold)
+    res = classify(req, scorer, model=model, threshold=threshold, error_col="pre_error")
     records_in = res.select(
         "document_id", "source", "status",
         F.col("predicted_type").alias("document_type"), F.col("primary_score").alias("confidence"),

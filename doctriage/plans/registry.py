@@ -1132,3 +1132,44 @@ def q_run_batch(spark, d):
                               options={"model": "nova-lite"})
     return records.select("document_id", "source", "status", F.col("classification.document_type").alias(
         "document_type"), F.col("classification.confidence").alias("confidence"), "cli_exit_code")
+
+
+@register("scorer_requests", f"""
+SELECT request_key, '{MODEL_ID}' AS model_id, 2048 AS max_tokens, CAST(0.1 AS DOUBLE) AS temperature,
+  CAST(0.9 AS DOUBLE) AS top_p, 'user' AS role,
+  md5('{PROMPT_FRAME_SQL}' || substring(document_content, 1, 3000) || '{PROMPT_TAIL_SQL}') AS prompt_md5
+FROM {REQ}""")
+def q_scorer_requests(spark, d):
+    """The model-call payload for every request (K1 parameters)."""
+    from ..operators.score import scorer_request
+    p = scorer_request(TX.build_prompt(X.resolve_text("document_content")), MODEL_ID)
+    return fx.requests_fx(spark, d).select(
+        "request_key", p.modelId.alias("model_id"), p.inferenceConfig.maxTokens.alias("max_tokens"),
+        p.inferenceConfig.temperature.alias("temperature"), p.inferenceConfig.topP.alias("top_p"),
+        p.messages[0].role.alias("role"), F.md5(p.messages[0].content[0].text).alias("prompt_md5"))
+
+
+@register("batch_local_errors", f"""
+SELECT document_id, source,
+  CASE WHEN source_type = 'local' AND doc_id % 19 = 0 THEN 'error' ELSE exp_status END AS status,
+  CASE WHEN source_type = 'local' AND doc_id % 19 = 0 THEN 'File not found: ' || uri
+       WHEN exp_stage = 'batch' THEN '''list'' object has no attribute ''get'''
+       WHEN exp_stage = 'missing' THEN 'no recorded answer for request ' || request_key END AS error,
+  CAST(CASE WHEN source_type = 'local' AND doc_id % 19 = 0 THEN 2 WHEN exp_status <> 'success' THEN 2
+       WHEN exp_score >= 0.7 THEN 0 ELSE 1 END AS BIGINT) AS cli_exit_code
+FROM ({fx.sql_select('documents', fx.EXPECTED_LAYERS, ['doc_id', 'source_type', 'uri', 'document_id',
+                                                        'uri AS source', 'request_key', 'exp_stage', 'exp_status',
+                                                        'exp_score'])})""")
+def q_batch_local_errors(spark, d):
+    """A local file that cannot be read is an error row and is never scored (Q21)."""
+    from .batch import run_batch
+    req = fx.requests_fx(spark, d)
+    unreadable = (F.col("source_type") == "local") & (F.col("doc_id") % 19 == 0)
+    docs = D.conform(req.select(
+        "document_id", "source", "source_type",
+        F.when(F.col("source_type") == "text", F.col("document_content")).alias("text"),
+        F.when(~unreadable, F.col("document_content")).alias("extracted"),
+        F.when(unreadable, F.concat(F.lit("File not found: "), F.col("source"))).alias("extract_error")))
+    records, _, _ = run_batch(docs, recorded_scorer(fx.answers_fx(spark, d)), MODEL_ID, extracted_col="extracted",
+                              extraction_error_col="extract_error")
+    return records.select("document_id", "source", "status", "error", "cli_exit_code")

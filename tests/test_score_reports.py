@@ -147,3 +147,28 @@ def test_lexicon_many_groups_routes_to_join_and_agrees(spark):
     narrow = lexicon_score(docs, rows, max_inline_groups=1000)
     cols = ["doc_id", "predicted_type", F.round("primary_score", 9), "evidence", F.array_sort("key_terms")]
     assert sorted(map(tuple, auto.select(*cols).collect())) == sorted(map(tuple, narrow.select(*cols).collect()))
+
+
+def test_pre_failed_rows_are_not_sent(spark):
+    calls = spark.sparkContext.accumulator(0)
+
+    def fn(prompt):
+        calls.add(1)
+        return '{"predicted_type": "memo", "confidence_score": 0.6}'
+
+    req = _requests(spark, 6).withColumn(
+        "err", F.when(F.col("document_id").isin("doc_1", "doc_4"), F.lit("File not found: x")))
+    res = {r.document_id: r for r in classify(req, function_scorer(fn), error_col="err").collect()}
+    assert calls.value == 4
+    assert res["doc_1"].status == "error" and res["doc_1"].reasoning == "Batch processing failed: File not found: x"
+    assert res["doc_0"].status == "success"
+
+
+def test_scorer_request_payload(spark):
+    import json as _json
+    from doctriage.operators.score import scorer_request
+    df = spark.createDataFrame([("Classify me",)], "prompt string")
+    payload = _json.loads(df.select(F.to_json(scorer_request("prompt", "us.amazon.nova-lite-v1:0"))).first()[0])
+    assert payload == {"modelId": "us.amazon.nova-lite-v1:0",
+                       "messages": [{"role": "user", "content": [{"text": "Classify me"}]}],
+                       "inferenceConfig": {"maxTokens": 2048, "temperature": 0.1, "topP": 0.9}}
