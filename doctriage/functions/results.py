@@ -83,7 +83,7 @@ def result_from_json(df: DataFrame, json_col: str) -> DataFrame:
     threshold = F.coalesce(conf.threshold, F.lit(DEFAULT_THRESHOLD))
     raw_type = F.coalesce(r.predicted_type, F.lit("unknown"))
     ts_text = r.timestamp
-    ts = F.to_timestamp(ts_text)
+    ts = F.try_to_timestamp(ts_text)
     doc_id = F.coalesce(r.document_id, F.lit(""))
     err = (F.when(score_error(primary, secondary).isNotNull(), score_error(primary, secondary))
            .when(ts_text.isNotNull() & ts.isNull(),

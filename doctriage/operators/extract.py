@@ -2,9 +2,9 @@
 
 Routing, UTF-8 decoding, OCR block flattening and text resolution are native
 expressions.  Only formats that need a parser run in Python: DOCX (stdlib zip +
-XML, Arrow-batched) and the caller-supplied PDF/OCR extractor slots.  Callers
-split rows by ``extractor`` with ``filter`` so each Python stage only sees the
-rows that need it.
+XML, Arrow-batched) and the caller-supplied PDF/OCR extractor slots.
+:func:`extract_documents` feeds each Python stage only the bytes of its own rows
+(NULL for the others) from a single scan.
 """
 
 from __future__ import annotations

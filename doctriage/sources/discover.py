@@ -8,6 +8,8 @@ with ``pathGlobFilter`` and size limits become pushed filters on ``length``.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -52,9 +54,9 @@ def list_store(spark: SparkSession, root: str, prefix: str = "", pattern: str =
     df = _listing(spark, base + ("/" + folder if folder else ""), True, None)
     if max_size_bytes:
         df = df.where(F.col("length") <= max_size_bytes)
-    rel = F.regexp_replace(F.regexp_replace(F.col("path"), "^file:", ""),
-                           "^" + _quote(_strip_scheme(base)) + "/", "")
-    key = F.regexp_replace(rel, "^[a-z0-9]+://[^/]*/", "") if "://" in base else rel
+    # the key is the path below the bucket's root (local paths come back as file:...)
+    key = F.regexp_replace(F.regexp_replace(F.col("path"), "^file:", ""),
+                           "^" + re.escape(_strip_scheme(base)) + "/", "")
     df = df.withColumn("key", key).where(prefix_match("key", prefix) & key_pattern_match("key", pattern))
     return conform(df.select(
         path_stem(F.col("key")).alias("document_id"),
@@ -88,11 +90,6 @@ def list_directory(spark: SparkSession, directory: str, pattern: str = "*", recu
     ))
 
 
-def _quote(s: str) -> str:
-    import re
-    return re.escape(s)
-
-
 def read_file_list_csv(spark: SparkSession, path: str) -> DataFrame:
     """CSV file list with header; each row is a document as is, all values text (A3)."""
     return conform(spark.read.option("header", "true").option("inferSchema", "false").csv(path))
@@ -103,7 +100,7 @@ def read_file_list_json(spark: SparkSession, path: str) -> DataFrame:
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in DOCUMENT_SCHEMA.fields
                        if f.name not in ("last_modified", "size")) + ", size bigint, last_modified string"
     df = spark.read.option("multiLine", "true").schema(schema).json(path)
-    return conform(df.withColumn("last_modified", F.to_timestamp("last_modified")))
+    return conform(df.withColumn("last_modified", F.try_to_timestamp("last_modified")))
 
 
 def parse_file_list_lines(lines: DataFrame, col: str = "value") -> DataFrame:
