@@ -93,12 +93,18 @@ def _safe(fn: Callable[[bytes], str]):
 
 
 @F.pandas_udf(EXTRACTED)
-def extract_docx(content: pd.Series) -> pd.DataFrame:
-    """Body paragraphs of a DOCX joined by newlines, trimmed."""
+def _extract_docx(content: pd.Series) -> pd.DataFrame:
     run = _safe(_docx_text)
     return pd.DataFrame([run(b) for b in content], columns=["text", "error"])
 
 
+# Python stages are marked non-deterministic so that a filter on their output is
+# never evaluated with a second copy of the call (each file is parsed once; a paid
+# extractor is never called twice for a row).
+extract_docx = _extract_docx.asNondeterministic()
+extract_docx.__doc__ = "Body paragraphs of a DOCX joined by newlines, trimmed (C3)."
+
+
 def extractor_udf(fn: Callable[[bytes], str]):
     """Wrap a caller-supplied ``bytes -> str`` extractor (PDF/OCR slot, C4/C5)."""
     run = _safe(fn)
@@ -107,7 +113,7 @@ def extractor_udf(fn: Callable[[bytes], str]):
     def _extract(content: pd.Series) -> pd.DataFrame:
         return pd.DataFrame([run(b) for b in content], columns=["text", "error"])
 
-    return _extract
+    return _extract.asNondeterministic()
 
 
 CHAINED = T.StructType([
@@ -140,7 +146,7 @@ def chain_udf(extractors: Sequence[Callable[[bytes], str]], names: Sequence[str]
             rows.append((got[0], got[1], errs))
         return pd.DataFrame(rows, columns=["text", "extractor", "errors"])
 
-    return _chain
+    return _chain.asNondeterministic()
 
 
 def extract_with_fallback(df: DataFrame, extractors: Sequence[Callable[[bytes], str]],

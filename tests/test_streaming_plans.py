@@ -74,3 +74,9 @@ def test_reports_aggregate_partially(spark):
     from doctriage.operators import reports as R
     plan = _plan(R.model_benchmark(fx.results_fx(spark, SF001)))
     assert plan.count("HashAggregate") >= 2  # partial (map side) + final
+
+
+def test_answer_parser_runs_once_under_filters(spark):
+    # a filter on a parsed column must not evaluate the Python parser a second time
+    plan = _plan(registry.QUERIES["type_distribution"](spark, SF001))
+    assert plan.count("ArrowEvalPython") == 1
