@@ -287,11 +287,17 @@ def review_queue(df: DataFrame, score: str = "primary_score", threshold: str = "
     return df.where(needs_review(score, threshold)).orderBy(F.asc(score))
 
 
-def expectation_check(results: DataFrame, expected: DataFrame, key: str,
+def expectation_check(results: DataFrame, expected: DataFrame | None, key: str,
                       type_col: str = "predicted_type", score: str = "primary_score",
                       expected_type: str = "expected_type", ceiling: str = "score_ceiling") -> DataFrame:
-    """Results joined with expectations: type match and score under a ceiling."""
-    j = results.join(expected, key, "inner")
+    """Results joined with expectations: type match and score under a ceiling.
+
+    Pass ``expected=None`` when the expectations were joined onto the requests
+    before classification: that join then shares the request-key partitioning
+    with the answer pairing, whereas a join after the Python parser must
+    re-shuffle the results (a Python stage does not keep its input's partitioning).
+    """
+    j = results if expected is None else results.join(expected, key, "inner")
     return j.withColumns({
         "type_matches": F.col(type_col) == F.col(expected_type),
         "under_ceiling": F.when(F.col(ceiling).isNotNull(), F.col(score) < F.col(ceiling)),
