@@ -309,6 +309,8 @@ def classify_to_table(requests: DataFrame, scorer: Callable[[DataFrame], DataFra
     own append job, so a failure loses at most one chunk of work; within a job,
     Spark's commit protocol keeps retried or speculative task attempts from
     writing twice.  Speculation should stay off for jobs with a paid scorer.
+    Each chunk re-reads ``requests`` (and the stored keys), so pass a materialized
+    or cheaply re-readable input when using many chunks.
     """
     spark = requests.sparkSession
     from pyspark.errors import AnalysisException

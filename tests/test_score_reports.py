@@ -172,3 +172,18 @@ def test_scorer_request_payload(spark):
     assert payload == {"modelId": "us.amazon.nova-lite-v1:0",
                        "messages": [{"role": "user", "content": [{"text": "Classify me"}]}],
                        "inferenceConfig": {"maxTokens": 2048, "temperature": 0.1, "topP": 0.9}}
+
+
+def test_hot_request_key_and_duplicate_answers(spark):
+    from doctriage.operators.score import recorded_scorer
+    n = 300
+    rows = [(f"doc_{i}", "s3://b/hot.pdf" if i % 3 == 0 else f"s3://b/doc_{i}.pdf", "text") for i in range(n)]
+    req = spark.createDataFrame(rows, "document_id string, source string, document_content string") \
+        .withColumn("request_key", F.col("source"))
+    good = '{"predicted_type": "invoice", "confidence_score": 0.9}'
+    answers = spark.createDataFrame(
+        [(f"s3://b/doc_{i}.pdf", good) for i in range(n) if i % 3] + [("s3://b/hot.pdf", good)] * 50,
+        "request_key string, response_text string")
+    res = classify(req, recorded_scorer(answers))
+    assert res.count() == n  # one row per request row: no fan-out from 50 duplicate answers
+    assert res.where("status = 'success' AND predicted_type = 'invoice'").count() == n
