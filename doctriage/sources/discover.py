@@ -143,3 +143,23 @@ def read_results(spark: SparkSession, path: str, multiline: bool = False) -> Dat
     if multiline:
         reader = reader.option("multiLine", "true")
     return reader.json(path)
+
+
+RECORD_COLUMNS = ("document_id string, source string, status string, error string, processing_time_ms double, "
+                  "cli_exit_code bigint, timestamp string")
+
+
+def read_partitioned_records(spark: SparkSession, path: str, year: str | None = None, month: str | None = None,
+                             day: str | None = None, hour: str | None = None) -> DataFrame:
+    """Records written by hour/day (B3/B4) read back; the time filters prune partitions.
+
+    Partition columns keep their zero-padded text form (``"01"``), so the schema
+    is given rather than inferred.
+    """
+    parts = [("year", year), ("month", month), ("day", day), ("hour", hour)]
+    schema = RECORD_COLUMNS + "".join(f", {p} string" for p, _ in parts)
+    df = spark.read.schema(schema).option("basePath", path).json(path)
+    for p, v in parts:
+        if v is not None:
+            df = df.where(F.col(p) == v)
+    return df

@@ -159,3 +159,16 @@ def test_run_batch_writes_and_reports(spark, tmp_path):
     assert os.path.isdir(tmp_path / "out" / "detailed") and os.path.isdir(tmp_path / "out" / "summary")
     total = summary.where("level = 'total'").first()
     assert (total.n, total.successful) == (3, 3)
+
+
+def test_hour_partitions_are_pruned_on_read(spark, tmp_path):
+    from doctriage.plans import fixtures as fx
+    from doctriage.sinks import writers as W
+    path = str(tmp_path / "by-hour")
+    res = fx.results_fx(spark, "/root/testdata/sf0.001")
+    W.write_by_hour(W.batch_records(res).withColumn("ts", F.to_timestamp("timestamp")), path, ts="ts")
+    back = D.read_partitioned_records(spark, path, year="2024", month="01", day="02")
+    plan = back._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in plan and "(day#" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    expected = res.where(F.date_format("timestamp", "yyyy-MM-dd") == "2024-01-02").count()
+    assert back.count() == expected > 0
