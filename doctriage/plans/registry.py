@@ -1,4 +1,7 @@
-"""Registered queries (Spark) and their DuckDB oracle SQL.
+"""Registry of queries (Spark) and their DuckDB oracle SQL, with shared oracle pieces.
+
+The queries live in the ``*_queries`` modules of this package, grouped by topic;
+they register themselves here on import.
 
 Every query reads the driver tables (or data Spark derives from them) in full.
 Oracles compute the expected answer from the fixture's construction rule, not by
@@ -17,19 +20,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas as S
-from ..functions import confidence as C
-from ..functions import paths as P
-from ..functions import text as TX
-from ..functions.answer_json import extract_answer
-from ..operators import catalog as CAT
-from ..operators import extract as X
-from ..operators import reports as R
-from ..operators import requests as RQ
-from ..operators.parse import parse_response
-from ..operators.score import classify, lexicon_score, recorded_scorer
-from ..session import scratch_dir, ship_package
-from ..sinks import writers as W
-from ..sources import discover as D
+from ..operators.score import classify, recorded_scorer
+from ..session import ship_package
 from . import fixtures as fx
 
 MODEL_ID = "us.amazon.nova-lite-v1:0"
@@ -78,6 +70,9 @@ CATALOG = _values([r[:3] + r[4:] for r in S.MODEL_CATALOG], ["alias", "model_id"
 PRICES = _values(S.MODEL_PRICES, ["model", "price_per_1k"])
 TYPES = _values(S.DOCUMENT_TYPE_FAMILIES, ["document_type", "family"])
 
+PROMPT_FRAME_SQL = (S.PROMPT_HEAD + ", ".join(S.OFFERED_TYPES) + S.PROMPT_MIDDLE).replace("'", "''")
+PROMPT_TAIL_SQL = S.PROMPT_TAIL.replace("'", "''")
+
 LEVEL_SQL = ("CASE WHEN {s} >= 0.9 THEN 'Very High' WHEN {s} >= 0.8 THEN 'High' WHEN {s} >= 0.7 THEN 'Medium' "
              "WHEN {s} >= 0.5 THEN 'Low' ELSE 'Very Low' END")
 
@@ -86,1093 +81,6 @@ def r6(c: str):
     return F.round(F.col(c), 6).alias(c)
 
 
-# ===========================================================================
-# Classification end to end
-# ===========================================================================
-
-@register("classify_batch", f"""
-SELECT request_key, document_id, exp_status AS status, exp_stage AS stage, exp_type AS predicted_type,
-       exp_score AS primary_score, CAST(0.7 AS DOUBLE) AS threshold, exp_reasoning AS reasoning
-FROM {EXPECTED}""")
-def q_classify_batch(spark, d):
-    return classified(spark, d).select("request_key", "document_id", "status", "stage", "predicted_type",
-                                       "primary_score", "threshold", "reasoning")
-
-
-@register("type_distribution", f"""
-SELECT document_type, n, round(100.0 * n / sum(n) OVER (), 6) AS share_pct FROM (
-  SELECT exp_type AS document_type, CAST(count(*) AS BIGINT) AS n FROM {EXPECTED}
-  WHERE exp_status = 'success' GROUP BY exp_type)""")
-def q_type_distribution(spark, d):
-    out = R.type_distribution(classified(spark, d), "status", "predicted_type")
-    return out.withColumn("share_pct", F.round("share_pct", 6))
-
-
-@register("batch_status", f"""
-SELECT exp_status AS status, exp_stage AS stage, CAST(count(*) AS BIGINT) AS n FROM {EXPECTED} GROUP BY 1, 2""")
-def q_batch_status(spark, d):
-    return classified(spark, d).groupBy("status", "stage").agg(F.count(F.lit(1)).alias("n"))
-
-
-@register("pair_responses", f"""
-SELECT request_key, has_answer FROM {EXPECTED}""")
-def q_pair_responses(spark, d):
-    ans = fx.answers_fx(spark, d).select("request_key", F.lit(True).alias("__a"))
-    return (fx.requests_fx(spark, d).join(ans, "request_key", "left")
-            .select("request_key", F.coalesce(F.col("__a"), F.lit(False)).alias("has_answer")))
-
-
-@register("extract_json", f"""
-SELECT request_key,
-  CASE shape WHEN 7 THEN 'parse' WHEN 10 THEN 'batch' ELSE 'ok' END AS kind,
-  CASE WHEN shape IN (7, 10) THEN NULL WHEN shape = 5 THEN upper(t) WHEN shape = 6 THEN 'spaceship' ELSE t END
-    AS raw_type,
-  CASE WHEN shape IN (7, 10) THEN NULL WHEN shape = 11 THEN CAST(0.0 AS DOUBLE)
-       WHEN shape = 8 THEN CAST(1.5 AS DOUBLE) ELSE s END AS raw_score
-FROM {EXPECTED} WHERE has_answer""")
-def q_extract_json(spark, d):
-    a = fx.answers_fx(spark, d).withColumn("__a", extract_answer(F.col("response_text")))
-    return a.select("request_key", F.col("__a.kind").alias("kind"), F.col("__a.predicted_type").alias("raw_type"),
-                    F.col("__a.score").alias("raw_score"))
-
-
-@register("parse_response", f"""
-SELECT request_key, exp_type AS predicted_type, exp_score AS primary_score, exp_stage AS stage,
-  exp_reasoning AS reasoning,
-  CASE WHEN exp_stage <> 'ok' THEN '{{}}'
-       WHEN shape = 4 THEN '{{"key_terms": ["' || t || '"], "layout": {{"pages": 1}}}}'
-       ELSE '{{"key_terms": ["' || t || '"], "document_structure": "prose"}}' END AS extracted_features
-FROM {EXPECTED} WHERE has_answer""")
-def q_parse_response(spark, d):
-    p = parse_response(fx.answers_fx(spark, d), "response_text")
-    return p.select("request_key", "predicted_type", "primary_score", "stage", "reasoning", "extracted_features")
-
-
-@register("fallback_rows", f"""
-SELECT exp_stage AS stage, exp_type AS predicted_type, exp_score AS primary_score,
-  CAST(0.7 AS DOUBLE) AS threshold, CAST(count(*) AS BIGINT) AS n
-FROM {EXPECTED} WHERE exp_stage <> 'ok' GROUP BY 1, 2, 3, 4""")
-def q_fallback_rows(spark, d):
-    res = classified(spark, d).where(F.col("stage") != "ok")
-    return res.groupBy("stage", "predicted_type", "primary_score", "threshold").agg(F.count(F.lit(1)).alias("n"))
-
-
-# ===========================================================================
-# Confidence semantics (D11-D16, D18, D19) over classified results
-# ===========================================================================
-
-@register("confidence_level", f"""
-SELECT request_key, exp_score AS primary_score, {LEVEL_SQL.format(s='exp_score')} AS confidence_level
-FROM {EXPECTED}""")
-def q_confidence_level(spark, d):
-    return classified(spark, d).select("request_key", "primary_score",
-                                       C.confidence_level("primary_score").alias("confidence_level"))
-
-
-@register("is_confident", f"""
-SELECT request_key, exp_score >= 0.7 AS is_confident FROM {EXPECTED}""")
-def q_is_confident(spark, d):
-    return classified(spark, d).select("request_key", C.is_confident("primary_score", "threshold")
-                                       .alias("is_confident"))
-
-
-@register("review_flags", f"""
-SELECT request_key, exp_score >= 0.8 AS high_confidence, NOT (exp_score >= 0.7) AS needs_review
-FROM {EXPECTED}""")
-def q_review_flags(spark, d):
-    return classified(spark, d).select(
-        "request_key", C.is_high_confidence("primary_score").alias("high_confidence"),
-        C.needs_review("primary_score", "threshold").alias("needs_review"))
-
-
-@register("review_queue", f"""
-SELECT request_key, exp_score AS primary_score FROM {EXPECTED} WHERE exp_score < 0.7""")
-def q_review_queue(spark, d):
-    return R.review_queue(classified(spark, d)).select("request_key", "primary_score")
-
-
-@register("status_label", f"""
-SELECT request_key, CASE WHEN exp_score >= 0.8 THEN 'High confidence result!'
-  WHEN exp_score < 0.7 THEN 'Needs human review' ELSE 'Standard confidence result' END AS status_label
-FROM {EXPECTED}""")
-def q_status_label(spark, d):
-    return classified(spark, d).select("request_key", C.status_label("primary_score", "threshold")
-                                       .alias("status_label"))
-
-
-@register("accept_code", f"""
-SELECT request_key, CASE WHEN exp_status <> 'success' THEN 2 WHEN exp_score >= 0.7 THEN 0 ELSE 1 END AS accept_code
-FROM {EXPECTED}""")
-def q_accept_code(spark, d):
-    res = classified(spark, d)
-    return res.select("request_key", C.accept_code("primary_score", F.col("status") != "success")
-                      .alias("accept_code"))
-
-
-@register("flat_result", f"""
-SELECT document_id, exp_type AS document_type, exp_score AS confidence,
-  {LEVEL_SQL.format(s='exp_score')} AS confidence_level, exp_score >= 0.8 AS high_confidence,
-  NOT (exp_score >= 0.7) AS needs_review, exp_reasoning AS reasoning,
-  (exp_type = 'other' AND exp_reasoning LIKE '%# Limit text length%') AS extraction_failed
-FROM {EXPECTED} WHERE exp_status = 'success'""")
-def q_flat_result(spark, d):
-    res = classified(spark, d).where(F.col("status") == "success")
-    return res.select(
-        "document_id", F.col("predicted_type").alias("document_type"), F.col("primary_score").alias("confidence"),
-        C.confidence_level("primary_score").alias("confidence_level"),
-        C.is_high_confidence("primary_score").alias("high_confidence"),
-        C.needs_review("primary_score", "threshold").alias("needs_review"), "reasoning",
-        X.extraction_failed("reasoning", "predicted_type").alias("extraction_failed"))
-
-
-@register("extraction_failed", f"""
-SELECT request_key FROM {EXPECTED} WHERE exp_type = 'other' AND exp_reasoning LIKE '%# Limit text length%'""")
-def q_extraction_failed(spark, d):
-    res = classified(spark, d)
-    return res.where(X.extraction_failed("reasoning", "predicted_type")).select("request_key")
-
-
-VALIDATE_INPUT = [
-    [("primary_score", "CAST(event_id % 13 - 1 AS DOUBLE) / 10"),
-     ("alt_score", "CAST(event_id % 7 AS DOUBLE) / 5")],
-]
-
-
-@register("validate_scores", f"""
-SELECT event_id, CASE WHEN primary_score < 0 OR primary_score > 1 THEN 'Primary score must be between 0.0 and 1.0'
-  WHEN alt_score > 1 THEN 'Score for alt must be between 0.0 and 1.0' END AS score_error
-FROM ({fx.sql_select('events', VALIDATE_INPUT)})""")
-def q_validate_scores(spark, d):
-    ev = fx.build(spark, d, "events", VALIDATE_INPUT)
-    sec = F.create_map(F.lit("alt"), F.col("alt_score"))
-    return ev.select("event_id", C.score_error("primary_score", sec).alias("score_error"))
-
-
-# ===========================================================================
-# Requests, prompt, text
-# ===========================================================================
-
-@register("truncate_text", """
-SELECT doc_id, md5(substring(text, 1, 3000)) AS head_md5, CAST(length(substring(text, 1, 3000)) AS INTEGER) AS head_chars
-FROM documents""")
-def q_truncate_text(spark, d):
-    t = TX.truncate_text("text")
-    return spark.read.parquet(f"{d}/documents.parquet").select(
-        "doc_id", F.md5(t).alias("head_md5"), F.length(t).alias("head_chars"))
-
-
-PROMPT_FRAME_SQL = (S.PROMPT_HEAD + ", ".join(S.OFFERED_TYPES) + S.PROMPT_MIDDLE).replace("'", "''")
-PROMPT_TAIL_SQL = S.PROMPT_TAIL.replace("'", "''")
-
-
-@register("build_prompt", f"""
-SELECT request_key, md5(p) AS prompt_md5, CAST(length(p) AS INTEGER) AS prompt_chars FROM (
-  SELECT request_key, '{PROMPT_FRAME_SQL}' || substring(document_content, 1, 3000) || '{PROMPT_TAIL_SQL}' AS p
-  FROM {REQ})""")
-def q_build_prompt(spark, d):
-    p = TX.build_prompt(X.resolve_text("document_content"))
-    return fx.requests_fx(spark, d).select("request_key", F.md5(p).alias("prompt_md5"),
-                                           F.length(p).alias("prompt_chars"))
-
-
-@register("previews", """
-SELECT doc_id, substring(text, 1, 50) AS text_preview, substring(text, 1, 100) AS reasoning_preview,
-  substring(text, 1, 200) AS output_preview FROM documents""")
-def q_previews(spark, d):
-    return spark.read.parquet(f"{d}/documents.parquet").select(
-        "doc_id", TX.preview("text", 50).alias("text_preview"), TX.preview("text", 100).alias("reasoning_preview"),
-        TX.preview("text", 200).alias("output_preview"))
-
-
-@register("requests_from_text", """
-SELECT CASE WHEN doc_id % 2 = 0 THEN 'doc_' || CAST(doc_id AS VARCHAR) ELSE 'text-input' END AS document_id,
-  'direct://text-input' AS document_uri, md5(text) AS content_md5, lang FROM documents""")
-def q_requests_from_text(spark, d):
-    docs = spark.read.parquet(f"{d}/documents.parquet").select(
-        F.when(F.col("doc_id") % 2 == 0, F.concat(F.lit("doc_"), F.col("doc_id").cast("string"))).alias("id"),
-        "text", "lang")
-    r = RQ.requests_from_text(docs, "text", "id")
-    return r.select("document_id", "document_uri", F.md5("document_content").alias("content_md5"), "lang")
-
-
-@register("source_dispatch", f"""
-SELECT request_key, CASE WHEN doc_id % 13 = 0 THEN NULL ELSE source_type END AS route,
-  CASE WHEN doc_id % 13 = 0 THEN 'Unsupported source type: ftp' END AS dispatch_error FROM {REQ}""")
-def q_source_dispatch(spark, d):
-    r = fx.requests_fx(spark, d).withColumn(
-        "source_type", F.when(F.col("doc_id") % 13 == 0, F.lit("ftp")).otherwise(F.col("source_type")))
-    return RQ.dispatch_sources(r).select("request_key", "route", "dispatch_error")
-
-
-@register("validate_requests", f"""
-SELECT request_key, CASE WHEN doc_id % 29 = 0 THEN 'Document ID is required'
-  WHEN doc_id % 31 = 0 THEN 'Document URI is required' END AS request_error FROM {REQ}""")
-def q_validate_requests(spark, d):
-    r = fx.requests_fx(spark, d).select(
-        "request_key",
-        F.when(F.col("doc_id") % 29 == 0, F.lit("")).otherwise(F.col("document_id")).alias("document_id"),
-        F.when(F.col("doc_id") % 31 == 0, F.lit("")).otherwise(F.col("source")).alias("document_uri"))
-    return RQ.validate_requests(r).select("request_key", "request_error")
-
-
-@register("request_from_json", f"""
-SELECT CASE WHEN doc_id % 5 = 0 THEN '' ELSE document_id END AS document_id, source AS document_uri,
-  '{{}}' AS document_metadata, '{{}}' AS classification_config,
-  CASE WHEN doc_id % 3 = 0 THEN 'user' || CAST(doc_id % 7 AS VARCHAR) END AS requester_id FROM {REQ}""")
-def q_request_from_json(spark, d):
-    r = fx.requests_fx(spark, d)
-    rec = F.struct(
-        F.when(F.col("doc_id") % 5 != 0, F.col("document_id")).alias("document_id"),
-        F.col("source").alias("document_uri"),
-        F.when(F.col("doc_id") % 3 == 0, F.concat(F.lit("user"), (F.col("doc_id") % 7).cast("string")))
-         .alias("requester_id"))
-    j = r.select(F.to_json(rec).alias("value"))
-    return RQ.request_from_json(j).select("document_id", "document_uri", "document_metadata",
-                                          "classification_config", "requester_id")
-
-
-@register("request_to_json", f"""
-SELECT '{{"document_id":"' || document_id || '","document_uri":"' || source || '","document_content":"' || lang
-  || '","document_metadata":{{"size":' || CAST(n_chars AS VARCHAR) || '}},"classification_config":{{}},'
-  || '"requester_id":null}}' AS request_json FROM {REQ}""")
-def q_request_to_json(spark, d):
-    r = fx.requests_fx(spark, d).select(
-        "document_id", F.col("source").alias("document_uri"), F.col("lang").alias("document_content"),
-        F.concat(F.lit('{"size":'), F.col("n_chars").cast("string"), F.lit("}")).alias("document_metadata"),
-        F.lit(None).cast("string").alias("classification_config"),
-        F.lit(None).cast("string").alias("requester_id"))
-    return RQ.request_to_json(r).select("request_json")
-
-
-@register("run_options", f"""
-SELECT request_key, 'claude-3-haiku' AS model, 'us-west-2' AS region, 120 AS timeout FROM {REQ}""")
-def q_run_options(spark, d):
-    r = fx.requests_fx(spark, d).withColumn("model", F.lit("row-model"))
-    return RQ.with_run_options(r, model="claude-3-haiku", region="us-west-2", timeout=120).select(
-        "request_key", "model", "region", "timeout")
-
-
-# ===========================================================================
-# Paths and routing
-# ===========================================================================
-
-@register("parse_uri", f"""
-SELECT request_key,
-  CASE WHEN source_type = 's3' THEN split_part(substring(source, 6), '/', 1) END AS bucket,
-  CASE WHEN source_type = 's3' THEN lang || '/doc_' || CAST(doc_id AS VARCHAR) || '.' || ext END AS key,
-  CASE WHEN source_type = 's3' THEN NULL ELSE 'Invalid S3 URI: ' || source END AS uri_error FROM {REQ}""")
-def q_parse_uri(spark, d):
-    u = P.parse_s3_uri("source")
-    return fx.requests_fx(spark, d).select("request_key", u.bucket.alias("bucket"), u.key.alias("key"),
-                                           u.error.alias("uri_error"))
-
-
-@register("document_stem", f"""
-SELECT request_key, CASE WHEN source_type = 'text' THEN 'text-input' ELSE document_id END AS stem,
-  CASE WHEN source_type = 'text' THEN '' ELSE '.' || ext END AS suffix FROM {REQ}""")
-def q_document_stem(spark, d):
-    return fx.requests_fx(spark, d).select("request_key", P.path_stem("source").alias("stem"),
-                                           P.path_suffix("source").alias("suffix"))
-
-
-@register("pattern_filter", f"""
-SELECT request_key FROM {REQ}
-WHERE (source_type = 's3' AND source LIKE 's3://src1%' AND ext = 'pdf')
-   OR (source_type = 'local' AND ext = 'md' AND CAST(doc_id AS VARCHAR) LIKE '1%')""")
-def q_pattern_filter(spark, d):
-    r = fx.requests_fx(spark, d)
-    key = F.regexp_replace("source", "^s3://", "")
-    s3 = (F.col("source_type") == "s3") & P.prefix_match("source", "s3://src1") & P.key_pattern_match(key, "*.pdf")
-    local = (F.col("source_type") == "local") & P.name_glob_match("source", "doc_1*.md")
-    return r.where(s3 | local).select("request_key")
-
-
-@register("route_by_suffix", f"""
-SELECT request_key, CASE WHEN source_type = 'text' THEN 'other' WHEN ext = 'pdf' THEN 'pdf'
-  WHEN ext IN ('txt', 'md') THEN 'text' WHEN ext = 'docx' THEN 'docx' WHEN ext IN ('jpg', 'TIFF') THEN 'image'
-  ELSE 'other' END AS extractor FROM {REQ}""")
-def q_route_by_suffix(spark, d):
-    return fx.requests_fx(spark, d).select("request_key", X.route_by_suffix("source").alias("extractor"))
-
-
-@register("resolve_text", f"""
-SELECT request_key, md5(document_content) AS text_md5, CAST(length(document_content) AS INTEGER) AS text_chars,
-  doc_id % 11 = 0 AS was_empty FROM {REQ}""")
-def q_resolve_text(spark, d):
-    r = fx.requests_fx(spark, d)
-    t = X.resolve_text("document_content", F.lit(None).cast("string"))
-    return r.select("request_key", F.md5(t).alias("text_md5"), F.length(t).alias("text_chars"),
-                    (F.col("document_content") == "").alias("was_empty"))
-
-
-@register("ocr_lines", """
-SELECT doc_id, md5(text) AS text_md5 FROM documents""")
-def q_ocr_lines(spark, d):
-    docs = spark.read.parquet(f"{d}/documents.parquet")
-    lines = F.transform(F.split(F.col("text"), "\n", -1),
-                        lambda x: F.struct(F.lit("LINE").alias("BlockType"), x.alias("Text")))
-    page = F.array(F.struct(F.lit("PAGE").alias("BlockType"), F.lit(None).cast("string").alias("Text")))
-    word = F.array(F.struct(F.lit("WORD").alias("BlockType"),
-                            F.regexp_extract("text", r"^(\S*)", 1).alias("Text")))
-    resp = docs.select("doc_id", F.to_json(F.struct(F.concat(page, lines, word).alias("Blocks"))).alias("resp"))
-    blocks = F.from_json("resp", f"struct<Blocks:{S.OCR_BLOCKS_TYPE.simpleString()}>").Blocks
-    return resp.select("doc_id", F.md5(X.ocr_lines(blocks)).alias("text_md5"))
-
-
-def _flaky_service(data: bytes) -> str:
-    """Stand-in OCR service: refuses payloads whose size is a multiple of 5."""
-    if len(data) % 5 == 0:
-        raise RuntimeError("service unavailable")
-    return data.decode("utf-8")
-
-
-def _local_decoder(data: bytes) -> str:
-    return data.decode("utf-8")
-
-
-@register("extractor_fallback", """
-SELECT doc_id, CASE WHEN octet_length(encode(text)) % 5 = 0 THEN 'local' ELSE 'service' END AS extractor,
-  md5(text) AS text_md5, CASE WHEN octet_length(encode(text)) % 5 = 0 THEN 1 ELSE 0 END AS failures
-FROM documents""")
-def q_extractor_fallback(spark, d):
-    docs = spark.read.parquet(f"{d}/documents.parquet").select("doc_id", F.encode("text", "UTF-8").alias("content"))
-    out = X.extract_with_fallback(docs, [_flaky_service, _local_decoder], names=["service", "local"])
-    return out.select("doc_id", "extractor", F.md5("text").alias("text_md5"),
-                      F.size("extraction_errors").alias("failures"))
-
-
-# ===========================================================================
-# Look-ups and dimensions
-# ===========================================================================
-
-@register("model_alias", f"""
-SELECT r.event_id, r.model, coalesce(a.alias, r.model) AS model_alias
-FROM {RES} r LEFT JOIN {ALIASES} a ON r.model = a.model""")
-def q_model_alias(spark, d):
-    return CAT.with_model_alias(fx.results_fx(spark, d)).select("event_id", "model", "model_alias")
-
-
-@register("model_id", f"""
-SELECT r.event_id, coalesce(c.model_id, coalesce(a.alias, r.model)) AS model_id
-FROM {RES} r LEFT JOIN {ALIASES} a ON r.model = a.model LEFT JOIN {CATALOG} c ON coalesce(a.alias, r.model) = c.alias""")
-def q_model_id(spark, d):
-    return CAT.with_model_id(CAT.with_model_alias(fx.results_fx(spark, d))).select("event_id", "model_id")
-
-
-@register("model_catalog", f"""
-SELECT coalesce(a.alias, r.model) AS model_alias, c.name AS model_name, c.cost AS model_cost,
-  c.speed AS model_speed, CAST(count(*) AS BIGINT) AS runs
-FROM {RES} r LEFT JOIN {ALIASES} a ON r.model = a.model LEFT JOIN {CATALOG} c ON coalesce(a.alias, r.model) = c.alias
-GROUP BY 1, 2, 3, 4""")
-def q_model_catalog(spark, d):
-    per = CAT.with_model_alias(fx.results_fx(spark, d)).groupBy("model_alias").agg(F.count(F.lit(1)).alias("runs"))
-    return CAT.with_model_attributes(per).select("model_alias", "model_name", "model_cost", "model_speed", "runs")
-
-
-@register("type_families", f"""
-SELECT t.family, CAST(count(*) AS BIGINT) AS n FROM {RES} r JOIN {TYPES} t ON r.document_type = t.document_type
-WHERE r.status = 'success' GROUP BY 1""")
-def q_type_families(spark, d):
-    ok = fx.results_fx(spark, d).where(F.col("status") == "success")
-    per = ok.groupBy("document_type").agg(F.count(F.lit(1)).alias("n"))
-    return CAT.with_type_family(per).groupBy("family").agg(F.sum("n").cast("bigint").alias("n"))
-
-
-@register("document_types", f"""
-SELECT exp_type AS document_type, CAST(count(*) AS BIGINT) AS n FROM {EXPECTED}
-WHERE exp_status = 'success' AND exp_type IN (SELECT document_type FROM {TYPES}) GROUP BY 1""")
-def q_document_types(spark, d):
-    res = classified(spark, d).where(F.col("status") == "success")
-    per = res.groupBy(F.col("predicted_type").alias("document_type")).agg(F.count(F.lit(1)).alias("n"))
-    return CAT.with_type_family(per).where(F.col("family").isNotNull()).select("document_type", "n")
-
-
-MATRIX_MODELS = ["nova-lite", "claude-haiku", "claude-sonnet"]
-
-
-@register("case_model_matrix", f"""
-SELECT item_id, m.model FROM benchmark, (VALUES ('nova-lite'), ('claude-haiku'), ('claude-sonnet')) AS m(model)""")
-def q_case_model_matrix(spark, d):
-    cases = spark.read.parquet(f"{d}/benchmark.parquet").select("item_id")
-    return R.case_model_matrix(cases, MATRIX_MODELS)
-
-
-@register("expectation_check", f"""
-SELECT request_key, exp_type = t AS type_matches, exp_score < 0.8 AS under_ceiling FROM {EXPECTED}""")
-def q_expectation_check(spark, d):
-    expected = fx.build(spark, d, "documents", fx.ANSWER_LAYERS).select(
-        "request_key", F.col("t").alias("expected_type"), F.lit(0.8).alias("score_ceiling"))
-    # expectations ride along with the requests: one shuffle on request_key serves both joins
-    req = fx.requests_fx(spark, d).join(expected, "request_key", "inner")
-    res = classify(req, recorded_scorer(fx.answers_fx(spark, d)), model=MODEL_ID)
-    out = R.expectation_check(res, None, "request_key")
-    return out.select("request_key", "type_matches", "under_ceiling")
-
-
-# ===========================================================================
-# Reports over batch results
-# ===========================================================================
-
-@register("batch_totals", f"""
-SELECT CAST(count(*) AS BIGINT) AS total, CAST(count_if(status = 'success') AS BIGINT) AS successful,
-  CAST(count_if(status = 'error') AS BIGINT) AS errors, CAST(count_if(status = 'timeout') AS BIGINT) AS timeouts,
-  round(100.0 * count_if(status = 'success') / count(*), 6) AS success_pct,
-  round(100.0 * count_if(status = 'error') / count(*), 6) AS error_pct,
-  round(100.0 * count_if(status = 'timeout') / count(*), 6) AS timeout_pct FROM {RES}""")
-def q_batch_totals(spark, d):
-    t = R.batch_totals(fx.results_fx(spark, d))
-    return t.select("total", "successful", "errors", "timeouts", r6("success_pct"), r6("error_pct"),
-                    r6("timeout_pct"))
-
-
-@register("avg_time", f"""
-SELECT round(coalesce(avg(processing_time_ms), 0), 6) AS avg_time_ms FROM {RES}""")
-def q_avg_time(spark, d):
-    return R.avg_time(fx.results_fx(spark, d)).select(r6("avg_time_ms"))
-
-
-@register("result_type_distribution", f"""
-SELECT document_type, n, round(100.0 * n / sum(n) OVER (), 6) AS share_pct FROM (
-  SELECT coalesce(document_type, 'unknown') AS document_type, CAST(count(*) AS BIGINT) AS n FROM {RES}
-  WHERE status = 'success' GROUP BY 1)""")
-def q_result_type_distribution(spark, d):
-    return R.type_distribution(fx.results_fx(spark, d)).withColumn("share_pct", F.round("share_pct", 6))
-
-
-@register("confidence_bands", f"""
-SELECT CAST(count_if(status = 'success' AND coalesce(confidence, 0) >= 0.8) AS BIGINT) AS high,
-  CAST(count_if(status = 'success' AND coalesce(confidence, 0) >= 0.5 AND coalesce(confidence, 0) < 0.8) AS BIGINT)
-    AS medium,
-  CAST(count_if(status = 'success' AND coalesce(confidence, 0) < 0.5) AS BIGINT) AS low FROM {RES}""")
-def q_confidence_bands(spark, d):
-    return R.confidence_bands(fx.results_fx(spark, d))
-
-
-@register("report_bands", f"""
-SELECT CAST(count_if(ok AND c > 0.8) AS BIGINT) AS high_confidence,
-  CAST(count_if(ok AND c > 0.5 AND c <= 0.8) AS BIGINT) AS medium_confidence,
-  CAST(count_if(ok AND c <= 0.5) AS BIGINT) AS low_confidence
-FROM (SELECT status = 'success' AND document_type IS NOT NULL AS ok, coalesce(confidence, 0) AS c FROM {RES})""")
-def q_report_bands(spark, d):
-    return R.report_bands(fx.results_fx(spark, d))
-
-
-@register("report_totals", f"""
-SELECT CAST(count(*) AS BIGINT) AS processed_count, CAST(count_if(status = 'success') AS BIGINT) AS success_count,
-  CAST(count_if(status <> 'success') AS BIGINT) AS error_count FROM {RES}""")
-def q_report_totals(spark, d):
-    return R.report_totals(fx.results_fx(spark, d))
-
-
-@register("report_types", f"""
-SELECT document_type, CAST(count(*) AS BIGINT) AS n FROM {RES}
-WHERE status = 'success' AND document_type IS NOT NULL GROUP BY 1""")
-def q_report_types(spark, d):
-    m = R.report_types(fx.results_fx(spark, d))
-    return m.select(F.explode("document_types").alias("document_type", "n"))
-
-
-@register("batch_report", f"""
-SELECT CAST(count(*) AS BIGINT) AS processed_count, CAST(count_if(status = 'success') AS BIGINT) AS success_count,
-  CAST(count_if(status <> 'success') AS BIGINT) AS error_count,
-  CAST(count(DISTINCT CASE WHEN status = 'success' THEN document_type END) AS BIGINT) AS types,
-  CAST(count_if(status = 'success' AND confidence > 0.8) AS BIGINT) AS high_confidence FROM {RES}""")
-def q_batch_report(spark, d):
-    r = R.batch_report(fx.results_fx(spark, d))
-    return r.select(F.col("batch_summary.processed_count").alias("processed_count"),
-                    F.col("batch_summary.success_count").alias("success_count"),
-                    F.col("batch_summary.error_count").alias("error_count"),
-                    F.size("document_types").cast("bigint").alias("types"),
-                    F.col("confidence_stats.high_confidence").alias("high_confidence"))
-
-
-@register("dashboard", f"""
-SELECT CAST(count(*) AS BIGINT) AS total, CAST(count_if(status = 'success') AS BIGINT) AS success,
-  CAST(count(*) - count_if(status = 'success') AS BIGINT) AS errors,
-  round(avg(coalesce(processing_time_ms, 0)), 6) AS avg_time_ms,
-  round(100.0 * count_if(status = 'success') / count(*), 6) AS success_pct,
-  round(100.0 * (count(*) - count_if(status = 'success')) / count(*), 6) AS error_pct FROM {RES}""")
-def q_dashboard(spark, d):
-    t = R.dashboard(fx.results_fx(spark, d))
-    return t.select("total", "success", "errors", r6("avg_time_ms"), r6("success_pct"), r6("error_pct"))
-
-
-@register("cost_estimate", f"""
-SELECT r.model, CAST(r.documents AS BIGINT) AS documents, CAST(r.documents * 1000 AS BIGINT) AS estimated_tokens,
-  p.price_per_1k, round(r.documents * 1000 / 1000.0 * p.price_per_1k, 6) AS estimated_cost
-FROM (SELECT model, count_if(status = 'success') AS documents FROM {RES} GROUP BY 1) r
-LEFT JOIN {PRICES} p ON r.model = p.model""")
-def q_cost_estimate(spark, d):
-    c = R.cost_estimate(fx.results_fx(spark, d), S.model_prices(spark))
-    return c.select("model", "documents", "estimated_tokens", "price_per_1k", r6("estimated_cost"))
-
-
-@register("throughput", f"""
-SELECT CAST(count(*) AS BIGINT) AS documents, round((epoch_us(max(timestamp)) - epoch_us(min(timestamp))) / 1e6, 6)
-  AS elapsed_s, round(count(*) / ((epoch_us(max(timestamp)) - epoch_us(min(timestamp))) / 1e6), 6) AS docs_per_s
-FROM {RES}""")
-def q_throughput(spark, d):
-    t = R.throughput(fx.results_fx(spark, d))
-    return t.select("documents", r6("elapsed_s"), r6("docs_per_s"))
-
-
-@register("batch_outcome", f"""
-SELECT status, CASE WHEN count(*) > 0 AND count_if(status <> 'success') = 0 THEN 0 ELSE 1 END AS exit_code
-FROM {RES} GROUP BY status""")
-def q_batch_outcome(spark, d):
-    return R.batch_outcome(fx.results_fx(spark, d), by=["status"])
-
-
-@register("model_availability", f"""
-SELECT status, CAST(count(DISTINCT model) AS BIGINT) AS models, string_agg(DISTINCT model, ',' ORDER BY model)
-  AS model_names FROM {RES} GROUP BY status""")
-def q_model_availability(spark, d):
-    return R.model_availability(fx.results_fx(spark, d))
-
-
-@register("model_benchmark", f"""
-SELECT model, CAST(count(*) AS BIGINT) AS runs, round(avg(processing_time_ms), 6) AS mean_time_ms,
-  round(avg(CASE WHEN status = 'success' THEN 1.0 ELSE 0.0 END), 6) AS success_rate,
-  min(confidence) AS min_score, max(confidence) AS max_score FROM {RES} GROUP BY model""")
-def q_model_benchmark(spark, d):
-    b = R.model_benchmark(fx.results_fx(spark, d))
-    return b.select("model", "runs", r6("mean_time_ms"), r6("success_rate"), "min_score", "max_score")
-
-
-@register("fastest_model", f"""
-SELECT model, round(avg(processing_time_ms), 6) AS mean_time_ms FROM {RES} WHERE processing_time_ms IS NOT NULL
-GROUP BY model ORDER BY avg(processing_time_ms), model LIMIT 1""")
-def q_fastest_model(spark, d):
-    return R.fastest_model(fx.results_fx(spark, d)).select("model", r6("mean_time_ms"))
-
-
-@register("working_models", f"""
-SELECT DISTINCT model FROM {RES} WHERE status = 'success' ORDER BY model LIMIT 3""")
-def q_working_models(spark, d):
-    return R.first_working_models(fx.results_fx(spark, d), 3)
-
-
-@register("max_docs", f"""
-SELECT request_key FROM {REQ} ORDER BY source, request_key LIMIT 25""")
-def q_max_docs(spark, d):
-    return R.max_docs(fx.requests_fx(spark, d), 25, order=["source", "request_key"]).select("request_key")
-
-
-@register("chunk", f"""
-SELECT request_key FROM {REQ} ORDER BY source, request_key LIMIT 20 OFFSET 10""")
-def q_chunk(spark, d):
-    return R.chunk(fx.requests_fx(spark, d), 10, 20, order=["source", "request_key"]).select("request_key")
-
-
-@register("retry_list", f"""
-SELECT source AS value FROM {RES} WHERE status <> 'success'""")
-def q_retry_list(spark, d):
-    return R.retry_list(fx.results_fx(spark, d))
-
-
-@register("union_sources", f"""
-SELECT document_id, source, source_type,
-  CASE WHEN source_type = 's3' THEN split_part(substring(source, 6), '/', 1) END AS bucket,
-  CASE WHEN source_type = 's3' THEN lang || '/doc_' || CAST(doc_id AS VARCHAR) || '.' || ext END AS key,
-  CASE WHEN source_type = 'local' THEN source END AS file_path
-FROM {REQ} WHERE source_type IN ('s3', 'local')""")
-def q_union_sources(spark, d):
-    r = fx.requests_fx(spark, d)
-    u = P.parse_s3_uri("source")
-    s3 = r.where(F.col("source_type") == "s3").select(
-        "document_id", "source", "source_type", u.bucket.alias("bucket"), u.key.alias("key"))
-    local = r.where(F.col("source_type") == "local").select(
-        "document_id", "source", "source_type", F.col("source").alias("file_path"))
-    return s3.unionByName(local, allowMissingColumns=True).select(
-        "document_id", "source", "source_type", "bucket", "key", "file_path")
-
-
-# ===========================================================================
-# Result records
-# ===========================================================================
-
-ISO_SQL = ("CASE WHEN epoch_us({t}) % 1000000 <> 0 THEN strftime({t}, '%Y-%m-%dT%H:%M:%S.%f') || '+00:00' "
-           "ELSE strftime({t}, '%Y-%m-%dT%H:%M:%S') || '+00:00' END")
-
-
-@register("result_uri", f"""
-SELECT document_id,
-  's3://out-bucket/classification-results/classified/' || strftime(timestamp, '%Y/%m/%d/%H') || '/' || document_id
-    || '/result.json' AS result_uri,
-  's3://out-bucket/classification-results/metadata/' || strftime(timestamp, '%Y/%m/%d') || '/' || document_id
-    || '/processing.json' AS metadata_uri,
-  strftime(timestamp, '%Y') AS year, strftime(timestamp, '%m') AS month, strftime(timestamp, '%d') AS day,
-  strftime(timestamp, '%H') AS hour FROM {RES}""")
-def q_result_uri(spark, d):
-    r = W.with_result_location(fx.results_fx(spark, d), "classification-results/", "out-bucket")
-    return r.select("document_id", "result_uri", "metadata_uri", "year", "month", "day", "hour")
-
-
-@register("result_to_json", f"""
-SELECT event_id, '{{"document_id":"' || document_id || '","predicted_type":"' || document_type
-  || '","confidence":{{"primary_score":' || CAST(confidence AS VARCHAR) || ',"secondary_scores":{{}},'
-  || '"threshold":0.7,"is_confident":' || CASE WHEN confidence >= 0.7 THEN 'true' ELSE 'false' END
-  || ',"confidence_level":"' || {LEVEL_SQL.format(s='confidence')} || '"}},"reasoning":null,'
-  || '"extracted_features":{{}},"processing_time_ms":'
-  || coalesce(CAST(CAST(floor(processing_time_ms) AS BIGINT) AS VARCHAR), 'null')
-  || ',"model_used":"' || model || '","timestamp":"' || {ISO_SQL.format(t='timestamp')} || '"}}' AS result_json
-FROM {RES} WHERE status = 'success'""")
-def q_result_to_json(spark, d):
-    from ..functions.results import result_to_json
-    r = fx.results_fx(spark, d).where(F.col("status") == "success").select(
-        "event_id", "document_id", F.col("document_type").alias("predicted_type"),
-        F.col("confidence").alias("primary_score"), F.create_map().cast("map<string,double>").alias("secondary_scores"),
-        F.lit(0.7).alias("threshold"), F.lit(None).cast("string").alias("reasoning"),
-        F.lit("{}").alias("extracted_features"),
-        F.floor("processing_time_ms").cast("bigint").alias("processing_time_ms"),
-        F.col("model").alias("model_used"), "timestamp")
-    return r.select("event_id", result_to_json().alias("result_json"))
-
-
-RECORD_INPUT = [
-    [("rec", "'{\"document_id\": \"' || CASE WHEN event_id % 50 = 0 THEN '' ELSE 'doc_' || CAST(event_id AS STRING) END"
-             " || '\", \"predicted_type\": \"' || CASE WHEN event_id % 9 = 0 THEN 'INVOICE' WHEN event_id % 9 = 1"
-             " THEN 'memo' ELSE 'report' END || '\", \"confidence\": {\"primary_score\": 0.' ||"
-             " lpad(CAST(event_id % 100 AS STRING), 2, '0') || '}, \"timestamp\": \"2024-01-0' ||"
-             " CAST(event_id % 9 + 1 AS STRING) || 'T10:00:00' || CASE WHEN event_id % 2 = 0 THEN 'Z' ELSE"
-             " '+00:00' END || '\"}'")],
-]
-
-
-@register("result_from_json", f"""
-SELECT event_id, CASE WHEN event_id % 50 = 0 THEN '' ELSE 'doc_' || CAST(event_id AS VARCHAR) END AS document_id,
-  CASE WHEN event_id % 9 = 0 THEN NULL WHEN event_id % 9 = 1 THEN 'memo' ELSE 'report' END AS predicted_type,
-  CAST(event_id % 100 AS DOUBLE) / 100 AS primary_score, CAST(0.7 AS DOUBLE) AS threshold,
-  '2024-01-0' || CAST(event_id % 9 + 1 AS VARCHAR) || ' 10:00:00' AS ts_text,
-  CASE WHEN event_id % 9 = 0 THEN '''INVOICE'' is not a valid DocumentType'
-       WHEN event_id % 50 = 0 THEN 'Document ID is required' END AS record_error
-FROM events""")
-def q_result_from_json(spark, d):
-    from ..functions.results import result_from_json, utc_wall
-    ev = fx.build(spark, d, "events", RECORD_INPUT)
-    r = result_from_json(ev, "rec")
-    return r.select("event_id", "document_id", "predicted_type", F.col("confidence.primary_score").alias("primary_score"),
-                    F.col("confidence.threshold").alias("threshold"),
-                    F.date_format(utc_wall("timestamp"), "yyyy-MM-dd HH:mm:ss").alias("ts_text"), "record_error")
-
-
-@register("validate_results", """
-SELECT event_id, CASE WHEN event_id % 50 = 0 THEN 'Document ID is required' END AS result_error FROM events""")
-def q_validate_results(spark, d):
-    from ..functions.results import result_error
-    ev = spark.read.parquet(f"{d}/events.parquet").select(
-        "event_id", F.when(F.col("event_id") % 50 == 0, F.lit("")).otherwise(
-            F.concat(F.lit("doc_"), F.col("event_id").cast("string"))).alias("document_id"))
-    return ev.select("event_id", result_error("document_id").alias("result_error"))
-
-
-@register("summary_projection", f"""
-SELECT document_id, source, status, CASE WHEN status = 'success' THEN document_type END AS document_type,
-  CASE WHEN status = 'success' THEN CAST(confidence AS VARCHAR) END AS confidence,
-  CASE WHEN status = 'success' THEN {LEVEL_SQL.format(s='confidence')} END AS confidence_level,
-  CAST(processing_time_ms AS VARCHAR) AS processing_time_ms, {ISO_SQL.format(t='timestamp')} AS timestamp
-FROM {RES}""")
-def q_summary_projection(spark, d):
-    path = scratch_dir(spark, "summary-csv")
-    W.write_summary_csv(fx.results_fx(spark, d), path)
-    return spark.read.option("header", "true").option("inferSchema", "false").csv(path)
-
-
-@register("metadata_rows", f"""
-SELECT document_id, source AS source_uri, {ISO_SQL.format(t='timestamp')} AS processing_start,
-  processing_time_ms AS processing_duration_ms, '{MODEL_ID}' AS bedrock_model,
-  CAST(0.7 AS DOUBLE) AS confidence_threshold,
-  CASE WHEN status = 'success' THEN 'completed' ELSE status END AS status, strftime(timestamp, '%d') AS day
-FROM {RES}""")
-def q_metadata_rows(spark, d):
-    path = scratch_dir(spark, "metadata-by-day")
-    res = fx.results_fx(spark, d)
-    meta = W.metadata_rows(res, MODEL_ID, keep=["timestamp"])
-    W.write_by_day(meta.drop("textract_pages"), path)
-    back = spark.read.schema(
-        "document_id string, source_uri string, processing_start string, processing_duration_ms double, "
-        "bedrock_model string, confidence_threshold double, status string, timestamp timestamp, "
-        "year string, month string, day string").json(path)
-    return back.select("document_id", "source_uri", "processing_start", "processing_duration_ms", "bedrock_model",
-                       "confidence_threshold", "status", "day")
-
-
-# ===========================================================================
-# Scorers: offline evidence (K3) and a callable run by mapInPandas (K1, K6, K7)
-# ===========================================================================
-
-LEXICON = _values(fx.LEXICON_ROWS, ["document_type", "term", "weight"])
-LEXICON_SQL = f"""
-WITH tok AS (SELECT doc_id, unnest(regexp_extract_all(lower(text), '[a-z]+')) AS term FROM documents),
-ev AS (SELECT doc_id, document_type, sum(weight) AS w FROM tok JOIN {LEXICON} l USING (term) GROUP BY 1, 2),
-tot AS (SELECT doc_id, sum(w) AS total FROM ev GROUP BY 1),
-best AS (SELECT doc_id, document_type, w FROM (SELECT *, row_number() OVER (PARTITION BY doc_id
-         ORDER BY w DESC, document_type DESC) AS rn FROM ev) WHERE rn = 1),
-kt AS (SELECT doc_id, count(DISTINCT term) AS k FROM tok WHERE term IN (SELECT term FROM {LEXICON}) GROUP BY 1),
-scored AS (
-  SELECT d.doc_id, d.lang, coalesce(b.document_type, 'unknown') AS predicted_type,
-    round(coalesce(b.w / t.total, 0.0), 6) AS primary_score, coalesce(t.total, 0.0) AS evidence,
-    CAST(coalesce(kt.k, 0) AS BIGINT) AS n_key_terms
-  FROM documents d LEFT JOIN best b USING (doc_id) LEFT JOIN tot t USING (doc_id) LEFT JOIN kt USING (doc_id))
-"""
-
-
-def _lexicon_scored(spark, d):
-    docs = spark.read.parquet(f"{d}/documents.parquet").select("doc_id", "lang", "text")
-    return lexicon_score(docs, fx.LEXICON_ROWS)
-
-
-@register("lexicon_score", LEXICON_SQL + """
-SELECT doc_id, predicted_type, primary_score, evidence, n_key_terms FROM scored""")
-def q_lexicon_score(spark, d):
-    s = _lexicon_scored(spark, d)
-    return s.select("doc_id", "predicted_type", r6("primary_score"), "evidence",
-                    F.size("key_terms").cast("bigint").alias("n_key_terms"))
-
-
-@register("lexicon_accuracy", LEXICON_SQL + """
-SELECT CAST(count(*) AS BIGINT) AS documents, CAST(count_if(predicted_type = lang) AS BIGINT) AS correct,
-  CAST(count_if(predicted_type = 'unknown') AS BIGINT) AS no_evidence,
-  CAST(count_if(predicted_type <> lang AND predicted_type <> 'unknown') AS BIGINT) AS wrong,
-  round(count_if(predicted_type = lang) / count(*), 6) AS accuracy FROM scored""")
-def q_lexicon_accuracy(spark, d):
-    s = _lexicon_scored(spark, d)
-    p = F.col("predicted_type")
-    return s.agg(F.count(F.lit(1)).alias("documents"), F.count_if(p == F.col("lang")).alias("correct"),
-                 F.count_if(p == "unknown").alias("no_evidence"),
-                 F.count_if((p != F.col("lang")) & (p != "unknown")).alias("wrong"),
-                 F.round(F.count_if(p == F.col("lang")) / F.count(F.lit(1)), 6).alias("accuracy"))
-
-
-def rule_scorer(prompt: str) -> str:
-    """A deterministic stand-in for a remote model, keyed on the prompt length."""
-    import json
-
-    from ..operators.score import ScorerApiError
-    n = len(prompt)
-    if n % 23 == 0:
-        raise ScorerApiError("ThrottlingException: rate exceeded")
-    if n % 29 == 0:
-        raise ValueError("connection reset")
-    return json.dumps({"predicted_type": S.OFFERED_TYPES[n % 10], "confidence_score": (n % 101) / 100,
-                       "reasoning": f"length {n}"})
-
-
-PROMPT_FIXED_CHARS = len(S.PROMPT_HEAD + ", ".join(S.OFFERED_TYPES) + S.PROMPT_MIDDLE + S.PROMPT_TAIL)
-TYPE_BY_N = fx._case_list("n % 10", S.OFFERED_TYPES)
-
-
-@register("classify_callable", f"""
-SELECT request_key,
-  CASE WHEN n % 23 = 0 THEN 'api' WHEN n % 29 = 0 THEN 'batch' ELSE 'ok' END AS stage,
-  CASE WHEN n % 23 <> 0 AND n % 29 = 0 THEN 'error' ELSE 'success' END AS status,
-  CASE WHEN n % 23 = 0 OR n % 29 = 0 THEN 'unknown' ELSE {TYPE_BY_N} END AS predicted_type,
-  CASE WHEN n % 23 = 0 OR n % 29 = 0 THEN CAST(0.0 AS DOUBLE) ELSE CAST(n % 101 AS DOUBLE) / 100 END
-    AS primary_score,
-  CASE WHEN n % 23 = 0 THEN 'Classification failed due to API error: ThrottlingException: rate exceeded'
-       WHEN n % 29 = 0 THEN 'Batch processing failed: connection reset'
-       ELSE 'length ' || CAST(n AS VARCHAR) END AS reasoning
-FROM (SELECT request_key, {PROMPT_FIXED_CHARS} + length(substring(document_content, 1, 3000)) AS n FROM {REQ})""")
-def q_classify_callable(spark, d):
-    from ..operators.score import function_scorer
-    res = classify(fx.requests_fx(spark, d), function_scorer(rule_scorer, partitions=8), model=MODEL_ID)
-    return res.select("request_key", "stage", "status", "predicted_type", "primary_score", "reasoning")
-
-
-# ===========================================================================
-# Sources and sinks through files
-# ===========================================================================
-
-@register("file_list_csv", f"""
-SELECT document_id, source_type, source,
-  CASE WHEN source_type = 's3' THEN split_part(substring(source, 6), '/', 1) END AS bucket,
-  CASE WHEN source_type = 's3' THEN lang || '/doc_' || CAST(doc_id AS VARCHAR) || '.' || ext END AS key,
-  CASE WHEN source_type = 'local' THEN source END AS file_path FROM {REQ}""")
-def q_file_list_csv(spark, d):
-    path = scratch_dir(spark, "file-list-csv")
-    u = P.parse_s3_uri("source")
-    s3 = F.col("source_type") == "s3"
-    (fx.requests_fx(spark, d).select(
-        "document_id", "source_type", "source", F.when(s3, u.bucket).alias("bucket"),
-        F.when(s3, u.key).alias("key"),
-        F.when(F.col("source_type") == "local", F.col("source")).alias("file_path"))
-     .write.option("header", "true").csv(path))
-    return D.read_file_list_csv(spark, path).select("document_id", "source_type", "source", "bucket", "key",
-                                                    "file_path")
-
-
-@register("file_list_json", f"""
-SELECT document_id, source_type, source, CAST(n_chars AS BIGINT) AS size FROM {REQ}""")
-def q_file_list_json(spark, d):
-    path = scratch_dir(spark, "file-list-json")
-    rec = F.to_json(F.struct("document_id", "source_type", "source", F.col("n_chars").alias("size")))
-    grp = (F.col("doc_id") / 500).cast("bigint")
-    arrays = (fx.requests_fx(spark, d).select(grp.alias("grp"), F.col("doc_id"), rec.alias("j"))
-              .groupBy("grp").agg(F.concat(F.lit("["), F.array_join(
-                  F.transform(F.array_sort(F.collect_list(F.struct("doc_id", "j"))), lambda x: x["j"]), ","),
-                  F.lit("]")).alias("value")))
-    arrays.repartition("grp").write.partitionBy("grp").text(path)
-    return D.read_file_list_json(spark, path).select("document_id", "source_type", "source", "size")
-
-
-@register("file_list_text", f"""
-SELECT document_id, source, source_type,
-  CASE WHEN source_type = 's3' THEN split_part(substring(source, 6), '/', 1) END AS bucket,
-  CASE WHEN source_type = 's3' THEN lang || '/doc_' || CAST(doc_id AS VARCHAR) || '.' || ext END AS key,
-  CASE WHEN source_type = 'local' THEN source END AS file_path
-FROM {REQ} WHERE source_type IN ('s3', 'local') AND NOT (source_type = 's3' AND doc_id % 17 = 0)""")
-def q_file_list_text(spark, d):
-    path = scratch_dir(spark, "file-list-text")
-    t = F.col("source_type")
-    line = (F.when((t == "s3") & (F.col("doc_id") % 17 == 0), F.lit("s3://onlybucket"))
-            .when(t == "s3", F.col("source"))
-            .when(t == "local", F.concat(F.lit("  "), F.col("source"), F.lit(" \t")))
-            .when(F.col("doc_id") % 2 == 0, F.concat(F.lit("# skipped "), F.col("document_id")))
-            .otherwise(F.lit("   ")))
-    fx.requests_fx(spark, d).select(line.alias("value")).write.text(path)
-    return D.read_file_list_text(spark, path).select("document_id", "source", "source_type", "bucket", "key",
-                                                     "file_path")
-
-
-@register("write_results_json", f"""
-SELECT document_id, source, status, document_type, confidence,
-  CAST(CASE WHEN status = 'success' AND confidence >= 0.7 THEN 0 WHEN status = 'success' THEN 1
-       WHEN status = 'error' THEN 2 END AS BIGINT) AS cli_exit_code,
-  CASE WHEN status <> 'success' THEN error END AS error FROM {RES}""")
-def q_write_results_json(spark, d):
-    path = scratch_dir(spark, "results-json")
-    W.write_results_json(W.batch_records(fx.results_fx(spark, d)), path)
-    back = D.read_results(spark, path)
-    return back.select("document_id", "source", "status", F.col("classification.document_type").alias("document_type"),
-                       F.col("classification.confidence").alias("confidence"), "cli_exit_code", "error")
-
-
-@register("records_by_hour", f"""
-SELECT strftime(timestamp, '%Y') AS year, strftime(timestamp, '%m') AS month, strftime(timestamp, '%d') AS day,
-  strftime(timestamp, '%H') AS hour, CAST(count(*) AS BIGINT) AS n FROM {RES} GROUP BY 1, 2, 3, 4""")
-def q_records_by_hour(spark, d):
-    path = scratch_dir(spark, "records-by-hour")
-    W.write_by_hour(W.batch_records(fx.results_fx(spark, d)).withColumn(
-        "ts", F.to_timestamp("timestamp")), path, ts="ts")
-    back = spark.read.schema("document_id string, year string, month string, day string, hour string").json(path)
-    return back.groupBy("year", "month", "day", "hour").agg(F.count(F.lit(1)).alias("n"))
-
-
-@register("retry_list_file", f"""
-SELECT source AS value FROM {RES} WHERE status <> 'success'""")
-def q_retry_list_file(spark, d):
-    path = scratch_dir(spark, "retry-list")
-    W.write_retry_list(R.retry_list(fx.results_fx(spark, d)), path)
-    return spark.read.text(path)
-
-
-def _documents_as_files(spark, d) -> str:
-    """Write every document as text files grouped by language (derived input for listings)."""
-    path = scratch_dir(spark, "documents-files")
-    (spark.read.parquet(f"{d}/documents.parquet").select("lang", "text")
-     .repartition(4, "lang").write.partitionBy("lang").text(path))
-    return path
-
-
-LANG_OF_PATH = r"lang=([^/]+)/"
-
-
-@register("scan_directory", """
-SELECT lang, CAST(sum(octet_length(encode(text)) + 1) AS BIGINT) AS bytes FROM documents GROUP BY lang""")
-def q_scan_directory(spark, d):
-    """Every document written as a line of a text file per language, listed back (A2)."""
-    path = _documents_as_files(spark, d)
-    files = D.list_directory(spark, path, pattern="*.txt")
-    return (files.groupBy(F.regexp_extract("file_path", LANG_OF_PATH, 1).alias("lang"))
-            .agg(F.sum("size").alias("bytes")))
-
-
-@register("scan_store", """
-SELECT 'docs' AS bucket, CAST(sum(octet_length(encode(text)) + 1) AS BIGINT) AS bytes FROM documents
-WHERE lang = 'en'""")
-def q_scan_store(spark, d):
-    """Object listing under a prefix with a suffix pattern (A1)."""
-    path = _documents_as_files(spark, d)
-    objs = D.list_store(spark, path, prefix="lang=en/", pattern="*.txt", bucket="docs")
-    return objs.groupBy("bucket").agg(F.sum("size").alias("bytes"))
-
-
-@register("decode_text", """
-SELECT lang, CAST(sum(length(text) + 1) AS BIGINT) AS chars, CAST(0 AS BIGINT) AS errors FROM documents
-GROUP BY lang""")
-def q_decode_text(spark, d):
-    """Strict UTF-8 decoding of every file's bytes."""
-    path = _documents_as_files(spark, d)
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-    out = X.decode_text(files.select("path", "content"))
-    return (out.groupBy(F.regexp_extract("path", LANG_OF_PATH, 1).alias("lang"))
-            .agg(F.sum(F.length("text")).alias("chars"),
-                 F.count_if(F.col("extraction_error").isNotNull()).alias("errors")))
-
-
-@register("extract_docx", """
-SELECT doc_id, CAST(length(trim(text, chr(32) || chr(9) || chr(10) || chr(13) || chr(11) || chr(12))) AS INTEGER)
-  AS chars,
-  CAST(NULL AS VARCHAR) AS error FROM documents""")
-def q_extract_docx(spark, d):
-    """DOCX built from each document's lines, then read back."""
-    docs = spark.read.parquet(f"{d}/documents.parquet").select("doc_id", fx.make_docx("text").alias("content"))
-    x = docs.withColumn("__x", X.extract_docx("content"))
-    return x.select("doc_id", F.length("__x.text").alias("chars"), F.col("__x.error").alias("error"))
-
-
-# ===========================================================================
-# Streaming
-# ===========================================================================
-
-def _write_messages(spark, d) -> str:
-    path = scratch_dir(spark, "messages")
-    body = F.to_json(F.struct(F.col("source").alias("document_uri"), "document_id", "document_content"))
-    fx.requests_fx(spark, d).select(body.alias("body")).repartition(4).write.json(path)
-    return path
-
-
-@register("stream_classify", f"""
-SELECT request_key, document_id, exp_status AS status, exp_stage AS stage, exp_type AS predicted_type,
-       exp_score AS primary_score FROM {EXPECTED}""")
-def q_stream_classify(spark, d):
-    from ..streaming.queue import classify_stream, read_messages, write_stream
-    src = _write_messages(spark, d)
-    out, ckpt = scratch_dir(spark, "stream-out"), scratch_dir(spark, "stream-ckpt")
-    msgs = read_messages(spark, src, max_files_per_trigger=2)
-    q = write_stream(classify_stream(msgs, recorded_scorer(fx.answers_fx(spark, d)), model=MODEL_ID)
-                     .drop("timestamp"), out, ckpt)
-    q.awaitTermination()
-    return spark.read.parquet(out).select("request_key", "document_id", "status", "stage", "predicted_type",
-                                          "primary_score")
-
-
-@register("stream_batch_counts", f"""
-SELECT CAST(count(*) AS BIGINT) AS processed, CAST(count_if(exp_status = 'success') AS BIGINT) AS succeeded,
-  TRUE AS several_batches FROM {EXPECTED}""")
-def q_stream_batch_counts(spark, d):
-    from ..streaming.queue import batch_counts_writer, classify_stream, read_messages
-    src = _write_messages(spark, d)
-    out, ckpt = scratch_dir(spark, "stream-counts"), scratch_dir(spark, "stream-counts-ckpt")
-    msgs = read_messages(spark, src, max_files_per_trigger=1)
-    res = classify_stream(msgs, recorded_scorer(fx.answers_fx(spark, d)), model=MODEL_ID)
-    q = (res.writeStream.foreachBatch(batch_counts_writer(out)).option("checkpointLocation", ckpt)
-         .trigger(availableNow=True).start())
-    q.awaitTermination()
-    per_batch = spark.read.parquet(out)
-    return per_batch.agg(F.sum("processed").alias("processed"), F.sum("succeeded").alias("succeeded"),
-                         (F.countDistinct("batch_id") > 1).alias("several_batches"))
-
-
-@register("classify_incremental", f"""
-SELECT request_key, document_id, exp_status AS status, exp_stage AS stage, exp_type AS predicted_type,
-       exp_score AS primary_score FROM {EXPECTED}""")
-def q_classify_incremental(spark, d):
-    """Two runs into one table: the second scores only what the first did not (K5 re-run safety)."""
-    from ..operators.score import classify_to_table
-    table = scratch_dir(spark, "scored-table")
-    req = fx.requests_fx(spark, d)
-    scorer = recorded_scorer(fx.answers_fx(spark, d))
-    classify_to_table(req.where(F.col("doc_id") % 3 == 0), scorer, table, model=MODEL_ID)
-    out = classify_to_table(req, scorer, table, model=MODEL_ID, chunks=2)
-    return out.select("request_key", "document_id", "status", "stage", "predicted_type", "primary_score")
-
-
-@register("read_results", f"""
-SELECT document_id, status, cli_exit_code FROM (
-  SELECT document_id, status, CAST(CASE WHEN status = 'success' AND confidence >= 0.7 THEN 0
-    WHEN status = 'success' THEN 1 WHEN status = 'error' THEN 2 END AS BIGINT) AS cli_exit_code FROM {RES})""")
-def q_read_results(spark, d):
-    """Result files holding one JSON array each (the reference's saved form), read back."""
-    path = scratch_dir(spark, "results-arrays")
-    rec = W.batch_records(fx.results_fx(spark, d)).select(
-        (F.col("document_id").substr(5, 20).cast("bigint") / 1000).cast("bigint").alias("grp"),
-        F.col("document_id"), F.to_json(F.struct("*")).alias("j"))
-    arrays = rec.groupBy("grp").agg(F.concat(F.lit("["), F.array_join(F.transform(
-        F.array_sort(F.collect_list(F.struct("document_id", "j"))), lambda x: x["j"]), ","), F.lit("]"))
-        .alias("value"))
-    arrays.hint("rebalance", "grp").write.partitionBy("grp").text(path)
-    back = D.read_results(spark, path, multiline=True)
-    return back.select("document_id", "status", "cli_exit_code")
-
-
-@register("batch_summary", f"""
-SELECT 'total' AS level, CAST(NULL AS VARCHAR) AS document_type, CAST(count(*) AS BIGINT) AS n,
-  CAST(count_if(status = 'success') AS BIGINT) AS successful, CAST(count_if(status = 'error') AS BIGINT) AS errors,
-  CAST(count_if(status = 'timeout') AS BIGINT) AS timeouts, round(coalesce(avg(processing_time_ms), 0), 6) AS avg_time_ms,
-  CAST(count_if(status = 'success' AND coalesce(confidence, 0) >= 0.8) AS BIGINT) AS high,
-  CAST(count_if(status = 'success' AND coalesce(confidence, 0) >= 0.5 AND coalesce(confidence, 0) < 0.8) AS BIGINT)
-    AS medium,
-  CAST(count_if(status = 'success' AND coalesce(confidence, 0) < 0.5) AS BIGINT) AS low FROM {RES}
-UNION ALL
-SELECT 'type', coalesce(document_type, 'unknown'), CAST(count(*) AS BIGINT), CAST(count(*) AS BIGINT), 0, 0,
-  round(coalesce(avg(processing_time_ms), 0), 6),
-  CAST(count_if(coalesce(confidence, 0) >= 0.8) AS BIGINT),
-  CAST(count_if(coalesce(confidence, 0) >= 0.5 AND coalesce(confidence, 0) < 0.8) AS BIGINT),
-  CAST(count_if(coalesce(confidence, 0) < 0.5) AS BIGINT)
-FROM {RES} WHERE status = 'success' GROUP BY 2""")
-def q_batch_summary(spark, d):
-    return R.batch_summary(fx.results_fx(spark, d)).withColumn("avg_time_ms", F.round("avg_time_ms", 6))
-
-
-@register("run_batch", f"""
-SELECT document_id, source, exp_status AS status,
-  CASE WHEN exp_status = 'success' THEN exp_type END AS document_type,
-  CASE WHEN exp_status = 'success' THEN exp_score END AS confidence,
-  CAST(CASE WHEN exp_status = 'success' AND exp_score >= 0.7 THEN 0 WHEN exp_status = 'success' THEN 1 ELSE 2 END
-    AS BIGINT) AS cli_exit_code
-FROM ({fx.sql_select('documents', fx.EXPECTED_LAYERS, ['document_id', 'uri AS source', 'exp_status', 'exp_type',
-                                                        'exp_score'])})""")
-def q_run_batch(spark, d):
-    """The batch entry end to end over discovered documents (3.3)."""
-    from .batch import run_batch
-    req = fx.requests_fx(spark, d)
-    docs = D.conform(req.select(
-        "document_id", "source", "source_type",
-        F.when(F.col("source_type") == "text", F.col("document_content")).alias("text"),
-        F.col("document_content").alias("extracted")))
-    records, _, _ = run_batch(docs, recorded_scorer(fx.answers_fx(spark, d)), MODEL_ID, extracted_col="extracted",
-                              options={"model": "nova-lite"})
-    return records.select("document_id", "source", "status", F.col("classification.document_type").alias(
-        "document_type"), F.col("classification.confidence").alias("confidence"), "cli_exit_code")
-
-
-@register("scorer_requests", f"""
-SELECT request_key, '{MODEL_ID}' AS model_id, 2048 AS max_tokens, CAST(0.1 AS DOUBLE) AS temperature,
-  CAST(0.9 AS DOUBLE) AS top_p, 'user' AS role,
-  md5('{PROMPT_FRAME_SQL}' || substring(document_content, 1, 3000) || '{PROMPT_TAIL_SQL}') AS prompt_md5
-FROM {REQ}""")
-def q_scorer_requests(spark, d):
-    """The model-call payload for every request (K1 parameters)."""
-    from ..operators.score import scorer_request
-    p = scorer_request(TX.build_prompt(X.resolve_text("document_content")), MODEL_ID)
-    return fx.requests_fx(spark, d).select(
-        "request_key", p.modelId.alias("model_id"), p.inferenceConfig.maxTokens.alias("max_tokens"),
-        p.inferenceConfig.temperature.alias("temperature"), p.inferenceConfig.topP.alias("top_p"),
-        p.messages[0].role.alias("role"), F.md5(p.messages[0].content[0].text).alias("prompt_md5"))
-
-
-@register("batch_local_errors", f"""
-SELECT document_id, source,
-  CASE WHEN source_type = 'local' AND doc_id % 19 = 0 THEN 'error' ELSE exp_status END AS status,
-  CASE WHEN source_type = 'local' AND doc_id % 19 = 0 THEN 'File not found: ' || uri
-       WHEN exp_stage = 'batch' THEN '''list'' object has no attribute ''get'''
-       WHEN exp_stage = 'missing' THEN 'no recorded answer for request ' || request_key END AS error,
-  CAST(CASE WHEN source_type = 'local' AND doc_id % 19 = 0 THEN 2 WHEN exp_status <> 'success' THEN 2
-       WHEN exp_score >= 0.7 THEN 0 ELSE 1 END AS BIGINT) AS cli_exit_code
-FROM ({fx.sql_select('documents', fx.EXPECTED_LAYERS, ['doc_id', 'source_type', 'uri', 'document_id',
-                                                        'uri AS source', 'request_key', 'exp_stage', 'exp_status',
-                                                        'exp_score'])})""")
-def q_batch_local_errors(spark, d):
-    """A local file that cannot be read is an error row and is never scored (Q21)."""
-    from .batch import run_batch
-    req = fx.requests_fx(spark, d)
-    unreadable = (F.col("source_type") == "local") & (F.col("doc_id") % 19 == 0)
-    docs = D.conform(req.select(
-        "document_id", "source", "source_type",
-        F.when(F.col("source_type") == "text", F.col("document_content")).alias("text"),
-        F.when(~unreadable, F.col("document_content")).alias("extracted"),
-        F.when(unreadable, F.concat(F.lit("File not found: "), F.col("source"))).alias("extract_error")))
-    records, _, _ = run_batch(docs, recorded_scorer(fx.answers_fx(spark, d)), MODEL_ID, extracted_col="extracted",
-                              extraction_error_col="extract_error")
-    return records.select("document_id", "source", "status", "error", "cli_exit_code")
+# The query modules register themselves on import.
+from . import (classification_queries, io_queries, record_queries, report_queries,  # noqa: E402,F401
+               streaming_queries, text_queries)
