@@ -141,13 +141,16 @@ def scorer_request(prompt, model_id: str, max_tokens: int = SCORER_MAX_TOKENS,
 def classify(requests: DataFrame, scorer: Callable[[DataFrame], DataFrame], model: str | None = None,
              threshold: float = DEFAULT_THRESHOLD, offered_types: list[str] | None = None,
              content_col: str = "document_content", extracted_col: str | None = None,
-             error_col: str | None = None) -> DataFrame:
+             error_col: str | None = None, drop_cols: list[str] | None = None,
+             keep_text: bool = False) -> DataFrame:
     """Classify every request; exactly one result row per request (K4, K5, K6).
 
     The document text is cut to 3000 characters inside the prompt expression, so
     only the prompt (never a whole document) crosses into Python.  Rows with a
     non-NULL ``error_col`` are not sent to the scorer and become error rows
-    carrying that message.  Columns added:
+    carrying that message.  The text columns (``content_col``, ``extracted_col``,
+    ``drop_cols``) are dropped once the prompt is built unless ``keep_text``.
+    Columns added:
     ``predicted_type, primary_score, threshold, reasoning, extracted_features,
     stage, error, status, model_used, processing_time_ms, timestamp``.
     """
@@ -156,6 +159,12 @@ def classify(requests: DataFrame, scorer: Callable[[DataFrame], DataFrame], mode
     if error_col:  # rows that already failed (e.g. a local file that could not be read) are not sent
         prompt = F.when(F.col(error_col).isNull(), prompt)
     prompted = requests.withColumn("prompt", prompt)
+    if not keep_text:
+        # the text is consumed by the prompt; a scorer under mapInPandas must return
+        # every input column, so whole documents would otherwise cross into Python
+        # and through its shuffle
+        gone = [c for c in [content_col, extracted_col, *(drop_cols or [])] if c and c in requests.columns]
+        prompted = prompted.drop(*gone)
     answered = scorer(prompted)
     if error_col:
         failed = F.col(error_col).isNotNull()

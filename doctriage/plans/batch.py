@@ -62,7 +62,8 @@ def run_batch(docs: DataFrame, scorer: Callable[[DataFrame], DataFrame], model:
     if max_docs:
         req = R.max_docs(req, max_docs, order=["source", "request_key"])
     req = with_run_options(req, **(options or {}))
-    res = classify(req, scorer, model=model, threshold=threshold, error_col="pre_error")
+    res = classify(req, scorer, model=model, threshold=threshold, error_col="pre_error",
+                   extracted_col=extracted_col, drop_cols=["text"])
     records_in = res.select(
         "document_id", "source", "status",
         F.col("predicted_type").alias("document_type"), F.col("primary_score").alias("confidence"),

@@ -80,3 +80,11 @@ def test_answer_parser_runs_once_under_filters(spark):
     # a filter on a parsed column must not evaluate the Python parser a second time
     plan = _plan(registry.QUERIES["type_distribution"](spark, SF001))
     assert plan.count("ArrowEvalPython") == 1
+
+
+def test_whole_texts_do_not_enter_the_scorer(spark):
+    plan = _plan(registry.QUERIES["classify_callable"](spark, SF001))
+    scorer_line = [ln for ln in plan.splitlines() if "MapInPandas" in ln][0]
+    import re
+    assert "prompt#" in scorer_line and "document_content" not in scorer_line
+    assert not re.search(r"(?<![\w])text#", scorer_line)  # the raw text column (response_text is fine)
