@@ -165,7 +165,7 @@ def extract_with_fallback(df: DataFrame, extractors: Sequence[Callable[[bytes],
 
 
 def extract_documents(files: DataFrame, extractors: dict[str, Sequence[Callable[[bytes], str]]] | None = None,
-                      path_col: str = "path", content_col: str = "content") -> DataFrame:
+                      path_col: str = "path", content_col: str = "content", keep_content: bool = False) -> DataFrame:
     """Text of every file by its type, in one scan.
 
     ``text``/``other`` files decode natively (strict UTF-8); DOCX goes through the
@@ -173,7 +173,8 @@ def extract_documents(files: DataFrame, extractors: dict[str, Sequence[Callable[
     ``{"pdf": [pdf_fn], "image": [remote_ocr, local_ocr]}`` (tried in order).
     Each Python stage receives bytes only for its own rows (other rows pass
     NULL), so files are read once and nothing else crosses into Python.  Adds
-    ``extractor``, ``text`` and ``extraction_error``.
+    ``extractor``, ``text`` and ``extraction_error``; the raw bytes are dropped
+    unless ``keep_content`` (they would otherwise follow the rows into the scorer).
     """
     extractors = extractors or {}
     route = route_by_suffix(F.col(path_col))
@@ -205,7 +206,8 @@ def extract_documents(files: DataFrame, extractors: dict[str, Sequence[Callable[
              .when(r == "docx", F.col("__docx.error"))
              .when(r == "pdf", slot("pdf", "error"))
              .when(r == "image", slot("image", "error")))
-    return df.withColumns({"text": text, "extraction_error": error}).drop(*cols.keys())
+    out = df.withColumns({"text": text, "extraction_error": error}).drop(*cols.keys())
+    return out if keep_content else out.drop(content_col)
 
 
 def ocr_lines(blocks, trim: bool = False) -> Column:
