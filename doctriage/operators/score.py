@@ -46,17 +46,21 @@ CALL_FIELDS = [
 
 
 def recorded_scorer(answers: DataFrame, key: str = "request_key",
-                    response_col: str = "response_text") -> Callable[[DataFrame], DataFrame]:
+                    response_col: str = "response_text", dedupe: bool = True) -> Callable[[DataFrame], DataFrame]:
     """Pair each request with its recorded answer (K2, E5).
 
     Both sides are large, so this is a shuffle join on ``key`` (never a broadcast
     of a table that grows with the data; AQE may still pick one at run time from
     measured sizes).  Duplicate answers for a key are reduced to one before the
     join; that aggregate is partitioned on the join key, so it adds no exchange.
-    A request without an answer becomes a ``missing`` row.
+    A request without an answer becomes a ``missing`` row.  With ``dedupe=False``
+    (answer keys known to be unique) the aggregate and its map-side sort are
+    skipped; duplicate keys would then multiply request rows.
     """
-    one = (answers.groupBy(key)
-           .agg(F.min(response_col).alias("__answer")))
+    if dedupe:
+        one = answers.groupBy(key).agg(F.min(response_col).alias("__answer"))
+    else:
+        one = answers.select(F.col(key), F.col(response_col).alias("__answer"))
 
     def score(df: DataFrame) -> DataFrame:
         j = df.join(one, on=key, how="left")

@@ -187,3 +187,14 @@ def test_hot_request_key_and_duplicate_answers(spark):
     res = classify(req, recorded_scorer(answers))
     assert res.count() == n  # one row per request row: no fan-out from 50 duplicate answers
     assert res.where("status = 'success' AND predicted_type = 'invoice'").count() == n
+
+
+def test_recorded_scorer_without_dedupe_on_unique_keys(spark):
+    from doctriage.operators.score import recorded_scorer
+    req = _requests(spark, 20)
+    answers = req.select("request_key", F.lit('{"predicted_type": "form", "confidence_score": 0.75}')
+                         .alias("response_text"))
+    a = classify(req, recorded_scorer(answers, dedupe=False)).select("request_key", "predicted_type")
+    b = classify(req, recorded_scorer(answers)).select("request_key", "predicted_type")
+    assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
+    assert "SortAggregate" not in a._jdf.queryExecution().executedPlan().toString()
