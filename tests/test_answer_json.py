@@ -103,3 +103,23 @@ def test_parse_outcome_matrix(spark):
     assert out[8].stage == "batch" and out[8].reasoning.startswith("Batch processing failed: ")
     assert out[9].predicted_type == "memo" and out[9].extracted_features is None
     assert out[10].primary_score == 0.9
+
+
+@pytest.mark.parametrize("text", [
+    "{" * 100_000 + "}" * 100_000,          # far deeper than 3: no span, no stack overflow
+    "x{" * 100_000,                          # never closed
+    '{"a": 1} ' * 20_000 + "tail",           # many spans; the first that parses wins
+    "{" + "a" * 200_000 + "}",               # one long flat span
+])
+def test_linear_on_huge_answers(text):
+    import time
+    t0 = time.perf_counter()
+    out = describe_answer(text)
+    assert time.perf_counter() - t0 < 5.0
+    assert out[0] in ("ok", "parse", "batch")
+
+
+def test_huge_answer_through_spark(spark):
+    df = spark.createDataFrame([("{" * 100_000 + "}" * 100_000,), ('noise ' * 30_000 + OBJ,)], "response_text string")
+    out = parse_response(df).collect()
+    assert out[0].stage == "parse" and out[1].predicted_type == "invoice"
