@@ -54,9 +54,10 @@ def run_batch(docs: DataFrame, scorer: Callable[[DataFrame], DataFrame], model:
               extraction_error_col: str | None = None):
     """Classify a discovered batch; return ``(records, summary, exit_code_df)``.
 
-    With ``output_dir`` the batch records are written once (JSON lines and/or
-    the CSV summary) and the reports read those files back, so reports never
-    re-run the scorer and the lineage is cut.
+    The classified rows are materialized once under the checkpoint folder: the
+    scorer runs exactly once per document, and the sinks (``output_dir``: JSON
+    lines and/or the CSV summary) and the reports read the stored rows.  A lost
+    executor later recomputes from those files, never by calling the scorer again.
     """
     req = documents_to_requests(docs, extracted_col, extraction_error_col)
     if max_docs:
@@ -68,10 +69,10 @@ def run_batch(docs: DataFrame, scorer: Callable[[DataFrame], DataFrame], model:
         "document_id", "source", "status",
         F.col("predicted_type").alias("document_type"), F.col("primary_score").alias("confidence"),
         "reasoning", F.col("error"), "processing_time_ms", "timestamp")
-    records = W.batch_records(records_in)
+    stored = materialize(records_in, "batch-results")   # the only run of the scorer
     if output_dir:
-        W.write_results(records_in, output_dir, format=fmt)
-        records = materialize(records, "batch-records")
+        W.write_results(stored, output_dir, format=fmt)
+    records = W.batch_records(stored)
     flat = records.select("status", F.col("classification.document_type").alias("document_type"),
                           F.col("classification.confidence").alias("confidence"), "processing_time_ms")
     return records, R.batch_summary(flat), R.batch_outcome(flat)

@@ -1,13 +1,12 @@
 """Result sinks (B1-B8): JSON lines, CSV summary, hour/day-partitioned records, retry lists.
 
 Writes are distributed (one file per task); nothing is gathered into a single
-array or file on the driver.  ``write_results(format="both")`` persists its
-input once so the scorer is not re-run for the second format.
+array or file on the driver.  ``write_results(format="both")`` derives the CSV
+from the JSON files it wrote, so its input is computed once.
 """
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -43,18 +42,20 @@ def write_summary_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None
 
 
 def write_results(df: DataFrame, path: str, format: str = "json", mode: str = "overwrite") -> None:
-    """Format choice ``json``/``csv``/``both``."""
+    """Format choice ``json``/``csv``/``both``.
+
+    With ``both`` the CSV is derived from the JSON files just written, not from
+    ``df`` again, so an expensive input (a scorer) is computed once even if
+    executors are lost in between (a cache would be lost with them).
+    """
     if format not in ("json", "csv", "both"):
         raise ValueError(f"unknown format {format!r}")
-    src = df.persist(StorageLevel.MEMORY_AND_DISK) if format == "both" else df
-    try:
-        if format in ("json", "both"):
-            write_results_json(src, path.rstrip("/") + "/detailed", mode)
-        if format in ("csv", "both"):
-            write_summary_csv(src, path.rstrip("/") + "/summary", mode)
-    finally:
-        if format == "both":
-            src.unpersist()
+    detailed = path.rstrip("/") + "/detailed"
+    if format in ("json", "both"):
+        write_results_json(df, detailed, mode)
+    if format in ("csv", "both"):
+        src = df.sparkSession.read.schema(df.schema).json(detailed) if format == "both" else df
+        write_summary_csv(src, path.rstrip("/") + "/summary", mode)
 
 
 def with_result_location(df: DataFrame, results_prefix: str, output_bucket: str,

@@ -172,3 +172,19 @@ def test_hour_partitions_are_pruned_on_read(spark, tmp_path):
     assert "PartitionFilters: [" in plan and "(day#" in plan.split("PartitionFilters: [")[1].split("]")[0]
     expected = res.where(F.date_format("timestamp", "yyyy-MM-dd") == "2024-01-02").count()
     assert back.count() == expected > 0
+
+
+def test_run_batch_scores_each_document_once(spark, tmp_path):
+    from doctriage.operators.score import function_scorer
+    from doctriage.plans.batch import run_batch
+    calls = spark.sparkContext.accumulator(0)
+
+    def fn(prompt):
+        calls.add(1)
+        return '{"predicted_type": "letter", "confidence_score": 0.8}'
+
+    docs = D.conform(spark.createDataFrame([(f"d{i}", "direct://text-input", "text", f"text {i}") for i in range(12)],
+                                           "document_id string, source string, source_type string, text string"))
+    recs, summary, outcome = run_batch(docs, function_scorer(fn), "m", output_dir=str(tmp_path / "o"), fmt="both")
+    recs.count(), summary.count(), outcome.collect(), recs.collect()
+    assert calls.value == 12
