@@ -40,12 +40,13 @@ def q_stream_classify(spark, d):
 SELECT CAST(count(*) AS BIGINT) AS processed, CAST(count_if(exp_status = 'success') AS BIGINT) AS succeeded,
   TRUE AS several_batches FROM {EXPECTED}""")
 def q_stream_batch_counts(spark, d):
-    from ..streaming.queue import batch_counts_writer, classify_stream, read_messages
+    from ..streaming.queue import classify_stream, read_messages, results_and_counts_writer
     src = _write_messages(spark, d)
-    out, ckpt = scratch_dir(spark, "stream-counts"), scratch_dir(spark, "stream-counts-ckpt")
-    msgs = read_messages(spark, src, max_files_per_trigger=1)
+    rows, out = scratch_dir(spark, "stream-rows"), scratch_dir(spark, "stream-counts")
+    ckpt = scratch_dir(spark, "stream-counts-ckpt")
+    msgs = read_messages(spark, src, max_files_per_trigger=1)  # bounded micro-batches (J3)
     res = classify_stream(msgs, recorded_scorer(fx.answers_fx(spark, d)), model=MODEL_ID)
-    q = (res.writeStream.foreachBatch(batch_counts_writer(out)).option("checkpointLocation", ckpt)
+    q = (res.writeStream.foreachBatch(results_and_counts_writer(rows, out)).option("checkpointLocation", ckpt)
          .trigger(availableNow=True).start())
     q.awaitTermination()
     per_batch = spark.read.parquet(out)

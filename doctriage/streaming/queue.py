@@ -65,12 +65,36 @@ def write_stream(df: DataFrame, path: str, checkpoint: str, available_now: bool
 def batch_counts_writer(path: str):
     """``foreachBatch`` function writing per-micro-batch counts.
 
-    Each micro-batch is aggregated on the executors (one row out) and appended to
-    ``path``; the batch id makes re-delivery after a failure detectable.
+    Each micro-batch is aggregated on the executors (one row out) and written to
+    ``path/batch_id=N`` with dynamic partition overwrite, so a batch delivered
+    again after a failure replaces its row instead of adding a second one.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
         (batch.agg(F.count(F.lit(1)).alias("processed"),
                    F.count_if(F.col("status") == "success").alias("succeeded"))
          .withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-         .write.mode("append").parquet(path))
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("batch_id").parquet(path))
+    return write
+
+
+def results_and_counts_writer(results_path: str, counts_path: str):
+    """``foreachBatch`` function storing each micro-batch's results and its counts.
+
+    The micro-batch is classified once: its rows are written to
+    ``results_path/batch_id=N`` (dynamic partition overwrite, so a batch delivered
+    again after a failure replaces its own rows instead of duplicating them) and
+    the counts are computed from those stored files, not by re-running the batch.
+    """
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        (batch.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("batch_id").parquet(results_path))
+        stored = spark.read.parquet(f"{results_path}/batch_id={batch_id}")
+        (stored.agg(F.count(F.lit(1)).alias("processed"),
+                    F.count_if(F.col("status") == "success").alias("succeeded"))
+         .withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("batch_id").parquet(counts_path))
     return write

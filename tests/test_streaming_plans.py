@@ -1,6 +1,8 @@
 """Stream equals batch (J1), per-batch counts (J2), plan properties and the driver contract."""
 
 import __spark_entry__ as se
+from pyspark.sql import functions as F
+
 from doctriage.operators import catalog as CAT
 from doctriage.plans import fixtures as fx
 from doctriage.plans import registry
@@ -88,3 +90,25 @@ def test_whole_texts_do_not_enter_the_scorer(spark):
     import re
     assert "prompt#" in scorer_line and "document_content" not in scorer_line
     assert not re.search(r"(?<![\w])text#", scorer_line)  # the raw text column (response_text is fine)
+
+
+def test_stream_results_and_counts_once(spark, tmp_path):
+    from doctriage.operators.score import function_scorer
+    from doctriage.streaming.queue import classify_stream, read_messages, results_and_counts_writer
+    src = tmp_path / "msgs"
+    body = '{"document_uri": "direct://text-input", "document_id": "d%d", "document_content": "text %d"}'
+    spark.createDataFrame([(body % (i, i),) for i in range(9)], "body string").repartition(3).write.json(str(src))
+    calls = spark.sparkContext.accumulator(0)
+
+    def fn(prompt):
+        calls.add(1)
+        return '{"predicted_type": "memo", "confidence_score": 0.9}'
+
+    res = classify_stream(read_messages(spark, str(src), max_files_per_trigger=1), function_scorer(fn))
+    q = (res.writeStream.foreachBatch(results_and_counts_writer(str(tmp_path / "res"), str(tmp_path / "cnt")))
+         .option("checkpointLocation", str(tmp_path / "ckpt")).trigger(availableNow=True).start())
+    q.awaitTermination()
+    counts = spark.read.parquet(str(tmp_path / "cnt"))
+    assert counts.agg(F.sum("processed")).first()[0] == 9 and counts.count() >= 2
+    assert spark.read.parquet(str(tmp_path / "res")).count() == 9
+    assert calls.value == 9
