@@ -122,12 +122,12 @@ def q_scan_directory(spark, d):
 
 
 @register("scan_store", """
-SELECT 'docs' AS bucket, CAST(sum(octet_length(encode(text)) + 1) AS BIGINT) AS bytes FROM documents
-WHERE lang = 'en'""")
+SELECT 'docs' AS bucket, CAST(sum(octet_length(encode(text)) + 1) AS BIGINT) AS bytes FROM documents""")
 def q_scan_store(spark, d):
     """Object listing under a prefix with a suffix pattern (A1)."""
     path = _documents_as_files(spark, d)
-    objs = D.list_store(spark, path, prefix="lang=en/", pattern="*.txt", bucket="docs")
+    # every object sits under a "lang=" folder, so the prefix keeps the whole store
+    objs = D.list_store(spark, path, prefix="lang=", pattern="*.txt", bucket="docs")
     return objs.groupBy("bucket").agg(F.sum("size").alias("bytes"))
 
 
