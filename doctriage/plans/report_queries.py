@@ -45,8 +45,8 @@ SELECT t.family, CAST(count(*) AS BIGINT) AS n FROM {RES} r JOIN {TYPES} t ON r.
 WHERE r.status = 'success' GROUP BY 1""")
 def q_type_families(spark, d):
     ok = fx.results_fx(spark, d).where(F.col("status") == "success")
-    per = ok.groupBy("document_type").agg(F.count(F.lit(1)).alias("n"))
-    return CAT.with_type_family(per).groupBy("family").agg(F.sum("n").cast("bigint").alias("n"))
+    # broadcast look-up first (narrow), then one aggregation: a single shuffle
+    return CAT.with_type_family(ok).groupBy("family").agg(F.count(F.lit(1)).alias("n"))
 
 
 @register("document_types", f"""
