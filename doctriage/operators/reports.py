@@ -238,9 +238,9 @@ def model_availability(df: DataFrame, status: str = "status", model: str = "mode
     ``collect_set`` is bounded by the number of distinct models, and is combined
     map-side before the shuffle.
     """
-    return (df.groupBy(status).agg(
-        F.countDistinct(model).alias("models"),
-        F.array_join(F.array_sort(F.collect_set(model)), ",").alias("model_names")))
+    per = df.groupBy(status).agg(F.collect_set(model).alias("__m"))  # one aggregation, one shuffle
+    return per.select(status, F.size("__m").cast("bigint").alias("models"),
+                      F.array_join(F.array_sort("__m"), ",").alias("model_names"))
 
 
 def model_benchmark(df: DataFrame, status: str = "status", model: str = "model",
