@@ -33,6 +33,11 @@ from .extract import resolve_text
 from .parse import answer_status, parse_response
 
 
+def _check_unit(name: str, value: float) -> None:
+    if not 0.0 <= value <= 1.0:
+        raise ValueError(f"{name} must be between 0.0 and 1.0")
+
+
 class ScorerApiError(Exception):
     """Raised by a scorer callable for a service-side failure (becomes an API fallback row)."""
 
@@ -86,6 +91,10 @@ def function_scorer(fn: Callable[[str], str], timeout_s: float = 300.0,
     :class:`ScorerApiError` -> ``api``, anything else -> ``batch``; a call longer
     than ``timeout_s`` -> ``timeout``.
     """
+    if timeout_s <= 0:
+        raise ValueError("Request timeout must be greater than 0")
+    if partitions is not None and partitions <= 0:
+        raise ValueError("Max concurrent requests must be greater than 0")
 
     def score(df: DataFrame) -> DataFrame:
         # Round-robin, not by key: duplicated keys (a source listed many times)
@@ -132,6 +141,10 @@ def scorer_request(prompt, model_id: str, max_tokens: int = SCORER_MAX_TOKENS,
 
     A struct column (``to_json`` it for an HTTP body); a scorer client sends it as is.
     """
+    if not model_id:
+        raise ValueError("model_id is required")
+    _check_unit("Temperature", temperature)
+    _check_unit("Top_p", top_p)
     p = F.col(prompt) if isinstance(prompt, str) else prompt
     return F.struct(
         F.lit(model_id).alias("modelId"),
@@ -158,6 +171,7 @@ def classify(requests: DataFrame, scorer: Callable[[DataFrame], DataFrame], mode
     ``predicted_type, primary_score, threshold, reasoning, extracted_features,
     stage, error, status, model_used, processing_time_ms, timestamp``.
     """
+    _check_unit("Confidence threshold", threshold)
     text = resolve_text(F.col(content_col), F.col(extracted_col) if extracted_col else None)
     prompt = build_prompt(text, offered_types or OFFERED_TYPES)
     if error_col:  # rows that already failed (e.g. a local file that could not be read) are not sent

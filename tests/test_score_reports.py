@@ -198,3 +198,15 @@ def test_recorded_scorer_without_dedupe_on_unique_keys(spark):
     b = classify(req, recorded_scorer(answers)).select("request_key", "predicted_type")
     assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
     assert "SortAggregate" not in a._jdf.queryExecution().executedPlan().toString()
+
+
+def test_run_options_are_validated_on_the_driver(spark):
+    import pytest
+    from doctriage.operators.score import recorded_scorer, scorer_request
+    req = _requests(spark, 2)
+    with pytest.raises(ValueError, match="Confidence threshold must be between 0.0 and 1.0"):
+        classify(req, recorded_scorer(req.select("request_key", F.lit("x").alias("response_text"))), threshold=1.5)
+    with pytest.raises(ValueError, match="Request timeout must be greater than 0"):
+        function_scorer(lambda p: p, timeout_s=0)
+    with pytest.raises(ValueError, match="Temperature must be between 0.0 and 1.0"):
+        scorer_request("prompt", "m", temperature=1.2)
