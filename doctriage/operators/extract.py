@@ -21,6 +21,7 @@ from pyspark.sql import types as T
 
 from ..functions.paths import path_suffix
 from ..functions.text import py_strip
+from ..session import ship_package
 from ..schemas import EXTRACTION_FAILED_MARKER, IMAGE_SUFFIXES, TEXT_SUFFIXES, UNSUPPORTED_FORMAT
 
 EXTRACTED = T.StructType([
@@ -157,6 +158,7 @@ def extract_with_fallback(df: DataFrame, extractors: Sequence[Callable[[bytes],
     only when the earlier ones failed for that row (no re-evaluation across
     filter branches, so a paid service is never called twice).
     """
+    ship_package(df.sparkSession)
     x = chain_udf(extractors, names)(F.col(content_col))
     return (df.withColumn("__x", x)
             .withColumns({"text": F.col("__x.text"), "extractor": F.col("__x.extractor"),
@@ -176,6 +178,7 @@ def extract_documents(files: DataFrame, extractors: dict[str, Sequence[Callable[
     ``extractor``, ``text`` and ``extraction_error``; the raw bytes are dropped
     unless ``keep_content`` (they would otherwise follow the rows into the scorer).
     """
+    ship_package(files.sparkSession)
     extractors = extractors or {}
     route = route_by_suffix(F.col(path_col))
     df = files.withColumn("extractor", route)

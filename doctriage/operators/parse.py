@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.answer_json import extract_answer
+from ..session import ship_package
 from ..functions.confidence import score_in_range
 from ..schemas import (DEFAULT_THRESHOLD, DOCUMENT_TYPES, REASON_API, REASON_BATCH, REASON_PARSE,
                        SCORE_RANGE_MESSAGE)
@@ -40,6 +41,7 @@ def parse_response(df: DataFrame, response_col: str = "response_text",
     (``api``/``batch``/``missing``/``timeout`` with a message); those rows are not
     parsed.  Resulting ``stage``: ok, parse, api, batch, missing, timeout.
     """
+    ship_package(df.sparkSession)  # the parser runs in Python workers
     ans = "__answer"
     out = df.withColumn(ans, extract_answer(F.col(response_col)))
     a = F.col(ans)

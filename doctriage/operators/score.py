@@ -29,6 +29,7 @@ from pyspark.sql import types as T
 from ..functions.text import build_prompt
 from ..schemas import (DEFAULT_THRESHOLD, OFFERED_TYPES, PROMPT_TEXT_LIMIT, SCORER_MAX_TOKENS,
                        SCORER_TEMPERATURE, SCORER_TOP_P)
+from ..session import ship_package
 from .extract import resolve_text
 from .parse import answer_status, parse_response
 
@@ -97,6 +98,7 @@ def function_scorer(fn: Callable[[str], str], timeout_s: float = 300.0,
         raise ValueError("Max concurrent requests must be greater than 0")
 
     def score(df: DataFrame) -> DataFrame:
+        ship_package(df.sparkSession)
         # Round-robin, not by key: duplicated keys (a source listed many times)
         # must not pile into one task.  Spark sorts before a round-robin
         # repartition, so a retried task sees the same rows.
