@@ -51,8 +51,12 @@ CALL_FIELDS = [
 ]
 
 
-def recorded_scorer(answers: DataFrame, key: str = "request_key",
-                    response_col: str = "response_text", dedupe: bool = True) -> Callable[[DataFrame], DataFrame]:
+MAX_HOT_KEYS = 10_000  # hot keys salted explicitly; any further ones still join exactly, unsalted
+
+
+def recorded_scorer(answers: DataFrame, key: str = "request_key", response_col: str = "response_text",
+                    dedupe: bool = True, hot_key_rows: int | None = None,
+                    salt_buckets: int = 32) -> Callable[[DataFrame], DataFrame]:
     """Pair each request with its recorded answer (K2, E5).
 
     Both sides are large, so this is a shuffle join on ``key`` (never a broadcast
@@ -62,6 +66,13 @@ def recorded_scorer(answers: DataFrame, key: str = "request_key",
     A request without an answer becomes a ``missing`` row.  With ``dedupe=False``
     (answer keys known to be unique) the aggregate and its map-side sort are
     skipped; duplicate keys would then multiply request rows.
+
+    Hot keys: AQE's skew join splits an oversized join partition at run time.
+    Where that cannot be relied on, ``hot_key_rows`` salts explicitly: keys with
+    more request rows than that (found by one partial aggregation of the keys; at
+    most ``MAX_HOT_KEYS`` of them, a bound of rows / ``hot_key_rows``) have their
+    requests spread over ``salt_buckets`` buckets, and only those keys' single
+    answer rows are replicated per bucket.  Results are identical either way.
     """
     if dedupe:
         one = answers.groupBy(key).agg(F.min(response_col).alias("__answer"))
@@ -69,7 +80,21 @@ def recorded_scorer(answers: DataFrame, key: str = "request_key",
         one = answers.select(F.col(key), F.col(response_col).alias("__answer"))
 
     def score(df: DataFrame) -> DataFrame:
-        j = df.join(one, on=key, how="left")
+        if hot_key_rows:
+            hot = [r[0] for r in (df.groupBy(key).count().where(F.col("count") > hot_key_rows)
+                                  .select(key).limit(MAX_HOT_KEYS).collect())]
+        else:
+            hot = []
+        if hot:
+            is_hot = F.col(key).isin(hot)
+            # deterministic per row for a deterministic input, so a retried task re-salts the same way
+            salted = df.withColumn("__salt", F.when(is_hot, F.pmod(F.monotonically_increasing_id(),
+                                                                   F.lit(salt_buckets))).otherwise(F.lit(0)))
+            buckets = F.when(is_hot, F.sequence(F.lit(0), F.lit(salt_buckets - 1))).otherwise(F.array(F.lit(0)))
+            replicas = one.withColumn("__salt", F.explode(buckets))
+            j = salted.join(replicas, on=[key, "__salt"], how="left").drop("__salt")
+        else:
+            j = df.join(one, on=key, how="left")
         missing = F.col("__answer").isNull()
         return (j.withColumns({
             "response_text": F.col("__answer"),

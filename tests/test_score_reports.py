@@ -210,3 +210,21 @@ def test_run_options_are_validated_on_the_driver(spark):
         function_scorer(lambda p: p, timeout_s=0)
     with pytest.raises(ValueError, match="Temperature must be between 0.0 and 1.0"):
         scorer_request("prompt", "m", temperature=1.2)
+
+
+def test_hot_key_salting_gives_identical_results(spark):
+    from doctriage.operators.score import recorded_scorer
+    n = 300
+    rows = [(f"doc_{i}", "s3://b/hot.pdf" if i % 3 == 0 else f"s3://b/doc_{i}.pdf", "text") for i in range(n)]
+    req = spark.createDataFrame(rows, "document_id string, source string, document_content string") \
+        .withColumn("request_key", F.col("source"))
+    ans = spark.createDataFrame(
+        [(f"s3://b/doc_{i}.pdf", '{"predicted_type": "memo", "confidence_score": 0.6}') for i in range(n) if i % 3]
+        + [("s3://b/hot.pdf", '{"predicted_type": "invoice", "confidence_score": 0.9}')],
+        "request_key string, response_text string")
+    cols = ["document_id", "request_key", "predicted_type", "primary_score", "status"]
+    plain = classify(req, recorded_scorer(ans)).select(*cols)
+    salted_df = classify(req, recorded_scorer(ans, hot_key_rows=50, salt_buckets=8)).select(*cols)
+    assert "__salt" in salted_df._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted(map(tuple, salted_df.collect())) == sorted(map(tuple, plain.collect()))
+    assert salted_df.where("predicted_type = 'invoice'").count() == 100
