@@ -171,3 +171,16 @@ def q_read_results(spark, d):
     arrays.hint("rebalance", "grp").write.partitionBy("grp").text(path)
     back = D.read_results(spark, path, multiline=True)
     return back.select("document_id", "status", "cli_exit_code")
+
+
+@register("extract_documents", """
+SELECT lang, 'text' AS extractor, CAST(sum(length(text) + 1) AS BIGINT) AS chars, CAST(0 AS BIGINT) AS errors
+FROM documents GROUP BY lang""")
+def q_extract_documents(spark, d):
+    """Every document file routed by suffix and extracted in one scan."""
+    path = _documents_as_files(spark, d)
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    out = X.extract_documents(files)
+    return (out.groupBy(F.regexp_extract("path", LANG_OF_PATH, 1).alias("lang"), "extractor")
+            .agg(F.sum(F.length("text")).alias("chars"),
+                 F.count_if(F.col("extraction_error").isNotNull()).alias("errors")))
