@@ -276,6 +276,19 @@ def chunk(df: DataFrame, skip: int, n: int, order: str = "source") -> DataFrame:
     return df.orderBy(order).offset(skip).limit(n)
 
 
+def hash_chunk(df: DataFrame, chunks: int, index: int, key: str = "request_key") -> DataFrame:
+    """Chunk ``index`` of ``chunks`` by a hash of ``key``: the scalable way to process a batch in parts.
+
+    ``chunk``/``max_docs`` keep the reference's skip/take order semantics and plan
+    as a top-k, which suits small ``n``; a large ordered chunk would funnel through
+    one task.  Hash chunks need no global order: every chunk is a filter on the
+    scan, the chunks are disjoint and together cover every row.
+    """
+    if not 0 <= index < chunks:
+        raise ValueError("index must be in [0, chunks)")
+    return df.where(F.pmod(F.xxhash64(F.col(key)), F.lit(chunks)) == index)
+
+
 def retry_list(df: DataFrame, status: str = "status", source: str = "source") -> DataFrame:
     """URIs/paths of rows that did not succeed, as a ``value`` column for a text sink."""
     return df.where(~_success(status) | F.col(status).isNull()).select(F.col(source).alias("value"))

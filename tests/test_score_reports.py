@@ -228,3 +228,11 @@ def test_hot_key_salting_gives_identical_results(spark):
     assert "__salt" in salted_df._jdf.queryExecution().optimizedPlan().toString()
     assert sorted(map(tuple, salted_df.collect())) == sorted(map(tuple, plain.collect()))
     assert salted_df.where("predicted_type = 'invoice'").count() == 100
+
+
+def test_hash_chunks_partition_the_batch(spark):
+    req = _requests(spark, 50)
+    parts = [R.hash_chunk(req, 4, i).select("request_key").collect() for i in range(4)]
+    keys = [r.request_key for p in parts for r in p]
+    assert len(keys) == 50 and len(set(keys)) == 50
+    assert "Exchange" not in R.hash_chunk(req, 4, 0)._jdf.queryExecution().executedPlan().toString()
