@@ -275,3 +275,17 @@ SELECT 'type', coalesce(document_type, 'unknown'), CAST(count(*) AS BIGINT), CAS
 FROM {RES} WHERE status = 'success' GROUP BY 2""")
 def q_batch_summary(spark, d):
     return R.batch_summary(fx.results_fx(spark, d)).withColumn("avg_time_ms", F.round("avg_time_ms", 6))
+
+
+@register("hash_chunks", f"""
+SELECT CAST(count(*) AS BIGINT) AS rows, CAST(count(DISTINCT request_key) AS BIGINT) AS keys,
+  CAST(4 AS BIGINT) AS chunks FROM {REQ}""")
+def q_hash_chunks(spark, d):
+    """All four hash chunks of the requests: disjoint and together complete (G2 at scale)."""
+    req = fx.requests_fx(spark, d)
+    parts = [R.hash_chunk(req, 4, i).withColumn("chunk", F.lit(i)) for i in range(4)]
+    allp = parts[0]
+    for p in parts[1:]:
+        allp = allp.unionByName(p)
+    return allp.agg(F.count(F.lit(1)).alias("rows"), F.countDistinct("request_key").alias("keys"),
+                    F.countDistinct("chunk").alias("chunks"))
