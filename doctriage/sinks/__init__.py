@@ -1,0 +1 @@
+"""Result sinks: JSON lines, CSV summary, hour/day-partitioned records, retry lists."""

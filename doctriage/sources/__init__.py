@@ -1,0 +1 @@
+"""Document discovery (binaryFile listings, file lists) and result readers."""

@@ -1,0 +1 @@
+"""Queue-driven classification with Structured Streaming."""
