@@ -48,6 +48,7 @@ CALL_FIELDS = [
     T.StructField("call_stage", T.StringType()),
     T.StructField("call_error", T.StringType()),
     T.StructField("call_ms", T.DoubleType()),
+    T.StructField("call_end_s", T.DoubleType()),  # epoch seconds when the call returned
 ]
 
 
@@ -101,6 +102,7 @@ def recorded_scorer(answers: DataFrame, key: str = "request_key", response_col:
             "call_stage": F.when(missing, F.lit("missing")).otherwise(F.lit("ok")),
             "call_error": F.when(missing, F.concat(F.lit("no recorded answer for request "), F.col(key))),
             "call_ms": F.lit(None).cast("double"),
+            "call_end_s": F.lit(None).cast("double"),
         }).drop("__answer"))
 
     return score
@@ -136,7 +138,7 @@ def function_scorer(fn: Callable[[str], str], timeout_s: float = 300.0,
                 out = []
                 for prompt in pdf["prompt"]:
                     if prompt is None:  # row failed before scoring: never sent
-                        out.append((None, "skipped", None, None))
+                        out.append((None, "skipped", None, None, None))
                         continue
                     t0 = time.monotonic()
                     try:
@@ -153,7 +155,7 @@ def function_scorer(fn: Callable[[str], str], timeout_s: float = 300.0,
                         text, stage = None, "timeout"
                     if stage == "timeout":
                         err = f"Processing timed out after {timeout_s:g} seconds"
-                    out.append((text, stage, err, ms))
+                    out.append((text, stage, err, ms, time.time()))
                 calls = pd.DataFrame(out, columns=[f.name for f in CALL_FIELDS], index=pdf.index)
                 yield pd.concat([pdf, calls], axis=1)
 
@@ -223,8 +225,9 @@ def classify(requests: DataFrame, scorer: Callable[[DataFrame], DataFrame], mode
         "status": answer_status("stage"),
         "model_used": F.lit(model).cast("string"),
         "processing_time_ms": F.col("call_ms"),
-        "timestamp": F.current_timestamp(),
-    }).drop("prompt", "call_stage", "call_error", "call_ms"))
+        # when the document's call finished (a scorer that reports it), else the query time
+        "timestamp": F.coalesce(F.timestamp_seconds(F.col("call_end_s")), F.current_timestamp()),
+    }).drop("prompt", "call_stage", "call_error", "call_ms", "call_end_s"))
 
 
 # ---------------------------------------------------------------------------

@@ -236,3 +236,13 @@ def test_hash_chunks_partition_the_batch(spark):
     keys = [r.request_key for p in parts for r in p]
     assert len(keys) == 50 and len(set(keys)) == 50
     assert "Exchange" not in R.hash_chunk(req, 4, 0)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_results_carry_call_end_times(spark):
+    def fn(prompt):
+        time.sleep(0.01)
+        return '{"predicted_type": "memo", "confidence_score": 0.6}'
+
+    res = classify(_requests(spark, 8), function_scorer(fn, partitions=1))
+    m = R.throughput(res).first()
+    assert m.documents == 8 and m.elapsed_s > 0 and m.docs_per_s > 0
