@@ -110,19 +110,24 @@ def recorded_scorer(answers: DataFrame, key: str = "request_key", response_col:
 
 def function_scorer(fn: Callable[[str], str], timeout_s: float = 300.0,
                     partitions: int | None = None,
-                    client_factory: Callable[[], object] | None = None) -> Callable[[DataFrame], DataFrame]:
+                    client_factory: Callable[[], object] | None = None,
+                    threads_per_task: int = 1) -> Callable[[DataFrame], DataFrame]:
     """Run ``fn(prompt) -> answer text`` per row inside ``mapInPandas`` (K1, K6, K7).
 
     With ``client_factory``, ``fn`` is called as ``fn(prompt, client)`` and the
     client is built once per partition.  ``partitions`` bounds concurrency the way
     the reference's worker count did (round-robin ``repartition``).  Exceptions are isolated per row:
     :class:`ScorerApiError` -> ``api``, anything else -> ``batch``; a call longer
-    than ``timeout_s`` -> ``timeout``.
+    than ``timeout_s`` -> ``timeout``.  ``threads_per_task`` keeps that many calls
+    in flight per task (I/O-bound remote calls), so the concurrency is
+    ``partitions x threads_per_task``; results keep their row order.
     """
     if timeout_s <= 0:
         raise ValueError("Request timeout must be greater than 0")
     if partitions is not None and partitions <= 0:
         raise ValueError("Max concurrent requests must be greater than 0")
+    if threads_per_task <= 0:
+        raise ValueError("threads_per_task must be greater than 0")
 
     def score(df: DataFrame) -> DataFrame:
         ship_package(df.sparkSession)
@@ -134,30 +139,40 @@ def function_scorer(fn: Callable[[str], str], timeout_s: float = 300.0,
 
         def per_partition(batches):
             client = client_factory() if client_factory else None
-            for pdf in batches:
-                out = []
-                for prompt in pdf["prompt"]:
-                    if prompt is None:  # row failed before scoring: never sent
-                        out.append((None, "skipped", None, None, None))
-                        continue
-                    t0 = time.monotonic()
-                    try:
-                        text = fn(prompt, client) if client_factory else fn(prompt)
-                        stage, err = "ok", None
-                    except ScorerApiError as e:
-                        text, stage, err = None, "api", str(e)
-                    except TimeoutError as e:
-                        text, stage, err = None, "timeout", str(e)
-                    except Exception as e:
-                        text, stage, err = None, "batch", str(e)
-                    ms = (time.monotonic() - t0) * 1000.0
-                    if stage == "ok" and ms > timeout_s * 1000.0:
-                        text, stage = None, "timeout"
-                    if stage == "timeout":
-                        err = f"Processing timed out after {timeout_s:g} seconds"
-                    out.append((text, stage, err, ms, time.time()))
-                calls = pd.DataFrame(out, columns=[f.name for f in CALL_FIELDS], index=pdf.index)
-                yield pd.concat([pdf, calls], axis=1)
+
+            def call(prompt):
+                if prompt is None:  # row failed before scoring: never sent
+                    return (None, "skipped", None, None, None)
+                t0 = time.monotonic()
+                try:
+                    text = fn(prompt, client) if client_factory else fn(prompt)
+                    stage, err = "ok", None
+                except ScorerApiError as e:
+                    text, stage, err = None, "api", str(e)
+                except TimeoutError as e:
+                    text, stage, err = None, "timeout", str(e)
+                except Exception as e:
+                    text, stage, err = None, "batch", str(e)
+                ms = (time.monotonic() - t0) * 1000.0
+                if stage == "ok" and ms > timeout_s * 1000.0:
+                    text, stage = None, "timeout"
+                if stage == "timeout":
+                    err = f"Processing timed out after {timeout_s:g} seconds"
+                return (text, stage, err, ms, time.time())
+
+            pool = None
+            if threads_per_task > 1:
+                from concurrent.futures import ThreadPoolExecutor
+                pool = ThreadPoolExecutor(max_workers=threads_per_task)
+            try:
+                for pdf in batches:
+                    prompts = list(pdf["prompt"])
+                    out = list(pool.map(call, prompts)) if pool else [call(p) for p in prompts]
+                    calls = pd.DataFrame(out, columns=[f.name for f in CALL_FIELDS], index=pdf.index)
+                    yield pd.concat([pdf, calls], axis=1)
+            finally:
+                if pool:
+                    pool.shutdown(wait=True)
 
         return src.mapInPandas(per_partition, schema)
 

@@ -246,3 +246,20 @@ def test_results_carry_call_end_times(spark):
     res = classify(_requests(spark, 8), function_scorer(fn, partitions=1))
     m = R.throughput(res).first()
     assert m.documents == 8 and m.elapsed_s > 0 and m.docs_per_s > 0
+
+
+def test_threads_per_task_overlap_io_bound_calls(spark):
+    def fn(prompt):
+        time.sleep(0.1)
+        return '{"predicted_type": "memo", "confidence_score": 0.6}'
+
+    req = _requests(spark, 16)
+    t0 = time.time()
+    seq = classify(req, function_scorer(fn, partitions=1)).select("request_key", "predicted_type").collect()
+    t_seq = time.time() - t0
+    t0 = time.time()
+    par = classify(req, function_scorer(fn, partitions=1, threads_per_task=8)).select(
+        "request_key", "predicted_type").collect()
+    t_par = time.time() - t0
+    assert sorted(map(tuple, seq)) == sorted(map(tuple, par)) and len(par) == 16
+    assert t_par < t_seq - 0.6  # 16 x 0.1 s sequential vs ~2 x 0.1 s with 8 in flight
