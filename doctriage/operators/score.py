@@ -111,7 +111,8 @@ def recorded_scorer(answers: DataFrame, key: str = "request_key", response_col:
 def function_scorer(fn: Callable[[str], str], timeout_s: float = 300.0,
                     partitions: int | None = None,
                     client_factory: Callable[[], object] | None = None,
-                    threads_per_task: int = 1) -> Callable[[DataFrame], DataFrame]:
+                    threads_per_task: int = 1,
+                    max_calls_per_minute: float | None = None) -> Callable[[DataFrame], DataFrame]:
     """Run ``fn(prompt) -> answer text`` per row inside ``mapInPandas`` (K1, K6, K7).
 
     With ``client_factory``, ``fn`` is called as ``fn(prompt, client)`` and the
@@ -121,6 +122,8 @@ def function_scorer(fn: Callable[[str], str], timeout_s: float = 300.0,
     than ``timeout_s`` -> ``timeout``.  ``threads_per_task`` keeps that many calls
     in flight per task (I/O-bound remote calls), so the concurrency is
     ``partitions x threads_per_task``; results keep their row order.
+    ``max_calls_per_minute`` (a service limit) is split evenly over the
+    ``partitions`` tasks, each of which paces its calls to its share.
     """
     if timeout_s <= 0:
         raise ValueError("Request timeout must be greater than 0")
@@ -128,6 +131,9 @@ def function_scorer(fn: Callable[[str], str], timeout_s: float = 300.0,
         raise ValueError("Max concurrent requests must be greater than 0")
     if threads_per_task <= 0:
         raise ValueError("threads_per_task must be greater than 0")
+    if max_calls_per_minute is not None and (max_calls_per_minute <= 0 or not partitions):
+        raise ValueError("max_calls_per_minute needs partitions and must be greater than 0")
+    interval = 60.0 * partitions / max_calls_per_minute if max_calls_per_minute else 0.0
 
     def score(df: DataFrame) -> DataFrame:
         ship_package(df.sparkSession)
@@ -138,11 +144,23 @@ def function_scorer(fn: Callable[[str], str], timeout_s: float = 300.0,
         schema = T.StructType(src.schema.fields + CALL_FIELDS)
 
         def per_partition(batches):
+            import threading
             client = client_factory() if client_factory else None
+            pace = {"next": time.monotonic()}
+            lock = threading.Lock()
+
+            def wait_turn():
+                if not interval:
+                    return
+                with lock:
+                    start = max(pace["next"], time.monotonic())
+                    pace["next"] = start + interval
+                time.sleep(max(0.0, start - time.monotonic()))
 
             def call(prompt):
                 if prompt is None:  # row failed before scoring: never sent
                     return (None, "skipped", None, None, None)
+                wait_turn()
                 t0 = time.monotonic()
                 try:
                     text = fn(prompt, client) if client_factory else fn(prompt)

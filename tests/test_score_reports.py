@@ -263,3 +263,20 @@ def test_threads_per_task_overlap_io_bound_calls(spark):
     t_par = time.time() - t0
     assert sorted(map(tuple, seq)) == sorted(map(tuple, par)) and len(par) == 16
     assert t_par < t_seq - 0.6  # 16 x 0.1 s sequential vs ~2 x 0.1 s with 8 in flight
+
+
+def test_rate_limit_paces_calls(spark):
+    import pytest
+    stamps = []
+
+    def fn(prompt):
+        return '{"predicted_type": "memo", "confidence_score": 0.6}'
+
+    req = _requests(spark, 6)
+    t0 = time.time()
+    res = classify(req, function_scorer(fn, partitions=1, threads_per_task=4, max_calls_per_minute=600)).collect()
+    assert len(res) == 6 and time.time() - t0 >= 0.5  # 6 calls at 10/s need >= 0.5 s
+    ends = sorted(r.timestamp for r in res)
+    assert (ends[-1] - ends[0]).total_seconds() >= 0.45
+    with pytest.raises(ValueError):
+        function_scorer(fn, max_calls_per_minute=100)  # needs partitions
