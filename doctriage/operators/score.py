@@ -2,7 +2,8 @@
 
 A *scorer* is a function ``DataFrame -> DataFrame`` that receives rows with a
 ``prompt`` column and adds ``response_text`` plus the call outcome
-(``call_stage`` in ok/api/batch/missing/timeout, ``call_error``, ``call_ms``).
+(``call_stage`` in ok/api/batch/missing/timeout, ``call_error``, ``call_ms``,
+``call_end_s``).
 ``classify`` composes text resolution -> prompt -> scorer -> parser, one result
 row per request, and never lets one bad row fail the job.
 
@@ -12,7 +13,8 @@ Scorers provided:
   left join (deterministic; used by the oracle queries).
 * :func:`function_scorer` - any Python callable (e.g. a remote model client) run
   per partition with ``mapInPandas``: one client per partition, per-row error
-  isolation, elapsed time and a time limit per row.
+  isolation, elapsed time and a time limit per row, optional threads per task
+  and a per-minute call limit.
 * :func:`lexicon_score` - an offline evidence scorer, pure Spark.
 """
 
