@@ -166,6 +166,18 @@ def extract_with_fallback(df: DataFrame, extractors: Sequence[Callable[[bytes],
             .drop("__x"))
 
 
+def ocr_chain(preference: str, remote: Callable[[bytes], str], local: Callable[[bytes], str]):
+    """Ordered image extractors for an OCR preference.
+
+    ``remote`` (also ``textract``) uses only the remote service, ``local`` only the
+    local engine, ``auto`` the remote one first and the local one on any failure.
+    """
+    chains = {"remote": [remote], "textract": [remote], "local": [local], "auto": [remote, local]}
+    if preference not in chains:
+        raise ValueError(f"unknown OCR preference {preference!r}")
+    return chains[preference]
+
+
 def extract_documents(files: DataFrame, extractors: dict[str, Sequence[Callable[[bytes], str]]] | None = None,
                       path_col: str = "path", content_col: str = "content", keep_content: bool = False) -> DataFrame:
     """Text of every file by its type, in one scan.

@@ -59,8 +59,17 @@ def write_results(df: DataFrame, path: str, format: str = "json", mode: str = "o
 
 
 def with_result_location(df: DataFrame, results_prefix: str, output_bucket: str,
-                         ts: str = "timestamp", id_col: str = "document_id") -> DataFrame:
-    """Output URIs of the per-document result and metadata records, plus time parts."""
+                         ts: str = "timestamp", id_col: str = "document_id",
+                         origin: str | None = None) -> DataFrame:
+    """Output URIs of the per-document result and metadata records, plus time parts.
+
+    With ``origin`` the stored object's tags become columns too: ``tag_document_id``,
+    ``tag_classification_timestamp`` (when the record is written) and ``tag_source``.
+    """
+    if origin is not None:
+        df = df.withColumns({"tag_document_id": F.col(id_col),
+                             "tag_classification_timestamp": iso_timestamp(F.current_timestamp()),
+                             "tag_source": F.lit(origin)})
     t = utc_wall(F.col(ts))
     hour_path = F.date_format(t, "yyyy/MM/dd/HH")
     day_path = F.date_format(t, "yyyy/MM/dd")

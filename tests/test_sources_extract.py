@@ -188,3 +188,32 @@ def test_run_batch_scores_each_document_once(spark, tmp_path):
     recs, summary, outcome = run_batch(docs, function_scorer(fn), "m", output_dir=str(tmp_path / "o"), fmt="both")
     recs.count(), summary.count(), outcome.collect(), recs.collect()
     assert calls.value == 12
+
+
+def test_ocr_preference_chains(spark, tree):
+    import pytest
+
+    def remote(b):
+        raise RuntimeError("no service")
+
+    def local(b):
+        return "local text"
+
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.jpg").option(
+        "recursiveFileLookup", "true").load(tree)
+    auto = X.extract_documents(files, {"image": X.ocr_chain("auto", remote, local)}).first()
+    assert auto.text == "local text"
+    only_remote = X.extract_documents(files, {"image": X.ocr_chain("textract", remote, local)}).first()
+    assert only_remote.text is None and "no service" in only_remote.extraction_error
+    with pytest.raises(ValueError):
+        X.ocr_chain("cloud", remote, local)
+
+
+def test_result_location_tags(spark):
+    from doctriage.sinks import writers as W
+    df = spark.createDataFrame([("d1",)], "document_id string").withColumn(
+        "timestamp", F.to_timestamp(F.lit("2024-03-05T07:08:09Z")))
+    r = W.with_result_location(df, "classification-results/", "out", origin="doc-pipeline").first()
+    assert r.result_uri == "s3://out/classification-results/classified/2024/03/05/07/d1/result.json"
+    assert r.metadata_uri == "s3://out/classification-results/metadata/2024/03/05/d1/processing.json"
+    assert r.tag_document_id == "d1" and r.tag_source == "doc-pipeline" and r.tag_classification_timestamp
