@@ -16,7 +16,7 @@ from pyspark.sql import SparkSession
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int | None = None,
-                  app: str = "doctriage") -> SparkSession:
+                  app: str = "doctriage", extra_conf: dict | None = None) -> SparkSession:
     """A local session configured the way the library expects (UTC, AQE, no UI)."""
     parts = shuffle_partitions or (8 if cores == "*" else max(2, int(cores)))
     builder = (
@@ -34,6 +34,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int | None = None,
         .config("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
         .config("spark.driver.memory", os.environ.get("DOCTRIAGE_DRIVER_MEMORY", "8g"))
     )
+    for k, v in (extra_conf or {}).items():
+        builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
