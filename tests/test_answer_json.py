@@ -123,3 +123,22 @@ def test_huge_answer_through_spark(spark):
     df = spark.createDataFrame([("{" * 100_000 + "}" * 100_000,), ('noise ' * 30_000 + OBJ,)], "response_text string")
     out = parse_response(df).collect()
     assert out[0].stage == "parse" and out[1].predicted_type == "invoice"
+
+
+def test_parse_outcome_matrix_remaining_rows(spark):
+    rows = [
+        (1, '{"confidence_score": 0.55, "reasoning": "r"}'),                       # type absent
+        (2, '{"predicted_type": "memo", "reasoning": "r"}'),                       # score absent
+        (3, '{"predicted_type": "memo", "confidence_score": true}'),               # boolean score
+        (4, '{"predicted_type": "memo", "confidence_score": "high"}'),             # non-numeric string
+        (5, '{"predicted_type": "memo", "confidence_score": 0.6, "extra": [1]}'),  # extra keys ignored
+        (6, '{"predicted_type": 7, "confidence_score": 0.6}'),                     # type not a string
+    ]
+    out = {r.id: r for r in parse_response(spark.createDataFrame(rows, "id int, response_text string")).collect()}
+    assert (out[1].predicted_type, out[1].primary_score, out[1].stage) == ("unknown", 0.55, "ok")
+    assert (out[2].predicted_type, out[2].primary_score) == ("memo", 0.0)
+    assert out[3].primary_score == 1.0
+    assert out[4].stage == "parse" and out[4].reasoning == (
+        "Failed to parse classification response: could not convert string to float: 'high'")
+    assert (out[5].predicted_type, out[5].primary_score, out[5].stage) == ("memo", 0.6, "ok")
+    assert out[6].stage == "batch" and out[6].reasoning == "Batch processing failed: 'int' object has no attribute 'lower'"
