@@ -50,14 +50,39 @@ def decode_utf8(content) -> Column:
     return F.regexp_replace(s, "\r\n?", "\n")
 
 
+def _utf8_error(b) -> str | None:
+    if b is None:
+        return None
+    try:
+        bytes(b).decode("utf-8")
+        return None
+    except UnicodeDecodeError as e:
+        return str(e)
+
+
+@F.pandas_udf(T.StringType())
+def _utf8_error_udf(content: pd.Series) -> pd.Series:
+    return content.map(_utf8_error)
+
+
+# only bytes that failed native decoding are sent (others pass NULL); never re-evaluated
+utf8_error = _utf8_error_udf.asNondeterministic()
+
+
 def decode_text(df: DataFrame, content_col: str = "content", path_col: str = "path") -> DataFrame:
-    """Text and error for the plain-text branches (``text`` and ``other``)."""
+    """Text and error for the plain-text branches (``text`` and ``other``).
+
+    Decoding is native.  A ``.txt``/``.md`` file that is not UTF-8 gets Python's
+    exact decode message (computed in Python for those rows only); any other
+    suffix gets the unsupported-format message.
+    """
+    ship_package(df.sparkSession)
     text = decode_utf8(content_col)
     suffix = path_suffix(F.col(path_col))
     route = route_by_suffix(path_col)
     err = (F.when(text.isNull() & (route == "other"),
                   F.format_string(UNSUPPORTED_FORMAT.replace("{suffix}", "%s"), suffix))
-           .when(text.isNull(), F.lit("'utf-8' codec can't decode the file")))
+           .when(text.isNull(), utf8_error(F.when(text.isNull() & (route == "text"), F.col(content_col)))))
     return df.withColumns({"text": text, "extraction_error": err})
 
 
@@ -217,7 +242,7 @@ def extract_documents(files: DataFrame, extractors: dict[str, Sequence[Callable[
             .when(r == "image", slot("image", "text")))
     error = (F.when((r == "other") & decoded.isNull(),
                     F.format_string(UNSUPPORTED_FORMAT.replace("{suffix}", "%s"), suffix))
-             .when((r == "text") & decoded.isNull(), F.lit("'utf-8' codec can't decode the file"))
+             .when((r == "text") & decoded.isNull(), utf8_error(F.when((r == "text") & decoded.isNull(), content)))
              .when(r == "docx", F.col("__docx.error"))
              .when(r == "pdf", slot("pdf", "error"))
              .when(r == "image", slot("image", "error")))
