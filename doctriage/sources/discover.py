@@ -19,13 +19,19 @@ from ..schemas import BATCH_RESULT_SCHEMA, DOCUMENT_SCHEMA
 DOCUMENT_COLUMNS = [f.name for f in DOCUMENT_SCHEMA.fields]
 
 
-def _listing(spark: SparkSession, root: str, recursive: bool, glob: str | None) -> DataFrame:
+def _listing(spark: SparkSession, root: str, recursive: bool, glob: str | None,
+             extract: bool = False, extractors: dict | None = None) -> DataFrame:
     reader = spark.read.format("binaryFile")
     if recursive:
         reader = reader.option("recursiveFileLookup", "true")
     if glob and glob != "*":
         reader = reader.option("pathGlobFilter", glob)
-    return reader.load(root).select("path", "length", "modificationTime")
+    files = reader.load(root)
+    if not extract:
+        return files.select("path", "length", "modificationTime")  # content pruned from the scan
+    from ..operators.extract import extract_documents
+    texts = extract_documents(files.select("path", "length", "modificationTime", "content"), extractors)
+    return texts.withColumnRenamed("text", "extracted")
 
 
 def conform(df: DataFrame) -> DataFrame:
@@ -39,19 +45,22 @@ def conform(df: DataFrame) -> DataFrame:
 
 
 def list_store(spark: SparkSession, root: str, prefix: str = "", pattern: str = "*",
-               bucket: str | None = None, max_size_bytes: int | None = None) -> DataFrame:
+               bucket: str | None = None, max_size_bytes: int | None = None,
+               extract: bool = False, extractors: dict | None = None) -> DataFrame:
     """Objects of a bucket as documents (A1).
 
     ``root`` is the bucket's location (``s3a://bucket`` on a cluster, any folder in
     tests); ``bucket`` defaults to its last path component.  Only the folder part
     of ``prefix`` is listed (listing pruning); the rest is a ``startswith`` filter.
     ``pattern`` follows the object-store rule: stars removed, suffix match on the
-    whole key.  Keys ending in ``/`` are folders and never listed.
+    whole key.  Keys ending in ``/`` are folders and never listed.  With
+    ``extract`` the same scan also extracts each file's text (``extracted``,
+    ``extraction_error``; see ``extract_documents``), ready for ``run_batch``.
     """
     base = root.rstrip("/")
     name = bucket or base.rsplit("/", 1)[-1]
     folder = prefix.rsplit("/", 1)[0] if "/" in prefix else ""
-    df = _listing(spark, base + ("/" + folder if folder else ""), True, None)
+    df = _listing(spark, base + ("/" + folder if folder else ""), True, None, extract, extractors)
     if max_size_bytes:
         df = df.where(F.col("length") <= max_size_bytes)
     # the key is the path below the bucket's root (local paths come back as file:...)
@@ -66,17 +75,26 @@ def list_store(spark: SparkSession, root: str, prefix: str = "", pattern: str =
         F.col("key"),
         F.col("length").alias("size"),
         F.col("modificationTime").alias("last_modified"),
+        *_extracted(extract),
     ))
 
 
+def _extracted(extract: bool):
+    return [F.col("extracted"), F.col("extraction_error")] if extract else []
+
+
 def _strip_scheme(p: str) -> str:
     return p[len("file:"):] if p.startswith("file:") else p
 
 
 def list_directory(spark: SparkSession, directory: str, pattern: str = "*", recursive: bool = True,
-                   max_size_bytes: int | None = None) -> DataFrame:
-    """Regular files under ``directory`` as documents; ``pattern`` is a name glob (A2)."""
-    df = _listing(spark, directory, recursive, pattern)
+                   max_size_bytes: int | None = None, extract: bool = False,
+                   extractors: dict | None = None) -> DataFrame:
+    """Regular files under ``directory`` as documents; ``pattern`` is a name glob (A2).
+
+    With ``extract`` the same scan also extracts each file's text, as in :func:`list_store`.
+    """
+    df = _listing(spark, directory, recursive, pattern, extract, extractors)
     if max_size_bytes:
         df = df.where(F.col("length") <= max_size_bytes)
     local = F.regexp_replace(F.col("path"), "^file:", "")
@@ -87,6 +105,7 @@ def list_directory(spark: SparkSession, directory: str, pattern: str = "*", recu
         local.alias("file_path"),
         F.col("length").alias("size"),
         F.col("modificationTime").alias("last_modified"),
+        *_extracted(extract),
     ))
 
 

@@ -218,3 +218,22 @@ def test_result_location_tags(spark):
     assert r.result_uri == "s3://out/classification-results/classified/2024/03/05/07/d1/result.json"
     assert r.metadata_uri == "s3://out/classification-results/metadata/2024/03/05/d1/processing.json"
     assert r.tag_document_id == "d1" and r.tag_source == "doc-pipeline" and r.tag_classification_timestamp
+
+
+def test_listing_with_extraction_feeds_run_batch(spark, tree):
+    from doctriage.operators.score import function_scorer
+    from doctriage.plans.batch import run_batch
+
+    docs = D.list_directory(spark, tree, pattern="*.txt", extract=True)
+    assert "extracted" in docs.columns and "content" not in docs.columns
+    plan = docs._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan binaryFile") == 1
+
+    def fn(prompt):
+        return '{"predicted_type": "invoice", "confidence_score": 0.9}' if "Invoice" in prompt else "?"
+
+    recs, _, _ = run_batch(docs, function_scorer(fn), "m", extracted_col="extracted",
+                           extraction_error_col="extraction_error")
+    got = {(r.document_id, r.status, r.cli_exit_code) for r in recs.collect()}
+    # invoice.txt twice (same stem, two folders), bad.txt cannot be decoded: an error row, not scored
+    assert ("invoice", "success", 0) in got and ("bad", "error", 2) in got and len(got) == 3
