@@ -20,13 +20,16 @@ DOCUMENT_COLUMNS = [f.name for f in DOCUMENT_SCHEMA.fields]
 
 
 def _listing(spark: SparkSession, root: str, recursive: bool, glob: str | None,
-             extract: bool = False, extractors: dict | None = None) -> DataFrame:
+             extract: bool = False, extractors: dict | None = None,
+             max_size_bytes: int | None = None) -> DataFrame:
     reader = spark.read.format("binaryFile")
     if recursive:
         reader = reader.option("recursiveFileLookup", "true")
     if glob and glob != "*":
         reader = reader.option("pathGlobFilter", glob)
     files = reader.load(root)
+    if max_size_bytes:  # on the scan, before any extraction (a pushed filter on length)
+        files = files.where(F.col("length") <= max_size_bytes)
     if not extract:
         return files.select("path", "length", "modificationTime")  # content pruned from the scan
     from ..operators.extract import extract_documents
@@ -60,9 +63,7 @@ def list_store(spark: SparkSession, root: str, prefix: str = "", pattern: str =
     base = root.rstrip("/")
     name = bucket or base.rsplit("/", 1)[-1]
     folder = prefix.rsplit("/", 1)[0] if "/" in prefix else ""
-    df = _listing(spark, base + ("/" + folder if folder else ""), True, None, extract, extractors)
-    if max_size_bytes:
-        df = df.where(F.col("length") <= max_size_bytes)
+    df = _listing(spark, base + ("/" + folder if folder else ""), True, None, extract, extractors, max_size_bytes)
     # the key is the path below the bucket's root (local paths come back as file:...)
     key = F.regexp_replace(F.regexp_replace(F.col("path"), "^file:", ""),
                            "^" + re.escape(_strip_scheme(base)) + "/", "")
@@ -94,9 +95,7 @@ def list_directory(spark: SparkSession, directory: str, pattern: str = "*", recu
 
     With ``extract`` the same scan also extracts each file's text, as in :func:`list_store`.
     """
-    df = _listing(spark, directory, recursive, pattern, extract, extractors)
-    if max_size_bytes:
-        df = df.where(F.col("length") <= max_size_bytes)
+    df = _listing(spark, directory, recursive, pattern, extract, extractors, max_size_bytes)
     local = F.regexp_replace(F.col("path"), "^file:", "")
     return conform(df.select(
         path_stem(local).alias("document_id"),

@@ -237,3 +237,17 @@ def test_listing_with_extraction_feeds_run_batch(spark, tree):
     got = {(r.document_id, r.status, r.cli_exit_code) for r in recs.collect()}
     # invoice.txt twice (same stem, two folders), bad.txt cannot be decoded: an error row, not scored
     assert ("invoice", "success", 0) in got and ("bad", "error", 2) in got and len(got) == 3
+
+
+def test_size_limit_applies_before_extraction(spark, tree):
+    seen = spark.sparkContext.accumulator(0)
+
+    def pdf_fn(b):
+        seen.add(1)
+        return "x"
+
+    docs = D.list_directory(spark, tree, max_size_bytes=5, extract=True, extractors={"pdf": [pdf_fn]})
+    rows = docs.collect()
+    assert all(r.size <= 5 for r in rows) and seen.value == 0  # the 19-byte PDF never reached the extractor
+    plan = docs._jdf.queryExecution().executedPlan().toString()
+    assert "LessThanOrEqual(length,5)" in plan
