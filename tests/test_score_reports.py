@@ -249,20 +249,26 @@ def test_results_carry_call_end_times(spark):
 
 
 def test_threads_per_task_overlap_io_bound_calls(spark):
+    import threading
+    state = {"now": 0, "peak": 0}
+    lock = threading.Lock()
+
     def fn(prompt):
-        time.sleep(0.1)
-        return '{"predicted_type": "memo", "confidence_score": 0.6}'
+        with lock:
+            state["now"] += 1
+            state["peak"] = max(state["peak"], state["now"])
+        time.sleep(0.05)
+        with lock:
+            state["now"] -= 1
+            peak = state["peak"]
+        return '{"predicted_type": "memo", "confidence_score": 0.6, "reasoning": "%d"}' % peak
 
     req = _requests(spark, 16)
-    t0 = time.time()
-    seq = classify(req, function_scorer(fn, partitions=1)).select("request_key", "predicted_type").collect()
-    t_seq = time.time() - t0
-    t0 = time.time()
-    par = classify(req, function_scorer(fn, partitions=1, threads_per_task=8)).select(
-        "request_key", "predicted_type").collect()
-    t_par = time.time() - t0
-    assert sorted(map(tuple, seq)) == sorted(map(tuple, par)) and len(par) == 16
-    assert t_par < t_seq - 0.6  # 16 x 0.1 s sequential vs ~2 x 0.1 s with 8 in flight
+    seq = classify(req, function_scorer(fn, partitions=1)).collect()
+    par = classify(req, function_scorer(fn, partitions=1, threads_per_task=8)).collect()
+    assert max(int(r.reasoning) for r in seq) == 1          # one call at a time
+    assert max(int(r.reasoning) for r in par) >= 2          # several calls in flight in one task
+    assert sorted(r.request_key for r in par) == sorted(r.request_key for r in seq) and len(par) == 16
 
 
 def test_rate_limit_paces_calls(spark):
