@@ -249,23 +249,23 @@ def test_results_carry_call_end_times(spark):
 
 
 def test_threads_per_task_overlap_io_bound_calls(spark):
-    import threading
-    state = {"now": 0, "peak": 0}
-    lock = threading.Lock()
-
-    def fn(prompt):
-        with lock:
-            state["now"] += 1
-            state["peak"] = max(state["peak"], state["now"])
+    def make_client():  # built once per partition, inside the worker
+        import threading
+        return {"lock": threading.Lock(), "now": 0, "peak": 0}
+
+    def fn(prompt, c):
+        with c["lock"]:
+            c["now"] += 1
+            c["peak"] = max(c["peak"], c["now"])
         time.sleep(0.05)
-        with lock:
-            state["now"] -= 1
-            peak = state["peak"]
+        with c["lock"]:
+            c["now"] -= 1
+            peak = c["peak"]
         return '{"predicted_type": "memo", "confidence_score": 0.6, "reasoning": "%d"}' % peak
 
     req = _requests(spark, 16)
-    seq = classify(req, function_scorer(fn, partitions=1)).collect()
-    par = classify(req, function_scorer(fn, partitions=1, threads_per_task=8)).collect()
+    seq = classify(req, function_scorer(fn, partitions=1, client_factory=make_client)).collect()
+    par = classify(req, function_scorer(fn, partitions=1, client_factory=make_client, threads_per_task=8)).collect()
     assert max(int(r.reasoning) for r in seq) == 1          # one call at a time
     assert max(int(r.reasoning) for r in par) >= 2          # several calls in flight in one task
     assert sorted(r.request_key for r in par) == sorted(r.request_key for r in seq) and len(par) == 16
