@@ -47,3 +47,14 @@ def with_type_family(df: DataFrame, type_col: str = "document_type") -> DataFram
     dt = F.broadcast(document_types(df.sparkSession).select(
         F.col("document_type").alias("__t"), "family", "offered"))
     return df.join(dt, F.col(type_col) == F.col("__t"), "left").drop("__t")
+
+
+def model_id_for(name: str) -> str:
+    """Resolve one run option the way rows are resolved: short name -> alias -> model id.
+
+    A driver-side look-up of a single parameter in the fixed dimensions; unknown
+    names pass through unchanged (they may already be model ids).
+    """
+    from ..schemas import MODEL_ALIASES, MODEL_CATALOG
+    alias = dict(MODEL_ALIASES).get(name, name)
+    return {r[0]: r[1] for r in MODEL_CATALOG}.get(alias, alias)

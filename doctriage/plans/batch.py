@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions.paths import path_stem
 from ..operators import reports as R
+from ..operators.catalog import model_id_for
 from ..operators.requests import with_run_options
 from ..operators.score import classify
 from ..session import materialize
@@ -63,7 +64,7 @@ def run_batch(docs: DataFrame, scorer: Callable[[DataFrame], DataFrame], model:
     if max_docs:
         req = R.max_docs(req, max_docs, order=["source", "request_key"])
     req = with_run_options(req, **(options or {}))
-    res = classify(req, scorer, model=model, threshold=threshold, error_col="pre_error",
+    res = classify(req, scorer, model=model_id_for(model), threshold=threshold, error_col="pre_error",
                    extracted_col=extracted_col, drop_cols=["text"])
     records_in = res.select(
         "document_id", "source", "status",

@@ -137,3 +137,11 @@ def test_is_high_confidence_property(spark):
 def test_needs_human_review_property(spark):
     df = spark.createDataFrame([(0.8, 0.7), (0.6, 0.7)], "s double, t double")
     assert [r[0] for r in df.select(C.needs_review("s", "t")).collect()] == [False, True]
+
+
+def test_model_name_resolution():
+    from doctriage.operators.catalog import model_id_for
+    assert model_id_for("claude-haiku") == "anthropic.claude-3-haiku-20240307-v1:0"
+    assert model_id_for("nova-lite") == "us.amazon.nova-lite-v1:0"
+    assert model_id_for("llama-8b") == "us.meta.llama3-1-8b-instruct-v1:0"
+    assert model_id_for("custom-model") == "custom-model"
