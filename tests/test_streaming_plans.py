@@ -112,3 +112,15 @@ def test_stream_results_and_counts_once(spark, tmp_path):
     assert counts.agg(F.sum("processed")).first()[0] == 9 and counts.count() >= 2
     assert spark.read.parquet(str(tmp_path / "res")).count() == 9
     assert calls.value == 9
+
+
+def test_hour_partitioned_write_rebalances(spark):
+    from doctriage.sinks import writers as W
+    res = W.batch_records(fx.results_fx(spark, SF001)).withColumn("ts", F.to_timestamp("timestamp"))
+    t = W.utc_wall(F.col("ts"))
+    d = res.withColumns({"year": F.date_format(t, "yyyy"), "month": F.date_format(t, "MM"),
+                         "day": F.date_format(t, "dd"), "hour": F.date_format(t, "HH")})
+    plan = d.hint("rebalance", "year", "month", "day", "hour")._jdf.queryExecution().optimizedPlan().toString()
+    assert "RebalancePartitions" in plan
+    import inspect
+    assert 'hint("rebalance"' in inspect.getsource(W.write_by_hour)
