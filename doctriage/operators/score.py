@@ -121,7 +121,9 @@ def function_scorer(fn: Callable[[str], str], timeout_s: float = 300.0,
     client is built once per partition.  ``partitions`` bounds concurrency the way
     the reference's worker count did (round-robin ``repartition``).  Exceptions are isolated per row:
     :class:`ScorerApiError` -> ``api``, anything else -> ``batch``; a call longer
-    than ``timeout_s`` -> ``timeout``.  ``threads_per_task`` keeps that many calls
+    than ``timeout_s`` -> ``timeout``.  The limit is applied to each call's result;
+    give the client the same timeout (e.g. its read timeout) so that a hung call
+    cannot hold its task.  ``threads_per_task`` keeps that many calls
     in flight per task (I/O-bound remote calls), so the concurrency is
     ``partitions x threads_per_task``; results keep their row order.
     ``max_calls_per_minute`` (a service limit) is split evenly over the
