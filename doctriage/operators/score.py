@@ -114,7 +114,8 @@ def function_scorer(fn: Callable[[str], str], timeout_s: float = 300.0,
                     partitions: int | None = None,
                     client_factory: Callable[[], object] | None = None,
                     threads_per_task: int = 1,
-                    max_calls_per_minute: float | None = None) -> Callable[[DataFrame], DataFrame]:
+                    max_calls_per_minute: float | None = None,
+                    hard_timeout: bool = False) -> Callable[[DataFrame], DataFrame]:
     """Run ``fn(prompt) -> answer text`` per row inside ``mapInPandas`` (K1, K6, K7).
 
     With ``client_factory``, ``fn`` is called as ``fn(prompt, client)`` and the
@@ -123,7 +124,10 @@ def function_scorer(fn: Callable[[str], str], timeout_s: float = 300.0,
     :class:`ScorerApiError` -> ``api``, anything else -> ``batch``; a call longer
     than ``timeout_s`` -> ``timeout``.  The limit is applied to each call's result;
     give the client the same timeout (e.g. its read timeout) so that a hung call
-    cannot hold its task.  ``threads_per_task`` keeps that many calls
+    cannot hold its task.  With ``hard_timeout`` the task stops waiting instead:
+    calls run on daemon threads, in waves of ``threads_per_task``, and a call
+    still running ``timeout_s`` after its wave started becomes a ``timeout`` row
+    while the task moves on (the stuck thread is abandoned).  ``threads_per_task`` keeps that many calls
     in flight per task (I/O-bound remote calls), so the concurrency is
     ``partitions x threads_per_task``; results keep their row order.
     ``max_calls_per_minute`` (a service limit) is split evenly over the
@@ -182,14 +186,36 @@ def function_scorer(fn: Callable[[str], str], timeout_s: float = 300.0,
                     err = f"Processing timed out after {timeout_s:g} seconds"
                 return (text, stage, err, ms, time.time())
 
+            def bounded(prompts):
+                # waves of daemon threads; whatever is still running at the deadline is a timeout
+                results = [None] * len(prompts)
+                for lo in range(0, len(prompts), threads_per_task):
+                    wave = []
+                    for i in range(lo, min(lo + threads_per_task, len(prompts))):
+                        def run(i=i):
+                            results[i] = call(prompts[i])
+                        t = threading.Thread(target=run, daemon=True)
+                        t.start()
+                        wave.append((i, t))
+                    deadline = time.monotonic() + timeout_s
+                    for i, t in wave:
+                        t.join(max(0.0, deadline - time.monotonic()))
+                        if t.is_alive() or results[i] is None:
+                            results[i] = (None, "timeout", f"Processing timed out after {timeout_s:g} seconds",
+                                          timeout_s * 1000.0, time.time())
+                return results
+
             pool = None
-            if threads_per_task > 1:
+            if threads_per_task > 1 and not hard_timeout:
                 from concurrent.futures import ThreadPoolExecutor
                 pool = ThreadPoolExecutor(max_workers=threads_per_task)
             try:
                 for pdf in batches:
                     prompts = list(pdf["prompt"])
-                    out = list(pool.map(call, prompts)) if pool else [call(p) for p in prompts]
+                    if hard_timeout:
+                        out = bounded(prompts)
+                    else:
+                        out = list(pool.map(call, prompts)) if pool else [call(p) for p in prompts]
                     calls = pd.DataFrame(out, columns=[f.name for f in CALL_FIELDS], index=pdf.index)
                     yield pd.concat([pdf, calls], axis=1)
             finally:

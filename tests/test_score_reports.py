@@ -286,3 +286,17 @@ def test_rate_limit_paces_calls(spark):
     assert (ends[-1] - ends[0]).total_seconds() >= 0.45
     with pytest.raises(ValueError):
         function_scorer(fn, max_calls_per_minute=100)  # needs partitions
+
+
+def test_hard_timeout_does_not_wait_for_hung_calls(spark):
+    def fn(prompt):
+        if prompt.count("word") == 3:
+            time.sleep(30)  # a hung call
+        return '{"predicted_type": "memo", "confidence_score": 0.6}'
+
+    t0 = time.time()
+    res = {r.document_id: r for r in classify(
+        _requests(spark, 6), function_scorer(fn, partitions=1, timeout_s=0.5, hard_timeout=True,
+                                             threads_per_task=2)).collect()}
+    assert time.time() - t0 < 25  # did not wait for the 30 s call
+    assert res["doc_3"].status == "timeout" and res["doc_0"].status == "success" and len(res) == 6
