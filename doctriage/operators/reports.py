@@ -16,20 +16,16 @@ from pyspark.sql import functions as F
 from ..functions.confidence import _ge
 
 
-MAX_BROADCAST_BYTES = 64 * 1024 * 1024
+MAX_BROADCAST_ROWS = 1_000_000
 
 
-def broadcast_if_small(dim: DataFrame, max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
-    """Broadcast hint only when the optimizer's size estimate of ``dim`` is within ``max_bytes``.
+def broadcast_if_small(dim: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """Broadcast hint only for a dimension whose row count is checked to be within ``max_rows``.
 
-    The estimate comes from plan statistics (exact for local tables, file sizes for
-    scans), so the check runs no job; above the bound Spark keeps its own choice.
+    The check is a bounded count (``limit(max_rows + 1)``), cheap for the small
+    local tables it is meant for; above the bound Spark keeps its own choice.
     """
-    try:
-        size = int(str(dim._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except Exception:  # no plan statistics (e.g. Spark Connect): leave the choice to Spark
-        return dim
-    return F.broadcast(dim) if size <= max_bytes else dim
+    return F.broadcast(dim) if dim.limit(max_rows + 1).count() <= max_rows else dim
 
 
 def _success(status: str = "status") -> Column:

@@ -58,8 +58,7 @@ def scratch_dir(spark: SparkSession, name: str | None = None) -> str:
     base = spark.conf.get("spark.checkpoint.dir", None)
     sc = _classic_context(spark)
     if not base and sc is not None:
-        jdir = sc._jsc.sc().getCheckpointDir()
-        base = jdir.get() if jdir.isDefined() else None
+        base = sc.getCheckpointDir()
     if not base:
         base = tempfile.mkdtemp(prefix="doctriage-ckpt-")
         if sc is not None:
