@@ -45,7 +45,8 @@ def test_line_accumulation():
     assert find_json(text)["predicted_type"] == "memo"
 
 
-# Linear scanner against the reference's backtracking pattern shape, on small random strings.
+# Fixed value: the depth-3 brace pattern the reference applies with findall.  It is the
+# independent (backtracking) oracle for the linear scanner, on small random strings.
 _DEPTH3 = re.compile(r"\{(?:[^{}]|(?:\{(?:[^{}]|(?:\{[^{}]*\})*)*\}))*\}")
 
 
