@@ -162,13 +162,7 @@ SELECT document_id, status, cli_exit_code FROM (
 def q_read_results(spark, d):
     """Result files holding one JSON array each (the reference's saved form), read back."""
     path = scratch_dir(spark, "results-arrays")
-    rec = W.batch_records(fx.results_fx(spark, d)).select(
-        (F.col("document_id").substr(5, 20).cast("bigint") / 1000).cast("bigint").alias("grp"),
-        F.col("document_id"), F.to_json(F.struct("*")).alias("j"))
-    arrays = rec.groupBy("grp").agg(F.concat(F.lit("["), F.array_join(F.transform(
-        F.array_sort(F.collect_list(F.struct("document_id", "j"))), lambda x: x["j"]), ","), F.lit("]"))
-        .alias("value"))
-    arrays.hint("rebalance", "grp").write.partitionBy("grp").text(path)
+    W.write_json_arrays(W.batch_records(fx.results_fx(spark, d)), path, per_file=1000)
     back = D.read_results(spark, path, multiline=True)
     return back.select("document_id", "status", "cli_exit_code")
 

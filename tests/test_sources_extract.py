@@ -251,3 +251,18 @@ def test_size_limit_applies_before_extraction(spark, tree):
     assert all(r.size <= 5 for r in rows) and seen.value == 0  # the 19-byte PDF never reached the extractor
     plan = docs._jdf.queryExecution().executedPlan().toString()
     assert "LessThanOrEqual(length,5)" in plan
+
+
+def test_json_array_files_round_trip(spark, tmp_path):
+    import glob
+    import json as _json
+
+    from doctriage.sinks import writers as W
+    df = spark.createDataFrame([(f"d{i}", "success") for i in range(10)], "document_id string, status string")
+    path = str(tmp_path / "arrays")
+    W.write_json_arrays(df.repartition(2), path, per_file=3)
+    files = [f for f in glob.glob(path + "/**/*.txt", recursive=True)]
+    arrays = [_json.loads(open(f).read()) for f in files]
+    assert all(isinstance(a, list) and 1 <= len(a) <= 3 for a in arrays)
+    back = D.read_results(spark, path, multiline=True)
+    assert sorted(r.document_id for r in back.collect()) == [f"d{i}" for i in range(10)]
