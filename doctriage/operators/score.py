@@ -59,7 +59,7 @@ MAX_HOT_KEYS = 10_000  # hot keys salted explicitly; any further ones still join
 
 def recorded_scorer(answers: DataFrame, key: str = "request_key", response_col: str = "response_text",
                     dedupe: bool = True, hot_key_rows: int | None = None,
-                    salt_buckets: int = 32) -> Callable[[DataFrame], DataFrame]:
+                    salt_buckets: int = 32, materialize_answers: bool = False) -> Callable[[DataFrame], DataFrame]:
     """Pair each request with its recorded answer (K2, E5).
 
     Both sides are large, so this is a shuffle join on ``key`` (never a broadcast
@@ -76,11 +76,18 @@ def recorded_scorer(answers: DataFrame, key: str = "request_key", response_col:
     most ``MAX_HOT_KEYS`` of them, a bound of rows / ``hot_key_rows``) have their
     requests spread over ``salt_buckets`` buckets, and only those keys' single
     answer rows are replicated per bucket.  Results are identical either way.
+
+    ``materialize_answers`` stores the deduplicated answers once under the
+    checkpoint folder; a streaming query then scans that table on every
+    micro-batch instead of re-aggregating the answers each time.
     """
     if dedupe:
         one = answers.groupBy(key).agg(F.min(response_col).alias("__answer"))
     else:
         one = answers.select(F.col(key), F.col(response_col).alias("__answer"))
+    if materialize_answers:
+        from ..session import materialize
+        one = materialize(one, "answers")
 
     def score(df: DataFrame) -> DataFrame:
         if hot_key_rows:

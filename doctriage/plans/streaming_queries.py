@@ -29,7 +29,8 @@ def q_stream_classify(spark, d):
     src = _write_messages(spark, d)
     out, ckpt = scratch_dir(spark, "stream-out"), scratch_dir(spark, "stream-ckpt")
     msgs = read_messages(spark, src)  # drains the queue in one micro-batch; J3 bounds are shown by stream_batch_counts
-    q = write_stream(classify_stream(msgs, recorded_scorer(fx.answers_fx(spark, d)), model=MODEL_ID)
+    scorer = recorded_scorer(fx.answers_fx(spark, d), materialize_answers=True)  # stored once, scanned per batch
+    q = write_stream(classify_stream(msgs, scorer, model=MODEL_ID)
                      .drop("timestamp"), out, ckpt)
     q.awaitTermination()
     return spark.read.parquet(out).select("request_key", "document_id", "status", "stage", "predicted_type",
@@ -45,7 +46,7 @@ def q_stream_batch_counts(spark, d):
     rows, out = scratch_dir(spark, "stream-rows"), scratch_dir(spark, "stream-counts")
     ckpt = scratch_dir(spark, "stream-counts-ckpt")
     msgs = read_messages(spark, src, max_files_per_trigger=1)  # bounded micro-batches (J3)
-    res = classify_stream(msgs, recorded_scorer(fx.answers_fx(spark, d)), model=MODEL_ID)
+    res = classify_stream(msgs, recorded_scorer(fx.answers_fx(spark, d), materialize_answers=True), model=MODEL_ID)
     q = (res.writeStream.foreachBatch(results_and_counts_writer(rows, out)).option("checkpointLocation", ckpt)
          .trigger(availableNow=True).start())
     q.awaitTermination()
