@@ -262,12 +262,12 @@ def first_working_models(df: DataFrame, n: int = 3, status: str = "status", mode
     return (df.where(_success(status)).select(model).distinct().orderBy(model).limit(n))
 
 
-def max_docs(df: DataFrame, n: int | None, order: str = "source") -> DataFrame:
+def max_docs(df: DataFrame, n: int | None, order: str | list[str] = "source") -> DataFrame:
     """At most ``n`` rows in ``order``; None or 0 means no limit."""
     return df.orderBy(order).limit(n) if n else df
 
 
-def chunk(df: DataFrame, skip: int, n: int, order: str = "source") -> DataFrame:
+def chunk(df: DataFrame, skip: int, n: int, order: str | list[str] = "source") -> DataFrame:
     """Skip ``skip`` rows, take ``n``."""
     return df.orderBy(order).offset(skip).limit(n)
 
