@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import ship_package
-from . import exact_dedup, mixing, sharding
+from . import exact_dedup, mixing, packing, sharding, token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -41,6 +41,16 @@ def op2(spark, d):
     return mixing.mix(documents(spark, d))
 
 
+@_register("op4_token_files")
+def op4(spark, d):
+    return token_files.read_token_files(spark, token_files.write_token_files(documents(spark, d)))
+
+
+@_register("op7_packing")
+def op7(spark, d):
+    return packing.pack_documents(documents(spark, d))
+
+
 @_register("op8_rendezvous_shards", sharding.ORACLE)
 def op8(spark, d):
     return sharding.shard_rows(documents(spark, d))
