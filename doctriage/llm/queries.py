@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import ship_package
-from . import exact_dedup, mixing, packing, sharding, token_files
+from . import exact_dedup, mixing, packing, sharding, simhash, token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -54,3 +54,8 @@ def op7(spark, d):
 @_register("op8_rendezvous_shards", sharding.ORACLE)
 def op8(spark, d):
     return sharding.shard_rows(documents(spark, d))
+
+
+@_register("op9_simhash_near_dedup")
+def op9(spark, d):
+    return simhash.near_duplicates(documents(spark, d))
