@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import ship_package
-from . import exact_dedup, mixing, packing, sharding, simhash, token_files
+from . import exact_dedup, language, mixing, packing, sharding, simhash, token_files, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -41,11 +41,23 @@ def op2(spark, d):
     return mixing.mix(documents(spark, d))
 
 
+@_register("op3_toxicity")
+def op3(spark, d):
+    docs = documents(spark, d)
+    return toxicity.severity(docs, toxicity.fit(docs, spark.read.parquet(f"{d}/labels.parquet")))
+
+
 @_register("op4_token_files")
 def op4(spark, d):
     return token_files.read_token_files(spark, token_files.write_token_files(documents(spark, d)))
 
 
+@_register("op6_language_id")
+def op6(spark, d):
+    docs = documents(spark, d)
+    return language.identify(docs, language.fit(docs)).drop("langs")
+
+
 @_register("op7_packing")
 def op7(spark, d):
     return packing.pack_documents(documents(spark, d))
