@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import ship_package
-from . import exact_dedup, language, mixing, packing, sharding, simhash, token_files, toxicity
+from . import exact_dedup, language, mixing, packing, repetition, sharding, simhash, token_files, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -52,6 +52,11 @@ def op4(spark, d):
     return token_files.read_token_files(spark, token_files.write_token_files(documents(spark, d)))
 
 
+@_register("op5_repetition_rules")
+def op5(spark, d):
+    return repetition.quality(documents(spark, d))
+
+
 @_register("op6_language_id")
 def op6(spark, d):
     docs = documents(spark, d)
