@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import ship_package
-from . import exact_dedup, language, mixing, packing, repetition, sharding, simhash, token_files, toxicity
+from . import exact_dedup, language, mixing, packing, repetition, sharding, simhash, suffix_dedup, token_files, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -76,3 +76,8 @@ def op8(spark, d):
 @_register("op9_simhash_near_dedup")
 def op9(spark, d):
     return simhash.near_duplicates(documents(spark, d))
+
+
+@_register("op10_suffix_array_dedup")
+def op10(spark, d):
+    return suffix_dedup.remove_repeats(documents(spark, d))
