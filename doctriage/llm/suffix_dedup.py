@@ -22,25 +22,29 @@ differ, is split: its strings are dealt one by one, each by its own hash.
 from __future__ import annotations
 
 import hashlib
+import itertools
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import materialize
 from .common import NO_ID, column, slices
 
 WIDTH = 50       # bytes of the strings that are compared
 GRAM = 24        # bytes of an anchor
 SHALLOW = 24     # depth of the multikey quicksort; blind tries go on from there
-BUCKET_BYTES = 24 << 20  # of anchors or contexts that a task should get
-HOT = 4096       # slices' documents with an anchor from which its strings are dealt one by one
-_SUFFIXES = 1 << 18      # sorted at once
+BUCKET_BYTES = 16 << 20  # of anchors or contexts that a task should get
+HOT = 4096       # slices with an anchor beyond which its strings are dealt one by one ...
+HOT_ANCHORS = 1 << 20  # ... or this part of all bytes, which bounds the list of such anchors
+HASH_BYTES = 6   # of an anchor's hash that are counted: one taken for another is only looked at in vain
+_SINGLE = 255    # in place of the anchor's offset: a string dealt alone
+_SUFFIXES = 1 << 16      # sorted at once
 _SLICE = 4 << 20
 
 
-def _byte_slices(batches, names=("doc_id", "_key")):
+def _byte_slices(batches):
     """(the batch's slice, one buffer of all its texts' bytes, the ends of each)."""
     for batch in batches:
         if not batch.num_rows:
@@ -53,18 +57,59 @@ def _byte_slices(batches, names=("doc_id", "_key")):
             yield batch.slice(a, b - a), raw[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a]
 
 
+def _mix(words) -> np.ndarray:
+    """A 64-bit hash of the 8-byte words (arrays, one a place)."""
+    h = np.uint64(0x165667B19E3779F9)
+    for w, by in zip(words, itertools.cycle((0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))):
+        h = (h + w) * np.uint64(by)
+        h ^= h >> np.uint64(31)
+    return h
+
+
 def _hashes(raw: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of the 24 bytes from each position on."""
+    """A hash of the 24 bytes from each position on."""
     n = len(raw) - GRAM + 1
-    words = np.lib.stride_tricks.as_strided(raw[:1].view(np.uint8), (len(raw) - 7, 8), (1, 1))
+    words = np.lib.stride_tricks.as_strided(raw, (len(raw) - 7, 8), (1, 1))
     w = np.ascontiguousarray(words).view("<u8").ravel()
-    h = w[:n] * np.uint64(0x9E3779B97F4A7C15)
-    h ^= h >> np.uint64(32)
-    h = (h + w[8:n + 8]) * np.uint64(0xC2B2AE3D27D4EB4F)
-    h ^= h >> np.uint64(29)
-    h = (h + w[16:n + 16]) * np.uint64(0x165667B19E3779F9)
-    h ^= h >> np.uint64(32)
-    return h
+    return _mix([w[8 * i:8 * i + n] for i in range(GRAM // 8)])
+
+
+def _word(data: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """The 8 bytes from each of the positions on, as a number."""
+    return np.lib.stride_tricks.sliding_window_view(data, 8)[at].view("<u8").ravel()
+
+
+def _whole_hash(data: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """A hash of the 50 bytes from each of the positions on."""
+    return _mix([_word(data, at + i) for i in (*range(0, WIDTH - 7, 8), WIDTH - 8)])
+
+
+def _seal(*arrays: np.ndarray) -> bytes:
+    """Arrays as one compressed value; what is dealt is most of what this operator writes to disk."""
+    raw = b"".join(x for a in arrays for x in (np.array([a.nbytes], "<i8").tobytes(), a.tobytes()))
+    return len(raw).to_bytes(8, "little") + pa.compress(raw, "zstd", asbytes=True)
+
+
+def _unseal(blob: bytes, *kinds: str) -> list[np.ndarray]:
+    raw = pa.decompress(memoryview(blob)[8:], int.from_bytes(blob[:8], "little"), "zstd")
+    out, at = [], 0
+    for kind in kinds:
+        n = int(np.frombuffer(raw, "<i8", 1, at)[0])
+        out.append(np.frombuffer(raw, kind, n // np.dtype(kind).itemsize, at + 8))
+        at += 8 + n
+    return out
+
+
+def _members(text: np.ndarray, doc: np.ndarray, key: np.ndarray) -> list[np.ndarray]:
+    """(id steps, keys, which entries begin another text) of entries in order of their text."""
+    new = np.r_[True, text[1:] != text[:-1]] if len(text) else np.zeros(0, bool)
+    return [np.diff(doc[text[new]], prepend=0).astype("<i8"), key[text[new]].astype("<u4"), np.packbits(new)]
+
+
+def _entries(steps: np.ndarray, keys: np.ndarray, new: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """(id, key) of each of the ``n`` entries."""
+    at = np.cumsum(np.unpackbits(new, count=n)) - 1
+    return np.cumsum(steps)[at], keys.astype(np.int64)[at]
 
 
 def _least(h: np.ndarray, width: int) -> np.ndarray:
@@ -86,7 +131,6 @@ def anchors(raw: np.ndarray, ends: np.ndarray):
     n = len(raw) - WIDTH + 1
     if n <= 0:
         return none, none, none, none, np.zeros(0, np.uint64)
-    firsts, spans = [], []
     parts = []
     step = 1 << 18  # in cache
     for a in range(0, n, step):
@@ -95,8 +139,6 @@ def anchors(raw: np.ndarray, ends: np.ndarray):
         place = np.arange(b - a) + _least(h, WIDTH - GRAM + 1)
         new = np.flatnonzero(np.r_[True, place[1:] != place[:-1]])
         parts.append((a + new, a + place[new], h[place[new]]))
-        firsts.append(a)
-        spans.append(b)
     start = np.concatenate([p[0] for p in parts])
     anchor = np.concatenate([p[1] for p in parts])
     hashed = np.concatenate([p[2] for p in parts])
@@ -139,7 +181,7 @@ def _by_value(values: np.ndarray):
 # --- pass 1: which anchors occur in more than one document ---------------------------------------
 
 def _count_anchors(buckets: int):
-    """Rows: bucket, texts (id, key), for each anchor its text's number, hash, and if it is known to repeat."""
+    """Rows: bucket, and the sealed ids, hashes, and whether they are known to repeat, of its anchors."""
     def run(batches):
         for rows, raw, ends in _byte_slices(batches):
             text, _, _, _, hashed = anchors(raw, ends)
@@ -161,33 +203,33 @@ def _count_anchors(buckets: int):
             # what is known already only passes through, so it may go to any bucket
             to = np.where(speak, _bucket(hashed, buckets), (text + doc[text]) % buckets)
             for bucket, at in _by_value(to):
-                texts, number = np.unique(text[at], return_inverse=True)
-                yield pa.RecordBatch.from_arrays([
-                    pa.array([bucket], pa.int64()),
-                    pa.array([np.stack([doc[texts], key[texts]]).astype("<i8").tobytes()], pa.binary()),
-                    pa.array([number.astype("<u4").tobytes()], pa.binary()),
-                    pa.array([hashed[at].astype("<u8").tobytes()], pa.binary()),
-                    pa.array([repeats[at].tobytes()], pa.binary())], ["bucket", "texts", "number", "hash", "known"])
+                at = at[np.argsort(text[at], kind="stable")]
+                short = hashed[at].astype("<u8").view(np.uint8).reshape(-1, 8)[:, :HASH_BYTES]
+                yield pa.RecordBatch.from_arrays([pa.array([bucket], pa.int64()), pa.array([_seal(
+                    *_members(text[at], doc, key), np.packbits(repeats[at]), np.ascontiguousarray(short))], pa.binary())],
+                    ["bucket", "blob"])
     return run
 
 
-def _gather(batches, kinds: dict[str, str]) -> dict[str, list[np.ndarray]]:
-    out: dict[str, list[np.ndarray]] = {k: [] for k in kinds}
-    for b in batches:
-        for k, kind in kinds.items():
-            out[k] += [np.frombuffer(x, kind) for x in b.column(b.schema.get_field_index(k)).to_pylist()]
-    return out
+def _blobs_of(batches) -> list[bytes]:
+    return [x for b in batches for x in b.column(b.schema.get_field_index("blob")).to_pylist()]
 
 
 def _repeated_anchors(hot: int):
-    """Rows: doc_id, _key, the hashes of the document's anchors that other documents hold too, and which are hot."""
+    """Rows: doc_id, _key, the hashes of the document's anchors that other documents hold too; or the hot ones."""
     def run(batches):
-        got = _gather(batches, {"texts": "<i8", "number": "<u4", "hash": "<u8", "known": "?"})
-        if not got["hash"]:
+        got = [[], [], [], []]
+        for blob in _blobs_of(batches):
+            steps, keys, new, repeats, short = _unseal(blob, "<i8", "<u4", "u1", "u1", "u1")
+            n = len(short) // HASH_BYTES
+            wide = np.zeros((n, 8), np.uint8)
+            wide[:, :HASH_BYTES] = short.reshape(n, HASH_BYTES)
+            for x, v in zip(got, (*_entries(steps, keys, new, n), wide.view("<u8").ravel(),
+                                  np.unpackbits(repeats, count=n).astype(bool))):
+                x.append(v)
+        if not got[0]:
             return
-        doc = np.concatenate([t.reshape(2, -1)[0][n] for t, n in zip(got["texts"], got["number"])])
-        key = np.concatenate([t.reshape(2, -1)[1][n] for t, n in zip(got["texts"], got["number"])])
-        hashed, known = np.concatenate(got["hash"]), np.concatenate(got["known"])
+        doc, key, hashed, known = map(np.concatenate, got)
         order = np.lexsort((doc, hashed))
         doc, key, hashed, known = doc[order], key[order], hashed[order], known[order]
         group = np.cumsum(np.r_[True, hashed[1:] != hashed[:-1]]) - 1
@@ -195,9 +237,15 @@ def _repeated_anchors(hot: int):
         more = np.bincount(group, weights=(doc != doc[first]) | known) > 0
         at = np.flatnonzero(more[group])
         at = at[np.lexsort((key[at], doc[at]))]
-        many = (np.bincount(group) > hot)[group[at]]
-        yield from _blobs(doc[at], key[at], [("hashes", hashed[at].astype("<u8")),
-                                             ("hot", np.where(many, hashed[at], 0).astype("<u8"))])
+        # 32 bits are enough to find an anchor in its own text again; one found wrongly does no harm
+        for part in _blobs(doc[at], key[at], [("hashes", hashed[at].astype("<u4"))]):
+            yield pa.RecordBatch.from_arrays([*part.columns, pa.nulls(part.num_rows, pa.binary())],
+                                             ["doc_id", "_key", "hashes", "hot"])
+        many = np.unique(hashed[np.flatnonzero(first == np.arange(len(first)))[np.bincount(group) > hot]])
+        if len(many):
+            yield pa.RecordBatch.from_arrays([pa.array([0]), pa.array([0]), pa.array([b""], pa.binary()),
+                                              pa.array([many.astype("<u8").tobytes()], pa.binary())],
+                                             ["doc_id", "_key", "hashes", "hot"])
     return run
 
 
@@ -216,68 +264,53 @@ def _blobs(doc: np.ndarray, key: np.ndarray, columns: list[tuple[str, np.ndarray
 
 # --- pass 2: the strings around repeated anchors -------------------------------------------------
 
-_CONTEXT_SCHEMA = ("bucket long, texts binary, number binary, hash binary, start binary, size binary, bytes binary, "
-                   "spans binary")
-
-
-def _contexts(buckets: int):
-    """Rows of contexts by anchor; ``spans`` holds what is known at once (doc, key, start, end)."""
+def _contexts(buckets: int, hot):
+    """Rows of contexts by anchor, and of the spans that are known at once."""
     def run(batches):
         for rows, raw, ends in _byte_slices(batches):
             text, start, last, anchor, hashed = anchors(raw, ends)
-            listed = rows.column(rows.schema.get_field_index("hashes")).to_pylist()
-            wanted = [np.concatenate([np.frombuffer(x, "<u8") for x in blobs]) for blobs in listed]
-            cuts = np.searchsorted(text, np.arange(len(wanted) + 1))
-            keep = np.concatenate([np.isin(hashed[a:b], w) for a, b, w in zip(cuts, cuts[1:], wanted)]) \
-                if len(text) else np.zeros(0, bool)
-            text, start, last, hashed = text[keep], start[keep], last[keep], hashed[keep]
             if not len(text):
                 continue
-            doc, key = _ids(rows)
-            data = raw.tobytes()
-            hot = [np.unique(np.concatenate([np.frombuffer(x, "<u8") for x in blobs]))
-                   for blobs in rows.column(rows.schema.get_field_index("hot")).to_pylist()]
-            single = np.isin(hashed, np.unique(np.concatenate([x[x > 0] for x in hot])))
+            column_of = lambda c: rows.column(rows.schema.get_field_index(c)).to_pylist()  # noqa: E731, B023
+            cuts = np.searchsorted(text, np.arange(len(ends)))
+            short = hashed.astype("<u4")
+            keep = np.concatenate([np.isin(short[a:b], np.concatenate([np.frombuffer(x, "<u4") for x in blobs]))
+                                   for a, b, blobs in zip(cuts, cuts[1:], column_of("hashes"))])
+            text, start, last, hashed = text[keep], start[keep], last[keep], hashed[keep]
+            offset = (anchor[keep] - start).astype(np.uint8)
+            single = np.isin(hashed & np.uint64((1 << 8 * HASH_BYTES) - 1), hot.value)
             if single.any():  # a run of one string each
                 n = np.where(single, last - start + 1, 1)
                 of = np.repeat(np.arange(len(n)), n)
-                inner = np.arange(len(of)) - np.repeat(np.cumsum(n) - n, n)
-                text, start, hashed, single = text[of], start[of] + inner, hashed[of], single[of]
-                last = np.where(single, start, last[of])
+                start = start[of] + np.arange(len(of)) - np.repeat(np.cumsum(n) - n, n)
+                text, hashed, single = text[of], hashed[of], single[of]
+                last, offset = np.where(single, start, last[of]), np.where(single, _SINGLE, offset[of])
+                hashed[single] = _whole_hash(raw, start[single])
+            doc, key = _ids(rows)
+            data = raw.tobytes()
             pieces = [data[a:b + WIDTH] for a, b in zip(start.tolist(), last.tolist())]
-            for i in np.flatnonzero(single).tolist():
-                hashed[i] = xxhash.xxh64_intdigest(pieces[i])
             own = doc[text].tolist()
             least: dict[tuple, int] = {}
             names = list(zip(hashed.tolist(), pieces))
             for name, d in zip(names, own):
                 if least.get(name, NO_ID + 1) > d:
                     least[name] = d
-            speaks = np.array([least[name] == d for name, d in zip(names, own)])
-            gone, rel = ~speaks, start - ends[text]
-            spans = np.stack([doc[text], key[text], rel, rel + last - start + WIDTH], axis=1)[gone].astype("<i8")
-            hashed, text, rel = hashed[speaks], text[speaks], rel[speaks]
-            pieces = [p for p, s in zip(pieces, speaks) if s]
-            bucket = _bucket(hashed, buckets)
-            known = {int(b): spans[i::buckets] for i, b in enumerate(range(min(buckets, len(spans))))}
-            for b, at in _by_value(bucket):
-                texts, number = np.unique(text[at], return_inverse=True)
-                some = [pieces[i] for i in at.tolist()]
-                yield _context_row(b, np.stack([doc[texts], key[texts]]), number, hashed[at], rel[at], some,
-                                   known.pop(b, spans[:0]))
-            for b, s in known.items():
-                yield _context_row(b, np.zeros((2, 0)), text[:0], hashed[:0], rel[:0], [], s)
+            speaks = np.array([least[name] == d for name, d in zip(names, own)], bool)
+            rel = start - ends[text]
+            to = np.where(speaks, _bucket(hashed, buckets), (text + doc[text]) % buckets)
+            del names, least
+            for bucket, at in _by_value(to):
+                at = np.sort(at)
+                said, sure = at[speaks[at]], at[~speaks[at]]
+                size = (last - start + WIDTH).astype("<i4")
+                yield pa.RecordBatch.from_arrays([pa.array([bucket], pa.int64()), pa.array([_seal(
+                    *_members(text[said], doc, key), rel[said].astype("<i4"), size[said].astype("u1"), offset[said],
+                    np.frombuffer(b"".join([pieces[i] for i in said.tolist()]), np.uint8),
+                    *_members(text[sure], doc, key), rel[sure].astype("<i4"), size[sure])], pa.binary())],
+                    ["bucket", "blob"])
     return run
 
 
-def _context_row(bucket, texts, number, hashed, start, pieces, spans):
-    return pa.RecordBatch.from_arrays([
-        pa.array([bucket], pa.int64()), *[pa.array([x], pa.binary()) for x in (
-            texts.astype("<i8").tobytes(), number.astype("<u4").tobytes(), hashed.astype("<u8").tobytes(),
-            start.astype("<i8").tobytes(), np.array([len(p) for p in pieces], "<u4").tobytes(), b"".join(pieces),
-            spans.tobytes())]], ["bucket", "texts", "number", "hash", "start", "size", "bytes", "spans"])
-
-
 def deep_shallow(suffixes: np.ndarray, group: np.ndarray, shallow: int = SHALLOW) -> tuple[np.ndarray, np.ndarray]:
     """Sort the rows of ``suffixes`` (bytes) within their groups: (order, number of the class of equal rows).
 
@@ -329,7 +362,7 @@ def deep_shallow(suffixes: np.ndarray, group: np.ndarray, shallow: int = SHALLOW
 
 def _removed(suffix_of: np.ndarray, offset: np.ndarray, doc: np.ndarray, names: np.ndarray, data: np.ndarray):
     """For each suffix (string), whether it also starts in a smaller document."""
-    rows = data[offset[:, None] + np.arange(WIDTH)]
+    rows = np.lib.stride_tricks.sliding_window_view(data, WIDTH)[offset]
     order, cls = deep_shallow(rows, names)
     least = np.full(int(cls[-1]) + 1, NO_ID)
     np.minimum.at(least, cls, doc[suffix_of[order]])
@@ -340,18 +373,30 @@ def _removed(suffix_of: np.ndarray, offset: np.ndarray, doc: np.ndarray, names:
 
 def _spans(batches):
     """Rows: doc_id, _key, spans (start, end) whose bytes go."""
-    got = _gather(batches, {"texts": "<i8", "number": "<u4", "hash": "<u8", "start": "<i8", "size": "<u4",
-                            "bytes": "u1", "spans": "<i8"})
-    if not got["hash"]:
+    got: list[list[np.ndarray]] = [[], [], [], [], [], []]
+    found = [np.zeros((0, 4), np.int64)]
+    for blob in _blobs_of(batches):
+        steps, keys, new, start, size, offset, data, *sure = _unseal(
+            blob, "<i8", "<u4", "u1", "<i4", "u1", "u1", "u1", "<i8", "<u4", "u1", "<i4", "<i4")
+        for x, v in zip(got, (*_entries(steps, keys, new, len(start)), start, size, offset, data)):
+            x.append(v)
+        steps, keys, new, start, size = sure
+        found.append(np.stack([*_entries(steps, keys, new, len(start)), start, start.astype(np.int64) + size], axis=1))
+    if not got[0]:
         return
-    found = [s.reshape(-1, 4) for s in got["spans"]]
-    doc = np.concatenate([t.reshape(2, -1)[0][n] for t, n in zip(got["texts"], got["number"])])
-    key = np.concatenate([t.reshape(2, -1)[1][n] for t, n in zip(got["texts"], got["number"])])
-    hashed, start = np.concatenate(got["hash"]), np.concatenate(got["start"])
-    size = np.concatenate(got["size"]).astype(np.int64)
-    data = np.concatenate(got["bytes"])
+    if not any(map(len, got[2])):  # all is known already
+        got[5] = [np.zeros(WIDTH, np.uint8)]
+    doc, key, start, size, offset, data = map(np.concatenate, got)
+    start, size = start.astype(np.int64), size.astype(np.int64)
     del got
     at = np.cumsum(size) - size
+    # an anchor's bytes name it; a string dealt alone is named by all of its own
+    hashed = np.zeros(len(at), np.uint64)
+    alone = offset == _SINGLE
+    hashed[alone] = _whole_hash(data, at[alone])
+    gram = (at + offset)[~alone]
+    hashed[~alone] = _mix([_word(data, gram + 8 * i) for i in range(GRAM // 8)])
+    del gram
     order = np.argsort(hashed, kind="stable")
     cuts = np.flatnonzero(np.r_[True, hashed[order][1:] != hashed[order][:-1]]) if len(order) else np.zeros(0, int)
     n_strings = size - WIDTH + 1
@@ -418,22 +463,26 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     """One row per input row: doc_id, n_bytes, n_removed, n_spans, kept_sha256 (and kept_bytes).
 
     Texts are UTF-8 bytes; a null text is empty.  A null id counts as larger than all others.
-    Rows that repeat an id are judged against smaller ids only, each by its own text.  Texts
+    Rows that repeat an id are judged against smaller ids only, each by its own text
+    (told apart by its crc32).  Texts
     under 50 bytes lose nothing.  Cuts may fall inside a character, so what is left is bytes.
     """
     body = F.coalesce(column(docs, text).cast("string"), F.lit(""))
     rows = docs.select(F.coalesce(column(docs, doc_id).cast("long"), F.lit(NO_ID)).alias("doc_id"),
-                       F.xxhash64(body).alias("_key"), body.cast("binary").alias("text"))
+                       F.crc32(body).alias("_key"), body.cast("binary").alias("text"))
     total = docs.agg(F.sum(F.octet_length(body))).first()[0] or 0
     # an anchor for about 14 bytes, 12 bytes each; contexts of repeated ones weigh no more
     buckets = max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), int(total // BUCKET_BYTES) + 1)
-    counted = rows.mapInArrow(_count_anchors(buckets),
-                              "bucket long, texts binary, number binary, hash binary, known binary")
-    repeated = (counted.repartition(buckets, "bucket")
-                .mapInArrow(_repeated_anchors(hot), "doc_id long, _key long, hashes binary, hot binary")
-                .groupBy("doc_id", "_key").agg(F.collect_list("hashes").alias("hashes"), F.collect_list("hot").alias("hot")))
+    dealt_rows = "bucket long, blob binary"
+    found = materialize(rows.mapInArrow(_count_anchors(buckets), dealt_rows).repartition(buckets, "bucket")
+                        .mapInArrow(_repeated_anchors(max(hot, total // HOT_ANCHORS)),
+                                    "doc_id long, _key long, hashes binary, hot binary"), "anchors")
+    # anchors in more than 1 / HOT_ANCHORS of all, so HOT_ANCHORS of them at most
+    split = [np.frombuffer(r["hot"], "<u8") for r in found.filter("hot is not null").select("hot").collect()]
+    split = rows.sparkSession.sparkContext.broadcast(np.sort(np.concatenate([np.zeros(0, "<u8"), *split])))
+    repeated = found.filter("hot is null").groupBy("doc_id", "_key").agg(F.collect_list("hashes").alias("hashes"))
     dealt = rows.repartition("doc_id", "_key")  # used twice below: one exchange
-    around = dealt.join(repeated, ["doc_id", "_key"]).mapInArrow(_contexts(buckets), _CONTEXT_SCHEMA)
+    around = dealt.join(repeated, ["doc_id", "_key"]).mapInArrow(_contexts(buckets, split), dealt_rows)
     spans = (around.repartition(buckets, "bucket").mapInArrow(_spans, "doc_id long, _key long, spans binary")
              .groupBy("doc_id", "_key").agg(F.collect_list("spans").alias("spans")))
     done = dealt.join(spans, ["doc_id", "_key"], "left").select("doc_id", "text", "spans")
