@@ -215,8 +215,8 @@ def _blobs_of(batches) -> list[bytes]:
     return [x for b in batches for x in b.column(b.schema.get_field_index("blob")).to_pylist()]
 
 
-def _repeated_anchors(hot: int):
-    """Rows: doc_id, _key, the hashes of the document's anchors that other documents hold too; or the hot ones."""
+def _repeated_anchors(hot: int, buckets: int):
+    """Rows by document of its anchors that other documents hold too; bucket -1 has the hot ones."""
     def run(batches):
         got = [[], [], [], []]
         for blob in _blobs_of(batches):
@@ -236,30 +236,44 @@ def _repeated_anchors(hot: int):
         first = np.searchsorted(group, group)
         more = np.bincount(group, weights=(doc != doc[first]) | known) > 0
         at = np.flatnonzero(more[group])
-        at = at[np.lexsort((key[at], doc[at]))]
         # 32 bits are enough to find an anchor in its own text again; one found wrongly does no harm
-        for part in _blobs(doc[at], key[at], [("hashes", hashed[at].astype("<u4"))]):
-            yield pa.RecordBatch.from_arrays([*part.columns, pa.nulls(part.num_rows, pa.binary())],
-                                             ["doc_id", "_key", "hashes", "hot"])
+        yield from _deal(doc[at], key[at], hashed[at].astype("<u4"), buckets)
         many = np.unique(hashed[np.flatnonzero(first == np.arange(len(first)))[np.bincount(group) > hot]])
         if len(many):
-            yield pa.RecordBatch.from_arrays([pa.array([0]), pa.array([0]), pa.array([b""], pa.binary()),
-                                              pa.array([many.astype("<u8").tobytes()], pa.binary())],
-                                             ["doc_id", "_key", "hashes", "hot"])
+            yield pa.RecordBatch.from_arrays([pa.array([-1]), pa.array([many.astype("<u8").tobytes()], pa.binary())],
+                                             ["bucket", "blob"])
     return run
 
 
-def _blobs(doc: np.ndarray, key: np.ndarray, columns: list[tuple[str, np.ndarray]]):
-    """One row for each run of equal (doc, key), its values as bytes."""
-    cuts = np.flatnonzero(np.r_[True, (doc[1:] != doc[:-1]) | (key[1:] != key[:-1])]) if len(doc) else np.zeros(0, int)
-    for i in range(0, len(cuts), 1 << 14):
-        some = cuts[i:i + (1 << 14)]
-        stops = np.r_[cuts[i + 1:i + len(some)], cuts[i + len(some)] if i + len(some) < len(cuts) else len(doc)]
-        arrays = [pa.array(doc[some]), pa.array(key[some])]
-        for _, v in columns:
-            raw, size = v.tobytes(), v.itemsize * (v.shape[1] if v.ndim > 1 else 1)
-            arrays.append(pa.array([raw[size * a:size * b] for a, b in zip(some.tolist(), stops.tolist())], pa.binary()))
-        yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "_key", *[n for n, _ in columns]])
+def _deal(doc: np.ndarray, key: np.ndarray, values: np.ndarray, buckets: int):
+    """Rows of (bucket, sealed documents and values), a row a bucket, all of a document in one bucket."""
+    to = ((doc.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + key.astype(np.uint64)) >> np.uint64(20)) % np.uint64(buckets)
+    for bucket, at in _by_value(to.astype(np.int64)):
+        yield pa.RecordBatch.from_arrays([pa.array([bucket], pa.int64()), pa.array([_seal(
+            doc[at].astype("<i8"), key[at].astype("<u4"), np.ascontiguousarray(values[at]))], pa.binary())],
+            ["bucket", "blob"])
+
+
+def _merge(name: str, kind: str, width: int):
+    """One row a document: doc_id, _key, its values as bytes."""
+    def run(batches):
+        got = [_unseal(x, "<i8", "<u4", kind) for x in _blobs_of(batches)]
+        if not got:
+            return
+        doc, key, values = (np.concatenate(x) for x in zip(*got))
+        values = values.reshape(-1, width)
+        order = np.lexsort((key, doc))
+        doc, key, values = doc[order], key[order].astype(np.int64), values[order]
+        cuts = np.flatnonzero(np.r_[True, (doc[1:] != doc[:-1]) | (key[1:] != key[:-1])])
+        stops = np.r_[cuts[1:], len(doc)]
+        raw, size = values.tobytes(), values.itemsize * width
+        for i in range(0, len(cuts), 1 << 13):
+            a, b = cuts[i:i + (1 << 13)], stops[i:i + (1 << 13)]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(doc[a]), pa.array(key[a]),
+                 pa.array([raw[size * x:size * y] for x, y in zip(a.tolist(), b.tolist())], pa.binary())],
+                ["doc_id", "_key", name])
+    return run
 
 
 # --- pass 2: the strings around repeated anchors -------------------------------------------------
@@ -274,8 +288,8 @@ def _contexts(buckets: int, hot):
             column_of = lambda c: rows.column(rows.schema.get_field_index(c)).to_pylist()  # noqa: E731, B023
             cuts = np.searchsorted(text, np.arange(len(ends)))
             short = hashed.astype("<u4")
-            keep = np.concatenate([np.isin(short[a:b], np.concatenate([np.frombuffer(x, "<u4") for x in blobs]))
-                                   for a, b, blobs in zip(cuts, cuts[1:], column_of("hashes"))])
+            keep = np.concatenate([np.isin(short[a:b], np.frombuffer(x, "<u4"))
+                                   for a, b, x in zip(cuts, cuts[1:], column_of("hashes"))])
             text, start, last, hashed = text[keep], start[keep], last[keep], hashed[keep]
             offset = (anchor[keep] - start).astype(np.uint8)
             single = np.isin(hashed & np.uint64((1 << 8 * HASH_BYTES) - 1), hot.value)
@@ -371,8 +385,12 @@ def _removed(suffix_of: np.ndarray, offset: np.ndarray, doc: np.ndarray, names:
     return out
 
 
-def _spans(batches):
-    """Rows: doc_id, _key, spans (start, end) whose bytes go."""
+def _spans(buckets: int):
+    """Rows by document of the spans (start, end) whose bytes go."""
+    return lambda batches: _find_spans(batches, buckets)
+
+
+def _find_spans(batches, buckets: int):
     got: list[list[np.ndarray]] = [[], [], [], [], [], []]
     found = [np.zeros((0, 4), np.int64)]
     for blob in _blobs_of(batches):
@@ -415,8 +433,7 @@ def _spans(batches):
         r = rows[of[edge]]
         found.append(np.stack([doc[r], key[r], start[r] + inner[edge], start[r] + inner[stop] + WIDTH], axis=1))
     spans = np.concatenate(found)
-    spans = spans[np.lexsort((spans[:, 2], spans[:, 1], spans[:, 0]))]
-    yield from _blobs(spans[:, 0], spans[:, 1], [("spans", np.ascontiguousarray(spans[:, 2:]).astype("<i8"))])
+    yield from _deal(spans[:, 0], spans[:, 1], np.ascontiguousarray(spans[:, 2:]).astype("<i8"), buckets)
 
 
 # --- pass 3: the spans of each document ----------------------------------------------------------
@@ -437,8 +454,8 @@ def _finish(with_text: bool):
             bodies = batch.column(batch.schema.get_field_index("text")).cast(pa.large_binary()).to_pylist()
             listed = batch.column(batch.schema.get_field_index("spans")).to_pylist()
             n_bytes, removed, runs, sha, kept = [], [], [], [], []
-            for body, blobs in zip(bodies, listed):
-                spans = united(np.concatenate([np.frombuffer(x, "<i8").reshape(-1, 2) for x in blobs])) if blobs else ()
+            for body, blob in zip(bodies, listed):
+                spans = united(np.frombuffer(blob, "<i8").reshape(-1, 2)) if blob else ()
                 at, left = 0, []
                 for a, b in (spans.tolist() if len(spans) else ()):
                     left.append(body[at:a])
@@ -475,16 +492,16 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     buckets = max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), int(total // BUCKET_BYTES) + 1)
     dealt_rows = "bucket long, blob binary"
     found = materialize(rows.mapInArrow(_count_anchors(buckets), dealt_rows).repartition(buckets, "bucket")
-                        .mapInArrow(_repeated_anchors(max(hot, total // HOT_ANCHORS)),
-                                    "doc_id long, _key long, hashes binary, hot binary"), "anchors")
+                        .mapInArrow(_repeated_anchors(max(hot, total // HOT_ANCHORS), buckets), dealt_rows), "anchors")
     # anchors in more than 1 / HOT_ANCHORS of all, so HOT_ANCHORS of them at most
-    split = [np.frombuffer(r["hot"], "<u8") for r in found.filter("hot is not null").select("hot").collect()]
+    split = [np.frombuffer(r["blob"], "<u8") for r in found.filter("bucket = -1").select("blob").collect()]
     split = rows.sparkSession.sparkContext.broadcast(np.sort(np.concatenate([np.zeros(0, "<u8"), *split])))
-    repeated = found.filter("hot is null").groupBy("doc_id", "_key").agg(F.collect_list("hashes").alias("hashes"))
+    repeated = (found.filter("bucket >= 0").repartition(buckets, "bucket")
+                .mapInArrow(_merge("hashes", "<u4", 1), "doc_id long, _key long, hashes binary"))
     dealt = rows.repartition("doc_id", "_key")  # used twice below: one exchange
     around = dealt.join(repeated, ["doc_id", "_key"]).mapInArrow(_contexts(buckets, split), dealt_rows)
-    spans = (around.repartition(buckets, "bucket").mapInArrow(_spans, "doc_id long, _key long, spans binary")
-             .groupBy("doc_id", "_key").agg(F.collect_list("spans").alias("spans")))
+    spans = (around.repartition(buckets, "bucket").mapInArrow(_spans(buckets), dealt_rows).repartition(buckets, "bucket")
+             .mapInArrow(_merge("spans", "<i8", 2), "doc_id long, _key long, spans binary"))
     done = dealt.join(spans, ["doc_id", "_key"], "left").select("doc_id", "text", "spans")
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
     out = done.mapInArrow(_finish(with_text), schema + (", kept_bytes binary" if with_text else ""))
