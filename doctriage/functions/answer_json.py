@@ -31,7 +31,6 @@ FENCED_PATTERNS = [
     r"```json\s*(\{.*?\})\s*```",
     r"```\s*(\{.*?\})\s*```",
 ]
-MAX_BRACE_DEPTH = 3
 
 _FENCED = [re.compile(p, re.DOTALL) for p in FENCED_PATTERNS]
 _BRACE = re.compile(r"[{}]")
@@ -50,8 +49,8 @@ class _NoJson(Exception):
     pass
 
 
-def balanced_spans(text: str, max_depth: int = MAX_BRACE_DEPTH) -> list[str]:
-    """Non-overlapping brace-balanced spans of nesting depth <= ``max_depth``.
+def balanced_spans(text: str, max_depth: int | None = None) -> list[str]:
+    """Non-overlapping brace-balanced spans, of nesting depth <= ``max_depth`` where it is given.
 
     Scans left to right; a ``{`` whose balanced span is deeper than allowed (or
     never closes) is skipped and the scan resumes at the next character.  After a
@@ -78,7 +77,7 @@ def balanced_spans(text: str, max_depth: int = MAX_BRACE_DEPTH) -> list[str]:
         if open_pos < resume:
             continue
         close = partner.get(open_pos)
-        if close is not None and depth[open_pos] <= max_depth:
+        if close is not None and (max_depth is None or depth[open_pos] <= max_depth):
             spans.append(text[open_pos:close + 1])
             resume = close + 1
     return spans
@@ -137,6 +136,11 @@ def _as_text(v):
     return json.dumps(v)
 
 
+def _clean(v):
+    """Text without lone surrogates, which Arrow cannot carry."""
+    return v.encode("utf-8", "replace").decode("utf-8") if isinstance(v, str) else v
+
+
 def describe_answer(text) -> tuple:
     """(kind, predicted_type, score, reasoning, extracted_features, error) for one answer."""
     if text is None:
@@ -145,6 +149,8 @@ def describe_answer(text) -> tuple:
         value = find_json(text)
     except _NoJson as e:
         return ("parse", None, None, None, None, str(e))
+    except ValueError as e:  # e.g. a number of too many digits
+        return ("parse", None, None, None, None, str(e))
     except Exception as e:  # e.g. RecursionError on absurd nesting
         return ("batch", None, None, None, None, str(e))
     try:
@@ -165,7 +171,7 @@ def describe_answer(text) -> tuple:
 
 @F.pandas_udf(ANSWER_TYPE)
 def _extract_answer(texts: pd.Series) -> pd.DataFrame:
-    rows = [describe_answer(t) for t in texts]
+    rows = [tuple(map(_clean, describe_answer(t))) for t in texts]
     return pd.DataFrame(rows, columns=[f.name for f in ANSWER_TYPE.fields])
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from ..schemas import OFFERED_TYPES, PROMPT_HEAD, PROMPT_MIDDLE, PROMPT_TAIL, PROMPT_TEXT_LIMIT
+from ..schemas import OFFERED_TYPES, PROMPT_HEAD, PROMPT_MIDDLE, PROMPT_TAIL
 
 # Characters Python's str.strip() removes (str.isspace), as a Java class.
 _WS = "[\\s\\x1c-\\x1f\\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000]"
@@ -20,17 +20,17 @@ def py_strip(text) -> Column:
     return F.regexp_replace(_c(text), f"^{_WS}+|{_WS}+$", "")
 
 
-def truncate_text(text, limit: int = PROMPT_TEXT_LIMIT) -> Column:
+def truncate_text(text, limit: int) -> Column:
     """First ``limit`` characters (code points), as a Python slice."""
     return F.substring(_c(text), 1, limit)
 
 
 def build_prompt(text, offered_types: list[str] | None = None,
-                 limit: int = PROMPT_TEXT_LIMIT) -> Column:
-    """Classification prompt: fixed frame, offered types, text cut to ``limit``."""
+                 limit: int | None = None) -> Column:
+    """Classification prompt: fixed frame, offered types, whole text, or its first ``limit`` characters."""
     types = ", ".join(offered_types or OFFERED_TYPES)
     return F.concat(F.lit(PROMPT_HEAD + types + PROMPT_MIDDLE),
-                    F.coalesce(truncate_text(text, limit), F.lit("")),
+                    F.coalesce(_c(text) if limit is None else truncate_text(text, limit), F.lit("")),
                     F.lit(PROMPT_TAIL))
 
 

@@ -291,9 +291,9 @@ def retry_list(df: DataFrame, status: str = "status", source: str = "source") ->
 
 
 def review_queue(df: DataFrame, score: str = "primary_score", threshold: str = "threshold") -> DataFrame:
-    """Rows that need human review, lowest score first."""
+    """Rows that need human review, lowest score first, then by key: a score that many share is split."""
     from ..functions.confidence import needs_review
-    return df.where(needs_review(score, threshold)).orderBy(F.asc(score))
+    return df.where(needs_review(score, threshold)).orderBy(F.asc(score), *(["request_key"] if "request_key" in df.columns else []))
 
 
 def expectation_check(results: DataFrame, expected: DataFrame | None, key: str,

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.text import build_prompt
-from ..schemas import (DEFAULT_THRESHOLD, OFFERED_TYPES, PROMPT_TEXT_LIMIT, SCORER_MAX_TOKENS,
+from ..schemas import (DEFAULT_THRESHOLD, OFFERED_TYPES, SCORER_MAX_TOKENS,
                        SCORER_TEMPERATURE, SCORER_TOP_P)
 from ..session import ship_package
 from .extract import resolve_text
@@ -258,11 +258,10 @@ def classify(requests: DataFrame, scorer: Callable[[DataFrame], DataFrame], mode
              threshold: float = DEFAULT_THRESHOLD, offered_types: list[str] | None = None,
              content_col: str = "document_content", extracted_col: str | None = None,
              error_col: str | None = None, drop_cols: list[str] | None = None,
-             keep_text: bool = False) -> DataFrame:
+             keep_text: bool = False, prompt_limit: int | None = None) -> DataFrame:
     """Classify every request; exactly one result row per request (K4, K5, K6).
 
-    The document text is cut to 3000 characters inside the prompt expression, so
-    only the prompt (never a whole document) crosses into Python.  Rows with a
+    The prompt holds the whole text, or its first ``prompt_limit`` characters.  Rows with a
     non-NULL ``error_col`` are not sent to the scorer and become error rows
     carrying that message.  The text columns (``content_col``, ``extracted_col``,
     ``drop_cols``) are dropped once the prompt is built unless ``keep_text``.
@@ -272,7 +271,7 @@ def classify(requests: DataFrame, scorer: Callable[[DataFrame], DataFrame], mode
     """
     _check_unit("Confidence threshold", threshold)
     text = resolve_text(F.col(content_col), F.col(extracted_col) if extracted_col else None)
-    prompt = build_prompt(text, offered_types or OFFERED_TYPES)
+    prompt = build_prompt(text, offered_types or OFFERED_TYPES, prompt_limit)
     if error_col:  # rows that already failed (e.g. a local file that could not be read) are not sent
         prompt = F.when(F.col(error_col).isNull(), prompt)
     prompted = requests.withColumn("prompt", prompt)
@@ -441,11 +440,6 @@ def classify_to_table(requests: DataFrame, scorer: Callable[[DataFrame], DataFra
     """
     spark = requests.sparkSession
     from pyspark.errors import AnalysisException
-    # only the first 3000 characters reach the prompt: cut the text before the
-    # anti join's shuffle (same prompts, a fraction of the bytes moved)
-    text_cols = [c for c in (kwargs.get("content_col", "document_content"), kwargs.get("extracted_col"))
-                 if c and c in requests.columns]
-    requests = requests.withColumns({c: F.substring(F.col(c), 1, PROMPT_TEXT_LIMIT) for c in text_cols})
     try:
         done = spark.read.parquet(table_path).select("request_key")
         todo = requests.join(done, "request_key", "left_anti")

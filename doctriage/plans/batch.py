@@ -73,7 +73,7 @@ def run_batch(docs: DataFrame, scorer: Callable[[DataFrame], DataFrame], model:
     stored = materialize(records_in, "batch-results")   # the only run of the scorer
     if output_dir:
         W.write_results(stored, output_dir, format=fmt)
-    records = W.batch_records(stored)
+    records = W.batch_records(stored, threshold)
     flat = records.select("status", F.col("classification.document_type").alias("document_type"),
                           F.col("classification.confidence").alias("confidence"), "processing_time_ms")
     return records, R.batch_summary(flat), R.batch_outcome(flat)

@@ -242,7 +242,7 @@ SELECT request_key,
   CASE WHEN n % 23 = 0 THEN 'Classification failed due to API error: ThrottlingException: rate exceeded'
        WHEN n % 29 = 0 THEN 'Batch processing failed: connection reset'
        ELSE 'length ' || CAST(n AS VARCHAR) END AS reasoning
-FROM (SELECT request_key, {PROMPT_FIXED_CHARS} + length(substring(document_content, 1, 3000)) AS n FROM {REQ})""")
+FROM (SELECT request_key, {PROMPT_FIXED_CHARS} + length(document_content) AS n FROM {REQ})""")
 def q_classify_callable(spark, d):
     from ..operators.score import function_scorer
     res = classify(fx.requests_fx(spark, d), function_scorer(rule_scorer, partitions=8), model=MODEL_ID)
@@ -288,7 +288,7 @@ def q_run_batch(spark, d):
 @register("scorer_requests", f"""
 SELECT request_key, '{MODEL_ID}' AS model_id, 2048 AS max_tokens, CAST(0.1 AS DOUBLE) AS temperature,
   CAST(0.9 AS DOUBLE) AS top_p, 'user' AS role,
-  md5('{PROMPT_FRAME_SQL}' || substring(document_content, 1, 3000) || '{PROMPT_TAIL_SQL}') AS prompt_md5
+  md5('{PROMPT_FRAME_SQL}' || document_content || '{PROMPT_TAIL_SQL}') AS prompt_md5
 FROM {REQ}""")
 def q_scorer_requests(spark, d):
     """The model-call payload for every request (K1 parameters)."""

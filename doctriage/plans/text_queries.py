@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from .. import schemas as S
 from ..functions import paths as P, text as TX
 from ..operators import extract as X, requests as RQ
+from ..schemas import PROMPT_TEXT_LIMIT
 from . import fixtures as fx
 from .registry import PROMPT_FRAME_SQL, PROMPT_TAIL_SQL, REQ, register
 from .stand_ins import flaky_service, local_decoder
@@ -20,7 +21,7 @@ from .stand_ins import flaky_service, local_decoder
 SELECT doc_id, md5(substring(text, 1, 3000)) AS head_md5, CAST(length(substring(text, 1, 3000)) AS INTEGER) AS head_chars
 FROM documents""")
 def q_truncate_text(spark, d):
-    t = TX.truncate_text("text")
+    t = TX.truncate_text("text", PROMPT_TEXT_LIMIT)
     return spark.read.parquet(f"{d}/documents.parquet").select(
         "doc_id", F.md5(t).alias("head_md5"), F.length(t).alias("head_chars"))
 
@@ -29,7 +30,7 @@ def q_truncate_text(spark, d):
 
 @register("build_prompt", f"""
 SELECT request_key, md5(p) AS prompt_md5, CAST(length(p) AS INTEGER) AS prompt_chars FROM (
-  SELECT request_key, '{PROMPT_FRAME_SQL}' || substring(document_content, 1, 3000) || '{PROMPT_TAIL_SQL}' AS p
+  SELECT request_key, '{PROMPT_FRAME_SQL}' || document_content || '{PROMPT_TAIL_SQL}' AS p
   FROM {REQ})""")
 def q_build_prompt(spark, d):
     p = TX.build_prompt(X.resolve_text("document_content"))

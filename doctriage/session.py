@@ -53,13 +53,15 @@ def scratch_dir(spark: SparkSession, name: str | None = None) -> str:
     """A fresh folder under the shared checkpoint directory.
 
     Reads ``spark.checkpoint.dir`` (or the context's checkpoint dir); only when
-    neither is set (local tests) a temporary folder is created and registered.
+    neither is set and the session is local (tests) a temporary folder is created and registered.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     sc = _classic_context(spark)
     if not base and sc is not None:
         base = sc.getCheckpointDir()
     if not base:
+        if sc is None or not (sc.master == "local" or sc.master.startswith("local[")):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         base = tempfile.mkdtemp(prefix="doctriage-ckpt-")
         if sc is not None:
             sc.setCheckpointDir(base)

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions.confidence import confidence_level
 from ..functions.results import iso_timestamp, utc_wall
+from ..schemas import DEFAULT_THRESHOLD
 
 SUMMARY_COLUMNS = ["document_id", "source", "status", "document_type", "confidence",
                    "confidence_level", "processing_time_ms", "timestamp"]
@@ -38,7 +39,7 @@ def write_results_json(df: DataFrame, path: str, mode: str = "overwrite") -> Non
 def write_summary_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """CSV summary with header, '' for NULL (B2)."""
     (summary_projection(df).write.mode(mode)
-     .option("header", "true").option("nullValue", "").option("emptyValue", "").csv(path))
+     .option("header", "true").option("nullValue", "").option("emptyValue", "").option("escape", '"').csv(path))
 
 
 def write_results(df: DataFrame, path: str, format: str = "json", mode: str = "overwrite") -> None:
@@ -130,9 +131,11 @@ def metadata_rows(df: DataFrame, model: str, threshold: float = 0.7, keep: list[
     )
 
 
-def batch_records(df: DataFrame) -> DataFrame:
+def batch_records(df: DataFrame, threshold: float = DEFAULT_THRESHOLD) -> DataFrame:
     """Batch result records: the flat classification only on successes (B1 content).
 
+    ``needs_review`` follows ``threshold``; ``extraction_failed`` is carried where the rows have it.
+
     ``cli_exit_code`` is the accept code (0/1) on success, 2 on error, NULL on timeout.
     """
     from ..functions.confidence import accept_code, is_high_confidence, needs_review
@@ -143,10 +146,10 @@ def batch_records(df: DataFrame) -> DataFrame:
         F.col("confidence"),
         confidence_level("confidence").alias("confidence_level"),
         is_high_confidence("confidence").alias("high_confidence"),
-        needs_review("confidence").alias("needs_review"),
+        needs_review("confidence", F.lit(threshold)).alias("needs_review"),
         (F.col("reasoning") if "reasoning" in df.columns else F.lit(None).cast("string")).alias("reasoning"),
         F.col("processing_time_ms").cast("bigint").alias("processing_time_ms"),
-        F.lit(False).alias("extraction_failed"),
+        (F.col("extraction_failed") if "extraction_failed" in df.columns else F.lit(False)).alias("extraction_failed"),
     )
     code = (F.when(ok, accept_code("confidence")).when(F.col("status") == "error", F.lit(2))
             .cast("bigint"))

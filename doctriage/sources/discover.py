@@ -109,8 +109,12 @@ def list_directory(spark: SparkSession, directory: str, pattern: str = "*", recu
 
 
 def read_file_list_csv(spark: SparkSession, path: str) -> DataFrame:
-    """CSV file list with header; each row is a document as is, all values text (A3)."""
-    return conform(spark.read.option("header", "true").option("inferSchema", "false").csv(path))
+    """CSV file list with header; each row is a document as is, all values text (A3).
+
+    Quotes are doubled inside a quoted field, which may hold commas and line breaks.
+    """
+    return conform(spark.read.option("header", "true").option("inferSchema", "false")
+                   .option("quote", '"').option("escape", '"').option("multiLine", "true").csv(path))
 
 
 def read_file_list_json(spark: SparkSession, path: str) -> DataFrame:

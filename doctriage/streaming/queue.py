@@ -14,9 +14,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..operators.score import classify
 
+BAD_MESSAGE = "message is not a JSON object with document_uri and document_id"
 MESSAGE_SCHEMA = "document_uri string, document_id string, document_content string"
 
 
@@ -37,22 +39,29 @@ def read_messages(spark: SparkSession, path: str, max_files_per_trigger: int | N
 
 
 def messages_to_requests(df: DataFrame) -> DataFrame:
-    """Parse message bodies into requests keyed like batch requests."""
+    """Parse message bodies into requests keyed like batch requests.
+
+    A body that is no message with a ``document_id`` and a ``document_uri`` gets ``message_error`` and, as its key,
+    a hash of the body.
+    """
     m = F.from_json(F.col("body"), MESSAGE_SCHEMA)
     uri = m.document_uri
     return df.select(
         m.document_id.alias("document_id"),
         uri.alias("source"),
         m.document_content.alias("document_content"),
-        F.when(uri.startswith("direct://"), F.concat(uri, F.lit("#"), m.document_id))
+        F.when(m.document_id.isNull() | uri.isNull(), F.concat(F.lit("bad-message:"), F.md5(F.coalesce("body", F.lit("")))))
+         .when(uri.startswith("direct://"), F.concat(uri, F.lit("#"), m.document_id))
          .otherwise(uri).alias("request_key"),
+        F.when(m.document_id.isNull() | uri.isNull(), F.lit(BAD_MESSAGE)).alias("message_error"),
     )
 
 
 def classify_stream(messages: DataFrame, scorer: Callable[[DataFrame], DataFrame], model: str | None = None,
                     threshold: float = 0.7) -> DataFrame:
     """Per-message classification with per-message error isolation."""
-    return classify(messages_to_requests(messages), scorer, model=model, threshold=threshold)
+    return classify(messages_to_requests(messages), scorer, model=model, threshold=threshold,
+                    error_col="message_error").drop("message_error")
 
 
 def write_stream(df: DataFrame, path: str, checkpoint: str, available_now: bool = True):
@@ -91,7 +100,9 @@ def results_and_counts_writer(results_path: str, counts_path: str):
         (batch.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("batch_id").parquet(results_path))
-        stored = spark.read.parquet(f"{results_path}/batch_id={batch_id}")
+        # an empty micro-batch writes no folder: read the whole table's schema, then this batch
+        stored = spark.read.schema(T.StructType([*batch.schema.fields, T.StructField("batch_id", T.LongType())])) \
+            .parquet(results_path).where(F.col("batch_id") == batch_id)
         (stored.agg(F.count(F.lit(1)).alias("processed"),
                     F.count_if(F.col("status") == "success").alias("succeeded"))
          .withColumn("batch_id", F.lit(batch_id).cast("bigint"))

@@ -30,7 +30,8 @@ def test_first_balanced_object_that_parses():
 
 
 def test_depth_limit_takes_inner_span():
-    assert balanced_spans("{{{{}}}}") == ["{{{}}}"]
+    assert balanced_spans("{{{{}}}}", 3) == ["{{{}}}"]
+    assert balanced_spans("{{{{}}}}") == ["{{{{}}}}"]
     assert balanced_spans('a {"x": {"y": {"z": 1}}} b') == ['{"x": {"y": {"z": 1}}}']
     assert balanced_spans("{ {} ") == ["{}"]
 
@@ -53,7 +54,7 @@ _DEPTH3 = re.compile(r"\{(?:[^{}]|(?:\{(?:[^{}]|(?:\{[^{}]*\})*)*\}))*\}")
 @settings(max_examples=400, deadline=None)
 @given(st.text(alphabet="{}a", max_size=14))
 def test_balanced_spans_property(s):
-    assert balanced_spans(s) == _DEPTH3.findall(s)
+    assert balanced_spans(s, 3) == _DEPTH3.findall(s)
 
 
 @pytest.mark.parametrize("answer,kind,error_start", [
