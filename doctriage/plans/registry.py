@@ -66,7 +66,7 @@ EXPECTED = f"({fx.expected_sql()})"
 REQ = f"({fx.requests_sql()})"
 RES = f"({fx.results_sql()})"
 ALIASES = _values(S.MODEL_ALIASES, ["model", "alias"])
-CATALOG = _values([r[:3] + r[4:] for r in S.MODEL_CATALOG], ["alias", "model_id", "name", "cost", "speed"])
+CATALOG = _values(S.MODEL_CATALOG, ["alias", "model_id", "name", "cost", "speed"])
 PRICES = _values(S.MODEL_PRICES, ["model", "price_per_1k"])
 TYPES = _values(S.DOCUMENT_TYPE_FAMILIES, ["document_type", "family"])
 
