@@ -35,7 +35,7 @@ from .common import NO_ID, column, slices
 WIDTH = 50       # bytes of the strings that are compared
 GRAM = 24        # bytes of an anchor
 SHALLOW = 24     # depth of the multikey quicksort; blind tries go on from there
-BUCKET_BYTES = 16 << 20  # of anchors or contexts that a task should get
+BUCKET_BYTES = 8 << 20  # of text whose anchors or contexts a task should get
 HOT = 4096       # slices with an anchor beyond which its strings are dealt one by one ...
 HOT_ANCHORS = 1 << 20  # ... or this part of all bytes, which bounds the list of such anchors
 HASH_BYTES = 6   # of an anchor's hash that are counted: one taken for another is only looked at in vain
@@ -211,8 +211,16 @@ def _count_anchors(buckets: int):
     return run
 
 
-def _blobs_of(batches) -> list[bytes]:
-    return [x for b in batches for x in b.column(b.schema.get_field_index("blob")).to_pylist()]
+def _blobs_of(batches):
+    for b in batches:
+        for x in b.column(b.schema.get_field_index("blob")):
+            yield x.as_py()
+
+
+def _joined(parts: list[list[np.ndarray]]):
+    """The arrays of each list as one; what is joined is let go at once."""
+    while parts:
+        yield np.concatenate(parts.pop(0))
 
 
 def _repeated_anchors(hot: int, buckets: int):
@@ -224,21 +232,26 @@ def _repeated_anchors(hot: int, buckets: int):
             n = len(short) // HASH_BYTES
             wide = np.zeros((n, 8), np.uint8)
             wide[:, :HASH_BYTES] = short.reshape(n, HASH_BYTES)
-            for x, v in zip(got, (*_entries(steps, keys, new, n), wide.view("<u8").ravel(),
+            doc, key = _entries(steps, keys, new, n)
+            for x, v in zip(got, (doc, key.astype("<u4"), wide.view("<u8").ravel(),
                                   np.unpackbits(repeats, count=n).astype(bool))):
                 x.append(v)
         if not got[0]:
             return
-        doc, key, hashed, known = map(np.concatenate, got)
-        order = np.lexsort((doc, hashed))
-        doc, key, hashed, known = doc[order], key[order], hashed[order], known[order]
-        group = np.cumsum(np.r_[True, hashed[1:] != hashed[:-1]]) - 1
-        first = np.searchsorted(group, group)
-        more = np.bincount(group, weights=(doc != doc[first]) | known) > 0
-        at = np.flatnonzero(more[group])
+        doc, key, hashed, known = _joined(got)
+        order = np.argsort(hashed)
+        hashed = hashed[order]
+        starts = np.flatnonzero(np.r_[True, hashed[1:] != hashed[:-1]])
+        sizes = np.diff(np.r_[starts, len(hashed)])
+        own = doc[order]
+        more = ((np.minimum.reduceat(own, starts) != np.maximum.reduceat(own, starts))
+                | np.logical_or.reduceat(known[order], starts))
+        many = hashed[starts[sizes > hot]]
+        at = np.flatnonzero(np.repeat(more, sizes))
         # 32 bits are enough to find an anchor in its own text again; one found wrongly does no harm
-        yield from _deal(doc[at], key[at], hashed[at].astype("<u4"), buckets)
-        many = np.unique(hashed[np.flatnonzero(first == np.arange(len(first)))[np.bincount(group) > hot]])
+        hashed, at = hashed[at].astype("<u4"), order[at]
+        del order, own, known
+        yield from _deal(doc[at], key[at], hashed, buckets)
         if len(many):
             yield pa.RecordBatch.from_arrays([pa.array([-1]), pa.array([many.astype("<u8").tobytes()], pa.binary())],
                                              ["bucket", "blob"])
@@ -260,7 +273,7 @@ def _merge(name: str, kind: str, width: int):
         got = [_unseal(x, "<i8", "<u4", kind) for x in _blobs_of(batches)]
         if not got:
             return
-        doc, key, values = (np.concatenate(x) for x in zip(*got))
+        doc, key, values = _joined([list(x) for x in zip(*got)])
         values = values.reshape(-1, width)
         order = np.lexsort((key, doc))
         doc, key, values = doc[order], key[order].astype(np.int64), values[order]
@@ -304,15 +317,14 @@ def _contexts(buckets: int, hot):
             data = raw.tobytes()
             pieces = [data[a:b + WIDTH] for a, b in zip(start.tolist(), last.tolist())]
             own = doc[text].tolist()
-            least: dict[tuple, int] = {}
-            names = list(zip(hashed.tolist(), pieces))
-            for name, d in zip(names, own):
-                if least.get(name, NO_ID + 1) > d:
-                    least[name] = d
-            speaks = np.array([least[name] == d for name, d in zip(names, own)], bool)
+            least: dict[bytes, int] = {}  # the bytes alone say which anchor they name
+            for piece, d in zip(pieces, own):
+                if least.get(piece, NO_ID + 1) > d:
+                    least[piece] = d
+            speaks = np.array([least[piece] == d for piece, d in zip(pieces, own)], bool)
             rel = start - ends[text]
             to = np.where(speaks, _bucket(hashed, buckets), (text + doc[text]) % buckets)
-            del names, least
+            del least, own
             for bucket, at in _by_value(to):
                 at = np.sort(at)
                 said, sure = at[speaks[at]], at[~speaks[at]]
@@ -404,9 +416,8 @@ def _find_spans(batches, buckets: int):
         return
     if not any(map(len, got[2])):  # all is known already
         got[5] = [np.zeros(WIDTH, np.uint8)]
-    doc, key, start, size, offset, data = map(np.concatenate, got)
-    start, size = start.astype(np.int64), size.astype(np.int64)
-    del got
+    doc, key, start, size, offset, data = _joined(got)
+    size = size.astype(np.int64)
     at = np.cumsum(size) - size
     # an anchor's bytes name it; a string dealt alone is named by all of its own
     hashed = np.zeros(len(at), np.uint64)
@@ -488,7 +499,7 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     rows = docs.select(F.coalesce(column(docs, doc_id).cast("long"), F.lit(NO_ID)).alias("doc_id"),
                        F.crc32(body).alias("_key"), body.cast("binary").alias("text"))
     total = docs.agg(F.sum(F.octet_length(body))).first()[0] or 0
-    # an anchor for about 14 bytes, 12 bytes each; contexts of repeated ones weigh no more
+    # an anchor for about 14 bytes of text, 12 bytes each; its context, if it repeats, has about 63
     buckets = max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), int(total // BUCKET_BYTES) + 1)
     dealt_rows = "bucket long, blob binary"
     found = materialize(rows.mapInArrow(_count_anchors(buckets), dealt_rows).repartition(buckets, "bucket")
