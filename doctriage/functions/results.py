@@ -72,8 +72,12 @@ def result_from_json(df: DataFrame, json_col: str) -> DataFrame:
 
     The type is *not* lower-cased here (unlike the answer parser); an unknown type
     is an error.  Checks run in the reference's order: scores, timestamp, type,
-    then the id.
+    then the id.  Before them, text that is no JSON object and a score that is no
+    number get errors of their own.
     """
+    v = F.try_parse_json(F.col(json_col))
+    score_kind = F.schema_of_variant(F.try_variant_get(v, "$.confidence.primary_score", "variant"))
+    no_number = score_kind.isNotNull() & ~score_kind.rlike("^(BIGINT|DECIMAL.*|DOUBLE|FLOAT|VOID)$")
     r = F.from_json(F.col(json_col), RECORD_SCHEMA)
     conf = F.coalesce(r.confidence, F.struct(F.lit(None).cast("double").alias("primary_score"),
                                              F.lit(None).cast("map<string,double>").alias("secondary_scores"),
@@ -85,7 +89,11 @@ def result_from_json(df: DataFrame, json_col: str) -> DataFrame:
     ts_text = r.timestamp
     ts = F.try_to_timestamp(ts_text)
     doc_id = F.coalesce(r.document_id, F.lit(""))
-    err = (F.when(score_error(primary, secondary).isNotNull(), score_error(primary, secondary))
+    empty = r.document_id.isNull() & r.predicted_type.isNull() & r.confidence.isNull()
+    no_object = empty & ~F.coalesce(F.schema_of_variant(v).startswith("OBJECT"), F.lit(False))
+    err = (F.when(no_object, F.lit("Record is not a JSON object"))
+           .when(no_number, F.lit("Primary score is not a number"))
+           .when(score_error(primary, secondary).isNotNull(), score_error(primary, secondary))
            .when(ts_text.isNotNull() & ts.isNull(),
                  F.concat(F.lit("Invalid isoformat string: '"), ts_text, F.lit("'")))
            .when(~raw_type.isin(DOCUMENT_TYPES),

@@ -54,12 +54,12 @@ CALL_FIELDS = [
 ]
 
 
-MAX_HOT_KEYS = 10_000  # hot keys salted explicitly; any further ones still join exactly, unsalted
+MAX_HOT_KEYS = 10_000  # the hottest keys, salted explicitly; further ones join exactly too, split by AQE alone
 
 
 def recorded_scorer(answers: DataFrame, key: str = "request_key", response_col: str = "response_text",
                     dedupe: bool = True, hot_key_rows: int | None = None,
-                    salt_buckets: int = 32, materialize_answers: bool = False) -> Callable[[DataFrame], DataFrame]:
+                    salt_buckets: int = 32, materialize_answers: bool | None = None) -> Callable[[DataFrame], DataFrame]:
     """Pair each request with its recorded answer (K2, E5).
 
     Both sides are large, so this is a shuffle join on ``key`` (never a broadcast
@@ -70,33 +70,34 @@ def recorded_scorer(answers: DataFrame, key: str = "request_key", response_col:
     (answer keys known to be unique) the aggregate and its map-side sort are
     skipped; duplicate keys would then multiply request rows.
 
-    Hot keys: AQE's skew join splits an oversized join partition at run time.
-    Where that cannot be relied on, ``hot_key_rows`` salts explicitly: keys with
-    more request rows than that (found by one partial aggregation of the keys; at
-    most ``MAX_HOT_KEYS`` of them, a bound of rows / ``hot_key_rows``) have their
-    requests spread over ``salt_buckets`` buckets, and only those keys' single
-    answer rows are replicated per bucket.  Results are identical either way.
-
-    ``materialize_answers`` stores the deduplicated answers once under the
-    checkpoint folder; a streaming query then scans that table on every
+    Hot keys: the deduplicated answers are stored once under the checkpoint
+    folder (``materialize_answers``, by default where ``dedupe`` is on), so no
+    aggregate stands between the join and its shuffles and AQE's skew join splits
+    an oversized partition; a streaming query scans that table on every
     micro-batch instead of re-aggregating the answers each time.
+    Where AQE cannot be relied on, ``hot_key_rows`` salts explicitly: keys with
+    more request rows than that (found by one partial aggregation of the keys; the
+    ``MAX_HOT_KEYS`` hottest) have their requests spread over ``salt_buckets``
+    buckets, and only those keys' single answer rows are replicated per bucket.
+    Results are identical either way.
     """
     if dedupe:
         one = answers.groupBy(key).agg(F.min(response_col).alias("__answer"))
     else:
         one = answers.select(F.col(key), F.col(response_col).alias("__answer"))
-    if materialize_answers:
+    if dedupe if materialize_answers is None else materialize_answers:
         from ..session import materialize
         one = materialize(one, "answers")
 
     def score(df: DataFrame) -> DataFrame:
         if hot_key_rows:
-            hot = [r[0] for r in (df.groupBy(key).count().where(F.col("count") > hot_key_rows)
-                                  .select(key).limit(MAX_HOT_KEYS).collect())]
+            hot = [r[0] for r in (df.where(F.col(key).isNotNull()).groupBy(key).count()
+                                  .where(F.col("count") > hot_key_rows)
+                                  .orderBy(F.desc("count"), key).select(key).limit(MAX_HOT_KEYS).collect())]
         else:
             hot = []
         if hot:
-            is_hot = F.col(key).isin(hot)
+            is_hot = F.coalesce(F.col(key).isin(hot), F.lit(False))
             # deterministic per row for a deterministic input, so a retried task re-salts the same way
             salted = df.withColumn("__salt", F.when(is_hot, F.pmod(F.monotonically_increasing_id(),
                                                                    F.lit(salt_buckets))).otherwise(F.lit(0)))
@@ -109,7 +110,8 @@ def recorded_scorer(answers: DataFrame, key: str = "request_key", response_col:
         return (j.withColumns({
             "response_text": F.col("__answer"),
             "call_stage": F.when(missing, F.lit("missing")).otherwise(F.lit("ok")),
-            "call_error": F.when(missing, F.concat(F.lit("no recorded answer for request "), F.col(key))),
+            "call_error": F.when(missing, F.concat(F.lit("no recorded answer for request "),
+                                                     F.coalesce(F.col(key), F.lit("without a key")))),
             "call_ms": F.lit(None).cast("double"),
             "call_end_s": F.lit(None).cast("double"),
         }).drop("__answer"))
@@ -133,8 +135,9 @@ def function_scorer(fn: Callable[[str], str], timeout_s: float = 300.0,
     give the client the same timeout (e.g. its read timeout) so that a hung call
     cannot hold its task.  With ``hard_timeout`` the task stops waiting instead:
     calls run on daemon threads, in waves of ``threads_per_task``, and a call
-    still running ``timeout_s`` after its wave started becomes a ``timeout`` row
-    while the task moves on (the stuck thread is abandoned).  ``threads_per_task`` keeps that many calls
+    still running ``timeout_s`` after it was sent becomes a ``timeout`` row
+    while the task moves on (the stuck thread is abandoned).  Waiting for the call
+    rate happens before a call is sent and does not count.  ``threads_per_task`` keeps that many calls
     in flight per task (I/O-bound remote calls), so the concurrency is
     ``partitions x threads_per_task``; results keep their row order.
     ``max_calls_per_minute`` (a service limit) is split evenly over the
@@ -172,10 +175,10 @@ def function_scorer(fn: Callable[[str], str], timeout_s: float = 300.0,
                     pace["next"] = start + interval
                 time.sleep(max(0.0, start - time.monotonic()))
 
-            def call(prompt):
+            def call(prompt, turn=wait_turn):
                 if prompt is None:  # row failed before scoring: never sent
                     return (None, "skipped", None, None, None)
-                wait_turn()
+                turn()
                 t0 = time.monotonic()
                 try:
                     text = fn(prompt, client) if client_factory else fn(prompt)
@@ -194,18 +197,20 @@ def function_scorer(fn: Callable[[str], str], timeout_s: float = 300.0,
                 return (text, stage, err, ms, time.time())
 
             def bounded(prompts):
-                # waves of daemon threads; whatever is still running at the deadline is a timeout
+                # waves of daemon threads; a call still running at its own deadline is a timeout
                 results = [None] * len(prompts)
                 for lo in range(0, len(prompts), threads_per_task):
                     wave = []
                     for i in range(lo, min(lo + threads_per_task, len(prompts))):
+                        if prompts[i] is not None:
+                            wait_turn()
+
                         def run(i=i):
-                            results[i] = call(prompts[i])
+                            results[i] = call(prompts[i], turn=lambda: None)
                         t = threading.Thread(target=run, daemon=True)
                         t.start()
-                        wave.append((i, t))
-                    deadline = time.monotonic() + timeout_s
-                    for i, t in wave:
+                        wave.append((i, t, time.monotonic() + timeout_s))
+                    for i, t, deadline in wave:
                         t.join(max(0.0, deadline - time.monotonic()))
                         if t.is_alive() or results[i] is None:
                             results[i] = (None, "timeout", f"Processing timed out after {timeout_s:g} seconds",
@@ -325,26 +330,32 @@ def lexicon_score(docs: DataFrame, lexicon, id_col: str = "doc_id", text_col: st
 
     Tokens are maximal ``[a-z]+`` runs of the lower-cased text.  score = evidence
     of the best type / all evidence; ties go to the larger type name; no evidence
-    gives ``unknown`` and 0.0; ``key_terms`` are the matched lexicon terms.
+    gives ``unknown`` and 0.0; ``key_terms`` are the matched lexicon terms, sorted.
+    The columns are those of ``docs`` without the text, and the result's four.
 
-    ``lexicon`` is a list of (type, term, weight) or a DataFrame.  The plan is
-    chosen from the lexicon's checked size (measured at sf0.1, see README):
+    ``lexicon`` is a list of (type, term, weight) or a DataFrame; the weights of a
+    (type, term) listed several times add up, rows without a type or term do not
+    count.  The plan (never the result) is chosen from the lexicon's checked size
+    (measured at sf0.1, see README):
 
     * few (type, weight) groups (<= ``max_inline_groups``): each document's text is
       tokenized once, tokens are kept by hash-set membership (``InSet``) and each
-      group is counted over the kept tokens -- narrow, no shuffle, whole texts;
-      ``key_terms`` in text order.
+      group is counted over the kept tokens -- narrow, no shuffle, whole texts.
     * otherwise :func:`lexicon_score_join` (broadcast join of exploded tokens and
       one per-document aggregate).
     """
     if isinstance(lexicon, DataFrame):
-        n_terms = lexicon.count()
+        summed = _lexicon_sums(lexicon, type_col, term_col, weight_col)
+        n_terms = summed.count()
         if n_terms > MAX_INLINE_TERMS:
             return lexicon_score_join(docs, lexicon, id_col, text_col, type_col, term_col, weight_col, n_terms)
-        rows = [(r[0], r[1], float(r[2])) for r in
-                lexicon.select(type_col, term_col, weight_col).collect()]  # bounded by MAX_INLINE_TERMS
+        listed = summed.collect()  # bounded by MAX_INLINE_TERMS
     else:
-        rows = [(str(t), str(term), float(w)) for t, term, w in lexicon]
+        listed = [(str(t), str(term), float(w)) for t, term, w in lexicon if t is not None and term is not None]
+    sums: dict[tuple[str, str], float] = {}
+    for t, term, w in listed:
+        sums[t, term] = sums.get((t, term), 0.0) + w
+    rows = [(t, term, w) for (t, term), w in sums.items()]
     groups: dict[tuple[str, float], list[str]] = {}
     for t, term, w in rows:
         if _is_token(term):  # other terms can never equal a token
@@ -356,9 +367,9 @@ def lexicon_score(docs: DataFrame, lexicon, id_col: str = "doc_id", text_col: st
     types = sorted({t for t, _, _ in rows})
     terms = sorted({term for ts in groups.values() for term in ts})
     if not terms:
-        return docs.withColumns({"predicted_type": F.lit("unknown"), "primary_score": F.lit(0.0),
-                                 "evidence": F.lit(0.0), "key_terms": F.array().cast("array<string>")})
-    hits = F.filter(_tokens(text_col), _term_in(terms))
+        return docs.drop(text_col).withColumns({"predicted_type": F.lit("unknown"), "primary_score": F.lit(0.0),
+                                                "evidence": F.lit(0.0), "key_terms": F.array().cast("array<string>")})
+    hits = F.filter(F.coalesce(_tokens(text_col), F.array().cast("array<string>")), _term_in(terms))
 
     def evidence(t):
         parts = [F.size(F.filter(F.col("__hits"), _term_in(ts))) * F.lit(w)
@@ -375,8 +386,14 @@ def lexicon_score(docs: DataFrame, lexicon, id_col: str = "doc_id", text_col: st
         "predicted_type": F.when(has, F.col("__best.t")).otherwise(F.lit("unknown")),
         "primary_score": F.when(has, F.col("__best.w") / F.col("__total")).otherwise(F.lit(0.0)),
         "evidence": F.col("__total"),
-        "key_terms": F.array_distinct(F.col("__hits")),
-    }).drop("__hits", "__per_type", "__total", "__best"))
+        "key_terms": F.array_sort(F.array_distinct(F.col("__hits"))),
+    }).drop("__hits", "__per_type", "__total", "__best", text_col))
+
+
+def _lexicon_sums(lexicon: DataFrame, type_col: str, term_col: str, weight_col: str) -> DataFrame:
+    """(type, term, summed weight), one row a pair; rows without a type or term do not count."""
+    return (lexicon.where(F.col(type_col).isNotNull() & F.col(term_col).isNotNull())
+            .groupBy(type_col, term_col).agg(F.coalesce(F.sum(F.col(weight_col).cast("double")), F.lit(0.0)).alias(weight_col)))
 
 
 def _term_in(terms: list[str]):
@@ -400,8 +417,9 @@ def lexicon_score_join(docs: DataFrame, lexicon: DataFrame, id_col: str = "doc_i
     aggregate of per-type conditional sums).  The result is joined back to the
     documents *without* their text; ``key_terms`` are sorted.
     """
+    lexicon = _lexicon_sums(lexicon, type_col, term_col, weight_col)
     n_terms = lexicon.count() if n_terms is None else n_terms
-    lex = lexicon.select(F.col(term_col), F.col(type_col).alias("__t"), F.col(weight_col).cast("double").alias("__w"))
+    lex = lexicon.select(F.col(term_col), F.col(type_col).alias("__t"), F.col(weight_col).alias("__w"))
     tokens = docs.select(id_col, F.explode(_tokens(text_col)).alias(term_col))
     if n_terms <= MAX_BROADCAST_TERMS:
         matched = tokens.join(F.broadcast(lex), term_col).withColumn("__n", F.lit(1))
@@ -416,12 +434,14 @@ def lexicon_score_join(docs: DataFrame, lexicon: DataFrame, id_col: str = "doc_i
         F.array_sort(F.array_distinct(F.flatten(F.collect_list("__terms")))).alias("key_terms"))
     out = docs.drop(text_col).join(per_doc, id_col, "left")
     has = F.coalesce(F.col("__total"), F.lit(0.0)) > 0
-    return (out.withColumns({
+    scored = out.withColumns({
         "predicted_type": F.when(has, F.col("__best.t")).otherwise(F.lit("unknown")),
         "primary_score": F.when(has, F.col("__best.w") / F.col("__total")).otherwise(F.lit(0.0)),
         "evidence": F.coalesce(F.col("__total"), F.lit(0.0)),
         "key_terms": F.coalesce(F.col("key_terms"), F.array().cast("array<string>")),
-    }).drop("__best", "__total"))
+    })
+    return scored.select(*[c for c in docs.columns if c != text_col],
+                         "predicted_type", "primary_score", "evidence", "key_terms")
 
 
 def classify_to_table(requests: DataFrame, scorer: Callable[[DataFrame], DataFrame], table_path: str,
@@ -436,15 +456,21 @@ def classify_to_table(requests: DataFrame, scorer: Callable[[DataFrame], DataFra
     Spark's commit protocol keeps retried or speculative task attempts from
     writing twice.  Speculation should stay off for jobs with a paid scorer.
     Each chunk re-reads ``requests`` (and the stored keys), so pass a materialized
-    or cheaply re-readable input when using many chunks.
+    or cheaply re-readable input when using many chunks.  A key listed several
+    times is scored once.  A request without a key raises before anything is
+    scored, as it could not be found again; so does a stored table that cannot be read.
     """
     spark = requests.sparkSession
     from pyspark.errors import AnalysisException
+    if requests.where(F.col("request_key").isNull()).limit(1).count():
+        raise ValueError("every request needs a request_key")
+    todo = requests.dropDuplicates(["request_key"])
     try:
         done = spark.read.parquet(table_path).select("request_key")
-        todo = requests.join(done, "request_key", "left_anti")
-    except AnalysisException:  # no table yet
-        todo = requests
+        todo = todo.join(done, "request_key", "left_anti")
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":  # else: no table yet
+            raise
     for i in range(chunks):
         part = todo if chunks == 1 else todo.where(F.pmod(F.xxhash64("request_key"), F.lit(chunks)) == i)
         res = classify(part, scorer, model=model, threshold=threshold, **kwargs)

@@ -15,10 +15,11 @@ from pyspark.sql import functions as F
 from ..functions.paths import path_stem
 from ..operators import reports as R
 from ..operators.catalog import model_id_for
-from ..operators.requests import with_run_options
+from ..operators.requests import dispatch_sources, with_run_options
 from ..operators.score import classify
 from ..session import materialize
 from ..sinks import writers as W
+from ..sources.discover import TOO_LARGE
 
 
 def documents_to_requests(docs: DataFrame, extracted_col: str | None = None,
@@ -28,7 +29,8 @@ def documents_to_requests(docs: DataFrame, extracted_col: str | None = None,
     ``text`` rows carry their text; other rows take ``extracted_col`` when the
     caller extracted them (:func:`~doctriage.operators.extract.extract_documents`),
     else they go to the scorer with empty text, as the reference does when its
-    extraction fails.  ``request_key`` is the source, or ``source#document_id`` for
+    extraction fails.  A row of an unknown kind, and a file over the listing's size
+    limit, is an error row that is never scored.  ``request_key`` is the source, or ``source#document_id`` for
     in-line text (the stem alone is not unique).
     """
     kind = F.col("source_type")
@@ -38,15 +40,18 @@ def documents_to_requests(docs: DataFrame, extracted_col: str | None = None,
         content = content.otherwise(F.col(extracted_col))
     # a local file that cannot be read fails its row (object-store text failures
     # fall back to empty text instead, as the reference does)
-    pre_error = (F.when(kind == "local", F.col(extraction_error_col)) if extraction_error_col
-                 else F.lit(None).cast("string"))
-    return docs.withColumns({
+    failed = F.lit(None).cast("string")
+    if extraction_error_col:
+        e = F.col(extraction_error_col)
+        failed = F.when((kind == "local") | e.startswith(TOO_LARGE), e)
+    pre_error = F.coalesce(F.col("dispatch_error"), failed)
+    return dispatch_sources(docs, "source_type").withColumns({
         "document_id": doc_id,
         "document_content": content,
         "request_key": F.when(kind == "text", F.concat(F.col("source"), F.lit("#"), doc_id))
                         .otherwise(F.col("source")),
         "pre_error": pre_error,
-    })
+    }).drop("route", "dispatch_error")
 
 
 def run_batch(docs: DataFrame, scorer: Callable[[DataFrame], DataFrame], model: str,

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from ..functions.paths import key_pattern_match, parse_s3_uri, path_stem, prefix_match
 from ..schemas import BATCH_RESULT_SCHEMA, DOCUMENT_SCHEMA
 
+TOO_LARGE = "File too large"
 DOCUMENT_COLUMNS = [f.name for f in DOCUMENT_SCHEMA.fields]
 
 
@@ -28,13 +29,22 @@ def _listing(spark: SparkSession, root: str, recursive: bool, glob: str | None,
     if glob and glob != "*":
         reader = reader.option("pathGlobFilter", glob)
     files = reader.load(root)
-    if max_size_bytes:  # on the scan, before any extraction (a pushed filter on length)
-        files = files.where(F.col("length") <= max_size_bytes)
+    listed = files.select("path", "length", "modificationTime")  # content pruned from the scan
+    too_large = F.when(F.col("length") > max_size_bytes,
+                       F.format_string(TOO_LARGE + ": %d bytes, limit %d", "length", F.lit(max_size_bytes))) \
+        if max_size_bytes else None
     if not extract:
-        return files.select("path", "length", "modificationTime")  # content pruned from the scan
+        return listed if too_large is None else listed.withColumn("extraction_error", too_large)
     from ..operators.extract import extract_documents
-    texts = extract_documents(files.select("path", "length", "modificationTime", "content"), extractors)
-    return texts.withColumnRenamed("text", "extracted")
+    read = files.select("path", "length", "modificationTime", "content")
+    if max_size_bytes:  # on the scan, before any extraction (a pushed filter on length)
+        read = read.where(F.col("length") <= max_size_bytes)
+    texts = extract_documents(read, extractors).withColumnRenamed("text", "extracted")
+    if too_large is None:
+        return texts
+    # larger files stay as error rows; their scan reads no content
+    return texts.unionByName(listed.where(F.col("length") > max_size_bytes).withColumn("extraction_error", too_large),
+                             allowMissingColumns=True)
 
 
 def conform(df: DataFrame) -> DataFrame:
@@ -59,6 +69,8 @@ def list_store(spark: SparkSession, root: str, prefix: str = "", pattern: str =
     whole key.  Keys ending in ``/`` are folders and never listed.  With
     ``extract`` the same scan also extracts each file's text (``extracted``,
     ``extraction_error``; see ``extract_documents``), ready for ``run_batch``.
+    Files over ``max_size_bytes`` are never read; they are listed with that as
+    their ``extraction_error``, and ``run_batch`` makes them error rows.
     """
     base = root.rstrip("/")
     name = bucket or base.rsplit("/", 1)[-1]
@@ -76,12 +88,12 @@ def list_store(spark: SparkSession, root: str, prefix: str = "", pattern: str =
         F.col("key"),
         F.col("length").alias("size"),
         F.col("modificationTime").alias("last_modified"),
-        *_extracted(extract),
+        *_extracted(df),
     ))
 
 
-def _extracted(extract: bool):
-    return [F.col("extracted"), F.col("extraction_error")] if extract else []
+def _extracted(df: DataFrame):
+    return [F.col(c) for c in ("extracted", "extraction_error") if c in df.columns]
 
 
 def _strip_scheme(p: str) -> str:
@@ -93,7 +105,7 @@ def list_directory(spark: SparkSession, directory: str, pattern: str = "*", recu
                    extractors: dict | None = None) -> DataFrame:
     """Regular files under ``directory`` as documents; ``pattern`` is a name glob (A2).
 
-    With ``extract`` the same scan also extracts each file's text, as in :func:`list_store`.
+    ``extract`` and ``max_size_bytes`` as in :func:`list_store`.
     """
     df = _listing(spark, directory, recursive, pattern, extract, extractors, max_size_bytes)
     local = F.regexp_replace(F.col("path"), "^file:", "")
@@ -104,7 +116,7 @@ def list_directory(spark: SparkSession, directory: str, pattern: str = "*", recu
         local.alias("file_path"),
         F.col("length").alias("size"),
         F.col("modificationTime").alias("last_modified"),
-        *_extracted(extract),
+        *_extracted(df),
     ))
 
 

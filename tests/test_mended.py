@@ -1,4 +1,4 @@
-"""Whole prompts, quoting, odd answers, thresholds and queue messages."""
+"""Whole prompts, quoting, odd answers and records, thresholds, queue messages, limits and hot keys."""
 
 import csv
 import json
@@ -10,9 +10,12 @@ from doctriage.functions.answer_json import describe_answer
 from doctriage.functions.text import build_prompt
 from doctriage.operators.parse import parse_response
 from doctriage.operators.reports import review_queue
-from doctriage.operators.score import recorded_scorer
+from doctriage.functions.results import result_from_json
+from doctriage.operators.score import (classify, classify_to_table, function_scorer, lexicon_score, lexicon_score_join,
+                                       recorded_scorer)
+from doctriage.plans.batch import run_batch
 from doctriage.sinks import writers as W
-from doctriage.sources.discover import read_file_list_csv
+from doctriage.sources.discover import conform, list_store, read_file_list_csv
 from doctriage.streaming.queue import classify_stream, messages_to_requests, results_and_counts_writer
 
 
@@ -89,3 +92,106 @@ def test_empty_micro_batch_counts_zero(spark, tmp_path):
 def test_review_queue_breaks_ties_by_key(spark):
     df = spark.createDataFrame([(f"k{i}", 0.0, 0.7) for i in range(20)], "request_key string, primary_score double, threshold double")
     assert [r.request_key for r in review_queue(df).collect()] == sorted(f"k{i}" for i in range(20))
+
+
+@pytest.mark.parametrize("as_table", [False, True])
+def test_lexicon_paths_agree_on_repeated_rows(spark, as_table):
+    rows = [("a", "apple", 1.0), ("a", "apple", 1.0), ("b", "zebra", 3.0), (None, "apple", 9.0)]
+    docs = spark.createDataFrame([(1, "zebra apple apple", "x"), (2, "none", None), (3, None, "y")],
+                                 "doc_id int, text string, note string")
+    table = spark.createDataFrame(rows, "document_type string, term string, weight double")
+    got = [lexicon_score(docs, table if as_table else rows), lexicon_score(docs, rows, max_inline_groups=0),
+           lexicon_score_join(docs, table)]
+    assert len({tuple(g.columns) for g in got}) == 1 and "text" not in got[0].columns
+    first, *others = [sorted(map(str, g.collect())) for g in got]
+    assert all(o == first for o in others)
+    best = got[0].where("doc_id = 1").first()
+    assert (best.predicted_type, best.primary_score, best.evidence, best.key_terms) == ("a", 4 / 7, 7.0, ["apple", "zebra"])
+
+
+def test_waiting_for_the_rate_is_no_timeout(spark):
+    req = spark.createDataFrame([(str(i), f"k{i}", "t") for i in range(4)],
+                                "document_id string, request_key string, document_content string")
+    calls = spark.sparkContext.accumulator(0)
+
+    def fn(prompt):
+        calls.add(1)
+        return '{"predicted_type": "memo", "confidence_score": 0.6}'
+
+    scorer = function_scorer(fn, partitions=1, threads_per_task=4, max_calls_per_minute=120, timeout_s=0.4, hard_timeout=True)
+    assert [r.status for r in classify(req, scorer).collect()] == ["success"] * 4 and calls.value == 4
+
+
+def test_repeated_and_missing_keys_are_paid_once_or_not(spark, tmp_path):
+    schema = "document_id string, request_key string, document_content string"
+    req = spark.createDataFrame([("1", "a", "t"), ("1", "a", "t"), ("2", "b", "t")], schema)
+    calls = spark.sparkContext.accumulator(0)
+
+    def fn(prompt):
+        calls.add(1)
+        return '{"predicted_type": "memo", "confidence_score": 0.6}'
+
+    path = str(tmp_path / "table")
+    for _ in range(2):
+        assert classify_to_table(req, function_scorer(fn), path).count() == 2
+    with pytest.raises(ValueError):
+        classify_to_table(spark.createDataFrame([("3", None, "t")], schema), function_scorer(fn), path)
+    broken = tmp_path / "broken"
+    broken.mkdir()
+    (broken / "part.parquet").write_text("no parquet")
+    with pytest.raises(Exception):
+        classify_to_table(req, function_scorer(fn), str(broken))
+    assert calls.value == 2
+
+
+def test_records_with_odd_scores_say_so(spark):
+    def record(score):
+        return '{"document_id": "d", "predicted_type": "memo", "confidence": {"primary_score": %s}}' % score
+    rows = [("text", record('"abc"')), ("quoted", record('"0.9"')), ("number", record("0.9")), ("whole", record("1")),
+            ("null", record("null")), ("high", record("1.5")), ("none", "not json"), ("list", "[1]"), ("empty", "{}"),
+            ("missing", None)]
+    got = {r.name: r.record_error for r in result_from_json(spark.createDataFrame(rows, "name string, j string"), "j").collect()}
+    number, whole = "Primary score is not a number", "Record is not a JSON object"
+    assert got == {"text": number, "quoted": number, "number": None, "whole": None, "null": None,
+                   "high": "Primary score must be between 0.0 and 1.0", "none": whole, "list": whole, "missing": whole,
+                   "empty": "Document ID is required"}
+
+
+def test_unknown_kinds_and_oversized_files_are_error_rows(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "small.txt").write_text("hi")
+    (tmp_path / "in" / "big.txt").write_text("x" * 100)
+    docs = list_store(spark, str(tmp_path / "in"), max_size_bytes=50, extract=True)
+    odd = conform(spark.createDataFrame([("f", "ftp://x", "ftp")], "document_id string, source string, source_type string"))
+    sent = spark.sparkContext.accumulator(0)
+
+    def fn(prompt):
+        sent.add(1)
+        return '{"predicted_type": "memo", "confidence_score": 0.6}'
+
+    records, _, _ = run_batch(docs.unionByName(odd, allowMissingColumns=True), function_scorer(fn), "m",
+                              extracted_col="extracted", extraction_error_col="extraction_error")
+    got = {r.document_id: (r.status, r.error) for r in records.collect()}
+    assert got["small"][0] == "success" and sent.value == 1
+    assert got["big"] == ("error", "File too large: 100 bytes, limit 50")
+    assert got["f"] == ("error", "Unsupported source type: ftp")
+
+
+def test_a_hot_key_is_split(spark):
+    keys = ["spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.adaptive.autoBroadcastJoinThreshold"]
+    before = {k: spark.conf.get(k, None) for k in keys}
+    try:
+        for k, v in zip(keys, ("-1", "64k", "64k", "-1")):
+            spark.conf.set(k, v)
+        ids = spark.range(0, 200_000, numPartitions=8)
+        req = ids.select(F.when(F.col("id") % 10 > 0, F.lit("hot")).otherwise(F.col("id").cast("string")).alias("request_key"),
+                         F.md5(F.col("id").cast("string")).alias("prompt"))
+        answers = ids.select(F.col("id").cast("string").alias("request_key"), F.lit("{}").alias("response_text")) \
+            .union(spark.createDataFrame([("hot", "{}")] * 3, "a string, b string"))
+        out = recorded_scorer(answers)(req)
+        assert len(out.collect()) == 200_000
+        assert "skew=true" in out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v) if v is not None else spark.conf.unset(k)

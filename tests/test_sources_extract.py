@@ -248,9 +248,13 @@ def test_size_limit_applies_before_extraction(spark, tree):
 
     docs = D.list_directory(spark, tree, max_size_bytes=5, extract=True, extractors={"pdf": [pdf_fn]})
     rows = docs.collect()
-    assert all(r.size <= 5 for r in rows) and seen.value == 0  # the 19-byte PDF never reached the extractor
+    assert len(rows) == 8 and seen.value == 0  # the 19-byte PDF never reached the extractor
+    assert all((r.size > 5) == (r.extraction_error or "").startswith(D.TOO_LARGE) for r in rows)
     plan = docs._jdf.queryExecution().executedPlan().toString()
-    assert "LessThanOrEqual(length,5)" in plan
+    assert "LessThanOrEqual(length,5)" in plan and plan.count("content:binary") == 1
+    listed = D.list_directory(spark, tree, max_size_bytes=5).collect()
+    assert sorted((r.file_path, r.extraction_error is None) for r in listed) == sorted(
+        (r.file_path, r.size <= 5) for r in rows)
 
 
 def test_json_array_files_round_trip(spark, tmp_path):
