@@ -75,6 +75,34 @@ def test_quality_verdicts(frame, odd_rows):
     assert m.longest_repeat == 120 and not m.base_failed and not m.kept
 
 
+def plain_later(text):
+    w, seen, later = text.split(), set(), set()
+    for i in range(len(w) - repetition.MIN_REPEAT + 1):
+        run = tuple(w[i:i + repetition.MIN_REPEAT])
+        later |= set(range(i, i + repetition.MIN_REPEAT)) if run in seen else set()
+        seen.add(run)
+    return len(later)
+
+
+def test_quality_by_later_occurrences(frame):
+    rng = np.random.default_rng(8)
+    fresh = lambda n, c: [f"{c}{i}" for i in range(n)]
+    passage, line = fresh(60, "p"), " ".join(fresh(12, "l"))
+    blocks = [fresh(20, f"b{k}_") for k in range(60)]
+    texts = {
+        1: " ".join(passage + fresh(180, "w") + passage),                                    # covered 0.40, later 0.20
+        2: " ".join(sum(blocks, []) + fresh(4000, "w") + sum(blocks[::-1], [])),             # later 0.19, longest 20
+        3: "\n".join([line, " ".join(fresh(76, "w")), line]),                                # covered 0.24, later 0.12
+        4: " ".join(fresh(300, "w")),
+        5: " ".join(passage + fresh(2000, "w") + passage),                                   # one long repeat
+    }
+    texts |= {10 + i: " ".join(rng.choice(["a", "b"], 90)) for i in range(10)}
+    got = {r.doc_id: r for r in repetition.quality(frame(list(texts.items()))).collect()}
+    assert all(got[d].later_words == plain_later(t) for d, t in texts.items())
+    assert not any(got[d].base_failed for d in range(1, 6))
+    assert [got[d].kept for d in range(1, 6)] == [False, False, True, True, False]
+
+
 def plain_fingerprint(text):
     w = [x for x in re.split(r"[\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or "")) if x]
     runs = [" ".join(w[i:i + 3]) for i in range(len(w) - 2)] or ([" ".join(w)] if w else [])
