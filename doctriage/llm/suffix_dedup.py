@@ -15,8 +15,10 @@ id.  Three passes, each spread by Spark:
 
 Contexts that agree whole are combined in each map slice: the smallest id speaks for them, the
 others know at once that all their strings go.  A passage that a third of all documents share
-reaches its task as one row a slice.  An anchor that very many slices hold, in contexts that
-differ, is split: its strings are dealt one by one, each by its own hash.
+reaches its task as one row a slice.  At the passage's edges contexts differ in each document
+and do not combine.  Pass 1 therefore counts each anchor's differing contexts, slice by slice;
+an anchor with more than a task should sort is split: its strings are dealt one by one, each by
+its own hash.
 """
 
 from __future__ import annotations
@@ -36,8 +38,9 @@ WIDTH = 50       # bytes of the strings that are compared
 GRAM = 24        # bytes of an anchor
 SHALLOW = 24     # depth of the multikey quicksort; blind tries go on from there
 BUCKET_BYTES = 8 << 20  # of text whose anchors or contexts a task should get
-HOT = 4096       # slices with an anchor beyond which its strings are dealt one by one ...
-HOT_ANCHORS = 1 << 20  # ... or this part of all bytes, which bounds the list of such anchors
+HOT = 4096       # contexts (of 27 strings at most) of an anchor beyond which its strings are dealt one by one ...
+HOT_ANCHORS = 1 << 24  # ... or this part of all bytes, which bounds the list of such anchors ...
+HOT_MOST = 1 << 16     # ... up to what a task can hold
 HASH_BYTES = 6   # of an anchor's hash that are counted: one taken for another is only looked at in vain
 _SINGLE = 255    # in place of the anchor's offset: a string dealt alone
 _SUFFIXES = 1 << 16      # sorted at once
@@ -181,15 +184,18 @@ def _by_value(values: np.ndarray):
 # --- pass 1: which anchors occur in more than one document ---------------------------------------
 
 def _count_anchors(buckets: int):
-    """Rows: bucket, and the sealed ids, hashes, and whether they are known to repeat, of its anchors."""
+    """Rows: bucket, and the sealed ids, hashes, contexts, and whether they are known to repeat, of its anchors.
+
+    The first entry of an anchor has the number of its differing contexts in the slice, others have 0.
+    """
     def run(batches):
         for rows, raw, ends in _byte_slices(batches):
-            text, _, _, _, hashed = anchors(raw, ends)
+            text, start, last, _, hashed = anchors(raw, ends)
             if not len(text):
                 continue
             doc, key = _ids(rows)
             order = np.lexsort((doc[text], hashed))
-            text, hashed = text[order], hashed[order]
+            text, start, last, hashed = text[order], start[order], last[order], hashed[order]
             new = np.r_[True, hashed[1:] != hashed[:-1]]
             first = np.maximum.accumulate(np.where(new, np.arange(len(new)), 0))
             # the slice's smallest id speaks for an anchor; if others hold it, all are known to repeat it
@@ -198,19 +204,33 @@ def _count_anchors(buckets: int):
             repeats = (np.bincount(group, weights=other) > 0)[group]
             speak = doc[text] == doc[text[first]]
             pairs = np.r_[True, (hashed[1:] != hashed[:-1]) | (text[1:] != text[:-1])]
+            contexts = np.where(new, _differing(raw, start, last, group)[group], 0).astype("<u4")
             send = (speak | repeats) & pairs
-            text, hashed, repeats, speak = text[send], hashed[send], repeats[send], speak[send]
+            text, hashed, repeats, speak, contexts = (x[send] for x in (text, hashed, repeats, speak, contexts))
             # what is known already only passes through, so it may go to any bucket
             to = np.where(speak, _bucket(hashed, buckets), (text + doc[text]) % buckets)
             for bucket, at in _by_value(to):
                 at = at[np.argsort(text[at], kind="stable")]
                 short = hashed[at].astype("<u8").view(np.uint8).reshape(-1, 8)[:, :HASH_BYTES]
                 yield pa.RecordBatch.from_arrays([pa.array([bucket], pa.int64()), pa.array([_seal(
-                    *_members(text[at], doc, key), np.packbits(repeats[at]), np.ascontiguousarray(short))], pa.binary())],
-                    ["bucket", "blob"])
+                    *_members(text[at], doc, key), np.packbits(repeats[at]), np.ascontiguousarray(short), contexts[at])],
+                    pa.binary())], ["bucket", "blob"])
     return run
 
 
+def _differing(raw: np.ndarray, start: np.ndarray, last: np.ndarray, group: np.ndarray) -> np.ndarray:
+    """The number of differing contexts of each group (groups are numbered in order)."""
+    sizes = np.bincount(group)
+    at = np.flatnonzero(sizes[group] > 1)
+    # the first and the last string cover the context
+    content = _mix([_whole_hash(raw, start[at]), _whole_hash(raw, last[at]), (last - start)[at].astype(np.uint64)])
+    of = group[at]
+    order = np.lexsort((content, of))
+    content, of = content[order], of[order]
+    new = np.r_[True, (of[1:] != of[:-1]) | (content[1:] != content[:-1])] if len(of) else np.zeros(0, bool)
+    return np.maximum(np.bincount(of[new], minlength=len(sizes)), 1)
+
+
 def _blobs_of(batches):
     for b in batches:
         for x in b.column(b.schema.get_field_index("blob")):
@@ -224,21 +244,21 @@ def _joined(parts: list[list[np.ndarray]]):
 
 
 def _repeated_anchors(hot: int, buckets: int):
-    """Rows by document of its anchors that other documents hold too; bucket -1 has the hot ones."""
+    """Rows by document of its anchors that other documents hold too; bucket -1 has those with more than ``hot`` contexts."""
     def run(batches):
-        got = [[], [], [], []]
+        got = [[], [], [], [], []]
         for blob in _blobs_of(batches):
-            steps, keys, new, repeats, short = _unseal(blob, "<i8", "<u4", "u1", "u1", "u1")
+            steps, keys, new, repeats, short, contexts = _unseal(blob, "<i8", "<u4", "u1", "u1", "u1", "<u4")
             n = len(short) // HASH_BYTES
             wide = np.zeros((n, 8), np.uint8)
             wide[:, :HASH_BYTES] = short.reshape(n, HASH_BYTES)
             doc, key = _entries(steps, keys, new, n)
             for x, v in zip(got, (doc, key.astype("<u4"), wide.view("<u8").ravel(),
-                                  np.unpackbits(repeats, count=n).astype(bool))):
+                                  np.unpackbits(repeats, count=n).astype(bool), contexts)):
                 x.append(v)
         if not got[0]:
             return
-        doc, key, hashed, known = _joined(got)
+        doc, key, hashed, known, contexts = _joined(got)
         order = np.argsort(hashed)
         hashed = hashed[order]
         starts = np.flatnonzero(np.r_[True, hashed[1:] != hashed[:-1]])
@@ -246,11 +266,12 @@ def _repeated_anchors(hot: int, buckets: int):
         own = doc[order]
         more = ((np.minimum.reduceat(own, starts) != np.maximum.reduceat(own, starts))
                 | np.logical_or.reduceat(known[order], starts))
-        many = hashed[starts[sizes > hot]]
+        # slices combine equal contexts when they are dealt, so this is what the anchor's task would get
+        many = hashed[starts[more & (np.add.reduceat(contexts[order], starts, dtype=np.int64) > hot)]]
         at = np.flatnonzero(np.repeat(more, sizes))
         # 32 bits are enough to find an anchor in its own text again; one found wrongly does no harm
         hashed, at = hashed[at].astype("<u4"), order[at]
-        del order, own, known
+        del order, own, known, contexts
         yield from _deal(doc[at], key[at], hashed, buckets)
         if len(many):
             yield pa.RecordBatch.from_arrays([pa.array([-1]), pa.array([many.astype("<u8").tobytes()], pa.binary())],
@@ -503,8 +524,8 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     buckets = max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), int(total // BUCKET_BYTES) + 1)
     dealt_rows = "bucket long, blob binary"
     found = materialize(rows.mapInArrow(_count_anchors(buckets), dealt_rows).repartition(buckets, "bucket")
-                        .mapInArrow(_repeated_anchors(max(hot, total // HOT_ANCHORS), buckets), dealt_rows), "anchors")
-    # anchors in more than 1 / HOT_ANCHORS of all, so HOT_ANCHORS of them at most
+                        .mapInArrow(_repeated_anchors(max(hot, min(total // HOT_ANCHORS, HOT_MOST)), buckets), dealt_rows), "anchors")
+    # each has contexts at more than 1 / HOT_ANCHORS of all places, or HOT_MOST
     split = [np.frombuffer(r["blob"], "<u8") for r in found.filter("bucket = -1").select("blob").collect()]
     split = rows.sparkSession.sparkContext.broadcast(np.sort(np.concatenate([np.zeros(0, "<u8"), *split])))
     repeated = (found.filter("bucket >= 0").repartition(buckets, "bucket")

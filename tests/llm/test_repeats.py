@@ -218,6 +218,22 @@ def test_repeats_go(frame, odd_rows, hot):
     assert Counter(tuple(r) for r in got) == plain_repeats(rows)
 
 
+def test_common_line_is_split_by_default(frame, monkeypatch):
+    """A line of all documents: its edges have a context a document, in few slices."""
+    rng = np.random.default_rng(11)
+    line = " This very common line stands in every document of the table, whatever else it tells. "
+    n = suffix_dedup.HOT + 1000
+    rows = [(i, "".join(rng.choice(list("abcdefgh"), 20)) + line + "".join(rng.choice(list("abcdefgh"), 20)))
+            for i in range(n)]
+    lists = []
+    contexts = suffix_dedup._contexts
+    monkeypatch.setattr(suffix_dedup, "_contexts", lambda b, hot: lists.append(hot.value) or contexts(b, hot))
+    got = suffix_dedup.remove_repeats(frame(rows)).collect()
+    assert Counter(tuple(r) for r in got) == plain_repeats(rows)
+    inside = suffix_dedup._hashes(np.frombuffer(line.encode(), np.uint8)) & np.uint64((1 << 48) - 1)
+    assert 0 < len(lists[0]) < len(inside) and np.isin(lists[0], inside).all()
+
+
 def test_repeats_of_nothing(frame):
     assert suffix_dedup.remove_repeats(frame([])).count() == 0
     got = suffix_dedup.remove_repeats(frame([(1, None), (2, ""), (3, "short"), (4, "short")]), with_text=True).collect()
