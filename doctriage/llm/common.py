@@ -87,6 +87,15 @@ def codes_of(words: pa.Array) -> tuple[np.ndarray, pa.Array]:
     return coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), coded.dictionary
 
 
-def semi_join(docs: DataFrame, ids: DataFrame, doc_id: str = "doc_id") -> DataFrame:
-    """Rows of ``docs`` whose id (null equals null) is in ``ids`` (one column ``_id``)."""
-    return docs.join(ids, column(docs, doc_id).eqNullSafe(ids["_id"]), "left_semi")
+def own_rows(docs: DataFrame) -> DataFrame:
+    """The columns of ``docs`` as c0, c1, ..., and ``_row``: a number that is each row's own.
+
+    Ids may repeat or be null.  The rows are stored, so every use of them sees the same numbers.
+    """
+    named = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
+    return materialize(named.withColumn("_row", F.monotonically_increasing_id()), "rows")
+
+
+def kept_rows(stored: DataFrame, kept: DataFrame, docs: DataFrame) -> DataFrame:
+    """Rows of ``stored`` (``own_rows`` of ``docs``) whose number is in ``kept``, under their own names."""
+    return stored.join(kept, "_row", "left_semi").drop("_row").toDF(*docs.columns)

@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import NO_ID, SPACE, column, semi_join
+from .common import NO_ID, SPACE, column, kept_rows, own_rows
 
 _TWO64 = str(2**64)
 
@@ -32,8 +32,13 @@ def exact_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text"
     empty table gives an empty result.  ``hash_of`` replaces the content hash (tests use weak
     ones: the classes are the same).
     """
+    return _judged(docs, doc_id, text, hash_of).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
+
+
+def _judged(docs: DataFrame, doc_id: str, text: str, hash_of: Callable[[Column], Column], *more: str) -> DataFrame:
+    """``exact_duplicates`` with ``_length`` in code points and the columns ``more`` of ``docs``."""
     raw = F.coalesce(column(docs, text).cast("string"), F.lit(""))
-    rows = docs.select(column(docs, doc_id).cast("long").alias("doc_id"), raw.alias("_raw"))
+    rows = docs.select(column(docs, doc_id).cast("long").alias("doc_id"), raw.alias("_raw"), *more)
     rows = rows.withColumn("_norm", F.regexp_replace("_raw", SPACE + "+", ""))
     # the row to keep as one number, so that the aggregation can combine it in place:
     # code points first, then the smaller id
@@ -50,20 +55,29 @@ def exact_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text"
               .agg(F.max("_keep").alias("_keep"), F.max("group_size").alias("group_size"), F.count("*").alias("_n"))
               .withColumn("_keep", F.when(F.col("_n") == 1, F.col("_keep"))
                           .otherwise(F.raise_error(F.lit("two texts share both digests")).cast("long"))))
-    keyed = rows.select("doc_id", hash_of(F.col("_norm")).alias("_h"), F.sha2("_norm", 256).alias("_sha"))
+    keyed = rows.select("doc_id", hash_of(F.col("_norm")).alias("_h"), F.sha2("_norm", 256).alias("_sha"),
+                        F.length("_raw").alias("_length"), *more)
     joined = keyed.join(labels, ["_h", "_sha"])
     keep_id = F.nullif(F.col("_keep"), F.lit(NO_ID))
     return joined.select("doc_id", keep_id.alias("keep_id"), "group_size",
-                         F.col("doc_id").eqNullSafe(keep_id).alias("kept"), F.col("_sha").alias("text_sha256"))
+                         F.col("doc_id").eqNullSafe(keep_id).alias("kept"), F.col("_sha").alias("text_sha256"), "_length", *more)
 
 
 def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of ``docs`` that stay, with all their columns.
+    """The rows of ``docs`` that stay, with all their columns: one of each class of equal texts.
 
-    Rows that repeat the id of the row that stays, with an equal text, stay with it.
+    Of rows that repeat the id of the row to keep, or that have no id, the first with the most
+    code points stays.
     """
-    kept = exact_duplicates(docs, doc_id, text).filter("kept").select(F.col("doc_id").alias("_id")).distinct()
-    return semi_join(docs, kept, doc_id)
+    stored = own_rows(docs)
+    name = {c: f"c{i}" for i, c in enumerate(docs.columns)}
+    found = _judged(stored, name[doc_id], name[text], content_hash, "_row").filter("kept")
+    # most code points, then the first row, as one number
+    rank = ((F.lit(2**31) - F.col("_length")).cast("decimal(20,0)") * F.lit(_TWO64).cast("decimal(20,0)")
+            + F.col("_row").cast("decimal(20,0)")).cast("decimal(38,0)")
+    first = found.withColumn("_rank", rank).groupBy("text_sha256").agg(F.min("_rank").alias("_rank"))
+    kept = first.select(F.pmod(F.col("_rank"), F.lit(_TWO64).cast("decimal(38,0)")).cast("long").alias("_row"))
+    return kept_rows(stored, kept, docs)
 
 
 ORACLE = r"""

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..session import materialize
-from .common import WORD, column, numbered
+from .common import WORD, column, numbered, own_rows
 
 WEIGHTS = (3, 1, 2)
 SHARE = 1.5
@@ -24,11 +24,11 @@ def _shuffle_key(doc_id: Column) -> Column:
     return F.md5(F.concat(F.lit("mix:"), F.coalesce(doc_id.cast("string"), F.lit("null"))))
 
 
-def sized(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
-    """doc_id, source, size (words) and the shuffle key of each row."""
+def sized(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", *more: str) -> DataFrame:
+    """doc_id, source, size (words) and the shuffle key of each row, and the columns ``more``."""
     size = F.coalesce(F.regexp_count(column(docs, text).cast("string"), F.lit(WORD)), F.lit(0))
     rows = docs.select(column(docs, doc_id).cast("long").alias("doc_id"),
-                       column(docs, source).cast("string").alias("source"), size.cast("long").alias("size"))
+                       column(docs, source).cast("string").alias("source"), size.cast("long").alias("size"), *more)
     return rows.withColumn("_key", _shuffle_key(F.col("doc_id")))
 
 
@@ -72,7 +72,14 @@ def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str
     The running sum within a source goes by 4096 blocks of the shuffle key: a source that
     holds a third of all rows is summed by as many tasks, never by one.
     """
-    rows = materialize(sized(docs, doc_id, text, source), "sized")
+    return (_queued(docs, doc_id, text, source, weights, share, most)
+            .orderBy("finish_time", "_key", "doc_id").drop("_key"))
+
+
+def _queued(docs: DataFrame, doc_id: str, text: str, source: str, weights, share: float, most: int,
+            *more: str) -> DataFrame:
+    """``mix`` in no order, with the shuffle key and the columns ``more`` of ``docs``, by which ties are queued."""
+    rows = materialize(sized(docs, doc_id, text, source, *more), "sized")
     targets = source_targets(rows, weights, share, most)
     # null sources join and group like any other under a key that is never null
     rows = rows.withColumn("_source", F.coalesce(F.concat(F.lit("="), "source"), F.lit("null")))
@@ -82,7 +89,7 @@ def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str
     earlier = Window.partitionBy("_source").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     bases = (blocks.withColumn("_base", F.coalesce(F.sum("_sum").over(earlier), F.lit(0)))
              .join(targets, "_source").drop("_sum"))
-    within = (Window.partitionBy("_source", "_block").orderBy("_key", "doc_id", "size")
+    within = (Window.partitionBy("_source", "_block").orderBy("_key", "doc_id", "size", *more)
               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     queued = rows.withColumn("_upto", F.sum("size").over(within)).join(bases, ["_source", "_block"])
     before = F.col("_base") + F.col("_upto") - F.col("size")
@@ -90,27 +97,27 @@ def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str
     taken = sum((F.greatest(F.lit(0), F.least(F.col("size"), quota - before - copy * F.col("source_size")))
                  for copy in range(1, most)), F.greatest(F.lit(0), F.least(F.col("size"), quota - before)))
     finish = F.when(F.col("target") > 0, (before + F.col("size")) / F.col("target")).otherwise(F.lit(0.0))
-    return (queued.select("doc_id", "size", "source_size", "target", taken.cast("long").alias("taken"),
-                          finish.alias("finish_time"), "_key")
-            .orderBy("finish_time", "_key", "doc_id").drop("_key"))
+    return queued.select("doc_id", "size", "source_size", "target", taken.cast("long").alias("taken"),
+                         finish.alias("finish_time"), "_key", *more)
 
 
 def mixed_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source",
                     weights=WEIGHTS, share: float = SHARE, most: int = MOST) -> DataFrame:
     """The mix as documents with the columns of ``docs``: a row for each copy that is taken.
 
-    A copy that the budget cuts holds its first words, joined by spaces.  Ids must be unique.
+    A copy that the budget cuts holds its first words, joined by spaces.  Rows that repeat an id,
+    or have none, are rows of their own, each with its own copies.
     """
-    plan = mix(docs, doc_id, text, source, weights, share, most)
-    plan = plan.filter("taken > 0").select(F.col("doc_id").alias("_id"), "size", "taken")
-    copies = plan.select("_id", F.explode(F.sequence(F.lit(0), F.expr("(taken - 1) div size"))).alias("_copy"),
+    inner = own_rows(docs)
+    renamed = [c for c in inner.columns if c != "_row"]
+    body, key, origin = (renamed[docs.columns.index(c)] for c in (text, doc_id, source))
+    plan = _queued(inner, key, body, origin, weights, share, most, "_row")
+    plan = plan.filter("taken > 0").select("_row", "size", "taken")
+    copies = plan.select("_row", F.explode(F.sequence(F.lit(0), F.expr("(taken - 1) div size"))).alias("_copy"),
                          "size", "taken")
-    copies = copies.select("_id", F.least(F.col("size"), F.col("taken") - F.col("_copy") * F.col("size")).alias("_take"),
+    copies = copies.select("_row", F.least(F.col("size"), F.col("taken") - F.col("_copy") * F.col("size")).alias("_take"),
                            F.col("size").alias("_size"))
-    renamed = [f"c{i}" for i in range(len(docs.columns))]
-    inner = docs.toDF(*renamed)
-    body, key = renamed[docs.columns.index(text)], renamed[docs.columns.index(doc_id)]
-    joined = inner.join(copies, inner[key].cast("long").eqNullSafe(copies["_id"]))
+    joined = inner.join(copies, "_row")
     cut = F.array_join(F.slice(F.regexp_extract_all(F.col(body), F.lit(WORD), F.lit(0)), F.lit(1),
                                F.col("_take").cast("int")), " ")
     joined = joined.withColumn(body, F.when(F.col("_take") < F.col("_size"), cut).otherwise(F.col(body)))

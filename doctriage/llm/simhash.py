@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from .common import NO_ID, column, semi_join, text_slices
+from .common import NO_ID, column, kept_rows, own_rows, text_slices
 from .components import components
 
 SHINGLE = 3
@@ -49,7 +49,8 @@ def _fingerprints(shingle: int):
     def run(batches):
         for rows, texts in text_slices(batches):
             found = np.array([fingerprint(t, shingle) for t in texts.to_pylist()], np.uint64)
-            yield pa.RecordBatch.from_arrays([rows.column(0), pa.array(found.view(np.int64))], ["doc_id", "_fp"])
+            yield pa.RecordBatch.from_arrays([*rows.columns[:-1], pa.array(found.view(np.int64))],
+                                             [*rows.schema.names[:-1], "_fp"])
     return run
 
 
@@ -191,8 +192,15 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX
     """
     if not 0 <= max_bits <= 2:
         raise ValueError("max_bits must be 0, 1 or 2")
-    rows = docs.select(column(docs, doc_id).cast("long").alias("doc_id"), column(docs, text).cast("string").alias("text"))
-    marked = materialize(rows.mapInArrow(_fingerprints(shingle), "doc_id long, _fp long"), "fingerprints")
+    return _linked(docs, shingle, max_bits, doc_id, text).select(
+        "doc_id", F.lower(F.lpad(F.hex("_fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def _linked(docs: DataFrame, shingle: int, max_bits: int, doc_id: str, text: str, *more: str) -> DataFrame:
+    """doc_id, _fp, component_id, _root (the component's own number) and the columns ``more`` (long) of ``docs``."""
+    rows = docs.select(column(docs, doc_id).cast("long").alias("doc_id"), *more, column(docs, text).cast("string").alias("text"))
+    schema = ", ".join(f"{c} long" for c in ("doc_id", *more, "_fp"))
+    marked = materialize(rows.mapInArrow(_fingerprints(shingle), schema), "fingerprints")
     distinct = materialize(marked.groupBy("_fp").agg(F.min(F.coalesce("doc_id", F.lit(NO_ID))).alias("_first")), "distinct")
     spread = distinct.select("_fp").mapInArrow(_replicate, "anchor long, _fp long")
     met = spread.repartition("anchor").sortWithinPartitions("anchor", "_fp")
@@ -200,14 +208,21 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX
     rooted = (distinct.join(linked, distinct["_fp"] == linked["node"], "left")
               .select("_fp", "_first", F.coalesce("root", "_fp").alias("_root")))
     least = rooted.groupBy("_root").agg(F.min("_first").alias("_least"))
-    classes = rooted.join(least, "_root").select("_fp", F.nullif(F.col("_least"), F.lit(NO_ID)).alias("component_id"))
-    return marked.join(classes, "_fp").select(
-        "doc_id", F.lower(F.lpad(F.hex("_fp"), 16, "0")).alias("fingerprint"), "component_id")
+    classes = rooted.join(least, "_root").select("_fp", "_root", F.nullif(F.col("_least"), F.lit(NO_ID)).alias("component_id"))
+    return marked.join(classes, "_fp")
 
 
 def keep_one(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS,
              doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of ``docs`` with the smallest id of each component, with all their columns."""
-    found = near_duplicates(docs, shingle, max_bits, doc_id, text)
-    kept = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_id")).distinct()
-    return semi_join(docs, kept, doc_id)
+    """The row of ``docs`` with the smallest id of each component, with all its columns.
+
+    Of rows that repeat that id, or where none has an id, the first stays.
+    """
+    if not 0 <= max_bits <= 2:
+        raise ValueError("max_bits must be 0, 1 or 2")
+    stored = own_rows(docs)
+    name = {c: f"c{i}" for i, c in enumerate(docs.columns)}
+    found = _linked(stored, shingle, max_bits, name[doc_id], name[text], "_row")
+    kept = (found.filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
+            .groupBy("_root").agg(F.min("_row").alias("_row")).select("_row"))
+    return kept_rows(stored, kept, docs)
