@@ -15,7 +15,7 @@ from doctriage.session import materialize, ship_package
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 6: documents whose language is not found, or with a score under 0.5, go."""
+    """Operator 6: documents for which no language is found go; a mixture of languages stays."""
     ship_package(spark)
     return language.keep_identified(docs, language.fit(docs))
 

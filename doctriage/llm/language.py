@@ -25,7 +25,6 @@ SMOOTHING = 0.1
 ROUNDS = 12             # of expectation-maximisation over all languages
 REFINE = 5              # after a language has left
 HELD_OUT = 2            # documents with this crc32(doc_id) mod 4 are never learned from
-MIN_SCORE = 0.5         # of documents that a filter keeps
 
 
 @dataclass
@@ -173,10 +172,11 @@ def identify(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str =
     return rows.mapInArrow(run, "doc_id long, held_out boolean, lang_pred string, score double, langs array<string>")
 
 
-def keep_identified(docs: DataFrame, model: Model, min_score: float = MIN_SCORE, text: str = "text") -> DataFrame:
-    """The rows of ``docs`` whose language is found with that score or more, all columns as they are.
+def keep_identified(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
+    """The rows of ``docs`` for which a set of languages is found, all columns as they are.
 
-    Rows are filtered where they lie: nothing is shuffled, ids need not be unique.
+    The selected set accounts for the whole text, so no share of a single language is asked for: a
+    text in three languages stays though none has half of it.  Rows are filtered where they lie: nothing is shuffled, ids need not be unique.
     """
     place = docs.columns.index(text)
 
@@ -184,7 +184,6 @@ def keep_identified(docs: DataFrame, model: Model, min_score: float = MIN_SCORE,
         for batch in batches:
             named = batch.rename_columns([f"c{i}" for i in range(batch.num_columns)])
             for rows, texts in text_slices([named], f"c{place}"):
-                names, score, _ = _predict(model, texts)
-                keep = pa.array([n != UNKNOWN and s >= min_score for n, s in zip(names, score)], pa.bool_())
+                keep = pa.array([len(s) > 0 for s in _predict(model, texts)[2]], pa.bool_())
                 yield rows.filter(keep).rename_columns(batch.schema.names)
     return docs.mapInArrow(run, docs.schema)

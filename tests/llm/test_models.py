@@ -50,6 +50,18 @@ def test_mixture_finds_both_languages(documents, model):
     assert abs(share[2][langs == "en"][0] - words) < 0.1
 
 
+def test_filter_keeps_mixtures_without_a_majority(spark, documents, model):
+    pure = language.identify(documents.filter("length(text) between 2000 and 4000"), model).filter("size(langs) = 1")
+    by = {r.lang_pred: r.text.split() for r in pure.join(documents, "doc_id").collect()}
+    mixed = " ".join(w for lang, n in (("en", 80), ("fr", 70), ("de", 50)) for w in by[lang][:n])
+    docs = spark.createDataFrame([(1, mixed), (2, " ".join(by["en"])), (3, "12 -- 34 ..."), (4, None), (None, mixed)],
+                                 "doc_id long, text string")
+    found = {r.doc_id: r for r in language.identify(docs, model).collect()}
+    assert {"en", "fr", "de"} <= set(found[1].langs) and found[1].score < 0.5
+    kept = language.keep_identified(docs, model)
+    assert kept.dtypes == docs.dtypes and sorted(str(r.doc_id) for r in kept.collect()) == ["1", "2", "None"]
+
+
 def test_expectation_maximisation_reaches_the_likeliest_mixture():
     rng = np.random.default_rng(5)
     like = rng.random((60, 2)).astype(np.float32)
