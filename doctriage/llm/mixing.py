@@ -2,8 +2,10 @@
 
 Each source's documents are shuffled (by a hash of the id) and queued, copy after copy.  A
 document's virtual finish time is its source's cumulative tokens divided by the source's
-target; the queues are merged by a global range sort on it and cut where the budget is used
-up, at virtual time 1.  The documents in progress at the cut give the words before it.
+target.  Merged by that time, the queues would be cut where the budget is used up, at virtual
+time 1, and the documents in progress there give the words before the cut.  All sources reach
+time 1 together, so the cut has a closed form, and no merge is made to find it: of each source
+the first floor(target) words of its own queue.  The sort of ``mix`` orders its result only.
 """
 
 from __future__ import annotations

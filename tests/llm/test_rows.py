@@ -81,6 +81,28 @@ def test_mix_against_a_plain_queue(frame, odd_rows):
     assert sorted(map(str, got)) == sorted(map(str, again))
 
 
+def test_closed_form_is_the_merge_cut_at_time_one(frame):
+    """Copies of all sources merged by virtual finish time, cut at 1, against what each row gives."""
+    rows = [(i, "w " * (1 + i * 11 % 37), "en", ["a", "b", "c", None][i * i % 4 or i % 3]) for i in range(150)]
+    got = {r.doc_id: r for r in mixing.mix(frame(rows)).collect()}
+    queues, copies = defaultdict(list), []
+    for d, _, _, s in sorted(rows, key=lambda r: hashlib.md5(f"mix:{r[0]}".encode()).hexdigest()):
+        queues[s].append(d)
+    for s, queue in queues.items():
+        done = 0
+        for d in queue * 2:
+            done += got[d].size
+            copies.append((done / got[d].target, d, s, done - got[d].size))
+    taken, progress = defaultdict(int), set()
+    for finish, d, s, before in sorted(copies, key=lambda c: c[0]):
+        if finish <= 1:
+            taken[d] += got[d].size
+        elif s not in progress:
+            progress.add(s)
+            taken[d] += math.floor(got[d].target) - before
+    assert {d: r.taken for d, r in got.items()} == {d: taken[d] for d in got}
+
+
 def test_mix_has_no_python_stage(frame, odd_rows):
     plan = mixing.mix(frame(odd_rows))._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
