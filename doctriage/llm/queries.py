@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import ship_package
-from . import exact_dedup, language, mixing, packing, repetition, sharding, simhash, suffix_dedup, token_files, toxicity
+from . import exact_dedup, language, mixing, packing, repetition, sharding, simhash, suffix_dedup, token_files, toxicity, whitening
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -81,3 +81,8 @@ def op9(spark, d):
 @_register("op10_suffix_array_dedup")
 def op10(spark, d):
     return suffix_dedup.remove_repeats(documents(spark, d))
+
+
+@_register("op12_embedding_whitening")
+def op12(spark, d):
+    return whitening.whiten(spark.read.parquet(f"{d}/embeddings.parquet"))
