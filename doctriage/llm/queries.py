@@ -8,7 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import ship_package
-from . import exact_dedup, language, mixing, packing, repetition, sharding, simhash, suffix_dedup, token_files, toxicity, whitening
+from . import (backoff, exact_dedup, language, mixing, packing, repetition, sharding, simhash, suffix_dedup, token_files,
+               toxicity, whitening)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -86,3 +87,8 @@ def op10(spark, d):
 @_register("op12_embedding_whitening")
 def op12(spark, d):
     return whitening.whiten(spark.read.parquet(f"{d}/embeddings.parquet"))
+
+
+@_register("op13_lm_scoring")
+def op13(spark, d):
+    return backoff.score(documents(spark, d))
