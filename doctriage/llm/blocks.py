@@ -54,6 +54,32 @@ def expand_words(blob: bytes) -> list[str]:
     return pa.decompress(blob[8:], n, _CODEC, asbytes=True).decode().split("\n") if n else []
 
 
+def distinct_places(a: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct values of ``a`` (not negative), ascending, and each one's place among them.
+
+    One plain sort of numbers whose low bits are the place in ``a``: several times as fast as a sort of places.
+    """
+    n = max(1, len(a)).bit_length()
+    low = np.uint64((1 << n) - 1)
+    values = a.astype(np.uint64)
+    if int(values.max(initial=0)).bit_length() + n <= 64:
+        packed = (values << np.uint64(n)) | np.arange(len(a), dtype=np.uint64)
+        packed.sort()
+        by = (packed & low).astype(np.int64)
+    else:  # by the leading bits, which are almost never equal in two different values
+        packed = (values & ~low) | np.arange(len(a), dtype=np.uint64)
+        packed.sort()
+        by = (packed & low).astype(np.int64)
+        if (values[by][1:] < values[by][:-1]).any():
+            by = np.argsort(values)
+    ordered = a[by]
+    new = np.ones(len(a), bool)
+    new[1:] = ordered[1:] != ordered[:-1]
+    place = np.empty(len(a), np.int64)
+    place[by] = np.cumsum(new) - 1
+    return ordered[new], place
+
+
 def mixed(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """The key of what has key ``a`` with one more word of key ``b``."""
     h = a * np.uint64(0x9E3779B97F4A7C15) + b
@@ -97,8 +123,7 @@ def answers(questions: DataFrame, reply: Callable[[np.ndarray, np.ndarray], np.n
         ends = np.cumsum([len(k) for k in keys])
         every = np.concatenate(keys)
         del keys
-        distinct = np.unique(every)
-        place = np.searchsorted(distinct, every)
+        distinct, place = distinct_places(every)
         del every
         counts = np.concatenate([expand(c.as_py(), "<i8") for c in table.column("counts")])
         total = np.bincount(place, weights=counts, minlength=len(distinct)).astype(np.int64)

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import ship_package
-from . import (backoff, exact_dedup, language, mixing, packing, repetition, sharding, simhash, suffix_dedup, token_files,
+from . import (backoff, exact_dedup, language, mixing, packing, phrases, repetition, sharding, simhash, suffix_dedup, token_files,
                toxicity, whitening)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -84,6 +84,11 @@ def op10(spark, d):
     return suffix_dedup.remove_repeats(documents(spark, d))
 
 
+@_register("op11_phrase_collocations", phrases.ORACLE)
+def op11(spark, d):
+    return phrases.collocations(documents(spark, d))
+
+
 @_register("op12_embedding_whitening")
 def op12(spark, d):
     return whitening.whiten(spark.read.parquet(f"{d}/embeddings.parquet"))
