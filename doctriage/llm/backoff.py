@@ -33,7 +33,8 @@ ORDER = 2            # words of an n-gram at most
 HELD_OUT = 2         # documents with this crc32(doc_id) mod 7 are never learned from
 END = 0              # code of the end of a text; words have codes from 1
 _END_KEY = 0x5851F42D4C957F2D
-_WALK = 4096         # tokens of a piece of a long text, walked beside others
+KEY_BITS = 56        # of an n-gram's key
+_WALK = 512          # tokens of a piece of a long text, walked beside others
 _BLOCK = ("block long, tokens long, doc_ids array<long>, held_out array<boolean>, sizes array<long>, "
           "codes binary, words binary")
 
@@ -79,7 +80,7 @@ class Level:
 class Block:
     """The tokens of a stored block, and its n-grams of 1 to ``order`` words."""
 
-    def __init__(self, row: dict, order: int, counted: bool):
+    def __init__(self, row: dict, order: int, counted: bool = False, suffixes: bool = True):
         self.tokens = B.expand(row["codes"], "<u4").astype(np.int64)
         self.sizes = np.array(row["sizes"], np.int64)
         words = B.expand_words(row["words"])
@@ -96,21 +97,24 @@ class Block:
         for m in range(2, order + 1):
             here = np.flatnonzero(inside >= m - 1)
             pair = at[here - 1] * n + self.tokens[here]
-            distinct = np.unique(pair)
-            place = np.searchsorted(distinct, pair)
+            if m == order and not (counted or suffixes):
+                distinct, place = np.sort(pair), None
+                distinct = distinct[np.diff(distinct, prepend=-1) != 0]
+            else:
+                distinct, place = B.distinct_places(pair)
             before, word = distinct // n, distinct % n
             suffix = np.zeros(len(distinct), np.int64)
-            suffix[place] = at[here]
+            if place is not None:
+                suffix[place] = at[here]
             own = np.bincount(place[learned[here]], minlength=len(distinct)) if counted else np.zeros(len(distinct), np.int64)
             self.levels.append(Level(B.mixed(self.levels[-1].keys[before], base[word]), own, before, suffix, word))
-            at = np.full(len(self.tokens), -1, np.int64)
-            at[here] = place
+            if m < order:
+                at = np.full(len(self.tokens), -1, np.int64)
+                at[here] = place
 
     def keys(self) -> tuple[np.ndarray, np.ndarray]:
         """All keys, ascending and distinct, and the place of each n-gram's key among them, level after level."""
-        every = np.concatenate([x.keys for x in self.levels])
-        distinct = np.unique(every)
-        return distinct, np.searchsorted(distinct, every)
+        return B.distinct_places(np.concatenate([x.keys for x in self.levels]) >> np.uint64(64 - KEY_BITS))
 
     def learn(self, replies) -> list[tuple[np.ndarray, np.ndarray]]:
         """Corpus counts, and whether this block speaks for the n-gram, by level."""
@@ -126,11 +130,10 @@ def _classes(counts: np.ndarray) -> np.ndarray:
 def _asker(order: int, buckets: int):
     def run(batches):
         for row in B.rows(batches):
-            b = Block(row, order, True)
+            b = Block(row, order, counted=True, suffixes=False)
             keys, place = b.keys()
-            counts = np.zeros(len(keys), np.int64)
-            np.add.at(counts, place, np.concatenate([x.counts for x in b.levels]))
-            yield from B.ask(row["block"], keys, counts, buckets)
+            counts = np.bincount(place, weights=np.concatenate([x.counts for x in b.levels]), minlength=len(keys))
+            yield from B.ask(row["block"], keys, counts.astype(np.int64), buckets, KEY_BITS)
     return run
 
 
@@ -143,7 +146,7 @@ def _statistics(order: int):
     def run(batches):
         sums: dict[tuple[int, int], np.ndarray] = {}
         for row in B.rows(batches):
-            b = Block(row, order, False)
+            b = Block(row, order, suffixes=False)
             known = b.learn(row["replies"])
             for m, (x, (c, first)) in enumerate(zip(b.levels, known), 1):
                 own = first & (c > 0)
@@ -268,7 +271,7 @@ class Automaton:
 def _scorer(order: int, model: Smoothing):
     def run(batches):
         for row in B.rows(batches):
-            b = Block(row, order, False)
+            b = Block(row, order)
             counts = [c for c, _ in b.learn(row["replies"])]
             of = counts[0][b.tokens]
             starts = np.cumsum(b.sizes) - b.sizes
@@ -289,7 +292,7 @@ def score(docs: DataFrame, order: int = ORDER, doc_id: str = "doc_id", text: str
     of the text and its end, ``base_score`` that of single words with one added to each count.  A
     null or empty text is its end alone.  Rows that repeat an id, or have none, are rows like
     others (no id counts as training).  Without training rows every token is unseen and has
-    probability 1.  An empty table gives no rows.  N-grams are told apart by 64-bit keys.
+    probability 1.  An empty table gives no rows.  N-grams are told apart by 56-bit keys.
     """
     key = column(docs, doc_id)
     rows = docs.select(key.cast("long").alias("doc_id"), held_out(key).alias("held_out"),
