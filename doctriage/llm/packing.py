@@ -27,7 +27,11 @@ SEQUENCE = 2048
 
 def _cutter(vocabulary: str, end_id: int, sequence: int):
     def cut(batches):
-        encode, end = tokens.encoder(vocabulary), np.array([end_id], "<u4").tobytes()
+        with tokens.encoder(vocabulary) as encode:
+            yield from encoded(batches, encode)
+
+    def encoded(batches, encode):
+        end = np.array([end_id], "<u4").tobytes()
         for rows, texts in text_slices(batches):
             out: dict[str, list] = {k: [] for k in ("doc_id", "start", "length", "ids_crc32", "doc_tokens")}
             for doc, ids in zip(rows.column(0).to_pylist(), encode(texts.to_pylist())):

@@ -37,9 +37,12 @@ def _files(folder: str) -> tuple[pafs.FileSystem, str]:
 
 def _writer(folder: str, vocabulary: str, end_id: int):
     def write(batches):
+        with tokens.encoder(vocabulary) as encode:
+            yield from encoded(batches, encode)
+
+    def encoded(batches, encode):
         from pyspark import TaskContext
 
-        encode = tokens.encoder(vocabulary)
         dtype = "<u2" if encode.size <= 1 << 16 else "<u4"
         end, part = np.array([end_id], dtype).tobytes(), TaskContext.get().partitionId()
         fs, at = _files(folder)
@@ -70,13 +73,15 @@ def write_token_files(docs: DataFrame, folder: str | None = None, vocabulary: st
     """Write the files of ``docs`` and return their folder (by default a new one in the shared scratch folder).
 
     A null or empty text is its end id alone.  Null ids come first and are read as null; rows
-    that repeat an id are all written.  An empty table gives an index without rows.
+    that repeat an id are all written, in the order of a hash of their texts.  An empty table gives an index without rows.
     """
     spark = docs.sparkSession
     folder = folder or scratch_dir(spark, "token-files")
     rows = docs.select(F.coalesce(column(docs, doc_id).cast("long"), F.lit(NULL_ID)).alias("doc_id"),
                        column(docs, text).cast("string").alias("text"))
-    ranged = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id")
+    # rows of one id (all that have none) are spread and ordered by their texts; equal rows are alike
+    order = [F.col("doc_id"), F.xxhash64("text"), F.length("text")]
+    ranged = rows.repartitionByRange(*order).sortWithinPartitions(*order)
     parts = ranged.mapInArrow(_writer(folder, vocabulary, end_id), "part long, n_docs long, n_tokens long, width int")
     parts.write.parquet(f"{folder}/parts")
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # a row a part

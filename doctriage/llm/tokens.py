@@ -4,20 +4,25 @@ A text is cut before each white-space run that follows other characters, and bet
 or digit and a full stop or comma at the end of such a run.  Both vocabularies pre-split texts there, so the ids
 of a text are the ids of its pieces one after the other, and each task encodes a frequent
 piece once.  Texts with white space beyond ``[\\x20\\x09-\\x0D]`` (where the libraries' rules
-differ) are encoded in one piece.
+differ), and texts that may hold the string of an added token, are encoded in one piece.
 """
 
 from __future__ import annotations
 
+import gc
+import os
 import re
+from contextlib import contextmanager
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 
 WORD_BPE = "word_bpe_49k.json"
 BYTE_BPE = "byte_bpe_50k.json"
 END_ID = 1
-CACHED = 600_000  # segments, and pieces of segments, that a task remembers; others are encoded again
+CACHED = 32 << 20  # bytes, about, of segments, and as many of pieces of segments, that a task remembers; others are encoded again
+_ENTRY = 160       # bytes that a remembered one takes besides its characters and ids
 
 _SEGMENT = re.compile(r"[ \t-\r]*[^ \t-\r]+|[ \t-\r]+\Z")
 _SPACES = " \t\n\v\f\r"
@@ -32,7 +37,8 @@ class Encoder:
         from tokenizers import Tokenizer
 
         t = self._tokenizer = Tokenizer.from_file(public_tokenizers.path(vocabulary))
-        t.encode_special_tokens = True  # their strings in a text are ordinary text
+        # an added token's string in a text gives its id; these begin it, whatever the case of the rest
+        self._marks = {x.content[:2] for x in t.get_added_tokens_decoder().values()}
         self.size = t.get_vocab_size()
         self._drops_space = vocabulary == WORD_BPE
         names = [t.id_to_token(i) or "" for i in range(self.size)]
@@ -40,7 +46,7 @@ class Encoder:
         self._bytes = np.array([len(x) for x in names])  # byte-level: a character a byte
         self._segments_known: dict[str, bytes] = {}
         self._pieces_known: dict[str, bytes] = {}
-        self._limit = cached
+        self._room = {id(self._segments_known): cached, id(self._pieces_known): cached}
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         found = self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)
@@ -83,8 +89,16 @@ class Encoder:
         """Adds all that is wanted to ``cache``; what goes beyond the limit is to be forgotten after use."""
         missing = list(wanted.difference(cache))
         if missing:
-            cache.update(zip(missing, encode(missing)))
-        return missing if len(cache) > self._limit else []
+            found = encode(missing)
+            cache.update(zip(missing, found))
+            taken = sum(map(len, missing)) + sum(map(len, found)) + _ENTRY * len(missing)
+            if taken > self._room[id(cache)]:
+                return missing
+            self._room[id(cache)] -= taken
+        return []
+
+    def _whole(self, text: str) -> bool:
+        return bool(_ODD_SPACE.search(text)) or any(m in text for m in self._marks)
 
     def _segments(self, text: str) -> list[str]:
         if not self._drops_space:
@@ -96,7 +110,7 @@ class Encoder:
             return text.split()
 
     def __call__(self, texts: list[str]) -> list[bytes]:
-        odd = [bool(_ODD_SPACE.search(t)) for t in texts]
+        odd = [self._whole(t) for t in texts]
         parts = [[] if o else self._segments(t) for t, o in zip(texts, odd)]
         known = self._segments_known
         forget = self._learn(known, set().union(*parts), self._encode_segments)
@@ -107,14 +121,14 @@ class Encoder:
         return found
 
 
-_ENCODERS: dict[str, Encoder] = {}
-
-
-def encoder(vocabulary: str) -> Encoder:
-    """The process's encoder of that vocabulary: one task after the other uses it again."""
-    import os
-
+@contextmanager
+def encoder(vocabulary: str):
+    """An encoder for one task; what it remembers goes with it, so a worker that lives on keeps nothing."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs the tasks side by side
-    if vocabulary not in _ENCODERS:
-        _ENCODERS[vocabulary] = Encoder(vocabulary)
-    return _ENCODERS[vocabulary]
+    held = [Encoder(vocabulary)]
+    try:
+        yield held[0]
+    finally:
+        held.clear()
+        gc.collect()
+        pa.default_memory_pool().release_unused()

@@ -16,7 +16,6 @@ def whole(vocabulary, texts):
     from tokenizers import Tokenizer
 
     t = Tokenizer.from_file(public_tokenizers.path(vocabulary))
-    t.encode_special_tokens = True
     return [np.array(x.ids, "<u4").tobytes() for x in t.encode_batch(texts, add_special_tokens=False)]
 
 
@@ -26,12 +25,40 @@ def test_encoder_is_the_library(vocabulary):
 
     @settings(max_examples=40, deadline=None)
     @given(st.lists(st.lists(st.sampled_from(
-        list("abcXYZ  \t\n\r.,'!?0129-_<|>éÉßŸİΣ字\x1c\x85\xa0  　") + ["<|endoftext|>", "it's", "the "]), max_size=40).map("".join), max_size=4))
+        list("abcXYZ  \t\n\r.,'!?0129-_<|>éÉßŸİΣ字\x1c\x85\xa0  　") + ["<|endoftext|>", "<|startoftext|>", "<|EndOfText|>", "it's", "the "]), max_size=40).map("".join), max_size=4))
     def check(texts):
         assert encode(texts) == whole(vocabulary, texts)
     check()
 
 
+@pytest.mark.parametrize("vocabulary", [tokens.WORD_BPE, tokens.BYTE_BPE])
+def test_added_tokens_as_the_library_has_them(vocabulary):
+    texts = ["a <|endoftext|> b", "<|endoftext|>", "x<|startoftext|>y <|endoftext|", "a <| b", "plain text"]
+    assert tokens.Encoder(vocabulary)(texts) == whole(vocabulary, texts)
+
+
+def test_memory_of_an_encoder_is_bounded_and_let_go():
+    with tokens.encoder(tokens.BYTE_BPE) as encode:
+        for i in range(8):
+            encode([" ".join(f"w{i}x{j}q" for j in range(60_000))])
+        for known in (encode._segments_known, encode._pieces_known):
+            assert sum(len(k) + len(v) + tokens._ENTRY for k, v in known.items()) <= tokens.CACHED
+        held = encode
+    import sys
+    assert sys.getrefcount(held) <= 3
+
+
+def test_rows_of_one_id_are_spread(spark, frame):
+    rows = [(None if i % 3 else i, f"text {i} of many") for i in range(3000)]
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        folder = token_files.write_token_files(frame(rows))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    parts = [r.n_docs for r in spark.read.parquet(f"{folder}/index").collect()]
+    assert sum(parts) == 3000 and max(parts) <= 3 * 3000 / 8
+
+
 def test_token_files_round_trip(spark, frame, odd_rows):
     folder = token_files.write_token_files(frame(odd_rows))
     got = sorted(token_files.read_token_files(spark, folder).collect(), key=lambda r: r.start)
