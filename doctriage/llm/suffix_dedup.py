@@ -106,7 +106,7 @@ def _unseal(blob: bytes, *kinds: str) -> list[np.ndarray]:
 def _members(text: np.ndarray, doc: np.ndarray, key: np.ndarray) -> list[np.ndarray]:
     """(id steps, keys, which entries begin another text) of entries in order of their text."""
     new = np.r_[True, text[1:] != text[:-1]] if len(text) else np.zeros(0, bool)
-    return [np.diff(doc[text[new]], prepend=0).astype("<i8"), key[text[new]].astype("<u4"), np.packbits(new)]
+    return [np.diff(doc[text[new]], prepend=0).astype("<i8"), key[text[new]].astype("<i8"), np.packbits(new)]
 
 
 def _entries(steps: np.ndarray, keys: np.ndarray, new: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -248,12 +248,12 @@ def _repeated_anchors(hot: int, buckets: int):
     def run(batches):
         got = [[], [], [], [], []]
         for blob in _blobs_of(batches):
-            steps, keys, new, repeats, short, contexts = _unseal(blob, "<i8", "<u4", "u1", "u1", "u1", "<u4")
+            steps, keys, new, repeats, short, contexts = _unseal(blob, "<i8", "<i8", "u1", "u1", "u1", "<u4")
             n = len(short) // HASH_BYTES
             wide = np.zeros((n, 8), np.uint8)
             wide[:, :HASH_BYTES] = short.reshape(n, HASH_BYTES)
             doc, key = _entries(steps, keys, new, n)
-            for x, v in zip(got, (doc, key.astype("<u4"), wide.view("<u8").ravel(),
+            for x, v in zip(got, (doc, key, wide.view("<u8").ravel(),
                                   np.unpackbits(repeats, count=n).astype(bool), contexts)):
                 x.append(v)
         if not got[0]:
@@ -284,20 +284,20 @@ def _deal(doc: np.ndarray, key: np.ndarray, values: np.ndarray, buckets: int):
     to = ((doc.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + key.astype(np.uint64)) >> np.uint64(20)) % np.uint64(buckets)
     for bucket, at in _by_value(to.astype(np.int64)):
         yield pa.RecordBatch.from_arrays([pa.array([bucket], pa.int64()), pa.array([_seal(
-            doc[at].astype("<i8"), key[at].astype("<u4"), np.ascontiguousarray(values[at]))], pa.binary())],
+            doc[at].astype("<i8"), key[at].astype("<i8"), np.ascontiguousarray(values[at]))], pa.binary())],
             ["bucket", "blob"])
 
 
 def _merge(name: str, kind: str, width: int):
     """One row a document: doc_id, _key, its values as bytes."""
     def run(batches):
-        got = [_unseal(x, "<i8", "<u4", kind) for x in _blobs_of(batches)]
+        got = [_unseal(x, "<i8", "<i8", kind) for x in _blobs_of(batches)]
         if not got:
             return
         doc, key, values = _joined([list(x) for x in zip(*got)])
         values = values.reshape(-1, width)
         order = np.lexsort((key, doc))
-        doc, key, values = doc[order], key[order].astype(np.int64), values[order]
+        doc, key, values = doc[order], key[order], values[order]
         cuts = np.flatnonzero(np.r_[True, (doc[1:] != doc[:-1]) | (key[1:] != key[:-1])])
         stops = np.r_[cuts[1:], len(doc)]
         raw, size = values.tobytes(), values.itemsize * width
@@ -428,7 +428,7 @@ def _find_spans(batches, buckets: int):
     found = [np.zeros((0, 4), np.int64)]
     for blob in _blobs_of(batches):
         steps, keys, new, start, size, offset, data, *sure = _unseal(
-            blob, "<i8", "<u4", "u1", "<i4", "u1", "u1", "u1", "<i8", "<u4", "u1", "<i4", "<i4")
+            blob, "<i8", "<i8", "u1", "<i4", "u1", "u1", "u1", "<i8", "<i8", "u1", "<i4", "<i4")
         for x, v in zip(got, (*_entries(steps, keys, new, len(start)), start, size, offset, data)):
             x.append(v)
         steps, keys, new, start, size = sure
@@ -513,12 +513,12 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
     Texts are UTF-8 bytes; a null text is empty.  A null id counts as larger than all others.
     Rows that repeat an id are judged against smaller ids only, each by its own text
-    (told apart by its crc32).  Texts
+    (told apart by a 64-bit hash of it).  Texts
     under 50 bytes lose nothing.  Cuts may fall inside a character, so what is left is bytes.
     """
     body = F.coalesce(column(docs, text).cast("string"), F.lit(""))
     rows = docs.select(F.coalesce(column(docs, doc_id).cast("long"), F.lit(NO_ID)).alias("doc_id"),
-                       F.crc32(body).alias("_key"), body.cast("binary").alias("text"))
+                       F.xxhash64(body).alias("_key"), body.cast("binary").alias("text"))
     total = docs.agg(F.sum(F.octet_length(body))).first()[0] or 0
     # an anchor for about 14 bytes of text, 12 bytes each; its context, if it repeats, has about 63
     buckets = max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), int(total // BUCKET_BYTES) + 1)

@@ -239,3 +239,19 @@ def test_repeats_of_nothing(frame):
     got = suffix_dedup.remove_repeats(frame([(1, None), (2, ""), (3, "short"), (4, "short")]), with_text=True).collect()
     assert sorted((r.doc_id, r.n_removed, bytes(r.kept_bytes)) for r in got) == [
         (1, 0, b""), (2, 0, b""), (3, 0, b"short"), (4, 0, b"short")]
+
+
+def test_rows_without_an_id_whose_texts_share_a_checksum(frame):
+    import zlib
+
+    seen = {}
+    for i in itertools.count():  # two texts of equal crc32
+        text = f"{i:09d} " + " ".join(f"{(i * 7919 + j * 104729) % 99991:05d}" for j in range(12))
+        other = seen.setdefault(zlib.crc32(text.encode()), text)
+        if other != text:
+            break
+    rows = [(1, text), (None, text), (None, other)]
+    got = {(r.doc_id, r.n_removed) for r in suffix_dedup.remove_repeats(frame(rows)).collect()}
+    n = len(text)
+    shared = max((k for k in range(n) for a in range(n - k + 1) if text[a:a + k] in other), default=0)
+    assert shared < 50 and got == {(1, 0), (None, n), (None, 0)}
