@@ -1,6 +1,6 @@
 """Connected components of an edge table, by large-star / small-star rounds.
 
-Each round is two aggregations and joins on a node; its result is written to the shared
+Each round is two aggregations and joins on a node; their results are written to the shared
 folder, so lineage stays short and lost executors cost one round.  Only two numbers a round
 reach the driver.
 """
@@ -20,13 +20,14 @@ def _state(edges: DataFrame) -> tuple:
 
 def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+    # stored: with an aggregate between a join and its shuffles, a hot node's edges could not be split
+    least = materialize(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "least")
     return both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u != v")
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     down = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-    least = down.groupBy("u").agg(F.min("v").alias("m"))
+    least = materialize(down.groupBy("u").agg(F.min("v").alias("m")), "least")
     rest = down.join(least, "u").filter("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
     return rest.union(least.select("u", F.col("m").alias("v")))
 
@@ -39,7 +40,7 @@ def components(edges: DataFrame) -> DataFrame:
     now = materialize(edges.filter("u != v").distinct(), "edges")
     state = _state(now)
     while state[0]:
-        now = materialize(_small_star(_large_star(now)).distinct(), "edges")
+        now = materialize(_small_star(materialize(_large_star(now), "large-star")).distinct(), "edges")
         after = _state(now)
         if after == state:
             break
