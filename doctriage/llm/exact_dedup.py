@@ -12,6 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import materialize
 from .common import NO_ID, SPACE, column, kept_rows, own_rows
 
 _TWO64 = str(2**64)
@@ -55,6 +56,7 @@ def _judged(docs: DataFrame, doc_id: str, text: str, hash_of: Callable[[Column],
               .agg(F.max("_keep").alias("_keep"), F.max("group_size").alias("group_size"), F.count("*").alias("_n"))
               .withColumn("_keep", F.when(F.col("_n") == 1, F.col("_keep"))
                           .otherwise(F.raise_error(F.lit("two texts share both digests")).cast("long"))))
+    labels = materialize(labels, "labels")  # so that the join can split a class that holds a third of all rows
     keyed = rows.select("doc_id", hash_of(F.col("_norm")).alias("_h"), F.sha2("_norm", 256).alias("_sha"),
                         F.length("_raw").alias("_length"), *more)
     joined = keyed.join(labels, ["_h", "_sha"])
