@@ -22,16 +22,18 @@ SHARE = 1.5
 MOST = 2
 
 
-def _shuffle_key(doc_id: Column) -> Column:
-    return F.md5(F.concat(F.lit("mix:"), F.coalesce(doc_id.cast("string"), F.lit("null"))))
+def _shuffle_key(doc_id: Column, text: Column) -> Column:
+    """A hash of the id; rows without one are spread by their texts, so they share no block."""
+    own = F.concat(F.lit("null:"), F.coalesce(F.md5(text), F.lit("")))
+    return F.md5(F.concat(F.lit("mix:"), F.coalesce(doc_id.cast("string"), own)))
 
 
 def sized(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", *more: str) -> DataFrame:
     """doc_id, source, size (words) and the shuffle key of each row, and the columns ``more``."""
     size = F.coalesce(F.regexp_count(column(docs, text).cast("string"), F.lit(WORD)), F.lit(0))
-    rows = docs.select(column(docs, doc_id).cast("long").alias("doc_id"),
-                       column(docs, source).cast("string").alias("source"), size.cast("long").alias("size"), *more)
-    return rows.withColumn("_key", _shuffle_key(F.col("doc_id")))
+    key = _shuffle_key(column(docs, doc_id).cast("long"), column(docs, text).cast("string"))
+    return docs.select(column(docs, doc_id).cast("long").alias("doc_id"), column(docs, source).cast("string").alias("source"),
+                       size.cast("long").alias("size"), key.alias("_key"), *more)
 
 
 def source_targets(rows: DataFrame, weights=WEIGHTS, share: float = SHARE, most: int = MOST) -> DataFrame:
@@ -69,7 +71,7 @@ def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str
     (``most`` times its size at most); ``finish_time`` is the virtual finish time of its first
     copy.  A null text has size 0, a null source is a source of its own (last), a source
     without words has target 0 and finish time 0.  Rows with the same id are queued by size.
-    Reruns agree: the shuffle is a hash of the id.
+    Reruns agree: the shuffle is a hash of the id, or of the text of a row without one.
 
     The running sum within a source goes by 4096 blocks of the shuffle key: a source that
     holds a third of all rows is summed by as many tasks, never by one.
