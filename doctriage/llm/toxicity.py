@@ -22,8 +22,7 @@ from pyspark.sql import functions as F
 from ..session import materialize
 from .common import codes_of, column, text_slices, words_of
 
-TRAIN_DOCUMENTS = 8000  # labelled documents that the model is fitted on, by a hash of the id
-VOCABULARY = 256       # features of the model at most
+TRAIN_DOCUMENTS = 8000  # labelled documents that the model is fitted on at most: half of each label, by a hash of the id
 MIN_DOCUMENTS = 5       # in which a feature of the model occurs
 PREFIXES = (4, 5, 6, 7)  # characters
 PER_WORDS = 500         # a feature has two values: log of 1 plus its times, and plus its times in so many words
@@ -102,8 +101,8 @@ def _document_features(batches):
                                          ["feature", "a", "b"])
 
 
-def _vocabulary(sample: DataFrame, toxic: int, clean: int, size: int) -> list[str]:
-    """Features whose log-odds between toxic and clean documents are large and certain."""
+def _vocabulary(sample: DataFrame, toxic: int, clean: int) -> list[str]:
+    """All features whose log-odds between toxic and clean documents of the bounded sample are large and certain."""
     words = (sample.mapInArrow(_document_features, "feature string, a long, b long")
              .groupBy("feature").agg(F.sum("a").alias("a"), F.sum("b").alias("b")))
     a, b = F.col("a"), F.col("b")
@@ -112,13 +111,33 @@ def _vocabulary(sample: DataFrame, toxic: int, clean: int, size: int) -> list[st
     chi2 = (n * F.pow(a * (F.lit(float(clean)) - b) - b * (F.lit(float(toxic)) - a), F.lit(2))
             / (F.lit(max(1.0, float(toxic) * clean)) * (a + b) * F.greatest(F.lit(n) - a - b, F.lit(1.0))))
     found = (words.filter(a + b >= MIN_DOCUMENTS).withColumn("odds", odds).withColumn("chi2", chi2)
-             .filter((F.abs("odds") >= MIN_LOG_ODDS) & (F.col("chi2") >= MIN_CHI2))
-             .orderBy(F.desc("chi2"), "feature").limit(size))
+             .filter((F.abs("odds") >= MIN_LOG_ODDS) & (F.col("chi2") >= MIN_CHI2)))
     return sorted(r["feature"] for r in found.select("feature").collect())
 
 
-def _matrix(sample: DataFrame, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """(document, feature) values and the labels of the bounded sample."""
+@dataclass
+class Sparse:
+    """A matrix as (row, column, value) of its entries."""
+    row: np.ndarray
+    col: np.ndarray
+    value: np.ndarray
+    shape: tuple[int, int]
+
+    def times(self, w: np.ndarray) -> np.ndarray:
+        return np.bincount(self.row, weights=self.value * w[self.col], minlength=self.shape[0])
+
+    def summed(self, by_row: np.ndarray) -> np.ndarray:
+        """Column sums of the rows times their numbers."""
+        return np.bincount(self.col, weights=self.value * by_row[self.row], minlength=self.shape[1])
+
+
+def sparse(x: np.ndarray) -> Sparse:
+    row, col = np.nonzero(x)
+    return Sparse(row, col, x[row, col].astype(float), x.shape)
+
+
+def _matrix(sample: DataFrame, words: list[str]) -> tuple[Sparse, np.ndarray]:
+    """(document, column) values and the labels of the bounded sample."""
     index = {w: i for i, w in enumerate(words)}
 
     def run(batches):
@@ -130,24 +149,29 @@ def _matrix(sample: DataFrame, words: list[str]) -> tuple[np.ndarray, np.ndarray
                 [rows.column(rows.schema.get_field_index("toxic")), pa.array(packed, pa.binary())], ["toxic", "x"])
 
     rows = sample.mapInArrow(run, "toxic int, x binary").collect()
-    x, y = np.zeros((len(rows), 2 * len(words)), np.float32), np.zeros(len(rows), np.int64)
-    for i, r in enumerate(rows):
-        n = len(r["x"]) // 2
-        x[i, np.frombuffer(r["x"][:n], "<i4")] = np.frombuffer(r["x"][n:], "<f4")
-        y[i] = r["toxic"]
-    return x, y
+    half = [len(r["x"]) // 2 for r in rows]
+    col = np.concatenate([np.zeros(0, "<i4"), *[np.frombuffer(r["x"][:n], "<i4") for r, n in zip(rows, half)]])
+    value = np.concatenate([np.zeros(0, "<f4"), *[np.frombuffer(r["x"][n:], "<f4") for r, n in zip(rows, half)]])
+    row = np.repeat(np.arange(len(rows)), np.array(half, int) // 4)
+    return (Sparse(row, col.astype(int), value.astype(float), (len(rows), 2 * len(words))),
+            np.array([r["toxic"] for r in rows], np.int64))
+
 
+def fit_ordinal(x: Sparse, grades: np.ndarray, levels: int = GRADES, steps: int = STEPS,
+                weight: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Weights and ordered thresholds of the cumulative logit model, by gradient steps with momentum.
 
-def fit_ordinal(x: np.ndarray, grades: np.ndarray, levels: int = GRADES, steps: int = STEPS) -> tuple[np.ndarray, np.ndarray]:
-    """Weights and ordered thresholds of the cumulative logit model, by gradient steps with momentum."""
+    ``weight``: how many documents each row stands for, on average 1.
+    """
     n, k = x.shape
+    share = (np.ones(n) if weight is None else weight) / max(1, n)
     above = (grades[:, None] >= np.arange(1, levels + 1)).astype(float)
-    rate = np.clip(above.mean(axis=0), 1e-4, 1 - 1e-4) if n else np.full(levels, 0.5)
+    rate = np.clip(share @ above, 1e-4, 1 - 1e-4) if n else np.full(levels, 0.5)
     w, first, gaps = np.zeros(k), np.log((1 - rate[0]) / rate[0]), np.full(levels - 1, np.log(0.5))
     m = v = np.zeros(k + levels)
     for step in range(1, steps + 1 if n else 1):
         t = first + np.concatenate([[0.0], np.cumsum(np.exp(gaps))])
-        c = 1 / (1 + np.exp(-np.clip((x @ w.astype(x.dtype)).astype(float)[:, None] - t, -60, 60)))  # P(grade >= k)
+        c = 1 / (1 + np.exp(-np.clip(x.times(w)[:, None] - t, -60, 60)))  # P(grade >= k)
         c = np.hstack([np.ones((n, 1)), c, np.zeros((n, 1))])
         row = np.arange(n)
         p = np.maximum(c[row, grades] - c[row, grades + 1], 1e-9)      # P(grade)
@@ -155,9 +179,9 @@ def fit_ordinal(x: np.ndarray, grades: np.ndarray, levels: int = GRADES, steps:
         by_t = np.zeros((n, levels + 2))                               # d(-log p) / d t_k
         by_t[row, grades] += d[row, grades] / p
         by_t[row, grades + 1] -= d[row, grades + 1] / p
-        by_t = by_t[:, 1:-1]
-        g_w = -(by_t.sum(axis=1).astype(x.dtype) @ x) / n + RIDGE * w
-        g_t = by_t.mean(axis=0)
+        by_t = by_t[:, 1:-1] * share[:, None]
+        g_w = -x.summed(by_t.sum(axis=1)) + RIDGE * w
+        g_t = by_t.sum(axis=0)
         g_gap = np.exp(gaps) * np.array([g_t[i:].sum() for i in range(1, levels)])
         g = np.concatenate([g_w, [g_t.sum()], g_gap])
         m, v = 0.9 * m + 0.1 * g, 0.99 * v + 0.01 * g * g
@@ -166,29 +190,43 @@ def fit_ordinal(x: np.ndarray, grades: np.ndarray, levels: int = GRADES, steps:
     return w, first + np.concatenate([[0.0], np.cumsum(np.exp(gaps))])
 
 
-def grades_of(x: np.ndarray, toxic: np.ndarray, levels: int = GRADES) -> np.ndarray:
+def grades_of(x: Sparse, toxic: np.ndarray, levels: int = GRADES) -> np.ndarray:
     """0 for clean; toxic documents in equal parts by how many telling words they hold."""
     if not len(toxic) or not toxic.any() or toxic.all():
         return toxic.astype(np.int64)
-    times = x[:, ::2]
-    telling = times[toxic == 1].mean(axis=0) > times[toxic == 0].mean(axis=0)
-    evidence = np.expm1(times[:, telling]).sum(axis=1)
+    times = x.col % 2 == 0
+    mean = [np.bincount(x.col, weights=x.value * (times & (toxic[x.row] == y)), minlength=x.shape[1]) / (toxic == y).sum() for y in (0, 1)]
+    telling = times & (mean[1] > mean[0])[x.col]
+    evidence = np.bincount(x.row, weights=np.expm1(x.value) * telling, minlength=x.shape[0])
     cuts = np.quantile(evidence[toxic == 1], np.arange(1, levels) / levels)
     return np.where(toxic == 1, 1 + np.searchsorted(cuts, evidence, side="left"), 0)
 
 
 def fit(docs: DataFrame, labels: DataFrame, limit: int = TRAIN_DOCUMENTS, doc_id: str = "doc_id",
         text: str = "text") -> Model:
-    """The model, fitted on ``limit`` labelled documents at most; labels that are null are left out."""
-    chosen = (labels.select(F.col("doc_id").cast("long").alias("_id"), F.col("toxic").cast("int").alias("toxic"))
-              .filter(F.col("_id").isNotNull() & F.col("toxic").isin(0, 1)).groupBy("_id").agg(F.max("toxic").alias("toxic"))
-              .orderBy(F.md5(F.col("_id").cast("string"))).limit(limit))  # ``limit`` rows at most
+    """The model, fitted on ``limit`` labelled documents at most, half of them of each label where there are so many.
+
+    The documents of a label that are fitted on stand for all documents with it, so a sample with
+    more toxic ones than the corpus does not make all others look toxic.  Labels that are null,
+    or of no document, are left out.
+    """
+    given = (labels.select(F.col("doc_id").cast("long").alias("_id"), F.col("toxic").cast("int").alias("toxic"))
+             .filter(F.col("_id").isNotNull() & F.col("toxic").isin(0, 1)).groupBy("_id").agg(F.max("toxic").alias("toxic")))
     rows = docs.select(column(docs, doc_id).cast("long").alias("_id"), column(docs, text).cast("string").alias("text"))
+    there = materialize(given.join(rows.select("_id"), "_id", "left_semi"), "labels")
+    whole = {r["toxic"]: r["count"] for r in there.groupBy("toxic").count().collect()}
+    order = F.md5(F.col("_id").cast("string"))
+    chosen = None  # ``limit`` rows at most
+    for label in (0, 1):
+        half = there.filter(F.col("toxic") == label).orderBy(order).limit(max(1, limit // 2))
+        chosen = half if chosen is None else chosen.union(half)
     sample = materialize(rows.join(F.broadcast(chosen), "_id").select("toxic", "text"), "sample")
     n = {r["toxic"]: r["count"] for r in sample.groupBy("toxic").count().collect()}
-    words = _vocabulary(sample, n.get(1, 0), n.get(0, 0), VOCABULARY)
+    words = _vocabulary(sample, n.get(1, 0), n.get(0, 0))
     x, toxic = _matrix(sample, words)
-    return Model(words, *fit_ordinal(x, grades_of(x, toxic)))
+    weight = np.array([whole.get(y, 0) / max(1, n.get(y, 0)) for y in (0, 1)])[toxic]
+    weight = weight / weight.mean() if len(weight) else weight
+    return Model(words, *fit_ordinal(x, grades_of(x, toxic), weight=weight))
 
 
 def severity(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
