@@ -15,11 +15,13 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from .common import codes_of, column, text_slices, words_of
 
 UNKNOWN = "und"
-TRAIN_DOCUMENTS = 8000  # labelled documents that the model is fitted on, by a hash of the id
+TRAIN_DOCUMENTS = 8000  # labelled documents that the model is fitted on at most: as many of each language, by a hash of the id
+SLICE_BYTES = 2 << 20   # of text that is judged at once: several numbers a word and language
 BUCKETS = 1 << 16       # trigrams are hashed; a constant bounds the model
 SMOOTHING = 0.1
 ROUNDS = 12             # of expectation-maximisation over all languages
@@ -78,13 +80,21 @@ def _counter(batches):
 
 def fit(docs: DataFrame, limit: int = TRAIN_DOCUMENTS, doc_id: str = "doc_id", text: str = "text",
         lang: str = "lang") -> Model:
-    """Trigram probabilities by language, from ``limit`` documents at most that are labelled and not held out."""
+    """Trigram probabilities by language, from ``limit`` documents at most that are labelled and not held out.
+
+    Each language gets an equal share of them, so a rare one is learned from what there is of it.
+    Rows without an id are not learned from.
+    """
     rows = docs.select(column(docs, doc_id).cast("string").alias("_id"), column(docs, lang).cast("string").alias("lang"),
                        column(docs, text).cast("string").alias("text"))
     usable = F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("_id"))
-    chosen = (rows.filter(usable).select("_id", F.md5(F.coalesce("_id", F.lit(""))).alias("_order"))
-              .orderBy("_order").limit(limit).select("_id").distinct())  # ``limit`` ids at most
-    sample = rows.filter(usable).join(F.broadcast(chosen), "_id", "left_semi").select("lang", "text")
+    n_langs = rows.filter(usable).agg(F.count_distinct("lang")).first()[0]
+    each = max(1, limit // max(1, n_langs))
+    ids = rows.filter(usable & F.col("_id").isNotNull()).select("lang", "_id", F.md5("_id").alias("_order")).distinct()
+    for part in (F.substring("_order", 31, 2), F.lit("")):  # the first of each part of a language, then of all its parts
+        ids = ids.withColumn("_at", F.row_number().over(Window.partitionBy("lang", part).orderBy("_order"))).filter(F.col("_at") <= each)
+    chosen = ids.select("lang", "_id")  # ``limit`` at most, or one a language
+    sample = rows.filter(usable).join(F.broadcast(chosen), ["lang", "_id"], "left_semi").select("lang", "text")
     counts = (sample.mapInArrow(_counter, "lang string, gram long, n long")
               .groupBy("lang", "gram").agg(F.sum("n").alias("n")).toPandas())
     langs = sorted(set(counts["lang"]))
@@ -161,7 +171,7 @@ def identify(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str =
     score 0 and an empty set.  Only the text is read for a prediction.
     """
     def run(batches):
-        for rows, texts in text_slices(batches):
+        for rows, texts in text_slices(batches, limit=SLICE_BYTES):
             names, score, sets = _predict(model, texts)
             yield pa.RecordBatch.from_arrays([rows.column(0), rows.column(1), pa.array(names, pa.string()),
                                               pa.array(score), pa.array(sets, pa.list_(pa.string()))],
@@ -177,13 +187,16 @@ def keep_identified(docs: DataFrame, model: Model, text: str = "text") -> DataFr
 
     The selected set accounts for the whole text, so no share of a single language is asked for: a
     text in three languages stays though none has half of it.  Rows are filtered where they lie: nothing is shuffled, ids need not be unique.
+    A model without languages (no row has a label) rejects nothing: all rows stay.
     """
+    if not model.langs:
+        return docs
     place = docs.columns.index(text)
 
     def run(batches):
         for batch in batches:
             named = batch.rename_columns([f"c{i}" for i in range(batch.num_columns)])
-            for rows, texts in text_slices([named], f"c{place}"):
+            for rows, texts in text_slices([named], f"c{place}", SLICE_BYTES):
                 keep = pa.array([len(s) > 0 for s in _predict(model, texts)[2]], pa.bool_())
                 yield rows.filter(keep).rename_columns(batch.schema.names)
     return docs.mapInArrow(run, docs.schema)

@@ -77,13 +77,33 @@ def test_language_odd_texts(frame, odd_rows, model):
     assert {r.lang_pred for r in got if r.doc_id in (1, 2, 3, 50)} == {"und"}
     kept = language.keep_identified(docs, model)
     assert kept.dtypes == docs.dtypes
-    assert {r.doc_id for r in kept.collect()} <= {r.doc_id for r in got if r.lang_pred != "und" and r.score >= 0.5}
+    assert {r.doc_id for r in kept.collect()} <= {r.doc_id for r in got if r.lang_pred != "und"}
     assert language.identify(frame([]), model).count() == 0
 
 
+def test_rare_language_is_learned(frame):
+    usual = [(i, "the and of with that this " * 3, "en") for i in range(400)]
+    rare = [(1000 + i, "zoj kvar pluv neniam tiam kiel " * 2, "eo") for i in range(3)]
+    fitted = language.fit(frame(usual + rare), limit=40)
+    assert fitted.langs == ["en", "eo"]
+    got = language.identify(frame([(1, "kvar neniam zoj"), (2, "with the that")]), fitted).collect()
+    assert {(r.doc_id, r.lang_pred) for r in got} == {(1, "eo"), (2, "en")}
+
+
+def test_few_toxic_documents_among_many_labels(spark):
+    rng = np.random.default_rng(3)
+    words = [f"word{i}" for i in range(300)]
+    rows = [(i, " ".join(rng.choice(words, 30)) + (" hateful vile" if i % 100 == 0 else "")) for i in range(4000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 100 == 0)) for i in range(5000)], "doc_id long, toxic int")
+    got = toxicity.severity(docs, toxicity.fit(docs, labels, limit=200)).collect()
+    assert {r.doc_id for r in got if r.toxic} == {i for i in range(0, 4000, 100)}
+
+
 def test_language_without_labels(frame):
     docs = frame([(1, "abc", None), (2, None, "en")])
     empty = language.fit(docs)
+    assert language.keep_identified(docs, empty).count() == 2
     assert empty.langs == [] and {r.lang_pred for r in language.identify(docs, empty).collect()} == {"und"}
 
 
@@ -103,7 +123,7 @@ def test_ordinal_model_orders_grades():
     x = rng.random((600, 3)).astype(np.float32)
     latent = 6 * x[:, 0] - 3 * x[:, 1] + rng.logistic(size=600)
     grades = np.digitize(latent, [0.5, 2.0, 3.5])
-    w, t = toxicity.fit_ordinal(x, grades)
+    w, t = toxicity.fit_ordinal(toxicity.sparse(x), grades)
     assert list(t) == sorted(t) and w[0] > 2 and w[1] < -1 and abs(w[2]) < 1
     p = toxicity.Model([], w, t).at_least(x @ w)
     assert (np.diff(p, axis=1) <= 0).all()

@@ -77,7 +77,7 @@ def test_stages(spark):
             assert docs.dtypes == names
     ids = {k: {r.doc_id for r in v.select("doc_id").collect()} for k, v in seen.items()}
     found = language.identify(before["language_id"], language.fit(before["language_id"]))
-    assert ids["language_id"] == {r.doc_id for r in found.filter("lang_pred != 'und' and score >= 0.5").collect()}
+    assert ids["language_id"] == {r.doc_id for r in found.filter("lang_pred != 'und'").collect()}
     assert ids["exact_dedup"] == {r.keep_id for r in exact_dedup.exact_duplicates(before["exact_dedup"]).collect()}
     assert ids["near_dedup"] == {r.component_id for r in simhash.near_duplicates(before["near_dedup"]).collect()}
     taken = {r.doc_id: r.taken for r in mixing.mix(before["source_mix"]).collect() if r.taken}
@@ -90,3 +90,13 @@ def test_stages(spark):
         packed[r.doc_id] += r.length
     assert set(packed) == set(taken) and all(v > 0 for v in packed.values())
     assert corpus_pipeline.run(spark, SF).count() == docs.count()
+
+
+def test_empty_table_and_no_labels(spark, frame):
+    for rows in ([], [(i, f"text number {i} of some", None, "a") for i in range(20)]):
+        docs = frame(rows)
+        for name, stage in corpus_pipeline.STAGES:
+            docs = materialize(stage(spark, docs, SF), name)
+            if name == "language_id":
+                assert docs.count() == len(rows)
+        assert (docs.count() > 0) == (len(rows) > 0)
