@@ -28,6 +28,7 @@ def rows(batches):
     for batch in batches:
         for i in range(batch.num_rows):
             yield batch.slice(i, 1).to_pylist()[0]
+    pa.default_memory_pool().release_unused()  # the worker lives on
 
 
 def squeeze(a: np.ndarray) -> bytes:
