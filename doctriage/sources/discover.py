@@ -1,50 +1,50 @@
-"""Document discovery: store/directory listings and file lists.
+"""Document discovery: store/directory listings, file lists and loading by path or URI.
 
-Listings use Spark's ``binaryFile`` source.  Only ``path``, ``length`` and
-``modificationTime`` are selected, so the file content is pruned from the scan
-(``ReadSchema`` shows no ``content``); name globs are pushed into the listing
-with ``pathGlobFilter`` and size limits become pushed filters on ``length``.
+Listings go folder by folder in tasks (``files.list_files``); contents are read in tasks too,
+row by row, whether the documents come from a listing, a file list or messages (``load_documents``).
 """
 
 from __future__ import annotations
 
-import re
+from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.paths import key_pattern_match, parse_s3_uri, path_stem, prefix_match
+from ..functions.paths import file_name, key_pattern_match, name_glob_match, parse_s3_uri, path_stem, prefix_match
 from ..schemas import BATCH_RESULT_SCHEMA, DOCUMENT_SCHEMA
+from .files import LIMIT_BYTES, TOO_LARGE, fetch, list_files, plain
 
-TOO_LARGE = "File too large"
 DOCUMENT_COLUMNS = [f.name for f in DOCUMENT_SCHEMA.fields]
 
 
-def _listing(spark: SparkSession, root: str, recursive: bool, glob: str | None,
-             extract: bool = False, extractors: dict | None = None,
-             max_size_bytes: int | None = None) -> DataFrame:
-    reader = spark.read.format("binaryFile")
-    if recursive:
-        reader = reader.option("recursiveFileLookup", "true")
-    if glob and glob != "*":
-        reader = reader.option("pathGlobFilter", glob)
-    files = reader.load(root)
-    listed = files.select("path", "length", "modificationTime")  # content pruned from the scan
-    too_large = F.when(F.col("length") > max_size_bytes,
-                       F.format_string(TOO_LARGE + ": %d bytes, limit %d", "length", F.lit(max_size_bytes))) \
-        if max_size_bytes else None
+def _listed(files: DataFrame, max_size_bytes: int | None, extract: bool, extractors: dict | None) -> DataFrame:
+    """``files`` with extraction_error of those over the limit, and with ``extract`` their texts as ``extracted``."""
     if not extract:
-        return listed if too_large is None else listed.withColumn("extraction_error", too_large)
+        return files if not max_size_bytes else files.withColumn("extraction_error", F.when(
+            F.col("length") > max_size_bytes,
+            F.format_string(TOO_LARGE + ": %d bytes, limit %d", "length", F.lit(max_size_bytes))))
+    return load_documents(files, "path", extractors, max_size_bytes or LIMIT_BYTES)
+
+
+def load_documents(docs: DataFrame, location: str | Column = "source", extractors: dict | None = None,
+                   max_size_bytes: int = LIMIT_BYTES) -> DataFrame:
+    """``docs`` with ``extracted`` and ``extraction_error``: the text of the file that each row names.
+
+    ``location`` is where the file is: a column, or an expression over the columns (a bucket's
+    mirror, say).  A null location is not read and has neither text nor error (in-line text).
+    A missing, unreadable or too large file, and one whose format gives no text, has an error.
+    """
     from ..operators.extract import extract_documents
-    read = files.select("path", "length", "modificationTime", "content")
-    if max_size_bytes:  # on the scan, before any extraction (a pushed filter on length)
-        read = read.where(F.col("length") <= max_size_bytes)
-    texts = extract_documents(read, extractors).withColumnRenamed("text", "extracted")
-    if too_large is None:
-        return texts
-    # larger files stay as error rows; their scan reads no content
-    return texts.unionByName(listed.where(F.col("length") > max_size_bytes).withColumn("extraction_error", too_large),
-                             allowMissingColumns=True)
+
+    where = F.col(location) if isinstance(location, str) else location
+    # the row itself in one column, so that no name of its meets those of the stages below
+    named = docs.select(F.struct("*").alias("__doc"), where.alias("path"))
+    # a large folder is one partition of its listing: its files are read by many tasks
+    texts = extract_documents(fetch(named.repartition("path"), "path", max_size_bytes), extractors)
+    # a file that was not read has its own reason, not that of an extractor without content
+    error = F.when(F.col("path").isNotNull(), F.coalesce("fetch_error", "extraction_error"))
+    return texts.select("__doc.*", F.col("text").alias("extracted"), error.alias("extraction_error"))
 
 
 def conform(df: DataFrame) -> DataFrame:
@@ -62,24 +62,29 @@ def list_store(spark: SparkSession, root: str, prefix: str = "", pattern: str =
                extract: bool = False, extractors: dict | None = None) -> DataFrame:
     """Objects of a bucket as documents (A1).
 
-    ``root`` is the bucket's location (``s3a://bucket`` on a cluster, any folder in
-    tests); ``bucket`` defaults to its last path component.  Only the folder part
-    of ``prefix`` is listed (listing pruning); the rest is a ``startswith`` filter.
+    ``root`` is the bucket's location (``s3://bucket`` on a cluster, any folder in
+    tests); ``bucket`` defaults to its last path component.  Only folders that
+    may hold keys with ``prefix`` are listed.
     ``pattern`` follows the object-store rule: stars removed, suffix match on the
     whole key.  Keys ending in ``/`` are folders and never listed.  With
-    ``extract`` the same scan also extracts each file's text (``extracted``,
-    ``extraction_error``; see ``extract_documents``), ready for ``run_batch``.
-    Files over ``max_size_bytes`` are never read; they are listed with that as
+    ``extract`` each object is also read, and its text extracted (``extracted``,
+    ``extraction_error``; see ``load_documents``), ready for ``run_batch``.
+    Objects over ``max_size_bytes`` are never read; they are listed with that as
     their ``extraction_error``, and ``run_batch`` makes them error rows.
     """
-    base = root.rstrip("/")
+    base = plain(root)
     name = bucket or base.rsplit("/", 1)[-1]
-    folder = prefix.rsplit("/", 1)[0] if "/" in prefix else ""
-    df = _listing(spark, base + ("/" + folder if folder else ""), True, None, extract, extractors, max_size_bytes)
-    # the key is the path below the bucket's root (local paths come back as file:...)
-    key = F.regexp_replace(F.regexp_replace(F.col("path"), "^file:", ""),
-                           "^" + re.escape(_strip_scheme(base)) + "/", "")
-    df = df.withColumn("key", key).where(prefix_match("key", prefix) & key_pattern_match("key", pattern))
+
+    def key_of(path: Column) -> Column:  # the path below the bucket's root
+        return F.substring(path, len(base) + 2, 2**31 - 1)
+
+    def enter(folder: Column) -> Column:
+        key = F.concat(key_of(folder), F.lit("/"))
+        return key.startswith(prefix) | F.lit(prefix).startswith(key)
+
+    files = list_files(spark, base, enter=enter if prefix else None)
+    wanted = files.where(prefix_match(key_of(F.col("path")), prefix) & key_pattern_match(key_of(F.col("path")), pattern))
+    df = _listed(wanted, max_size_bytes, extract, extractors).withColumn("key", key_of(F.col("path")))
     return conform(df.select(
         path_stem(F.col("key")).alias("document_id"),
         F.concat(F.lit(f"s3://{name}/"), F.col("key")).alias("source"),
@@ -96,10 +101,6 @@ def _extracted(df: DataFrame):
     return [F.col(c) for c in ("extracted", "extraction_error") if c in df.columns]
 
 
-def _strip_scheme(p: str) -> str:
-    return p[len("file:"):] if p.startswith("file:") else p
-
-
 def list_directory(spark: SparkSession, directory: str, pattern: str = "*", recursive: bool = True,
                    max_size_bytes: int | None = None, extract: bool = False,
                    extractors: dict | None = None) -> DataFrame:
@@ -107,13 +108,13 @@ def list_directory(spark: SparkSession, directory: str, pattern: str = "*", recu
 
     ``extract`` and ``max_size_bytes`` as in :func:`list_store`.
     """
-    df = _listing(spark, directory, recursive, pattern, extract, extractors, max_size_bytes)
-    local = F.regexp_replace(F.col("path"), "^file:", "")
+    files = list_files(spark, directory, recursive).where(name_glob_match("path", pattern))
+    df = _listed(files, max_size_bytes, extract, extractors)
     return conform(df.select(
-        path_stem(local).alias("document_id"),
-        local.alias("source"),
+        path_stem(F.col("path")).alias("document_id"),
+        F.col("path").alias("source"),
         F.lit("local").alias("source_type"),
-        local.alias("file_path"),
+        F.col("path").alias("file_path"),
         F.col("length").alias("size"),
         F.col("modificationTime").alias("last_modified"),
         *_extracted(df),
