@@ -271,7 +271,7 @@ def classify(requests: DataFrame, scorer: Callable[[DataFrame], DataFrame], mode
     carrying that message.  The text columns (``content_col``, ``extracted_col``,
     ``drop_cols``) are dropped once the prompt is built unless ``keep_text``.
     Columns added:
-    ``predicted_type, primary_score, threshold, reasoning, extracted_features,
+    ``prompt_md5`` (of the prompt as sent, NULL where none was), ``predicted_type, primary_score, threshold, reasoning, extracted_features,
     stage, error, status, model_used, processing_time_ms, timestamp``.
     """
     _check_unit("Confidence threshold", threshold)
@@ -279,7 +279,7 @@ def classify(requests: DataFrame, scorer: Callable[[DataFrame], DataFrame], mode
     prompt = build_prompt(text, offered_types or OFFERED_TYPES, prompt_limit)
     if error_col:  # rows that already failed (e.g. a local file that could not be read) are not sent
         prompt = F.when(F.col(error_col).isNull(), prompt)
-    prompted = requests.withColumn("prompt", prompt)
+    prompted = requests.withColumn("prompt", prompt).withColumn("prompt_md5", F.md5("prompt"))
     if not keep_text:
         # the text is consumed by the prompt; a scorer under mapInPandas must return
         # every input column, so whole documents would otherwise cross into Python

@@ -15,11 +15,12 @@ from pyspark.sql import functions as F
 from ..functions.paths import path_stem
 from ..operators import reports as R
 from ..operators.catalog import model_id_for
+from ..operators.extract import extraction_failed
 from ..operators.requests import dispatch_sources, with_run_options
 from ..operators.score import classify
 from ..session import materialize
 from ..sinks import writers as W
-from ..sources.discover import TOO_LARGE
+from ..sources.files import TOO_LARGE
 
 
 def documents_to_requests(docs: DataFrame, extracted_col: str | None = None,
@@ -74,7 +75,8 @@ def run_batch(docs: DataFrame, scorer: Callable[[DataFrame], DataFrame], model:
     records_in = res.select(
         "document_id", "source", "status",
         F.col("predicted_type").alias("document_type"), F.col("primary_score").alias("confidence"),
-        "reasoning", F.col("error"), "processing_time_ms", "timestamp")
+        "reasoning", F.col("error"), "processing_time_ms", "timestamp",
+        extraction_failed("reasoning", "predicted_type").alias("extraction_failed"))
     stored = materialize(records_in, "batch-results")   # the only run of the scorer
     if output_dir:
         W.write_results(stored, output_dir, format=fmt)

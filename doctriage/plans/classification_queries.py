@@ -13,7 +13,7 @@ from ..operators.score import classify, lexicon_score, recorded_scorer
 from ..session import scratch_dir
 from ..sources import discover as D
 from . import fixtures as fx
-from .registry import (EXPECTED, LEVEL_SQL, MODEL_ID, PROMPT_FRAME_SQL, PROMPT_TAIL_SQL, REQ, _values,
+from .registry import (EXPECTED, LEVEL_SQL, MODEL_ID, PROMPT_FRAME_SQL, PROMPT_MD5_SQL, PROMPT_TAIL_SQL, REQ, _values,
                        classified, r6, register)
 from .stand_ins import rule_scorer
 
@@ -24,11 +24,12 @@ from .stand_ins import rule_scorer
 
 @register("classify_batch", f"""
 SELECT request_key, document_id, exp_status AS status, exp_stage AS stage, exp_type AS predicted_type,
-       exp_score AS primary_score, CAST(0.7 AS DOUBLE) AS threshold, exp_reasoning AS reasoning
+       exp_score AS primary_score, CAST(0.7 AS DOUBLE) AS threshold, exp_reasoning AS reasoning,
+       {PROMPT_MD5_SQL} AS prompt_md5
 FROM {EXPECTED}""")
 def q_classify_batch(spark, d):
     return classified(spark, d).select("request_key", "document_id", "status", "stage", "predicted_type",
-                                       "primary_score", "threshold", "reasoning")
+                                       "primary_score", "threshold", "reasoning", "prompt_md5")
 
 
 @register("type_distribution", f"""
@@ -251,16 +252,16 @@ def q_classify_callable(spark, d):
 
 @register("classify_incremental", f"""
 SELECT request_key, document_id, exp_status AS status, exp_stage AS stage, exp_type AS predicted_type,
-       exp_score AS primary_score FROM {EXPECTED}""")
+       exp_score AS primary_score, {PROMPT_MD5_SQL} AS prompt_md5 FROM {EXPECTED}""")
 def q_classify_incremental(spark, d):
     """Two runs into one table: the second scores only what the first did not (K5 re-run safety)."""
     from ..operators.score import classify_to_table
     table = scratch_dir(spark, "scored-table")
     req = fx.requests_fx(spark, d)
-    scorer = recorded_scorer(fx.answers_fx(spark, d))
+    scorer = fx.recorded(spark, d)
     classify_to_table(req.where(F.col("doc_id") % 3 == 0), scorer, table, model=MODEL_ID)
     out = classify_to_table(req, scorer, table, model=MODEL_ID, chunks=2)
-    return out.select("request_key", "document_id", "status", "stage", "predicted_type", "primary_score")
+    return out.select("request_key", "document_id", "status", "stage", "predicted_type", "primary_score", "prompt_md5")
 
 
 @register("run_batch", f"""
@@ -279,7 +280,7 @@ def q_run_batch(spark, d):
         "document_id", "source", "source_type",
         F.when(F.col("source_type") == "text", F.col("document_content")).alias("text"),
         F.col("document_content").alias("extracted")))
-    records, _, _ = run_batch(docs, recorded_scorer(fx.answers_fx(spark, d)), MODEL_ID, extracted_col="extracted",
+    records, _, _ = run_batch(docs, fx.recorded(spark, d), MODEL_ID, extracted_col="extracted",
                               options={"model": "nova-lite"})
     return records.select("document_id", "source", "status", F.col("classification.document_type").alias(
         "document_type"), F.col("classification.confidence").alias("confidence"), "cli_exit_code")
@@ -321,6 +322,6 @@ def q_batch_local_errors(spark, d):
         F.when(F.col("source_type") == "text", F.col("document_content")).alias("text"),
         F.when(~unreadable, F.col("document_content")).alias("extracted"),
         F.when(unreadable, F.concat(F.lit("File not found: "), F.col("source"))).alias("extract_error")))
-    records, _, _ = run_batch(docs, recorded_scorer(fx.answers_fx(spark, d)), MODEL_ID, extracted_col="extracted",
+    records, _, _ = run_batch(docs, fx.recorded(spark, d), MODEL_ID, extracted_col="extracted",
                               extraction_error_col="extract_error")
     return records.select("document_id", "source", "status", "error", "cli_exit_code")

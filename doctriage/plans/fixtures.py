@@ -155,6 +155,19 @@ def answers_fx(spark, sf_dir):
             .where("has_answer").select("request_key", "response_text"))
 
 
+_RECORDED: dict[tuple[str, str], object] = {}
+
+
+def recorded(spark, sf_dir):
+    """The scorer of the recorded answers; they are stored once a session, not once a query."""
+    from ..operators.score import recorded_scorer
+
+    at = (spark.sparkContext.applicationId, sf_dir)
+    if at not in _RECORDED:
+        _RECORDED[at] = recorded_scorer(answers_fx(spark, sf_dir), materialize_answers=True)
+    return _RECORDED[at]
+
+
 def results_fx(spark, sf_dir):
     df = build(spark, sf_dir, "events", RESULTS_LAYERS, RESULTS_COLUMNS)
     # the naive event time is a UTC wall clock, whatever the session time zone

@@ -4,13 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions import paths as P
+from ..functions import paths as P, text as TX
 from ..operators import extract as X, reports as R
 from ..session import scratch_dir
 from ..sinks import writers as W
+from ..sinks.objects import write_objects
 from ..sources import discover as D
+from ..sources.files import NOT_FOUND, fetch, list_files, plain, read_text_ranges
+from ..streaming.queue import load_requests, messages_to_requests
 from . import fixtures as fx
-from .registry import REQ, RES, register
+from .registry import PROMPT_FRAME_SQL, PROMPT_TAIL_SQL, REQ, RES, register
 
 
 # ===========================================================================
@@ -100,48 +103,116 @@ def q_retry_list_file(spark, d):
     return spark.read.text(path)
 
 
-def _documents_as_files(spark, d) -> str:
-    """Write every document as text files grouped by language (derived input for listings)."""
-    path = scratch_dir(spark, "documents-files")
-    (spark.read.parquet(f"{d}/documents.parquet").select("lang", "text")
-     .repartition(4, "lang").write.partitionBy("lang").text(path))
-    return path
+# a name of its own for each document, some hidden; every 29th has a byte that is not UTF-8 at its end
+FILE_KEY = ("'lang=' || lang || '/' || CAST(doc_id % 16 AS STRING) || '/' || CASE WHEN doc_id % 11 = 0 THEN '.' "
+            "WHEN doc_id % 13 = 0 THEN '_' ELSE '' END || 'doc_' || CAST(doc_id AS STRING) || '.txt'")
+FILES = f"(SELECT *, {FILE_KEY} AS key, doc_id % 29 = 0 AS bad, octet_length(encode(text)) AS n FROM documents)"
+BAD_BYTE = "'''utf-8'' codec can''t decode byte 0xff in position ' || CAST(n AS VARCHAR) || ': invalid start byte'"
+_OBJECTS: dict[tuple[str, str], str] = {}
 
 
-LANG_OF_PATH = r"lang=([^/]+)/"
+def _documents_as_objects(spark, d) -> str:
+    """A store with every document as an object of its own, written once a session."""
+    at = (spark.sparkContext.applicationId, d)
+    if at not in _OBJECTS:
+        path = scratch_dir(spark, "documents-objects")
+        content = F.concat(F.encode("text", "UTF-8"), F.when(F.col("doc_id") % 29 == 0, F.unhex(F.lit("FF"))).otherwise(F.unhex(F.lit(""))))
+        write_objects(spark.read.parquet(f"{d}/documents.parquet").select(F.expr(FILE_KEY).alias("key"), content.alias("content")), path)
+        _OBJECTS[at] = path
+    return _OBJECTS[at]
 
 
-@register("scan_directory", """
-SELECT lang, CAST(sum(octet_length(encode(text)) + 1) AS BIGINT) AS bytes FROM documents GROUP BY lang""")
+def _key(path, root: str):
+    return F.substring(path, len(plain(root)) + 2, 2**31 - 1)
+
+
+@register("scan_directory", f"""
+SELECT key, regexp_replace(split_part(key, '/', 3), '[.]txt$', '') AS document_id,
+  CAST(n + CASE WHEN bad THEN 1 ELSE 0 END AS BIGINT) AS size FROM {FILES}""")
 def q_scan_directory(spark, d):
-    """Every document written as a line of a text file per language, listed back (A2)."""
-    path = _documents_as_files(spark, d)
-    files = D.list_directory(spark, path, pattern="*.txt")
-    return (files.groupBy(F.regexp_extract("file_path", LANG_OF_PATH, 1).alias("lang"))
-            .agg(F.sum("size").alias("bytes")))
+    """Every document's file listed, hidden names and k=v folders too (A2)."""
+    root = _documents_as_objects(spark, d)
+    files = D.list_directory(spark, root, pattern="*doc_*.txt")
+    return files.select(_key(F.col("file_path"), root).alias("key"), "document_id", "size")
 
 
-@register("scan_store", """
-SELECT 'docs' AS bucket, CAST(sum(octet_length(encode(text)) + 1) AS BIGINT) AS bytes FROM documents""")
+@register("scan_store", f"""
+SELECT 'docs' AS bucket, key, 's3://docs/' || key AS source,
+  CAST(n + CASE WHEN bad THEN 1 ELSE 0 END AS BIGINT) AS size FROM {FILES} WHERE lang LIKE 'e%'""")
 def q_scan_store(spark, d):
-    """Object listing under a prefix with a suffix pattern (A1)."""
-    path = _documents_as_files(spark, d)
-    # every object sits under a "lang=" folder, so the prefix keeps the whole store
-    objs = D.list_store(spark, path, prefix="lang=", pattern="*.txt", bucket="docs")
-    return objs.groupBy("bucket").agg(F.sum("size").alias("bytes"))
+    """Object listing under a prefix with a suffix pattern; folders outside the prefix are not entered (A1)."""
+    objs = D.list_store(spark, _documents_as_objects(spark, d), prefix="lang=e", pattern="*.txt", bucket="docs")
+    return objs.select("bucket", "key", "source", "size")
 
 
-@register("decode_text", """
-SELECT lang, CAST(sum(length(text) + 1) AS BIGINT) AS chars, CAST(0 AS BIGINT) AS errors FROM documents
-GROUP BY lang""")
+@register("decode_text", f"""
+SELECT key, CASE WHEN NOT bad THEN md5(text) END AS text_md5, CASE WHEN bad THEN {BAD_BYTE} END AS error FROM {FILES}""")
 def q_decode_text(spark, d):
     """Strict UTF-8 decoding of every file's bytes."""
-    path = _documents_as_files(spark, d)
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-    out = X.decode_text(files.select("path", "content"))
-    return (out.groupBy(F.regexp_extract("path", LANG_OF_PATH, 1).alias("lang"))
-            .agg(F.sum(F.length("text")).alias("chars"),
-                 F.count_if(F.col("extraction_error").isNotNull()).alias("errors")))
+    root = _documents_as_objects(spark, d)
+    out = X.decode_text(fetch(list_files(spark, root).repartition("path"), "path"))
+    return out.select(_key(F.col("path"), root).alias("key"), F.md5("text").alias("text_md5"), F.col("extraction_error").alias("error"))
+
+
+@register("text_ranges", f"""
+SELECT key, CASE WHEN NOT bad THEN md5(text) END AS text_md5, CAST(CASE WHEN bad THEN n END AS BIGINT) AS bad_byte,
+  CAST(greatest(1, ceil((n + CASE WHEN bad THEN 1 ELSE 0 END) / 1000.0)) AS BIGINT) AS pieces FROM {FILES}""")
+def q_text_ranges(spark, d):
+    """Files read as ranges of 1000 bytes, cut between characters, and joined again (C2 for files of any size)."""
+    root = _documents_as_objects(spark, d)
+    rows = read_text_ranges(list_files(spark, root), range_bytes=1000)
+    whole = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("piece", "text"))), lambda x: x["text"]), "")
+    return rows.groupBy(_key(F.col("path"), root).alias("key")).agg(
+        F.when(F.count("reason") == 0, F.md5(whole)).alias("text_md5"), F.min("bad_byte").alias("bad_byte"), F.count("*").alias("pieces"))
+
+
+@register("result_objects", f"""
+SELECT 'out/classified/' || strftime(timestamp, '%Y/%m/%d/%H') || '/' || document_id || '/result.json' AS key, document_id, status
+FROM {RES}""")
+def q_result_objects(spark, d):
+    """One object for each result record, listed and read back."""
+    root = scratch_dir(spark, "result-objects")
+    W.write_result_objects(W.batch_records(fx.results_fx(spark, d)), root, "out/")
+    found = fetch(list_files(spark, root).repartition("path"), "path")
+    rec = F.from_json(F.col("content").cast("string"), "document_id string, status string")
+    return found.select(_key(F.col("path"), root).alias("key"), rec.document_id.alias("document_id"), rec.status.alias("status"))
+
+
+LISTED_BY = "CASE doc_id % 4 WHEN 0 THEN 'csv' WHEN 1 THEN 'json' WHEN 2 THEN 'text' ELSE 'message' END"
+
+
+@register("load_by_uri", f"""
+SELECT key AS document, {LISTED_BY} AS listed_by,
+  CASE WHEN NOT bad THEN md5('{PROMPT_FRAME_SQL}' || text || '{PROMPT_TAIL_SQL}') END AS prompt_md5,
+  CASE WHEN bad THEN {BAD_BYTE} END AS error FROM {FILES}
+UNION ALL
+SELECT key || '.gone', {LISTED_BY}, NULL, 'Document not found' FROM {FILES}""")
+def q_load_by_uri(spark, d):
+    """Documents that a CSV list, a JSON list, a text list or a message names, read by URI; beside each, one that is missing."""
+    root = _documents_as_objects(spark, d)
+    base = scratch_dir(spark, "lists")
+    docs = spark.read.parquet(f"{d}/documents.parquet").select(F.expr(FILE_KEY).alias("key"), (F.col("doc_id") % 4).alias("how"))
+    named = docs.union(docs.select(F.concat("key", F.lit(".gone")), "how")).withColumn("uri", F.concat(F.lit("s3://docs/"), F.col("key")))
+    one = F.struct(F.col("uri").alias("source"), F.lit("s3").alias("source_type"), F.lit("docs").alias("bucket"), "key")
+    named.where("how = 0").select(one.alias("x")).select("x.*").write.option("header", "true").csv(f"{base}/csv")
+    named.where("how = 1").select(F.to_json(one).alias("value")).write.text(f"{base}/json")
+    named.where("how = 2").select("uri").write.text(f"{base}/text")
+    body = F.to_json(F.struct(F.col("uri").alias("document_uri"), F.col("key").alias("document_id")))
+    named.where("how = 3").select(body.alias("body")).write.json(f"{base}/messages")
+    as_lines = spark.read.schema("source string, source_type string, bucket string, key string").json(f"{base}/json")
+    listed = (D.read_file_list_csv(spark, f"{base}/csv").withColumn("listed_by", F.lit("csv"))
+              .unionByName(D.read_file_list_text(spark, f"{base}/text").withColumn("listed_by", F.lit("text")))
+              .unionByName(D.conform(as_lines).withColumn("listed_by", F.lit("json"))))
+    where = lambda uri: F.concat(F.lit(plain(root) + "/"), P.parse_s3_uri(uri).key)  # noqa: E731  the bucket's mirror
+    loaded = D.load_documents(listed, where(F.col("source")))
+    by_list = loaded.select("source", "listed_by", F.col("extracted").alias("text"), F.col("extraction_error").alias("error"))
+    messages = messages_to_requests(spark.read.schema("body string").json(f"{base}/messages"))
+    by_message = load_requests(messages, where).select("source", F.lit("message").alias("listed_by"),
+                                                       F.col("document_content").alias("text"), F.col("message_error").alias("error"))
+    found = by_list.unionByName(by_message)
+    return found.select(F.substring("source", len("s3://docs/") + 1, 2**31 - 1).alias("document"), "listed_by",
+                        F.when(F.col("error").isNull(), F.md5(TX.build_prompt(X.resolve_text(F.lit(""), F.col("text"))))).alias("prompt_md5"),
+                        F.when(F.col("error").startswith(NOT_FOUND), F.lit(NOT_FOUND)).otherwise(F.col("error")).alias("error"))
 
 
 @register("extract_docx", """
@@ -167,14 +238,10 @@ def q_read_results(spark, d):
     return back.select("document_id", "status", "cli_exit_code")
 
 
-@register("extract_documents", """
-SELECT lang, 'text' AS extractor, CAST(sum(length(text) + 1) AS BIGINT) AS chars, CAST(0 AS BIGINT) AS errors
-FROM documents GROUP BY lang""")
+@register("extract_documents", f"""
+SELECT key, 'text' AS extractor, CASE WHEN NOT bad THEN md5(text) END AS text_md5, CASE WHEN bad THEN {BAD_BYTE} END AS error FROM {FILES}""")
 def q_extract_documents(spark, d):
-    """Every document file routed by suffix and extracted in one scan."""
-    path = _documents_as_files(spark, d)
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-    out = X.extract_documents(files)
-    return (out.groupBy(F.regexp_extract("path", LANG_OF_PATH, 1).alias("lang"), "extractor")
-            .agg(F.sum(F.length("text")).alias("chars"),
-                 F.count_if(F.col("extraction_error").isNotNull()).alias("errors")))
+    """Every document file routed by suffix and extracted in one pass."""
+    root = _documents_as_objects(spark, d)
+    out = X.extract_documents(fetch(list_files(spark, root).repartition("path"), "path"))
+    return out.select(_key(F.col("path"), root).alias("key"), "extractor", F.md5("text").alias("text_md5"), F.col("extraction_error").alias("error"))

@@ -46,7 +46,7 @@ def register(name: str, sql: str | None = None):
 
 def classified(spark: SparkSession, d: str) -> DataFrame:
     """requests_fx classified with the recorded answers of answers_fx."""
-    return classify(fx.requests_fx(spark, d), recorded_scorer(fx.answers_fx(spark, d)), model=MODEL_ID)
+    return classify(fx.requests_fx(spark, d), fx.recorded(spark, d), model=MODEL_ID)
 
 
 def _values(rows, cols) -> str:
@@ -73,6 +73,8 @@ TYPES = _values(S.DOCUMENT_TYPE_FAMILIES, ["document_type", "family"])
 PROMPT_FRAME_SQL = (S.PROMPT_HEAD + ", ".join(S.OFFERED_TYPES) + S.PROMPT_MIDDLE).replace("'", "''")
 PROMPT_TAIL_SQL = S.PROMPT_TAIL.replace("'", "''")
 
+PROMPT_MD5_SQL = f"md5('{PROMPT_FRAME_SQL}' || document_content || '{PROMPT_TAIL_SQL}')"
+
 LEVEL_SQL = ("CASE WHEN {s} >= 0.9 THEN 'Very High' WHEN {s} >= 0.8 THEN 'High' WHEN {s} >= 0.7 THEN 'Medium' "
              "WHEN {s} >= 0.5 THEN 'Low' ELSE 'Very Low' END")
 

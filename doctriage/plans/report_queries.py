@@ -75,7 +75,7 @@ def q_expectation_check(spark, d):
         "request_key", F.col("t").alias("expected_type"), F.lit(0.8).alias("score_ceiling"))
     # expectations ride along with the requests: one shuffle on request_key serves both joins
     req = fx.requests_fx(spark, d).join(expected, "request_key", "inner")
-    res = classify(req, recorded_scorer(fx.answers_fx(spark, d)), model=MODEL_ID)
+    res = classify(req, fx.recorded(spark, d), model=MODEL_ID)
     out = R.expectation_check(res, None, "request_key")
     return out.select("request_key", "type_matches", "under_ceiling")
 

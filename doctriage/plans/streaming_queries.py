@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..operators.score import recorded_scorer
 from ..session import scratch_dir
 from . import fixtures as fx
-from .registry import EXPECTED, MODEL_ID, register
+from .registry import EXPECTED, MODEL_ID, PROMPT_MD5_SQL, register
 
 
 # ===========================================================================
@@ -23,18 +23,18 @@ def _write_messages(spark, d) -> str:
 
 @register("stream_classify", f"""
 SELECT request_key, document_id, exp_status AS status, exp_stage AS stage, exp_type AS predicted_type,
-       exp_score AS primary_score FROM {EXPECTED}""")
+       exp_score AS primary_score, {PROMPT_MD5_SQL} AS prompt_md5 FROM {EXPECTED}""")
 def q_stream_classify(spark, d):
     from ..streaming.queue import classify_stream, read_messages, write_stream
     src = _write_messages(spark, d)
     out, ckpt = scratch_dir(spark, "stream-out"), scratch_dir(spark, "stream-ckpt")
     msgs = read_messages(spark, src)  # drains the queue in one micro-batch; J3 bounds are shown by stream_batch_counts
-    scorer = recorded_scorer(fx.answers_fx(spark, d), materialize_answers=True)  # stored once, scanned per batch
+    scorer = fx.recorded(spark, d)  # stored once, scanned per batch
     q = write_stream(classify_stream(msgs, scorer, model=MODEL_ID)
                      .drop("timestamp"), out, ckpt)
     q.awaitTermination()
     return spark.read.parquet(out).select("request_key", "document_id", "status", "stage", "predicted_type",
-                                          "primary_score")
+                                          "primary_score", "prompt_md5")
 
 
 @register("stream_batch_counts", f"""
@@ -46,7 +46,7 @@ def q_stream_batch_counts(spark, d):
     rows, out = scratch_dir(spark, "stream-rows"), scratch_dir(spark, "stream-counts")
     ckpt = scratch_dir(spark, "stream-counts-ckpt")
     msgs = read_messages(spark, src, max_files_per_trigger=1)  # bounded micro-batches (J3)
-    res = classify_stream(msgs, recorded_scorer(fx.answers_fx(spark, d), materialize_answers=True), model=MODEL_ID)
+    res = classify_stream(msgs, fx.recorded(spark, d), model=MODEL_ID)
     q = (res.writeStream.foreachBatch(results_and_counts_writer(rows, out)).option("checkpointLocation", ckpt)
          .trigger(availableNow=True).start())
     q.awaitTermination()

@@ -111,6 +111,18 @@ def write_by_day(df: DataFrame, path: str, ts: str = "timestamp", mode: str = "o
     d.hint("rebalance", *parts).write.mode(mode).partitionBy(*parts).json(path)
 
 
+def write_result_objects(records: DataFrame, root: str, results_prefix: str = "") -> DataFrame:
+    """Each record as an object of its own, ``{results_prefix}classified/YYYY/MM/DD/HH/{document_id}/result.json`` below ``root``.
+
+    Committed as a whole (``objects.write_objects``); returns key, bytes, crc32 of the objects.
+    """
+    from .objects import write_objects
+
+    hour = F.date_format(utc_wall(F.to_timestamp("timestamp")), "yyyy/MM/dd/HH")
+    key = F.concat(F.lit(results_prefix + "classified/"), hour, F.lit("/"), F.col("document_id"), F.lit("/result.json"))
+    return write_objects(records.select(key.alias("key"), F.to_json(F.struct(*records.columns)).alias("content")), root)
+
+
 def write_retry_list(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """One URI or path per line (B6); input from :func:`reports.retry_list`."""
     df.select("value").write.mode(mode).text(path)

@@ -12,11 +12,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.score import classify
+from ..sources.discover import load_documents
 
 BAD_MESSAGE = "message is not a JSON object with document_uri and document_id"
 MESSAGE_SCHEMA = "document_uri string, document_id string, document_content string"
@@ -57,10 +58,31 @@ def messages_to_requests(df: DataFrame) -> DataFrame:
     )
 
 
+def load_requests(requests: DataFrame, location: Callable[[Column], Column] = lambda uri: uri,
+                  extractors: dict | None = None) -> DataFrame:
+    """Message requests with the text of the document that each names.
+
+    A message with ``document_content``, or for in-line text, is left as it is; others are read from
+    ``location(uri)`` in their task.  A document that cannot be read becomes that message's error.
+    """
+    uri = F.col("source")
+    named = F.when(F.col("message_error").isNull() & (F.coalesce("document_content", F.lit("")) == "")
+                   & ~uri.startswith("direct://"), location(uri))
+    loaded = load_documents(requests, named, extractors)
+    return loaded.withColumns({
+        "document_content": F.coalesce(F.nullif("document_content", F.lit("")), "extracted"),
+        "message_error": F.coalesce("message_error", "extraction_error"),
+    }).drop("extracted", "extraction_error")
+
+
 def classify_stream(messages: DataFrame, scorer: Callable[[DataFrame], DataFrame], model: str | None = None,
-                    threshold: float = 0.7) -> DataFrame:
-    """Per-message classification with per-message error isolation."""
-    return classify(messages_to_requests(messages), scorer, model=model, threshold=threshold,
+                    threshold: float = 0.7, load: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+    """Per-message classification with per-message error isolation.
+
+    ``load`` (``load_requests``, say) brings the texts of documents that messages only name.
+    """
+    requests = messages_to_requests(messages)
+    return classify(load(requests) if load else requests, scorer, model=model, threshold=threshold,
                     error_col="message_error").drop("message_error")
 
 
