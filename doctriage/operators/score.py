@@ -32,8 +32,10 @@ from ..functions.text import build_prompt
 from ..schemas import (DEFAULT_THRESHOLD, OFFERED_TYPES, SCORER_MAX_TOKENS,
                        SCORER_TEMPERATURE, SCORER_TOP_P)
 from ..session import ship_package
+from .calls import CallPool
 from .extract import resolve_text
 from .parse import answer_status, parse_response
+from .terms import term_score
 
 
 def _check_unit(name: str, value: float) -> None:
@@ -124,7 +126,7 @@ def function_scorer(fn: Callable[[str], str], timeout_s: float = 300.0,
                     client_factory: Callable[[], object] | None = None,
                     threads_per_task: int = 1,
                     max_calls_per_minute: float | None = None,
-                    hard_timeout: bool = False) -> Callable[[DataFrame], DataFrame]:
+                    hard_timeout: bool = False, processes: bool = False) -> Callable[[DataFrame], DataFrame]:
     """Run ``fn(prompt) -> answer text`` per row inside ``mapInPandas`` (K1, K6, K7).
 
     With ``client_factory``, ``fn`` is called as ``fn(prompt, client)`` and the
@@ -140,6 +142,9 @@ def function_scorer(fn: Callable[[str], str], timeout_s: float = 300.0,
     rate happens before a call is sent and does not count.  ``threads_per_task`` keeps that many calls
     in flight per task (I/O-bound remote calls), so the concurrency is
     ``partitions x threads_per_task``; results keep their row order.
+    With ``processes`` the calls run in ``threads_per_task`` child processes of the task
+    instead (``calls.CallPool``), and a call still running after ``timeout_s`` is ended with
+    its process: nothing of it goes on.  The client is then built once per child.
     ``max_calls_per_minute`` (a service limit) is split evenly over the
     ``partitions`` tasks, each of which paces its calls to its share.
     """
@@ -163,7 +168,7 @@ def function_scorer(fn: Callable[[str], str], timeout_s: float = 300.0,
 
         def per_partition(batches):
             import threading
-            client = client_factory() if client_factory else None
+            client = client_factory() if client_factory and not processes else None
             pace = {"next": time.monotonic()}
             lock = threading.Lock()
 
@@ -175,20 +180,26 @@ def function_scorer(fn: Callable[[str], str], timeout_s: float = 300.0,
                     pace["next"] = start + interval
                 time.sleep(max(0.0, start - time.monotonic()))
 
+            def answered(prompt, client):
+                try:
+                    return (fn(prompt, client) if client_factory else fn(prompt)), "ok", None
+                except ScorerApiError as e:
+                    return None, "api", str(e)
+                except TimeoutError:
+                    return None, "timeout", f"Processing timed out after {timeout_s:g} seconds"
+                except Exception as e:
+                    return None, "batch", str(e)
+
+            def in_child():
+                own = client_factory() if client_factory else None
+                return lambda prompt: answered(prompt, own)
+
             def call(prompt, turn=wait_turn):
                 if prompt is None:  # row failed before scoring: never sent
                     return (None, "skipped", None, None, None)
                 turn()
                 t0 = time.monotonic()
-                try:
-                    text = fn(prompt, client) if client_factory else fn(prompt)
-                    stage, err = "ok", None
-                except ScorerApiError as e:
-                    text, stage, err = None, "api", str(e)
-                except TimeoutError as e:
-                    text, stage, err = None, "timeout", str(e)
-                except Exception as e:
-                    text, stage, err = None, "batch", str(e)
+                text, stage, err = answered(prompt, client)
                 ms = (time.monotonic() - t0) * 1000.0
                 if stage == "ok" and ms > timeout_s * 1000.0:
                     text, stage = None, "timeout"
@@ -218,13 +229,16 @@ def function_scorer(fn: Callable[[str], str], timeout_s: float = 300.0,
                 return results
 
             pool = None
-            if threads_per_task > 1 and not hard_timeout:
+            children = CallPool(in_child, threads_per_task, timeout_s) if processes else None
+            if threads_per_task > 1 and not hard_timeout and not processes:
                 from concurrent.futures import ThreadPoolExecutor
                 pool = ThreadPoolExecutor(max_workers=threads_per_task)
             try:
                 for pdf in batches:
                     prompts = list(pdf["prompt"])
-                    if hard_timeout:
+                    if children:
+                        out = children.run(prompts, wait_turn)
+                    elif hard_timeout:
                         out = bounded(prompts)
                     else:
                         out = list(pool.map(call, prompts)) if pool else [call(p) for p in prompts]
@@ -233,6 +247,8 @@ def function_scorer(fn: Callable[[str], str], timeout_s: float = 300.0,
             finally:
                 if pool:
                     pool.shutdown(wait=True)
+                if children:
+                    children.close()
 
         return src.mapInPandas(per_partition, schema)
 
@@ -341,12 +357,16 @@ def lexicon_score(docs: DataFrame, lexicon, id_col: str = "doc_id", text_col: st
     * few (type, weight) groups (<= ``max_inline_groups``): each document's text is
       tokenized once, tokens are kept by hash-set membership (``InSet``) and each
       group is counted over the kept tokens -- narrow, no shuffle, whole texts.
+    * a term that is no token (several words, letters beyond a-z):
+      :func:`~doctriage.operators.terms.term_score`, an automaton over whole texts; see there for its word ends.
     * otherwise :func:`lexicon_score_join` (broadcast join of exploded tokens and
       one per-document aggregate).
     """
     if isinstance(lexicon, DataFrame):
         summed = _lexicon_sums(lexicon, type_col, term_col, weight_col)
         n_terms = summed.count()
+        if summed.where(~F.col(term_col).rlike(f"^{TOKEN_PATTERN}$")).limit(1).count():
+            return term_score(docs, summed.toDF("t", "term", "w"), id_col, text_col)
         if n_terms > MAX_INLINE_TERMS:
             return lexicon_score_join(docs, lexicon, id_col, text_col, type_col, term_col, weight_col, n_terms)
         listed = summed.collect()  # bounded by MAX_INLINE_TERMS
@@ -356,10 +376,11 @@ def lexicon_score(docs: DataFrame, lexicon, id_col: str = "doc_id", text_col: st
     for t, term, w in listed:
         sums[t, term] = sums.get((t, term), 0.0) + w
     rows = [(t, term, w) for (t, term), w in sums.items()]
+    if not all(_is_token(term) for _, term, _ in rows):
+        return term_score(docs, docs.sparkSession.createDataFrame(rows, "t string, term string, w double"), id_col, text_col)
     groups: dict[tuple[str, float], list[str]] = {}
     for t, term, w in rows:
-        if _is_token(term):  # other terms can never equal a token
-            groups.setdefault((t, w), []).append(term)
+        groups.setdefault((t, w), []).append(term)
     if len(groups) > max_inline_groups:
         lex_df = docs.sparkSession.createDataFrame(
             rows, f"{type_col} string, {term_col} string, {weight_col} double")
@@ -444,6 +465,16 @@ def lexicon_score_join(docs: DataFrame, lexicon: DataFrame, id_col: str = "doc_i
                          "predicted_type", "primary_score", "evidence", "key_terms")
 
 
+def one_per_key(requests: DataFrame, content_col: str = "document_content", key: str = "request_key") -> DataFrame:
+    """One row for each key: of several, the one whose text, then whose whole row, has the smallest hash.
+
+    The choice does not depend on partitions or order, so a re-run chooses the same row.
+    """
+    text = F.md5(F.coalesce(F.col(content_col).cast("string"), F.lit(""))) if content_col in requests.columns else F.lit("")
+    row = F.md5(F.to_json(F.struct("*")))
+    return requests.groupBy(F.col(key).alias("__key")).agg(F.min_by(F.struct("*"), F.struct(text, row)).alias("__row")).select("__row.*")
+
+
 def classify_to_table(requests: DataFrame, scorer: Callable[[DataFrame], DataFrame], table_path: str,
                       model: str | None = None, threshold: float = DEFAULT_THRESHOLD, chunks: int = 1,
                       **kwargs) -> DataFrame:
@@ -457,14 +488,14 @@ def classify_to_table(requests: DataFrame, scorer: Callable[[DataFrame], DataFra
     writing twice.  Speculation should stay off for jobs with a paid scorer.
     Each chunk re-reads ``requests`` (and the stored keys), so pass a materialized
     or cheaply re-readable input when using many chunks.  A key listed several
-    times is scored once.  A request without a key raises before anything is
+    times is scored once, for the row that ``one_per_key`` chooses.  A request without a key raises before anything is
     scored, as it could not be found again; so does a stored table that cannot be read.
     """
     spark = requests.sparkSession
     from pyspark.errors import AnalysisException
     if requests.where(F.col("request_key").isNull()).limit(1).count():
         raise ValueError("every request needs a request_key")
-    todo = requests.dropDuplicates(["request_key"])
+    todo = one_per_key(requests, kwargs.get("content_col", "document_content"))
     try:
         done = spark.read.parquet(table_path).select("request_key")
         todo = todo.join(done, "request_key", "left_anti")
