@@ -51,7 +51,7 @@ def merge_pieces(scored: DataFrame, threshold: float = DEFAULT_THRESHOLD) -> Dat
         F.count("*").alias("__pieces"), F.count_if(~ok).alias("__failed"),
         F.min(F.struct("piece", "stage", "status", "error")).alias("__first"),
         F.collect_list(F.struct("piece", "prompt_md5")).alias("__prompts"))
-    voted = F.when(F.col("__type").isNotNull(), F.struct((-F.col("__votes")).alias("v"), F.col("__type").alias("t")))
+    voted = F.when(F.col("__type").isNotNull(), F.struct((-F.round("__votes", 6)).alias("v"), F.col("__type").alias("t")))
     merged = by_type.groupBy("document_key").agg(
         F.min(voted).alias("__best"), F.sum("__chars").alias("__chars"), F.sum("__pieces").alias("pieces"),
         F.sum("__failed").alias("failed_pieces"), F.min("__first").alias("__first"),

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.confidence import _ge
+from .ranking import take
 
 
 MAX_BROADCAST_ROWS = 1_000_000
@@ -136,15 +137,27 @@ def report_totals(df: DataFrame, status: str = "status") -> DataFrame:
     )
 
 
-def report_types(df: DataFrame, status: str = "status", type_col: str = "document_type") -> DataFrame:
+MAP_TYPES = 1000        # entries of a report's type map
+OTHER_TYPES = "(other types)"
+
+
+def report_types(df: DataFrame, status: str = "status", type_col: str = "document_type", most: int = MAP_TYPES) -> DataFrame:
     """One row holding ``document_types`` as a map type -> count.
 
-    The map is built from the per-type aggregate (bounded by the type count).
+    All counts are exact.  Free-text types may be very many: the map holds the ``most`` frequent
+    ones (ties by name), and the documents of all others under ``(other types)``.
     """
     counts = (df.where(_success(status) & F.col(type_col).isNotNull())
               .groupBy(type_col).agg(F.count(F.lit(1)).alias("n")))
-    return counts.agg(F.map_from_entries(F.array_sort(F.collect_list(
-        F.struct(F.col(type_col), F.col("n"))))).alias("document_types"))
+    top = counts.orderBy(F.desc("n"), type_col).limit(most)  # a top-k: each task keeps so many
+    listed = top.agg(F.array_sort(F.collect_list(F.struct(F.col(type_col), F.col("n")))).alias("top"), F.sum("n").alias("listed"))
+    whole = counts.agg(F.sum("n").alias("whole"))
+    rest = F.coalesce(F.col("whole"), F.lit(0)) - F.coalesce(F.col("listed"), F.lit(0))
+    other = F.when(rest > 0, F.array(F.struct(F.lit(OTHER_TYPES).alias(type_col), rest.alias("n"))))
+    entries = F.concat("top", F.coalesce(other, F.slice("top", 1, 0)))
+    # both sides are one row
+    return listed.withColumn("one", F.lit(1)).join(whole.withColumn("one", F.lit(1)), "one").select(
+        F.map_from_entries(entries).alias("document_types"))
 
 
 def batch_report(df: DataFrame, status: str = "status", type_col: str = "document_type",
@@ -262,23 +275,32 @@ def first_working_models(df: DataFrame, n: int = 3, status: str = "status", mode
     return (df.where(_success(status)).select(model).distinct().orderBy(model).limit(n))
 
 
+TOP_K = 10_000  # rows up to which an ordered limit is a top-k; more are taken by their positions
+
+
 def max_docs(df: DataFrame, n: int | None, order: str | list[str] = "source") -> DataFrame:
     """At most ``n`` rows in ``order``; None or 0 means no limit."""
-    return df.orderBy(order).limit(n) if n else df
+    return chunk(df, 0, n, order) if n else df
 
 
 def chunk(df: DataFrame, skip: int, n: int, order: str | list[str] = "source") -> DataFrame:
-    """Skip ``skip`` rows, take ``n``."""
-    return df.orderBy(order).offset(skip).limit(n)
+    """Skip ``skip`` rows, take ``n``.
+
+    Up to ``TOP_K`` rows in all this is a top-k; beyond, a filter on positions in a range sort
+    (``ranking.take``), where no task holds them all.
+    """
+    if skip < 0 or n < 0:
+        raise ValueError("skip and n must not be negative")
+    if skip + n <= TOP_K:
+        return df.orderBy(order).offset(skip).limit(n)
+    return take(df, skip, n, order)
 
 
 def hash_chunk(df: DataFrame, chunks: int, index: int, key: str = "request_key") -> DataFrame:
     """Chunk ``index`` of ``chunks`` by a hash of ``key``: the scalable way to process a batch in parts.
 
-    ``chunk``/``max_docs`` keep the reference's skip/take order semantics and plan
-    as a top-k, which suits small ``n``; a large ordered chunk would funnel through
-    one task.  Hash chunks need no global order: every chunk is a filter on the
-    scan, the chunks are disjoint and together cover every row.
+    ``chunk``/``max_docs`` keep an order, which costs a sort where they are large.  Hash chunks
+    need none: every chunk is a filter on the scan, the chunks are disjoint and together cover every row.
     """
     if not 0 <= index < chunks:
         raise ValueError("index must be in [0, chunks)")

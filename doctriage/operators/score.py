@@ -61,7 +61,8 @@ MAX_HOT_KEYS = 10_000  # the hottest keys, salted explicitly; further ones join
 
 def recorded_scorer(answers: DataFrame, key: str = "request_key", response_col: str = "response_text",
                     dedupe: bool = True, hot_key_rows: int | None = None,
-                    salt_buckets: int = 32, materialize_answers: bool | None = None) -> Callable[[DataFrame], DataFrame]:
+                    salt_buckets: int = 32, materialize_answers: bool | None = None, latest_col: str | None = None,
+                    carry: list[str] | None = None) -> Callable[[DataFrame], DataFrame]:
     """Pair each request with its recorded answer (K2, E5).
 
     Both sides are large, so this is a shuffle join on ``key`` (never a broadcast
@@ -72,6 +73,10 @@ def recorded_scorer(answers: DataFrame, key: str = "request_key", response_col:
     (answer keys known to be unique) the aggregate and its map-side sort are
     skipped; duplicate keys would then multiply request rows.
 
+    Of several answers for a key the smallest text is taken, or the latest by ``latest_col``.
+    ``carry`` names further columns of the answers' table (expectations, say) that come
+    along, so that one stored table per key and one join serve both.
+
     Hot keys: the deduplicated answers are stored once under the checkpoint
     folder (``materialize_answers``, by default where ``dedupe`` is on), so no
     aggregate stands between the join and its shuffles and AQE's skew join splits
@@ -83,10 +88,16 @@ def recorded_scorer(answers: DataFrame, key: str = "request_key", response_col:
     buckets, and only those keys' single answer rows are replicated per bucket.
     Results are identical either way.
     """
+    carry = carry or []
     if dedupe:
-        one = answers.groupBy(key).agg(F.min(response_col).alias("__answer"))
+        answer = F.struct(F.col(response_col).alias("__answer"), *carry)
+        if latest_col:  # of answers as late, the larger text
+            chosen = F.max(F.struct(F.col(latest_col).alias("__when"), answer.alias("__a"))).getField("__a")
+        else:
+            chosen = F.min(answer)
+        one = answers.groupBy(key).agg(chosen.alias("__a")).select(key, "__a.*")
     else:
-        one = answers.select(F.col(key), F.col(response_col).alias("__answer"))
+        one = answers.select(F.col(key), F.col(response_col).alias("__answer"), *carry)
     if dedupe if materialize_answers is None else materialize_answers:
         from ..session import materialize
         one = materialize(one, "answers")

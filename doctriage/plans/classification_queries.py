@@ -50,9 +50,8 @@ def q_batch_status(spark, d):
 @register("pair_responses", f"""
 SELECT request_key, has_answer FROM {EXPECTED}""")
 def q_pair_responses(spark, d):
-    ans = fx.answers_fx(spark, d).select("request_key", F.lit(True).alias("__a"))
-    return (fx.requests_fx(spark, d).join(ans, "request_key", "left")
-            .select("request_key", F.coalesce(F.col("__a"), F.lit(False)).alias("has_answer")))
+    paired = fx.recorded(spark, d)(fx.requests_fx(spark, d))
+    return paired.select("request_key", F.col("response_text").isNotNull().alias("has_answer"))
 
 
 @register("extract_json", f"""
@@ -229,6 +228,57 @@ def q_lexicon_accuracy(spark, d):
 
 
 
+PHRASES = [("en", "of the", 2.0), ("en", "and the", 1.0), ("fr", "é", 1.0), ("fr", "et les", 2.0), ("de", "für", 2.0),
+           ("de", "und die", 1.0), ("es", "ciónci", 1.0), ("es", "de los", 2.0)]
+# each character that is no letter or digit twice, so that two terms side by side do not share it
+_SPACED = r"' ' || regexp_replace(regexp_replace(trim(lower(text)), '\s+', ' ', 'g'), '([^\p{L}\p{N}])', '\1\1', 'g') || ' '"
+_FOUND_SQL = ", ".join(
+    f"({w!r} * len(regexp_extract_all(s, '[^\\p{{L}}\\p{{N}}]{x.replace(' ', '  ')}[^\\p{{L}}\\p{{N}}]')))::DOUBLE AS e{i}"
+    for i, (_, x, w) in enumerate(PHRASES))
+_BY_LANG = {t: " + ".join(f"e{i}" for i, x in enumerate(PHRASES) if x[0] == t) for t in ("de", "en", "es", "fr")}
+
+
+@register("lexicon_phrases", f"""
+WITH f AS (SELECT doc_id, {_FOUND_SQL} FROM (SELECT doc_id, {_SPACED} AS s FROM documents)),
+v AS (SELECT doc_id, {", ".join(f"{e} AS {t}" for t, e in _BY_LANG.items())} FROM f),
+m AS (SELECT *, de + en + es + fr AS evidence, greatest(de, en, es, fr) AS best FROM v)
+SELECT doc_id, evidence, CASE WHEN evidence = 0 THEN 'unknown' WHEN fr = best THEN 'fr' WHEN es = best THEN 'es' WHEN en = best THEN 'en'
+  ELSE 'de' END AS predicted_type, round(CASE WHEN evidence = 0 THEN 0.0 ELSE best / evidence END, 6) AS primary_score FROM m""")
+def q_lexicon_phrases(spark, d):
+    """Terms of several words and of letters beyond a-z, found in whole texts by one automaton (K3)."""
+    docs = spark.read.parquet(f"{d}/documents.parquet").select("doc_id", "text")
+    return lexicon_score(docs, PHRASES).select("doc_id", "evidence", "predicted_type", r6("primary_score"))
+
+
+PIECE_CHARS = 1000
+_PIECE_TYPE = fx._case_list("(doc_id + piece) % 10", S.OFFERED_TYPES)
+
+
+@register("classify_long", f"""
+WITH p AS (
+  SELECT request_key, doc_id, piece, substring(document_content, piece * {PIECE_CHARS} + 1, {PIECE_CHARS}) AS content
+  FROM (SELECT *, unnest(range(greatest(1, CAST(ceil(length(document_content) / {PIECE_CHARS}.0) AS BIGINT)))) AS piece FROM {REQ})),
+a AS (
+  SELECT *, (doc_id + piece) % 13 <> 0 AS ok, {_PIECE_TYPE} AS t, greatest(1, length(content))::DOUBLE AS chars,
+         (length(content) % 101) / 100.0::DOUBLE AS s, md5('{PROMPT_FRAME_SQL}' || content || '{PROMPT_TAIL_SQL}') AS h FROM p),
+d AS (SELECT request_key, count(*) AS pieces, count_if(NOT ok) AS failed_pieces, sum(chars) FILTER (WHERE ok) AS chars,
+             md5(string_agg(h, ',' ORDER BY piece)) AS prompts_md5 FROM a GROUP BY request_key),
+v AS (SELECT request_key, t, sum(chars * s) AS votes FROM a WHERE ok GROUP BY request_key, t),
+b AS (SELECT * FROM v QUALIFY row_number() OVER (PARTITION BY request_key ORDER BY round(votes, 4) DESC, t) = 1)
+SELECT d.request_key, CASE WHEN t IS NULL THEN 'error' ELSE 'success' END AS status, coalesce(t, 'unknown') AS predicted_type,
+  round(coalesce(votes / chars, 0.0), 6) AS primary_score, pieces::BIGINT AS pieces, failed_pieces::BIGINT AS failed_pieces, prompts_md5
+FROM d LEFT JOIN b ON b.request_key = d.request_key""")
+def q_classify_long(spark, d):
+    """Whole texts in pieces of 1000 characters, each scored, merged by a weighted vote (K4, K5)."""
+    from ..operators.long_texts import classify_long, cut_pieces
+    req = fx.requests_fx(spark, d)
+    score = F.format_string("%.2f", F.length("document_content") % 101 / F.lit(100.0))
+    answers = cut_pieces(req, PIECE_CHARS).where("(doc_id + piece) % 13 <> 0").select("request_key", F.format_string(
+        '{"predicted_type": "%s", "confidence_score": %s}', F.expr(_PIECE_TYPE), score).alias("response_text"))
+    out = classify_long(req, recorded_scorer(answers), PIECE_CHARS, model=MODEL_ID)
+    return out.select("request_key", "status", "predicted_type", r6("primary_score"), "pieces", "failed_pieces", "prompts_md5")
+
+
 PROMPT_FIXED_CHARS = len(S.PROMPT_HEAD + ", ".join(S.OFFERED_TYPES) + S.PROMPT_MIDDLE + S.PROMPT_TAIL)
 TYPE_BY_N = fx._case_list("n % 10", S.OFFERED_TYPES)
 

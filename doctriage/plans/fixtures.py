@@ -168,6 +168,19 @@ def recorded(spark, sf_dir):
     return _RECORDED[at]
 
 
+def recorded_with_expectations(spark, sf_dir):
+    """As ``recorded``, with each request's expected type and score ceiling in the same stored table."""
+    from ..operators.score import recorded_scorer
+
+    at = (spark.sparkContext.applicationId, sf_dir + "#expected")
+    if at not in _RECORDED:
+        rows = build(spark, sf_dir, "documents", ANSWER_LAYERS).selectExpr(
+            "request_key", "CASE WHEN has_answer THEN response_text END AS response_text", "t AS expected_type",
+            "CAST(0.8 AS DOUBLE) AS score_ceiling")
+        _RECORDED[at] = recorded_scorer(rows, materialize_answers=True, carry=["expected_type", "score_ceiling"])
+    return _RECORDED[at]
+
+
 def results_fx(spark, sf_dir):
     df = build(spark, sf_dir, "events", RESULTS_LAYERS, RESULTS_COLUMNS)
     # the naive event time is a UTC wall clock, whatever the session time zone

@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from .. import schemas as S
-from ..functions import paths as P
-from ..operators import catalog as CAT, reports as R
-from ..operators.score import classify, recorded_scorer
+from ..operators import catalog as CAT, ranking as K, reports as R
+from ..operators.score import classify
+from ..sources import discover as D
 from . import fixtures as fx
 from .registry import ALIASES, CATALOG, EXPECTED, MODEL_ID, PRICES, REQ, RES, TYPES, classified, r6, register
 
@@ -71,11 +71,8 @@ def q_case_model_matrix(spark, d):
 @register("expectation_check", f"""
 SELECT request_key, exp_type = t AS type_matches, exp_score < 0.8 AS under_ceiling FROM {EXPECTED}""")
 def q_expectation_check(spark, d):
-    expected = fx.build(spark, d, "documents", fx.ANSWER_LAYERS).select(
-        "request_key", F.col("t").alias("expected_type"), F.lit(0.8).alias("score_ceiling"))
-    # expectations ride along with the requests: one shuffle on request_key serves both joins
-    req = fx.requests_fx(spark, d).join(expected, "request_key", "inner")
-    res = classify(req, fx.recorded(spark, d), model=MODEL_ID)
+    # answers and expectations are one stored table by key: one join serves both
+    res = classify(fx.requests_fx(spark, d), fx.recorded_with_expectations(spark, d), model=MODEL_ID)
     out = R.expectation_check(res, None, "request_key")
     return out.select("request_key", "type_matches", "under_ceiling")
 
@@ -235,6 +232,18 @@ def q_chunk(spark, d):
     return R.chunk(fx.requests_fx(spark, d), 10, 20, order=["source", "request_key"]).select("request_key")
 
 
+@register("half_in_order", f"""
+SELECT request_key, position FROM (
+  SELECT request_key, row_number() OVER (ORDER BY source, request_key) - 1 AS position, count(*) OVER () AS n FROM {REQ})
+WHERE position >= n // 4 AND position < n // 4 + n // 2""")
+def q_half_in_order(spark, d):
+    """Half of all requests by their positions, a quarter skipped: no task holds them all."""
+    req = fx.requests_fx(spark, d).select("source", "request_key")
+    n = req.count()
+    return K.take(K.with_position(req, ["source", "request_key"]), n // 4, n // 2, ["source", "request_key"]).select(
+        "request_key", "position")
+
+
 @register("retry_list", f"""
 SELECT source AS value FROM {RES} WHERE status <> 'success'""")
 def q_retry_list(spark, d):
@@ -248,14 +257,8 @@ SELECT document_id, source, source_type,
   CASE WHEN source_type = 'local' THEN source END AS file_path
 FROM {REQ} WHERE source_type IN ('s3', 'local')""")
 def q_union_sources(spark, d):
-    r = fx.requests_fx(spark, d)
-    u = P.parse_s3_uri("source")
-    s3 = r.where(F.col("source_type") == "s3").select(
-        "document_id", "source", "source_type", u.bucket.alias("bucket"), u.key.alias("key"))
-    local = r.where(F.col("source_type") == "local").select(
-        "document_id", "source", "source_type", F.col("source").alias("file_path"))
-    return s3.unionByName(local, allowMissingColumns=True).select(
-        "document_id", "source", "source_type", "bucket", "key", "file_path")
+    lines = fx.requests_fx(spark, d).where(F.col("source_type").isin("s3", "local")).select(F.col("source").alias("value"))
+    return D.parse_file_list_lines(lines).select("document_id", "source", "source_type", "bucket", "key", "file_path")
 
 
 @register("batch_summary", f"""
