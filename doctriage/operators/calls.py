@@ -58,10 +58,10 @@ class CallPool:
             os.kill(child.pid, signal.SIGKILL)
         child.join()
 
-    def run(self, prompts: list[str | None], before: Callable[[], None] = lambda: None) -> list[tuple]:
+    def run(self, prompts: list[str | None], before: Callable[[str], None] = lambda prompt: None) -> list[tuple]:
         """(text, stage, error, milliseconds, end time) of each prompt, in their order; None is skipped.
 
-        ``before`` is called (and may wait) before a call is sent.  A child that dies gives its call an error.
+        ``before(prompt)`` is called (and may wait) before a call is sent.  A child that dies gives its call an error.
         """
         out: list[tuple] = [(None, "skipped", None, None, None)] * len(prompts)
         todo = [i for i, p in enumerate(prompts) if p is not None][::-1]
@@ -69,9 +69,9 @@ class CallPool:
         try:
             while todo or busy:
                 while todo and len(busy) < self._size:
-                    before()
-                    child, conn = self._idle.pop() if self._idle else self._start()
                     i = todo.pop()
+                    before(prompts[i])
+                    child, conn = self._idle.pop() if self._idle else self._start()
                     try:
                         conn.send(prompts[i])
                     except (BrokenPipeError, OSError):

@@ -32,6 +32,7 @@ from ..functions.text import build_prompt
 from ..schemas import (DEFAULT_THRESHOLD, OFFERED_TYPES, SCORER_MAX_TOKENS,
                        SCORER_TEMPERATURE, SCORER_TOP_P)
 from ..session import ship_package
+from .budget import Budget
 from .calls import CallPool
 from .extract import resolve_text
 from .parse import answer_status, parse_response
@@ -137,7 +138,8 @@ def function_scorer(fn: Callable[[str], str], timeout_s: float = 300.0,
                     client_factory: Callable[[], object] | None = None,
                     threads_per_task: int = 1,
                     max_calls_per_minute: float | None = None,
-                    hard_timeout: bool = False, processes: bool = False) -> Callable[[DataFrame], DataFrame]:
+                    hard_timeout: bool = False, processes: bool = False,
+                    budget: Budget | None = None) -> Callable[[DataFrame], DataFrame]:
     """Run ``fn(prompt) -> answer text`` per row inside ``mapInPandas`` (K1, K6, K7).
 
     With ``client_factory``, ``fn`` is called as ``fn(prompt, client)`` and the
@@ -157,7 +159,8 @@ def function_scorer(fn: Callable[[str], str], timeout_s: float = 300.0,
     instead (``calls.CallPool``), and a call still running after ``timeout_s`` is ended with
     its process: nothing of it goes on.  The client is then built once per child.
     ``max_calls_per_minute`` (a service limit) is split evenly over the
-    ``partitions`` tasks, each of which paces its calls to its share.
+    ``partitions`` tasks, each of which paces its calls to its share.  A ``budget``
+    (``budget.Budget``) is shared instead: tasks claim calls and prompt tokens from it as they need them.
     """
     if timeout_s <= 0:
         raise ValueError("Request timeout must be greater than 0")
@@ -183,7 +186,12 @@ def function_scorer(fn: Callable[[str], str], timeout_s: float = 300.0,
             pace = {"next": time.monotonic()}
             lock = threading.Lock()
 
-            def wait_turn():
+            spender = budget.spender() if budget else None
+
+            def wait_turn(prompt):
+                if spender:
+                    with lock:
+                        spender.wait(prompt)
                 if not interval:
                     return
                 with lock:
@@ -208,7 +216,7 @@ def function_scorer(fn: Callable[[str], str], timeout_s: float = 300.0,
             def call(prompt, turn=wait_turn):
                 if prompt is None:  # row failed before scoring: never sent
                     return (None, "skipped", None, None, None)
-                turn()
+                turn(prompt)
                 t0 = time.monotonic()
                 text, stage, err = answered(prompt, client)
                 ms = (time.monotonic() - t0) * 1000.0
@@ -225,10 +233,10 @@ def function_scorer(fn: Callable[[str], str], timeout_s: float = 300.0,
                     wave = []
                     for i in range(lo, min(lo + threads_per_task, len(prompts))):
                         if prompts[i] is not None:
-                            wait_turn()
+                            wait_turn(prompts[i])
 
                         def run(i=i):
-                            results[i] = call(prompts[i], turn=lambda: None)
+                            results[i] = call(prompts[i], turn=lambda _: None)
                         t = threading.Thread(target=run, daemon=True)
                         t.start()
                         wave.append((i, t, time.monotonic() + timeout_s))
