@@ -45,7 +45,8 @@ def documents_to_requests(docs: DataFrame, extracted_col: str | None = None,
     if extraction_error_col:
         e = F.col(extraction_error_col)
         failed = F.when((kind == "local") | e.startswith(TOO_LARGE), e)
-    pre_error = F.coalesce(F.col("dispatch_error"), failed)
+    listed = F.col("list_error") if "list_error" in docs.columns else F.lit(None).cast("string")
+    pre_error = F.coalesce(listed, F.col("dispatch_error"), failed)
     return dispatch_sources(docs, "source_type").withColumns({
         "document_id": doc_id,
         "document_content": content,

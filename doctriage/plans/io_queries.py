@@ -10,7 +10,7 @@ from ..session import scratch_dir
 from ..sinks import writers as W
 from ..sinks.objects import write_objects
 from ..sources import discover as D
-from ..sources.files import NOT_FOUND, fetch, list_files, plain, read_text_ranges
+from ..sources.files import NOT_FOUND, fetch, list_files, plain, read_text_ranges, spread
 from ..streaming.queue import load_requests, messages_to_requests
 from . import fixtures as fx
 from .registry import PROMPT_FRAME_SQL, PROMPT_TAIL_SQL, REQ, RES, register
@@ -39,17 +39,17 @@ def q_file_list_csv(spark, d):
 
 
 @register("file_list_json", f"""
-SELECT document_id, source_type, source, CAST(n_chars AS BIGINT) AS size FROM {REQ}""")
+SELECT document_id, source_type, source, CAST(n_chars AS BIGINT) AS size,
+  '{{"note":{{"ids":[' || CAST(doc_id AS VARCHAR) || '],"lang":"' || lang || '"}}}}' AS other_fields, md5(document_content) AS text_md5
+FROM {REQ}""")
 def q_file_list_json(spark, d):
+    """All documents with their whole texts in array files, whose fields beyond the known ones are kept (A4)."""
     path = scratch_dir(spark, "file-list-json")
-    rec = F.to_json(F.struct("document_id", "source_type", "source", F.col("n_chars").alias("size")))
-    grp = (F.col("doc_id") / 500).cast("bigint")
-    arrays = (fx.requests_fx(spark, d).select(grp.alias("grp"), F.col("doc_id"), rec.alias("j"))
-              .groupBy("grp").agg(F.concat(F.lit("["), F.array_join(
-                  F.transform(F.array_sort(F.collect_list(F.struct("doc_id", "j"))), lambda x: x["j"]), ","),
-                  F.lit("]")).alias("value")))
-    arrays.repartition("grp").write.partitionBy("grp").text(path)
-    return D.read_file_list_json(spark, path).select("document_id", "source_type", "source", "size")
+    note = F.struct("lang", F.array("doc_id").alias("ids"))
+    rec = F.struct("document_id", "source_type", "source", F.col("n_chars").alias("size"), F.col("document_content").alias("text"), note.alias("note"))
+    W.write_json_arrays(fx.requests_fx(spark, d).select(rec.alias("r")).select("r.*"), path)
+    back = D.read_file_list_json(spark, path)
+    return back.select("document_id", "source_type", "source", "size", "other_fields", F.md5("text").alias("text_md5"))
 
 
 @register("file_list_text", f"""
@@ -150,7 +150,7 @@ SELECT key, CASE WHEN NOT bad THEN md5(text) END AS text_md5, CASE WHEN bad THEN
 def q_decode_text(spark, d):
     """Strict UTF-8 decoding of every file's bytes."""
     root = _documents_as_objects(spark, d)
-    out = X.decode_text(fetch(list_files(spark, root).repartition("path"), "path"))
+    out = X.decode_text(fetch(spread(list_files(spark, root), "path"), "path"))
     return out.select(_key(F.col("path"), root).alias("key"), F.md5("text").alias("text_md5"), F.col("extraction_error").alias("error"))
 
 
@@ -173,7 +173,7 @@ def q_result_objects(spark, d):
     """One object for each result record, listed and read back."""
     root = scratch_dir(spark, "result-objects")
     W.write_result_objects(W.batch_records(fx.results_fx(spark, d)), root, "out/")
-    found = fetch(list_files(spark, root).repartition("path"), "path")
+    found = fetch(spread(list_files(spark, root), "path"), "path")
     rec = F.from_json(F.col("content").cast("string"), "document_id string, status string")
     return found.select(_key(F.col("path"), root).alias("key"), rec.document_id.alias("document_id"), rec.status.alias("status"))
 
@@ -243,5 +243,5 @@ SELECT key, 'text' AS extractor, CASE WHEN NOT bad THEN md5(text) END AS text_md
 def q_extract_documents(spark, d):
     """Every document file routed by suffix and extracted in one pass."""
     root = _documents_as_objects(spark, d)
-    out = X.extract_documents(fetch(list_files(spark, root).repartition("path"), "path"))
+    out = X.extract_documents(fetch(spread(list_files(spark, root), "path"), "path"))
     return out.select(_key(F.col("path"), root).alias("key"), "extractor", F.md5("text").alias("text_md5"), F.col("extraction_error").alias("error"))

@@ -178,15 +178,24 @@ def batch_records(df: DataFrame, threshold: float = DEFAULT_THRESHOLD) -> DataFr
 def write_json_arrays(df: DataFrame, path: str, per_file: int = 1000, mode: str = "overwrite") -> None:
     """Records as JSON array files of at most ``per_file`` records each (the reference's saved form).
 
-    Groups are formed inside each input partition (partition id, running position
-    / ``per_file``), so no group is larger than ``per_file`` and nothing passes
-    through the driver; each group is written as one single-line array file.
-    Read back with ``read_results(..., multiline=True)``.
+    Arrays are formed inside each input partition (running position / ``per_file``), so none is
+    larger than ``per_file`` and nothing is shuffled or passes through the driver; each is a row, and
+    each row a file of one line.  Read back with ``read_results(..., multiline=True)``.
     """
-    pos = F.monotonically_increasing_id()
-    grp = F.concat_ws("-", F.spark_partition_id().cast("string"),
-                      F.floor(F.pmod(pos, F.lit(1 << 33)) / per_file).cast("string"))
-    rows = df.select(grp.alias("grp"), pos.alias("__pos"), F.to_json(F.struct(*df.columns)).alias("__j"))
-    arrays = rows.groupBy("grp").agg(F.concat(F.lit("["), F.array_join(F.transform(
-        F.array_sort(F.collect_list(F.struct("__pos", "__j"))), lambda x: x["__j"]), ","), F.lit("]")).alias("value"))
-    arrays.write.mode(mode).partitionBy("grp").text(path)
+    names = df.columns
+    rows = df.select(F.to_json(F.struct(*names)).alias("j"))
+
+    def arrays(batches):
+        import pyarrow as pa
+
+        held: list[str] = []
+        for batch in batches:
+            for j in batch.column(0).to_pylist():
+                held.append(j)
+                if len(held) == per_file:
+                    yield pa.RecordBatch.from_arrays([pa.array(["[" + ",".join(held) + "]"])], ["value"])
+                    held = []
+        if held:
+            yield pa.RecordBatch.from_arrays([pa.array(["[" + ",".join(held) + "]"])], ["value"])
+
+    rows.mapInArrow(arrays, "value string").write.mode(mode).option("maxRecordsPerFile", "1").text(path)

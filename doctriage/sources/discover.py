@@ -11,9 +11,10 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.paths import file_name, key_pattern_match, name_glob_match, parse_s3_uri, path_stem, prefix_match
+from ..functions.paths import file_name, glob_to_regex, key_pattern_match, name_glob_match, parse_s3_uri, path_stem, prefix_match
 from ..schemas import BATCH_RESULT_SCHEMA, DOCUMENT_SCHEMA
-from .files import LIMIT_BYTES, TOO_LARGE, fetch, list_files, plain
+from .files import LIMIT_BYTES, TOO_LARGE, fetch, list_files, plain, spread
+from .json_arrays import read_json_arrays
 
 DOCUMENT_COLUMNS = [f.name for f in DOCUMENT_SCHEMA.fields]
 
@@ -41,7 +42,7 @@ def load_documents(docs: DataFrame, location: str | Column = "source", extractor
     # the row itself in one column, so that no name of its meets those of the stages below
     named = docs.select(F.struct("*").alias("__doc"), where.alias("path"))
     # a large folder is one partition of its listing: its files are read by many tasks
-    texts = extract_documents(fetch(named.repartition("path"), "path", max_size_bytes), extractors)
+    texts = extract_documents(fetch(spread(named, "path"), "path", max_size_bytes), extractors)
     # a file that was not read has its own reason, not that of an extractor without content
     error = F.when(F.col("path").isNotNull(), F.coalesce("fetch_error", "extraction_error"))
     return texts.select("__doc.*", F.col("text").alias("extracted"), error.alias("extraction_error"))
@@ -130,11 +131,37 @@ def read_file_list_csv(spark: SparkSession, path: str) -> DataFrame:
                    .option("quote", '"').option("escape", '"').option("multiLine", "true").csv(path))
 
 
+def _files_of(spark: SparkSession, path: str) -> DataFrame:
+    """The file, the files below the folder, or those that a glob names, with their lengths; names that Spark's writers hide are left out."""
+    parts = plain(path).split("/")
+    globbed = [i for i, x in enumerate(parts) if any(c in x for c in "*?[")]
+    if globbed:  # stars stay within a name
+        pattern = glob_to_regex(plain(path)).replace("[\\s\\S]", "[^/]")
+        found = list_files(spark, "/".join(parts[:globbed[0]]) or "/", recursive=globbed[0] < len(parts) - 1)
+        return found.where(F.col("path").rlike(pattern) & ~file_name("path").rlike("^[._]"))
+    if path.rsplit("/", 1)[-1].count("."):
+        folder, name = plain(path).rsplit("/", 1)
+        one = list_files(spark, folder or "/", recursive=False).where(file_name("path") == name)
+        if one.limit(1).count():
+            return one
+    return list_files(spark, path).where(~file_name("path").rlike("^[._]"))
+
+
 def read_file_list_json(spark: SparkSession, path: str) -> DataFrame:
-    """JSON file list: each file holds an array of document objects or one object (A4)."""
-    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in DOCUMENT_SCHEMA.fields
-                       if f.name not in ("last_modified", "size")) + ", size bigint, last_modified string"
-    df = spark.read.option("multiLine", "true").schema(schema).json(path)
+    """JSON file list: each file holds an array of document objects or one object (A4).
+
+    A large array is read by many tasks (``json_arrays``).  Fields beyond the document's are kept as a
+    JSON object in ``other_fields`` (NULL where there are none).  What is no JSON is a row with
+    ``list_error``; ``run_batch`` makes it an error row.
+    """
+    fields = [f for f in DOCUMENT_SCHEMA.fields if f.name != "last_modified"]
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in fields) + ", last_modified string"
+    rows = read_json_arrays(_files_of(spark, path))
+    known = F.from_json("record", schema)
+    every = F.from_json("record", "map<string, variant>")
+    rest = F.map_filter(every, lambda k, v: ~k.isin(DOCUMENT_COLUMNS))
+    df = rows.select(known.alias("d"), F.when(F.size(rest) > 0, F.to_json(rest)).alias("other_fields"), F.col("error").alias("list_error"))
+    df = df.select("d.*", "other_fields", "list_error")
     return conform(df.withColumn("last_modified", F.try_to_timestamp("last_modified")))
 
 
@@ -173,11 +200,11 @@ def read_file_list(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_results(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
-    """Batch result records written earlier: JSON lines, or JSON array files."""
-    reader = spark.read.schema(BATCH_RESULT_SCHEMA)
+    """Batch result records written earlier: JSON lines, or JSON array files of any size."""
     if multiline:
-        reader = reader.option("multiLine", "true")
-    return reader.json(path)
+        rows = read_json_arrays(_files_of(spark, path))
+        return rows.select(F.from_json("record", BATCH_RESULT_SCHEMA).alias("r")).select("r.*")
+    return spark.read.schema(BATCH_RESULT_SCHEMA).json(path)
 
 
 RECORD_COLUMNS = ("document_id string, source string, status string, error string, processing_time_ms double, "
