@@ -257,6 +257,11 @@ def ocr_lines(blocks, trim: bool = False) -> Column:
     return py_strip(text) if trim else text
 
 
+def ocr_pages(blocks) -> Column:
+    """Pages of an OCR response: its PAGE blocks."""
+    return F.size(F.filter(_c(blocks), lambda b: b["BlockType"] == "PAGE"))
+
+
 def resolve_text(content, extracted=None) -> Column:
     """Document text: non-empty content wins, then extracted text, else '' (C7)."""
     parts = [F.nullif(_c(content), F.lit(""))]

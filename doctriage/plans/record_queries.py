@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..operators import extract as X, reports as R
 from ..session import scratch_dir
 from ..sinks import writers as W
 from . import fixtures as fx
@@ -105,16 +106,54 @@ def q_summary_projection(spark, d):
 SELECT document_id, source AS source_uri, {ISO_SQL.format(t='timestamp')} AS processing_start,
   processing_time_ms AS processing_duration_ms, '{MODEL_ID}' AS bedrock_model,
   CAST(0.7 AS DOUBLE) AS confidence_threshold,
-  CASE WHEN status = 'success' THEN 'completed' ELSE status END AS status, strftime(timestamp, '%d') AS day
+  CASE WHEN status = 'success' THEN 'completed' ELSE status END AS status, strftime(timestamp, '%d') AS day,
+  CASE WHEN status = 'success' THEN CAST(event_id % 4 AS INTEGER) END AS textract_pages
 FROM {RES}""")
 def q_metadata_rows(spark, d):
     path = scratch_dir(spark, "metadata-by-day")
     res = fx.results_fx(spark, d)
-    meta = W.metadata_rows(res, MODEL_ID, keep=["timestamp"])
-    W.write_by_day(meta.drop("textract_pages"), path)
+    # an OCR response with as many pages as event_id % 4, each with a line
+    page = lambda kind: F.struct(F.lit(kind).alias("BlockType"), F.lit("x").alias("Text"))
+    blocks = F.flatten(F.array_repeat(F.array(page("PAGE"), page("LINE")), (F.col("event_id") % 4).cast("int")))
+    res = res.withColumn("pages", F.when(F.col("status") == "success", X.ocr_pages(blocks)))
+    W.write_by_day(W.metadata_rows(res, MODEL_ID, keep=["timestamp"], pages="pages"), path)
     back = spark.read.schema(
         "document_id string, source_uri string, processing_start string, processing_duration_ms double, "
-        "bedrock_model string, confidence_threshold double, status string, timestamp timestamp, "
+        "bedrock_model string, confidence_threshold double, status string, timestamp timestamp, textract_pages int, "
         "year string, month string, day string").json(path)
     return back.select("document_id", "source_uri", "processing_start", "processing_duration_ms", "bedrock_model",
-                       "confidence_threshold", "status", "day")
+                       "confidence_threshold", "status", "day", "textract_pages")
+
+
+@register("write_results_both", f"""
+SELECT r.document_id, r.status, CASE WHEN r.status = 'success' THEN r.document_type END AS document_type,
+  CASE WHEN r.status = 'success' THEN CAST(r.confidence AS VARCHAR) END AS confidence_text, r.confidence
+FROM {RES} r""")
+def q_write_results_both(spark, d):
+    """Both formats of one batch, the CSV made from the JSON, read back side by side."""
+    path = scratch_dir(spark, "results-both")
+    res = fx.results_fx(spark, d)
+    W.write_results(res, path, format="both")
+    csv = (spark.read.option("header", "true").option("inferSchema", "false").csv(f"{path}/summary")
+           .select("document_id", "status", "document_type", F.col("confidence").alias("confidence_text")))
+    detailed = spark.read.schema("document_id string, confidence double").json(f"{path}/detailed")
+    return csv.join(detailed, "document_id")
+
+
+@register("report_file", f"""
+SELECT document_type, n, processed_count, success_count, high_confidence, rows_written
+FROM (SELECT document_type, CAST(count(*) AS BIGINT) AS n FROM {RES} WHERE status = 'success' AND document_type IS NOT NULL GROUP BY 1),
+     (SELECT CAST(count(*) AS BIGINT) AS processed_count, CAST(count_if(status = 'success') AS BIGINT) AS success_count,
+             CAST(count_if(status = 'success' AND confidence > 0.8) AS BIGINT) AS high_confidence,
+             CAST(count(*) AS BIGINT) AS rows_written FROM {RES})""")
+def q_report_file(spark, d):
+    """The batch report written with its rows, and read back type by type."""
+    path = scratch_dir(spark, "report")
+    res = fx.results_fx(spark, d)
+    W.write_report(R.batch_report(res), W.batch_records(res), path)
+    back = spark.read.schema("batch_summary struct<processed_count bigint, success_count bigint>, document_types map<string, bigint>, "
+                             "confidence_stats struct<high_confidence bigint>").json(f"{path}/summary")
+    rows = spark.read.schema("document_id string").json(f"{path}/results").agg(F.count("*").alias("rows_written"))
+    types = back.select(F.explode("document_types").alias("document_type", "n"), F.col("batch_summary.processed_count").alias("processed_count"),
+                        F.col("batch_summary.success_count").alias("success_count"), F.col("confidence_stats.high_confidence").alias("high_confidence"))
+    return types.join(rows.withColumn("one", F.lit(1)), F.col("one") == 1).drop("one")

@@ -111,6 +111,13 @@ def write_by_day(df: DataFrame, path: str, ts: str = "timestamp", mode: str = "o
     d.hint("rebalance", *parts).write.mode(mode).partitionBy(*parts).json(path)
 
 
+def write_report(report: DataFrame, results: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """The batch report with its rows (B5): ``path``/summary has the report, ``path``/results one JSON line a result."""
+    base = path.rstrip("/")
+    report.coalesce(1).write.mode(mode).json(f"{base}/summary")  # one row
+    write_results_json(results, f"{base}/results", mode)
+
+
 def write_result_objects(records: DataFrame, root: str, results_prefix: str = "") -> DataFrame:
     """Each record as an object of its own, ``{results_prefix}classified/YYYY/MM/DD/HH/{document_id}/result.json`` below ``root``.
 
@@ -128,14 +135,18 @@ def write_retry_list(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.select("value").write.mode(mode).text(path)
 
 
-def metadata_rows(df: DataFrame, model: str, threshold: float = 0.7, keep: list[str] | None = None) -> DataFrame:
-    """Processing metadata record per result (B4 content); ``keep`` carries extra input columns."""
+def metadata_rows(df: DataFrame, model: str, threshold: float = 0.7, keep: list[str] | None = None,
+                  pages: str | None = None) -> DataFrame:
+    """Processing metadata record per result (B4 content); ``keep`` carries extra input columns.
+
+    ``pages`` is the column with the pages that OCR found (``extract.ocr_pages``), NULL where it did not run.
+    """
     return df.select(
         "document_id",
         F.col("source").alias("source_uri"),
         iso_timestamp("timestamp").alias("processing_start"),
         F.col("processing_time_ms").alias("processing_duration_ms"),
-        F.lit(None).cast("int").alias("textract_pages"),
+        (F.col(pages) if pages else F.lit(None)).cast("int").alias("textract_pages"),
         F.lit(model).alias("bedrock_model"),
         F.lit(float(threshold)).alias("confidence_threshold"),
         F.when(F.col("status") == "success", F.lit("completed")).otherwise(F.col("status")).alias("status"),
