@@ -304,6 +304,17 @@ def retry_list(df: DataFrame, status: str = "status", source: str = "source") ->
     return df.where(~_success(status) | F.col(status).isNull()).select(F.col(source).alias("value"))
 
 
+def flat_results(df: DataFrame, keep: list[str] | None = None) -> DataFrame:
+    """Classified rows as flat records with their derived fields (D19); ``keep`` carries further columns."""
+    from ..functions.confidence import confidence_level, is_high_confidence, needs_review
+    from .extract import extraction_failed
+    return df.select(
+        *(keep or []), "document_id", F.col("predicted_type").alias("document_type"), F.col("primary_score").alias("confidence"),
+        confidence_level("primary_score").alias("confidence_level"), is_high_confidence("primary_score").alias("high_confidence"),
+        needs_review("primary_score", "threshold").alias("needs_review"), "reasoning",
+        extraction_failed("reasoning", "predicted_type").alias("extraction_failed"))
+
+
 def review_queue(df: DataFrame, score: str = "primary_score", threshold: str = "threshold") -> DataFrame:
     """Rows that need human review, lowest score first, then by key: a score that many share is split."""
     from ..functions.confidence import needs_review

@@ -42,9 +42,10 @@ def q_type_distribution(spark, d):
 
 
 @register("batch_status", f"""
-SELECT exp_status AS status, exp_stage AS stage, CAST(count(*) AS BIGINT) AS n FROM {EXPECTED} GROUP BY 1, 2""")
+SELECT exp_status AS status, exp_stage AS stage, CAST(count(*) AS BIGINT) AS n, CAST(count(DISTINCT {PROMPT_MD5_SQL}) AS BIGINT) AS prompts
+FROM {EXPECTED} GROUP BY 1, 2""")
 def q_batch_status(spark, d):
-    return classified(spark, d).groupBy("status", "stage").agg(F.count(F.lit(1)).alias("n"))
+    return classified(spark, d).groupBy("status", "stage").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("prompt_md5").alias("prompts"))
 
 
 @register("pair_responses", f"""
@@ -82,11 +83,12 @@ def q_parse_response(spark, d):
 
 @register("fallback_rows", f"""
 SELECT exp_stage AS stage, exp_type AS predicted_type, exp_score AS primary_score,
-  CAST(0.7 AS DOUBLE) AS threshold, CAST(count(*) AS BIGINT) AS n
+  CAST(0.7 AS DOUBLE) AS threshold, CAST(count(*) AS BIGINT) AS n, CAST(count(DISTINCT {PROMPT_MD5_SQL}) AS BIGINT) AS prompts
 FROM {EXPECTED} WHERE exp_stage <> 'ok' GROUP BY 1, 2, 3, 4""")
 def q_fallback_rows(spark, d):
     res = classified(spark, d).where(F.col("stage") != "ok")
-    return res.groupBy("stage", "predicted_type", "primary_score", "threshold").agg(F.count(F.lit(1)).alias("n"))
+    return res.groupBy("stage", "predicted_type", "primary_score", "threshold").agg(
+        F.count(F.lit(1)).alias("n"), F.count_distinct("prompt_md5").alias("prompts"))
 
 
 # ===========================================================================
@@ -94,74 +96,68 @@ def q_fallback_rows(spark, d):
 # ===========================================================================
 
 @register("confidence_level", f"""
-SELECT request_key, exp_score AS primary_score, {LEVEL_SQL.format(s='exp_score')} AS confidence_level
+SELECT {PROMPT_MD5_SQL} AS prompt_md5, request_key, exp_score AS primary_score, {LEVEL_SQL.format(s='exp_score')} AS confidence_level
 FROM {EXPECTED}""")
 def q_confidence_level(spark, d):
-    return classified(spark, d).select("request_key", "primary_score",
+    return classified(spark, d).select("prompt_md5", "request_key", "primary_score",
                                        C.confidence_level("primary_score").alias("confidence_level"))
 
 
 @register("is_confident", f"""
-SELECT request_key, exp_score >= 0.7 AS is_confident FROM {EXPECTED}""")
+SELECT {PROMPT_MD5_SQL} AS prompt_md5, request_key, exp_score >= 0.7 AS is_confident FROM {EXPECTED}""")
 def q_is_confident(spark, d):
-    return classified(spark, d).select("request_key", C.is_confident("primary_score", "threshold")
+    return classified(spark, d).select("prompt_md5", "request_key", C.is_confident("primary_score", "threshold")
                                        .alias("is_confident"))
 
 
 @register("review_flags", f"""
-SELECT request_key, exp_score >= 0.8 AS high_confidence, NOT (exp_score >= 0.7) AS needs_review
+SELECT {PROMPT_MD5_SQL} AS prompt_md5, request_key, exp_score >= 0.8 AS high_confidence, NOT (exp_score >= 0.7) AS needs_review
 FROM {EXPECTED}""")
 def q_review_flags(spark, d):
-    return classified(spark, d).select(
-        "request_key", C.is_high_confidence("primary_score").alias("high_confidence"),
+    return classified(spark, d).select("prompt_md5", "request_key", C.is_high_confidence("primary_score").alias("high_confidence"),
         C.needs_review("primary_score", "threshold").alias("needs_review"))
 
 
 @register("review_queue", f"""
-SELECT request_key, exp_score AS primary_score FROM {EXPECTED} WHERE exp_score < 0.7""")
+SELECT {PROMPT_MD5_SQL} AS prompt_md5, request_key, exp_score AS primary_score FROM {EXPECTED} WHERE exp_score < 0.7""")
 def q_review_queue(spark, d):
-    return R.review_queue(classified(spark, d)).select("request_key", "primary_score")
+    return R.review_queue(classified(spark, d)).select("prompt_md5", "request_key", "primary_score")
 
 
 @register("status_label", f"""
-SELECT request_key, CASE WHEN exp_score >= 0.8 THEN 'High confidence result!'
+SELECT {PROMPT_MD5_SQL} AS prompt_md5, request_key, CASE WHEN exp_score >= 0.8 THEN 'High confidence result!'
   WHEN exp_score < 0.7 THEN 'Needs human review' ELSE 'Standard confidence result' END AS status_label
 FROM {EXPECTED}""")
 def q_status_label(spark, d):
-    return classified(spark, d).select("request_key", C.status_label("primary_score", "threshold")
+    return classified(spark, d).select("prompt_md5", "request_key", C.status_label("primary_score", "threshold")
                                        .alias("status_label"))
 
 
 @register("accept_code", f"""
-SELECT request_key, CASE WHEN exp_status <> 'success' THEN 2 WHEN exp_score >= 0.7 THEN 0 ELSE 1 END AS accept_code
+SELECT {PROMPT_MD5_SQL} AS prompt_md5, request_key, CASE WHEN exp_status <> 'success' THEN 2 WHEN exp_score >= 0.7 THEN 0 ELSE 1 END AS accept_code
 FROM {EXPECTED}""")
 def q_accept_code(spark, d):
     res = classified(spark, d)
-    return res.select("request_key", C.accept_code("primary_score", F.col("status") != "success")
+    return res.select("prompt_md5", "request_key", C.accept_code("primary_score", F.col("status") != "success")
                       .alias("accept_code"))
 
 
 @register("flat_result", f"""
-SELECT document_id, exp_type AS document_type, exp_score AS confidence,
+SELECT {PROMPT_MD5_SQL} AS prompt_md5, document_id, exp_type AS document_type, exp_score AS confidence,
   {LEVEL_SQL.format(s='exp_score')} AS confidence_level, exp_score >= 0.8 AS high_confidence,
   NOT (exp_score >= 0.7) AS needs_review, exp_reasoning AS reasoning,
   (exp_type = 'other' AND exp_reasoning LIKE '%# Limit text length%') AS extraction_failed
 FROM {EXPECTED} WHERE exp_status = 'success'""")
 def q_flat_result(spark, d):
     res = classified(spark, d).where(F.col("status") == "success")
-    return res.select(
-        "document_id", F.col("predicted_type").alias("document_type"), F.col("primary_score").alias("confidence"),
-        C.confidence_level("primary_score").alias("confidence_level"),
-        C.is_high_confidence("primary_score").alias("high_confidence"),
-        C.needs_review("primary_score", "threshold").alias("needs_review"), "reasoning",
-        X.extraction_failed("reasoning", "predicted_type").alias("extraction_failed"))
+    return R.flat_results(res, keep=["prompt_md5"])
 
 
 @register("extraction_failed", f"""
-SELECT request_key FROM {EXPECTED} WHERE exp_type = 'other' AND exp_reasoning LIKE '%# Limit text length%'""")
+SELECT {PROMPT_MD5_SQL} AS prompt_md5, request_key FROM {EXPECTED} WHERE exp_type = 'other' AND exp_reasoning LIKE '%# Limit text length%'""")
 def q_extraction_failed(spark, d):
     res = classified(spark, d)
-    return res.where(X.extraction_failed("reasoning", "predicted_type")).select("request_key")
+    return res.where(X.extraction_failed("reasoning", "predicted_type")).select("prompt_md5", "request_key")
 
 
 VALIDATE_INPUT = [
