@@ -14,11 +14,19 @@ from .registry import EXPECTED, MODEL_ID, PROMPT_MD5_SQL, register
 # Streaming
 # ===========================================================================
 
-def _write_messages(spark, d) -> str:
-    path = scratch_dir(spark, "messages")
-    body = F.to_json(F.struct(F.col("source").alias("document_uri"), "document_id", "document_content"))
-    fx.requests_fx(spark, d).select(body.alias("body")).repartition(4).write.json(path)
-    return path
+_MESSAGES: dict[tuple[str, str], str] = {}
+
+
+def _messages(spark, d) -> tuple[str, int]:
+    """The folder of all messages, written once a session, and its number of files."""
+    at = (spark.sparkContext.applicationId, d)
+    files = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if at not in _MESSAGES:
+        path = scratch_dir(spark, "messages")
+        body = F.to_json(F.struct(F.col("source").alias("document_uri"), "document_id", "document_content"))
+        fx.requests_fx(spark, d).select(body.alias("body")).repartition(files).write.json(path)
+        _MESSAGES[at] = path
+    return _MESSAGES[at], files
 
 
 @register("stream_classify", f"""
@@ -26,7 +34,7 @@ SELECT request_key, document_id, exp_status AS status, exp_stage AS stage, exp_t
        exp_score AS primary_score, {PROMPT_MD5_SQL} AS prompt_md5 FROM {EXPECTED}""")
 def q_stream_classify(spark, d):
     from ..streaming.queue import classify_stream, read_messages, write_stream
-    src = _write_messages(spark, d)
+    src, _ = _messages(spark, d)
     out, ckpt = scratch_dir(spark, "stream-out"), scratch_dir(spark, "stream-ckpt")
     msgs = read_messages(spark, src)  # drains the queue in one micro-batch; J3 bounds are shown by stream_batch_counts
     scorer = fx.recorded(spark, d)  # stored once, scanned per batch
@@ -42,10 +50,10 @@ SELECT CAST(count(*) AS BIGINT) AS processed, CAST(count_if(exp_status = 'succes
   TRUE AS several_batches FROM {EXPECTED}""")
 def q_stream_batch_counts(spark, d):
     from ..streaming.queue import classify_stream, read_messages, results_and_counts_writer
-    src = _write_messages(spark, d)
+    src, files = _messages(spark, d)
     rows, out = scratch_dir(spark, "stream-rows"), scratch_dir(spark, "stream-counts")
     ckpt = scratch_dir(spark, "stream-counts-ckpt")
-    msgs = read_messages(spark, src, max_files_per_trigger=1)  # bounded micro-batches (J3)
+    msgs = read_messages(spark, src, max_files_per_trigger=-(-files // 4))  # bounded micro-batches (J3)
     res = classify_stream(msgs, fx.recorded(spark, d), model=MODEL_ID)
     q = (res.writeStream.foreachBatch(results_and_counts_writer(rows, out)).option("checkpointLocation", ckpt)
          .trigger(availableNow=True).start())
