@@ -79,7 +79,9 @@ def materialize(df, name: str = "stage", fmt: str = "parquet"):
     """
     spark = df.sparkSession
     path = scratch_dir(spark, name)
-    df.write.mode("overwrite").format(fmt).save(path)
+    writer = df.write.mode("overwrite").format(fmt)
+    # written once and read a few times: what it takes on disk counts for more than the time to pack it
+    (writer.option("compression", "zstd") if fmt == "parquet" else writer).save(path)
     return spark.read.format(fmt).load(path)
 
 
