@@ -7,6 +7,7 @@ its input, whatever their names, never meet its own.
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,6 +25,17 @@ NO_ID = 2**63 - 1  # stands for a null id inside operators: larger than any othe
 SLICE_BYTES = 4 << 20  # text bytes that a Python stage handles at once (one longer text: alone)
 
 
+KEPT: dict[str, object] = {}  # what a worker process keeps from one task of a stage to the next
+
+
+def let_go() -> None:
+    """Drop what stages before this one have kept in this worker."""
+    if KEPT:
+        KEPT.clear()
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+
+
 def column(df: DataFrame, name: str) -> Column:
     """The column of that name, also when it holds a dot."""
     return df[f"`{name}`"]

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import codes_of, column, text_slices, words_of
+from .common import codes_of, column, let_go, text_slices, words_of
 
 UNKNOWN = "und"
 TRAIN_DOCUMENTS = 8000  # labelled documents that the model is fitted on at most: as many of each language, by a hash of the id
@@ -171,6 +171,7 @@ def identify(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str =
     score 0 and an empty set.  Only the text is read for a prediction.
     """
     def run(batches):
+        let_go()
         for rows, texts in text_slices(batches, limit=SLICE_BYTES):
             names, score, sets = _predict(model, texts)
             yield pa.RecordBatch.from_arrays([rows.column(0), rows.column(1), pa.array(names, pa.string()),
@@ -194,6 +195,7 @@ def keep_identified(docs: DataFrame, model: Model, text: str = "text") -> DataFr
     place = docs.columns.index(text)
 
     def run(batches):
+        let_go()
         for batch in batches:
             named = batch.rename_columns([f"c{i}" for i in range(batch.num_columns)])
             for rows, texts in text_slices([named], f"c{place}", SLICE_BYTES):

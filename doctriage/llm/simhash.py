@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from .common import NO_ID, column, kept_rows, own_rows, text_slices
+from .common import NO_ID, column, kept_rows, let_go, own_rows, text_slices
 from .components import components
 
 SHINGLE = 3
@@ -47,6 +47,7 @@ def fingerprint(text: str, shingle: int = SHINGLE) -> int:
 
 def _fingerprints(shingle: int):
     def run(batches):
+        let_go()
         for rows, texts in text_slices(batches):
             found = np.array([fingerprint(t, shingle) for t in texts.to_pylist()], np.uint64)
             yield pa.RecordBatch.from_arrays([*rows.columns[:-1], pa.array(found.view(np.int64))],

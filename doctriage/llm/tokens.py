@@ -9,7 +9,6 @@ differ), and texts that may hold the string of an added token, are encoded in on
 
 from __future__ import annotations
 
-import gc
 import os
 import re
 from contextlib import contextmanager
@@ -18,10 +17,12 @@ import numpy as np
 import public_tokenizers
 import pyarrow as pa
 
+from .common import KEPT
+
 WORD_BPE = "word_bpe_49k.json"
 BYTE_BPE = "byte_bpe_50k.json"
 END_ID = 1
-CACHED = 32 << 20  # bytes, about, of segments, and as many of pieces of segments, that a task remembers; others are encoded again
+CACHED = 48 << 20  # bytes, about, of segments, and as many of pieces of segments, that a task remembers; others are encoded again
 _ENTRY = 160       # bytes that a remembered one takes besides its characters and ids
 
 _SEGMENT = re.compile(r"[ \t-\r]*[^ \t-\r]+|[ \t-\r]+\Z")
@@ -123,12 +124,12 @@ class Encoder:
 
 @contextmanager
 def encoder(vocabulary: str):
-    """An encoder for one task; what it remembers goes with it, so a worker that lives on keeps nothing."""
+    """An encoder for one task.  The worker keeps it for the stage's next task, until a stage of another kind lets it go."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs the tasks side by side
-    held = [Encoder(vocabulary)]
+    if vocabulary not in KEPT:
+        KEPT.clear()
+        KEPT[vocabulary] = Encoder(vocabulary)
     try:
-        yield held[0]
+        yield KEPT[vocabulary]
     finally:
-        held.clear()
-        gc.collect()
         pa.default_memory_pool().release_unused()

@@ -9,7 +9,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from doctriage.llm import packing, token_files, tokens
+from doctriage.llm import common, packing, token_files, tokens
 
 
 def whole(vocabulary, texts):
@@ -43,9 +43,12 @@ def test_memory_of_an_encoder_is_bounded_and_let_go():
             encode([" ".join(f"w{i}x{j}q" for j in range(60_000))])
         for known in (encode._segments_known, encode._pieces_known):
             assert sum(len(k) + len(v) + tokens._ENTRY for k, v in known.items()) <= tokens.CACHED
-        held = encode
-    import sys
-    assert sys.getrefcount(held) <= 3
+    with tokens.encoder(tokens.BYTE_BPE) as again:
+        assert again is encode  # the stage's next task
+    with tokens.encoder(tokens.WORD_BPE):
+        assert list(common.KEPT) == [tokens.WORD_BPE]
+    common.let_go()
+    assert not common.KEPT
 
 
 def test_rows_of_one_id_are_spread(spark, frame):
