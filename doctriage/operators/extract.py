@@ -14,7 +14,10 @@ import zipfile
 from collections.abc import Callable, Sequence
 from xml.etree import ElementTree
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -29,6 +32,8 @@ EXTRACTED = T.StructType([
     T.StructField("error", T.StringType()),
 ])
 
+SLICE_BYTES = 4 << 20  # contents of a batch that are Python objects at once (one larger: alone)
+
 
 def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
@@ -118,10 +123,22 @@ def _safe(fn: Callable[[bytes], str]):
     return run
 
 
-@F.pandas_udf(EXTRACTED)
-def _extract_docx(content: pd.Series) -> pd.DataFrame:
+def by_slices(values: pa.Array, fn: Callable[[list], list], kind: pa.DataType) -> pa.Array:
+    """``fn`` of a batch's values, slice by slice: the batch and its results are Arrow's, Python holds the objects of one slice."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(values), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    out, a = [pa.array([], kind)], 0
+    while a < len(values):
+        b = max(a + 1, int(np.searchsorted(ends, (ends[a - 1] if a else 0) + SLICE_BYTES, side="right")))
+        out.append(pa.array(fn(values.slice(a, b - a).to_pylist()), kind))
+        a = b
+    return pa.concat_arrays(out)
+
+
+@F.arrow_udf(EXTRACTED)
+def _extract_docx(content: pa.Array) -> pa.Array:
     run = _safe(_docx_text)
-    return pd.DataFrame([run(b) for b in content], columns=["text", "error"])
+    return by_slices(content, lambda some: [dict(zip(("text", "error"), run(b))) for b in some],
+                     pa.struct([("text", pa.string()), ("error", pa.string())]))
 
 
 # Python stages are marked non-deterministic so that a filter on their output is

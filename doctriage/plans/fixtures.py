@@ -10,11 +10,12 @@ construction rule.
 
 from __future__ import annotations
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..operators.extract import by_slices
 from ..schemas import OFFERED_TYPES
 
 
@@ -237,7 +238,7 @@ def docx_bytes(text: str) -> bytes:
     return buf.getvalue()
 
 
-@F.pandas_udf(T.BinaryType())
-def make_docx(texts: pd.Series) -> pd.Series:
+@F.arrow_udf(T.BinaryType())
+def make_docx(texts: pa.Array) -> pa.Array:
     """DOCX bytes for each text (Arrow-batched fixture builder)."""
-    return texts.map(lambda t: docx_bytes(t or ""))
+    return by_slices(texts, lambda some: [docx_bytes(t or "") for t in some], pa.binary())

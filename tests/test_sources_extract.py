@@ -3,11 +3,12 @@
 import os
 import tempfile
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from doctriage.operators import extract as X
-from doctriage.plans.fixtures import docx_bytes
+from doctriage.plans.fixtures import docx_bytes, make_docx
 from doctriage.sources import discover as D
 
 
@@ -80,6 +81,26 @@ def test_docx_and_fallback(spark, tree):
     assert out.extraction_errors == ["remote: RuntimeError: no service"]
 
 
+def test_docx_values_become_objects_by_slices(spark, monkeypatch):
+    texts = [f"line {i}\n" + "x" * (i % 7 * 20) for i in range(50)] + [None, "", " é😀 "]
+    monkeypatch.setattr(X, "SLICE_BYTES", 300)
+    seen = []
+
+    def lengths(some):
+        seen.append([len(t or "") for t in some])
+        return [None if t is None else len(t) for t in some]
+    got = X.by_slices(pa.array(texts), lengths, pa.int64())
+    assert got.to_pylist() == [None if t is None else len(t) for t in texts]
+    assert len(seen) > 5 and all(sum(x) <= 300 or len(x) == 1 for x in seen)  # before, a batch was objects as a whole
+    assert X.by_slices(pa.array(texts).slice(40, 13), lengths, pa.int64()).to_pylist() == got.to_pylist()[40:]
+    assert X.by_slices(pa.array([], pa.binary()), lengths, pa.int64()).to_pylist() == []
+    df = spark.createDataFrame(list(enumerate(texts)), "n long, t string").repartition(2)
+    rows = df.select("n", X.extract_docx(make_docx("t")).alias("x")).collect()
+    assert {r.n: (r.x.text, r.x.error) for r in rows} == {i: ((t or "").strip(), None) for i, t in enumerate(texts)}
+    bad = spark.sql("SELECT X'00' AS c UNION ALL SELECT NULL").select(X.extract_docx("c").alias("x")).collect()
+    assert {(r.x.text, r.x.error) for r in bad} == {(None, "no content"), (None, "BadZipFile: File is not a zip file")}
+
+
 def test_ocr_lines_and_resolve(spark):
     blocks = [("PAGE", None), ("LINE", "first"), ("LINE", None), ("WORD", "first"), ("LINE", " last ")]
     df = spark.createDataFrame([(blocks, "", None), (blocks, "given", None)],
