@@ -62,23 +62,26 @@ def distinct_places(a: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """
     n = max(1, len(a)).bit_length()
     low = np.uint64((1 << n) - 1)
-    values = a.astype(np.uint64)
-    if int(values.max(initial=0)).bit_length() + n <= 64:
-        packed = (values << np.uint64(n)) | np.arange(len(a), dtype=np.uint64)
-        packed.sort()
-        by = (packed & low).astype(np.int64)
-    else:  # by the leading bits, which are almost never equal in two different values
-        packed = (values & ~low) | np.arange(len(a), dtype=np.uint64)
-        packed.sort()
-        by = (packed & low).astype(np.int64)
-        if (values[by][1:] < values[by][:-1]).any():
-            by = np.argsort(values)
+    values = a.astype(np.uint64, copy=False)
+    fits = int(values.max(initial=0)).bit_length() + n <= 64
+    packed = values << np.uint64(n) if fits else values & ~low  # else by the leading bits, almost never equal in two different values
+    packed |= np.arange(len(a), dtype=np.uint64)
+    packed.sort()
+    packed &= low
+    by = packed.view(np.int64)
     ordered = a[by]
+    if not fits and (ordered[1:] < ordered[:-1]).any():
+        by = np.argsort(values)
+        ordered = a[by]
     new = np.ones(len(a), bool)
-    new[1:] = ordered[1:] != ordered[:-1]
+    np.not_equal(ordered[1:], ordered[:-1], out=new[1:])
+    distinct = ordered[new]
+    del ordered
     place = np.empty(len(a), np.int64)
-    place[by] = np.cumsum(new) - 1
-    return ordered[new], place
+    ranks = np.cumsum(new)
+    ranks -= 1
+    place[by] = ranks
+    return distinct, place
 
 
 def mixed(a: np.ndarray, b: np.ndarray) -> np.ndarray:

@@ -15,6 +15,8 @@ extensions are the rows that it is the beginning or the end of.
 
 from __future__ import annotations
 
+from functools import cached_property
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -47,11 +49,14 @@ def _index_blocks(batches):
         lang, langs = codes_of(rows.column(rows.schema.get_field_index("lang")).cast(pa.string()))
         words, counts = words_of(pc.replace_substring_regex(pc.ascii_lower(texts), _SPLIT, f" {_SEPARATOR} "))
         codes, distinct = codes_of(words)
+        del words
         cut = pc.equal(distinct, _SEPARATOR).to_numpy(zero_copy_only=False)
         # ids from 1 by falling frequency, of pairs of lang and word; 0 separates pieces and documents
         pair = np.repeat(lang, counts) * len(distinct) + codes
         pair[cut[codes] if len(codes) else []] = -1
-        pairs, place = B.distinct_places(pair + 1)
+        pair += 1
+        pairs, place = B.distinct_places(pair)
+        del pair
         pairs, often = pairs - 1, np.bincount(place)
         of_cut = len(pairs) and pairs[0] == -1
         pairs, often = pairs[int(of_cut):], often[int(of_cut):]
@@ -59,14 +64,15 @@ def _index_blocks(batches):
         rank = np.empty(len(order), np.int64)
         rank[order] = np.arange(1, len(order) + 1)
         rank = np.concatenate([np.zeros(int(of_cut), np.int64), rank])
-        text = np.zeros(len(codes) + len(counts) + 1, np.int64)
+        text = np.zeros(len(codes) + len(counts) + 1, "<u4")
         inside = np.ones(len(text), bool)
         inside[np.cumsum(counts + 1) - counts - 1] = False
         inside[-1] = False
         text[inside] = rank[place] if len(place) else []
+        del codes, place, inside
         text = text[np.r_[True, (text[1:] != 0) | (text[:-1] != 0)]]  # one separator is enough
         yield pa.RecordBatch.from_arrays(
-            [pa.array([(part << 33) + at]), pa.array([len(text)]), pa.array([B.squeeze(text.astype("<u4"))], pa.binary()),
+            [pa.array([(part << 33) + at]), pa.array([len(text)]), pa.array([B.squeeze(text)], pa.binary()),
              pa.array([B.squeeze_words(distinct.take(pa.array(pairs[order] % max(1, len(distinct)))).to_pylist())], pa.binary()),
              pa.array([B.squeeze((pairs[order] // max(1, len(distinct))).astype("<u4"))], pa.binary()),
              pa.array([langs.to_pylist()], pa.list_(pa.string()))],
@@ -78,21 +84,32 @@ def _bits(n: int) -> int:
     return max(1, int(n).bit_length())
 
 
+def _number(most: int) -> type:
+    """The signed type of numbers up to ``most``: half the memory where 32 bits do."""
+    return np.int32 if most < 1 << 31 else np.int64
+
+
 def _order(rank: np.ndarray, then: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The positions in the order of (rank, then), and the rank of each position in it."""
     n = len(rank)
     a, b, c = _bits(rank.max(initial=0)), _bits(then.max(initial=0)), _bits(n)
     if a + b + c <= 64:  # a plain sort of one number each
-        packed = (rank.astype(np.uint64) << np.uint64(b + c)) | (then.astype(np.uint64) << np.uint64(c)) | np.arange(n, dtype=np.uint64)
+        packed = rank.astype(np.uint64)
+        packed <<= np.uint64(b)
+        packed |= then.astype(np.uint64)
+        packed <<= np.uint64(c)
+        packed |= np.arange(n, dtype=np.uint64)
         packed.sort()
-        by = (packed & np.uint64((1 << c) - 1)).astype(np.int64)
+        by = (packed & np.uint64((1 << c) - 1)).astype(_number(n))
         packed >>= np.uint64(c)
-        new = np.diff(packed, prepend=packed[:1]) != 0
+        new = np.zeros(n, bool)
+        np.not_equal(packed[1:], packed[:-1], out=new[1:])
+        del packed
     else:
         by = np.lexsort([then, rank])
         new = np.r_[False, (np.diff(rank[by]) != 0) | (np.diff(then[by]) != 0)]
-    out = np.empty(n, np.int64)
-    out[by] = np.cumsum(new)
+    out = np.empty(n, _number(n))
+    out[by] = np.cumsum(new, dtype=out.dtype)
     return by, out
 
 
@@ -107,15 +124,25 @@ class FmIndex:
     def __init__(self, text: np.ndarray, depth: int):
         n = len(text)
         self.size = _bits(n)
-        self.first = np.concatenate([[0], np.cumsum(np.bincount(text))])  # of each symbol's interval
-        self.left = text[(self._sorted(text, depth) - 1) % n]                              # BWT
-        self.right = text[(n - 1 - self._sorted(text[::-1], depth) + 1) % n]               # of the reverse
-        self.left_at, self.right_at = self._places(self.left), self._places(self.right)
+        counts = np.bincount(text)
+        text = text.astype(_number(len(counts)))
+        self.first = np.concatenate([[0], np.cumsum(counts)])  # of each symbol's interval
+        self.left = text[self._sorted(text, depth) - 1]              # BWT
+        self.right = text[(n - self._sorted(text[::-1], depth)) % n]  # of the reverse
+
+    @cached_property
+    def left_at(self) -> np.ndarray:
+        return self._places(self.left)
+
+    @cached_property
+    def right_at(self) -> np.ndarray:
+        return self._places(self.right)
 
     @staticmethod
     def _sorted(text: np.ndarray, depth: int) -> np.ndarray:
         by, rank = _order(text, np.roll(text, -1))
         for k in range(2, depth):
+            del by  # not needed while the next one is made
             by, rank = _order(rank, np.roll(text, -k))
         return by
 
@@ -137,59 +164,79 @@ class FmIndex:
 
         ``start`` and ``back`` are the starts of the intervals in the index and in the reverse.
         """
-        bwt, places = (self.left, self.left_at) if to_left else (self.right, self.right_at)
         near, far = (start, back) if to_left else (back, start)
-        owner = np.repeat(np.arange(len(count)), count)
+        owner, word, smaller, n = self._extended(near, count, to_left)
+        near, far = self._moved(word, near[owner], to_left), far[owner] + smaller
+        return (owner, word, *((near, far) if to_left else (far, near)), n)
+
+    def _extended(self, near: np.ndarray, count: np.ndarray, to_left: bool):
+        """(owner, word, shift of the interval in the other index, count) of the n-grams with one word more on that side."""
+        bwt, bits = self.left if to_left else self.right, _bits(len(self.first))
         begins = np.cumsum(count) - count
-        at = np.arange(len(owner)) - np.repeat(begins - near, count)
-        bits = _bits(len(self.first))
-        pairs = (owner << bits) | bwt[at]
+        at = np.repeat(near - begins, count)
+        at += np.arange(len(at))
+        pairs = np.repeat(np.arange(len(count)) << bits, count)
+        pairs |= bwt[at]
+        del at
         pairs.sort()
-        firsts = np.flatnonzero(np.diff(pairs, prepend=-1))
-        pair, n = pairs[firsts], np.diff(np.r_[firsts, len(pairs)])
-        owner, word = pair >> bits, pair & ((1 << bits) - 1)
-        smaller = firsts - begins[owner]  # symbols before this one in the interval: the shift in the other index
-        real = word > 0
-        owner, word, n, smaller = owner[real], word[real], n[real], smaller[real]
-        near, far = self._rank(places, word, near[owner]), far[owner] + smaller
-        return (owner, word, *((near, far) if to_left else (far, near)), n)
+        new = np.ones(len(pairs), bool)
+        np.not_equal(pairs[1:], pairs[:-1], out=new[1:])
+        firsts = np.flatnonzero(new)
+        n, pair = np.diff(np.append(firsts, len(pairs))), pairs[firsts]
+        del pairs, new
+        real = (pair & ((1 << bits) - 1)) > 0
+        pair, n, firsts = pair[real], n[real], firsts[real]
+        owner, word = pair >> bits, (pair & ((1 << bits) - 1)).astype(bwt.dtype)
+        return owner, word, firsts - begins[owner], n  # the shift: symbols before this one in the interval
+
+    def _moved(self, word: np.ndarray, near: np.ndarray, to_left: bool) -> np.ndarray:
+        return self._rank(self.left_at if to_left else self.right_at, word, near)
 
     def ngrams(self, depth: int):
-        """(rows of words, counts) of all n-grams of each length, by extension to the left and to the right in turn."""
-        word, start, back, count = self.words()
-        rows = word[:, None]
+        """(rows of words, counts) of all n-grams of each length, by extension to the left and to the right in turn.
+
+        A length's starts are found where a later length needs them: the next one extends on the
+        other side, the one after it on this side again.
+        """
+        word, near, far, count = self.words()
+        rows = word[:, None].astype(self.left.dtype)
         yield rows, count
         for m in range(2, depth + 1):
             to_left = m % 2 == 0
-            owner, word, start, back, count = self.extend(start, back, count, to_left)
+            owner, word, shift, count = self._extended(near, count, to_left)
             rows = np.column_stack([word, rows[owner]] if to_left else [rows[owner], word])
+            if m < depth:  # this side's turn is over: its starts are the far ones now
+                near, far = far[owner] + shift, self._moved(word, near[owner], to_left) if m + 1 < depth else None
+            del owner, word, shift
             yield rows, count
 
 
 def _ngrams(row: dict, depth: int):
-    """Words, langs and the n-grams of a stored block, and a key of each n-gram."""
-    text = B.expand(row["codes"], "<u4").astype(np.int64)
+    """Words, langs, and an iterator of the n-grams of a stored block: of each length rows of words, counts and keys."""
     words, of = B.expand_words(row["words"]), B.expand(row["of"], "<u4").astype(np.int64)
-    seeds = [xxhash.xxh3_64_intdigest(x) for x in row["langs"]]
-    base = np.fromiter((xxhash.xxh3_64_intdigest(w, seed=seeds[k]) for w, k in zip(words, of.tolist())), np.uint64, len(words))
-    base = np.concatenate([np.zeros(1, np.uint64), base])
-    grams, keys = [], []
-    for rows, count in FmIndex(text, depth).ngrams(depth):
-        key = base[rows[:, 0]]
-        for k in range(1, rows.shape[1]):
-            key = B.mixed(key, base[rows[:, k]])
-        grams.append((rows, count))
-        keys.append(key >> np.uint64(64 - KEY_BITS))
-    return words, of, grams, np.concatenate(keys)
+
+    def levels():
+        seeds = [xxhash.xxh3_64_intdigest(x) for x in row["langs"]]
+        base = np.fromiter((xxhash.xxh3_64_intdigest(w, seed=seeds[k]) for w, k in zip(words, of.tolist())), np.uint64, len(words))
+        base = np.concatenate([np.zeros(1, np.uint64), base])
+        for rows, count in FmIndex(B.expand(row["codes"], "<u4"), depth).ngrams(depth):
+            key = base[rows[:, 0]]
+            for k in range(1, rows.shape[1]):
+                key = B.mixed(key, base[rows[:, k]])
+            yield rows, count.astype(_number(count.max(initial=0))), key >> np.uint64(64 - KEY_BITS)
+    return words, of, levels()
 
 
 def _asker(depth: int, buckets: int):
     def run(batches):
         for row in B.rows(batches):
-            _, _, grams, keys = _ngrams(row, depth)
+            counts, keys = zip(*((c, k) for _, c, k in _ngrams(row, depth)[2]))
+            counts, keys = np.concatenate(counts), np.concatenate(keys)
             distinct, place = B.distinct_places(keys)
-            counts = np.bincount(place, weights=np.concatenate([c for _, c in grams]), minlength=len(distinct))
-            yield from B.ask(row["block"], distinct, counts.astype(np.int64), buckets, KEY_BITS)
+            del keys
+            counts = np.bincount(place, weights=counts, minlength=len(distinct)).astype(np.int64)
+            del place
+            yield from B.ask(row["block"], distinct, counts, buckets, KEY_BITS)
     return run
 
 
@@ -197,8 +244,15 @@ def _teller(depth: int):
     """Rows (lang, size, phrase, n) of the n-grams that may be frequent; size 0 has all words of a lang."""
     def run(batches):
         for row in B.rows(batches):
-            words, of, grams, keys = _ngrams(row, depth)
+            words, of, levels = _ngrams(row, depth)
+            grams, keys = [], []
+            for rows, count, key in levels:
+                grams.append((rows, count))
+                keys.append(key)
+            rows = count = key = None
+            keys = np.concatenate(keys)
             frequent = B.joined(row["replies"], "u1").astype(bool)[B.distinct_places(keys)[1]]
+            del keys
             langs, names = pa.array(row["langs"], pa.string()), pa.array(["", *words], pa.string())
             n_lang = np.bincount(of[grams[0][0][:, 0] - 1], weights=grams[0][1], minlength=len(langs)).astype(np.int64)
             yield _told(langs, np.zeros(len(langs), np.int32), pa.array([""] * len(langs), pa.string()), n_lang)

@@ -111,3 +111,27 @@ def test_odd_tables(frame):
     assert phrases.collocations(frame([(1, None, "en"), (2, "", None), (3, ".,;", "en"), (4, "one", "en")])).count() == 0
     got = told(phrases.collocations(frame([(i, "a b", None, "x") for i in range(10)])))
     assert got == [("und", 1, "a b", 10, 10, 10, 20, 1_000_000)]
+
+
+def test_memory_of_a_block(monkeypatch):
+    import tracemalloc
+
+    import pyarrow as pa
+
+    class Task:
+        get, partitionId = staticmethod(lambda: Task), staticmethod(lambda: 0)
+
+    monkeypatch.setattr(phrases, "TaskContext", Task)
+    rng = np.random.default_rng(4)
+    texts = [" ".join(f"w{x}" for x in rng.zipf(1.3, 400) % 30_000) for _ in range(500)]
+    block, = phrases._index_blocks([pa.record_batch({"lang": ["en"] * len(texts), "text": texts})])
+    tokens, peaks = block.column(1)[0].as_py(), []
+    told = pa.record_batch([*block.columns, pa.array([[]], pa.list_(pa.binary()))], [*block.schema.names, "replies"])
+    monkeypatch.setattr(phrases.B, "joined", lambda *_: np.ones(3 * tokens, "u1"))
+    for run, at in ((phrases._asker(3, 16), block), (phrases._teller(3), told)):
+        tracemalloc.start()
+        for _ in run([at]):
+            peaks.append(tracemalloc.get_traced_memory()[1])
+            break
+        tracemalloc.stop()
+    assert max(peaks) < 100 * tokens  # bytes a word
