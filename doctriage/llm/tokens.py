@@ -2,8 +2,9 @@
 
 A text is cut before each white-space run that follows other characters, and between a letter
 or digit and a full stop or comma at the end of such a run.  Both vocabularies pre-split texts there, so the ids
-of a text are the ids of its pieces one after the other, and each task encodes a frequent
-piece once.  Texts with white space beyond ``[\\x20\\x09-\\x0D]`` (where the libraries' rules
+of a text are the ids of its pieces one after the other.  The pieces of a slice of texts are
+found by their bytes and coded by spelling; the distinct ones are looked up or encoded, and
+their ids are taken by code.  A task encodes a frequent piece once.  Texts with white space beyond ``[\\x20\\x09-\\x0D]`` (where the libraries' rules
 differ), and texts that may hold the string of an added token, are encoded in one piece.
 """
 
@@ -22,11 +23,14 @@ from .common import KEPT
 WORD_BPE = "word_bpe_49k.json"
 BYTE_BPE = "byte_bpe_50k.json"
 END_ID = 1
-CACHED = 48 << 20  # bytes, about, of segments, and as many of pieces of segments, that a task remembers; others are encoded again
+CACHED = 48 << 20  # bytes, about, of segments, and as many of other pieces, that a task remembers; others are encoded again
 _ENTRY = 160       # bytes that a remembered one takes besides its characters and ids
 
-_SEGMENT = re.compile(r"[ \t-\r]*[^ \t-\r]+|[ \t-\r]+\Z")
 _SPACES = " \t\n\v\f\r"
+_IS_SPACE = np.isin(np.arange(256), list(_SPACES.encode()))
+_IS_STOP = np.isin(np.arange(256), list(b".,"))
+_IS_ALNUM = np.array([i < 128 and chr(i).isalnum() for i in range(256)])
+_IS_LATIN = np.array([i >= 128 and chr(i + 64).isalpha() for i in range(256)])  # second byte of a letter whose first is C3
 _ODD_SPACE = re.compile("[\x1c-\x1f\x85\xa0  -     　]")
 _PLAIN_WORD = re.compile("[a-z\xdf-\xf6\xf8-\xff]+")  # one pre-token each, and kept as it is
 
@@ -53,16 +57,11 @@ class Encoder:
         found = self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.asarray(x.ids, "<u4").tobytes() for x in found]
 
-    def _encode_pieces(self, pieces: list[str]) -> list[bytes]:
-        """Ids of each piece; in one call for those that stay apart when they are joined."""
+    def _apart(self, piece: str) -> bool:
+        """Whether the piece stays apart when it is joined to others like it: these are encoded in one call."""
         if self._drops_space:
-            apart = [bool(_PLAIN_WORD.fullmatch(p)) for p in pieces]
-        else:
-            apart = [p[0] in _SPACES and p[-1] not in _SPACES for p in pieces]
-        joined = [p for p, x in zip(pieces, apart) if x]
-        alone = iter(self._ids([p for p, x in zip(pieces, apart) if not x]))
-        together = iter(self._encode_joined(joined) if joined else [])
-        return [next(together) if x else next(alone) for x in apart]
+            return bool(_PLAIN_WORD.fullmatch(piece))
+        return piece[0] in _SPACES and piece[-1] not in _SPACES
 
     def _encode_joined(self, pieces: list[str]) -> list[bytes]:
         text = (" " if self._drops_space else "").join(pieces)
@@ -76,19 +75,8 @@ class Encoder:
         raw, at = ids.tobytes(), [0, *(4 * cuts).tolist()]
         return [raw[a:b] for a, b in zip(at, at[1:])]
 
-    def _encode_segments(self, segments: list[str]) -> list[bytes]:
-        ends = [len(s) > 1 and s[-1] in ".," and s[-2].isalnum() for s in segments]
-        heads = [s[:-1] if x else s for s, x in zip(segments, ends)]
-        known = self._pieces_known
-        forget = self._learn(known, {*heads, ".", ","}, self._encode_pieces)
-        found = [known[h] + known[s[-1]] if x else known[h] for s, h, x in zip(segments, heads, ends)]
-        for k in forget:
-            del known[k]
-        return found
-
-    def _learn(self, cache: dict[str, bytes], wanted: set[str], encode) -> list[str]:
-        """Adds all that is wanted to ``cache``; what goes beyond the limit is to be forgotten after use."""
-        missing = list(wanted.difference(cache))
+    def _learn(self, cache: dict[str, bytes], missing: list[str], encode) -> list[str]:
+        """Adds all that is missing to ``cache``; what goes beyond the limit is to be forgotten after use."""
         if missing:
             found = encode(missing)
             cache.update(zip(missing, found))
@@ -101,25 +89,63 @@ class Encoder:
     def _whole(self, text: str) -> bool:
         return bool(_ODD_SPACE.search(text)) or any(m in text for m in self._marks)
 
-    def _segments(self, text: str) -> list[str]:
-        if not self._drops_space:
-            return _SEGMENT.findall(text)
-        try:  # this vocabulary is of lower case; beyond these characters the library itself lowers
+    def _lowered(self, text: str) -> str:
+        """This vocabulary is of lower case; beyond these characters the library itself lowers."""
+        try:
             text.encode("latin-1")
-            return text.lower().split()
+            return text.lower()
         except UnicodeEncodeError:
-            return text.split()
+            return text
+
+    def _pieces(self, texts: list[str]) -> tuple[pa.Array, np.ndarray]:
+        """All pieces of the texts in order, and where each text's begin among them, and all end."""
+        raw = [t.encode() for t in texts]
+        ends = np.cumsum([0, *map(len, raw)])
+        data = np.frombuffer(b"".join(raw), np.uint8)
+        del raw
+        edge = np.zeros(len(data) + 1, bool)  # a text begins here or all end
+        edge[ends] = True
+        space = _IS_SPACE[data]
+        follows = np.concatenate([[True], space])[:len(data)]  # space before this byte
+        begins = ~space & (edge[:-1] | follows) if self._drops_space else edge[:-1] | (space & ~follows)
+        # a stop or comma at the end of a segment, after a letter or digit
+        stops = np.flatnonzero(_IS_STOP[data] & ~edge[:-1])
+        stops = stops[edge[stops + 1] | space[np.minimum(stops + 1, len(data) - 1)]]
+        before = data[stops - 1]
+        begins[stops[_IS_ALNUM[before] | (_IS_LATIN[before] & (data[stops - 2] == 0xC3))]] = True
+        places = np.concatenate([[0], np.cumsum(begins)])[ends]
+        if self._drops_space:
+            data, begins = data[~space], begins[~space]
+        offsets = np.append(np.flatnonzero(begins), len(data))
+        pieces = pa.LargeStringArray.from_buffers(len(offsets) - 1, pa.py_buffer(offsets), pa.py_buffer(data))
+        return pieces, places
+
+    def _known(self, pieces: list[str]) -> list[bytes]:
+        """Ids of distinct pieces."""
+        segments, others = self._segments_known, self._pieces_known
+        found = [segments.get(p) for p in pieces]
+        places = [i for i, x in enumerate(found) if x is None]
+        missing = [p for p in map(pieces.__getitem__, places) if p not in others]
+        apart = [self._apart(p) for p in missing]
+        lost = self._learn(segments, [p for p, x in zip(missing, apart) if x], self._encode_joined)
+        left = self._learn(others, [p for p, x in zip(missing, apart) if not x], self._ids)
+        for i in places:
+            found[i] = segments[p] if (p := pieces[i]) in segments else others[p]
+        for cache, forget in ((segments, lost), (others, left)):
+            for p in forget:
+                del cache[p]
+        return found
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         odd = [self._whole(t) for t in texts]
-        parts = [[] if o else self._segments(t) for t, o in zip(texts, odd)]
-        known = self._segments_known
-        forget = self._learn(known, set().union(*parts), self._encode_segments)
+        plain = ["" if o else self._lowered(t) if self._drops_space else t for t, o in zip(texts, odd)]
+        pieces, places = self._pieces(plain)
+        coded = pieces.dictionary_encode()
+        ids = pa.array(self._known(coded.dictionary.to_numpy(zero_copy_only=False).tolist()), pa.large_binary()).take(coded.indices)
+        at = np.frombuffer(ids.buffers()[1], np.int64, len(ids) + 1)[places].tolist()
+        raw = memoryview(ids.buffers()[2] or b"")
         whole = iter(self._ids([t for t, o in zip(texts, odd) if o]))
-        found = [next(whole) if o else b"".join([known[s] for s in p]) for o, p in zip(odd, parts)]
-        for k in forget:
-            del known[k]
-        return found
+        return [next(whole) if o else bytes(raw[a:b]) for o, a, b in zip(odd, at, at[1:])]
 
 
 @contextmanager

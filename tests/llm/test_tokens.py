@@ -51,6 +51,29 @@ def test_memory_of_an_encoder_is_bounded_and_let_go():
     assert not common.KEPT
 
 
+@pytest.mark.parametrize("vocabulary", [tokens.WORD_BPE, tokens.BYTE_BPE])
+def test_a_word_is_looked_up_once_a_slice(vocabulary):
+    class Counted(dict):
+        asked = 0
+
+        def __getitem__(self, key):
+            Counted.asked += 1
+            return super().__getitem__(key)
+
+        def get(self, key, default=None):
+            Counted.asked += 1
+            return super().get(key, default)
+
+    encode = tokens.Encoder(vocabulary)
+    for name in ("_segments_known", "_pieces_known"):
+        room = encode._room.pop(id(getattr(encode, name)))
+        setattr(encode, name, Counted())
+        encode._room[id(getattr(encode, name))] = room
+    texts = ["some words, again and again. Été, 9. x.,\n" * 2000, " \t", "", "again."]
+    assert encode(texts) == whole(vocabulary, texts)
+    assert Counted.asked < 200
+
+
 def test_rows_of_one_id_are_spread(spark, frame):
     rows = [(None if i % 3 else i, f"text {i} of many") for i in range(3000)]
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
